@@ -1,0 +1 @@
+"""Registered queries over the test tables, and the SQL they are checked with."""

@@ -1,0 +1,472 @@
+"""The registered queries: name to function of session and table folder."""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from larderline.functions.labels import order_status, order_value, stock_flag
+from larderline.operators import conform, inspection, loading, nulls
+from larderline.plans import dims, facts, jobs, kpis
+from larderline.plans.warehouse import Warehouse
+from larderline.sinks import files as file_sinks
+from larderline.sinks import tables as table_sinks
+from larderline.sinks import topics as topic_sinks
+from larderline.sources import files, topics
+from larderline.streaming import events, sinks
+from larderline.workspace import new_run_folder
+from verification import inputs
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Positions and status events at most this far apart belong together in the
+# stream, where the batch fact has no bound.
+TRACKING_SECONDS = 43_200
+LATE_BY = "1 day"
+
+QUERIES: dict[str, Query] = {}
+
+
+def registered(query: Query) -> Query:
+    QUERIES[query.__name__] = query
+    return query
+
+
+def _orders_complete(spark: SparkSession, folder: str) -> DataFrame:
+    return nulls.drop_null_rows(inputs.orders_raw(spark, folder))
+
+
+def _orders_standard(spark: SparkSession, folder: str) -> DataFrame:
+    return conform.standardize(_orders_complete(spark, folder), "status")
+
+
+def _inventory_typed(spark: SparkSession, folder: str) -> DataFrame:
+    complete = nulls.drop_null_rows(inputs.inventory_raw(spark, folder))
+    return conform.cast_inventory(complete)
+
+
+def _inventory_standard(spark: SparkSession, folder: str) -> DataFrame:
+    typed = _inventory_typed(spark, folder)
+    return conform.standardize(typed, "name", "category", "warehouse")
+
+
+# Missing values
+
+
+@registered
+def orders_null_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return nulls.null_rows(inputs.orders_raw(spark, folder))
+
+
+@registered
+def inventory_null_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return nulls.null_rows(inputs.inventory_raw(spark, folder))
+
+
+@registered
+def orders_dropna(spark: SparkSession, folder: str) -> DataFrame:
+    return _orders_complete(spark, folder)
+
+
+@registered
+def inventory_dropna(spark: SparkSession, folder: str) -> DataFrame:
+    return nulls.drop_null_rows(inputs.inventory_raw(spark, folder))
+
+
+@registered
+def orders_fillna(spark: SparkSession, folder: str) -> DataFrame:
+    return nulls.fill_defaults(inputs.orders_raw(spark, folder), nulls.ORDER_DEFAULTS)
+
+
+@registered
+def inventory_fillna(spark: SparkSession, folder: str) -> DataFrame:
+    return nulls.fill_defaults(inputs.inventory_raw(spark, folder), nulls.INVENTORY_DEFAULTS)
+
+
+# Columns
+
+
+@registered
+def inventory_select(spark: SparkSession, folder: str) -> DataFrame:
+    stored = inputs.inventory_raw(spark, folder).withColumn("_id", F.xxhash64("item_id", "name"))
+    return conform.inventory_columns(stored)
+
+
+@registered
+def inventory_cast(spark: SparkSession, folder: str) -> DataFrame:
+    return _inventory_typed(spark, folder)
+
+
+@registered
+def orders_standardize(spark: SparkSession, folder: str) -> DataFrame:
+    return _orders_standard(spark, folder)
+
+
+@registered
+def inventory_standardize(spark: SparkSession, folder: str) -> DataFrame:
+    return _inventory_standard(spark, folder)
+
+
+@registered
+def snake_case_columns(spark: SparkSession, folder: str) -> DataFrame:
+    spaced = inputs.orders_raw(spark, folder).select(
+        F.col("order_id").alias("Order ID"),
+        F.col("order_ts").alias("orderTs"),
+        F.col("status").alias("Order Status"),
+    )
+    return conform.snake_case_columns(spaced)
+
+
+@registered
+def orders_total_value(spark: SparkSession, folder: str) -> DataFrame:
+    value = order_value(F.col("quantity"), F.col("price"))
+    return _orders_complete(spark, folder).select(
+        "order_id", "quantity", "price", value.alias("total_order_value")
+    )
+
+
+@registered
+def orders_status_norm(spark: SparkSession, folder: str) -> DataFrame:
+    return _orders_standard(spark, folder).select(
+        "order_id",
+        F.col("status").alias("raw_status"),
+        order_status(F.col("status")).alias("status"),
+    )
+
+
+@registered
+def orders_order_date(spark: SparkSession, folder: str) -> DataFrame:
+    return inputs.orders_raw(spark, folder).select(
+        "order_id", "order_ts", F.to_date("order_ts").alias("order_date")
+    )
+
+
+@registered
+def inventory_stock_flag(spark: SparkSession, folder: str) -> DataFrame:
+    return _inventory_typed(spark, folder).select(
+        "item_id", "stock_level", stock_flag(F.col("stock_level")).alias("stock_flag")
+    )
+
+
+# Rows
+
+
+@registered
+def orders_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return conform.distinct_rows(_orders_standard(spark, folder))
+
+
+@registered
+def inventory_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return conform.distinct_rows(_inventory_standard(spark, folder))
+
+
+@registered
+def orders_drop_test(spark: SparkSession, folder: str) -> DataFrame:
+    return conform.drop_test_orders(_orders_standard(spark, folder))
+
+
+# Dimensions and facts
+
+
+@registered
+def orders_dim(spark: SparkSession, folder: str) -> DataFrame:
+    return dims.orders_dim(inputs.orders_raw(spark, folder))
+
+
+@registered
+def orders_dim_filled(spark: SparkSession, folder: str) -> DataFrame:
+    return dims.orders_dim(inputs.orders_raw(spark, folder), null_policy="fill")
+
+
+@registered
+def inventory_dim(spark: SparkSession, folder: str) -> DataFrame:
+    return dims.inventory_dim(inputs.inventory_raw(spark, folder))
+
+
+@registered
+def gps_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return dims.gps_dim(inputs.gps_raw(spark, folder))
+
+
+@registered
+def status_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return dims.status_dim(inputs.status_raw(spark, folder))
+
+
+@registered
+def orders_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return facts.orders_fact(orders_dim(spark, folder), inventory_dim(spark, folder))
+
+
+@registered
+def courier_tracking(spark: SparkSession, folder: str) -> DataFrame:
+    return facts.courier_tracking(gps_clean(spark, folder), status_clean(spark, folder))
+
+
+# Figures
+
+
+@registered
+def fact_count(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.fact_count_of(orders_dim(spark, folder), inventory_dim(spark, folder))
+
+
+@registered
+def daily_orders_top10(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.daily_orders_of(orders_dim(spark, folder), inventory_dim(spark, folder))
+
+
+@registered
+def avg_cart_value(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.avg_cart_value_of(orders_dim(spark, folder), inventory_dim(spark, folder))
+
+
+@registered
+def volume_by_warehouse_item(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.volume_by_warehouse_item_of(
+        orders_dim(spark, folder), inventory_dim(spark, folder)
+    )
+
+
+@registered
+def stock_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.stock_alerts(inventory_dim(spark, folder))
+
+
+@registered
+def stock_alert_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.stock_alert_counts(inventory_dim(spark, folder))
+
+
+@registered
+def source_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return inspection.row_counts(
+        orders=inputs.orders_raw(spark, folder), inventory=inputs.inventory_raw(spark, folder)
+    )
+
+
+# Inspection
+
+
+@registered
+def describe_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return inspection.describe_columns(inputs.orders_raw(spark, folder))
+
+
+@registered
+def schema_is_flat(spark: SparkSession, folder: str) -> DataFrame:
+    documents = inspection.require_flat(inputs.inventory_raw(spark, folder))
+    return inspection.describe_columns(documents).select("column_name", "is_nested", "null_rows")
+
+
+@registered
+def orders_sample(spark: SparkSession, folder: str) -> DataFrame:
+    return inspection.sample(inputs.orders_raw(spark, folder))
+
+
+# Loading and round trips
+
+
+def _orders_csv(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+    path = f"{new_run_folder(spark, purpose)}/orders"
+    file_sinks.append_csv(rows, path)
+    return files.read_orders_csv(spark, path)
+
+
+@registered
+def csv_orders_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    text = _orders_csv(spark, inputs.orders_text(spark, folder), "csv_orders_ingest")
+    return loading.all_orders_or_fail(text)
+
+
+@registered
+def orders_accepted(spark: SparkSession, folder: str) -> DataFrame:
+    faulty = inputs.orders_text_with_faults(spark, folder)
+    return loading.accepted_orders(_orders_csv(spark, faulty, "orders_accepted"))
+
+
+@registered
+def orders_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    faulty = inputs.orders_text_with_faults(spark, folder)
+    return loading.rejected_orders(_orders_csv(spark, faulty, "orders_quarantine"))
+
+
+def _loaded_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys of finished orders, taken as loaded by an earlier run."""
+    heads = inputs.read_table(spark, folder, "orders")
+    return heads.filter(F.col("o_orderstatus") == "F").select(
+        F.col("o_orderkey").alias("order_id")
+    )
+
+
+@registered
+def orders_load_new_keys(spark: SparkSession, folder: str) -> DataFrame:
+    incoming = inputs.orders_source(spark, folder)
+    return loading.new_rows(incoming, _loaded_orders(spark, folder), "order_id")
+
+
+@registered
+def orders_load_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    incoming = inputs.orders_source(spark, folder)
+    return loading.key_conflicts(incoming, _loaded_orders(spark, folder), "order_id")
+
+
+def _new_warehouse(spark: SparkSession, purpose: str) -> Warehouse:
+    root = new_run_folder(spark, purpose)
+    return Warehouse(spark, f"larder_{uuid.uuid4().hex[:12]}", root).create()
+
+
+@registered
+def orders_table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _new_warehouse(spark, "orders_table_roundtrip").create()
+    warehouse.append("orders", inputs.orders_source(spark, folder))
+    return warehouse.table("orders")
+
+
+@registered
+def json_inventory_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{new_run_folder(spark, 'json_inventory_ingest')}/inventory"
+    file_sinks.write_documents(inputs.inventory_raw(spark, folder), path)
+    return files.read_inventory_json(spark, path, one_document_per_line=True)
+
+
+@registered
+def csv_events_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_folder(spark, "csv_events_roundtrip")
+    file_sinks.append_csv(inputs.gps_raw(spark, folder), f"{root}/gps")
+    file_sinks.append_csv(inputs.status_raw(spark, folder), f"{root}/status")
+    feeds = {
+        "gps": files.read_gps_csv(spark, f"{root}/gps"),
+        "status": files.read_status_csv(spark, f"{root}/status"),
+    }
+    gps, status = [
+        rows.select(F.lit(feed).alias("feed"), "courier_id", "ts") for feed, rows in feeds.items()
+    ]
+    return gps.unionByName(status)
+
+
+@registered
+def events_to_json(spark: SparkSession, folder: str) -> DataFrame:
+    return topic_sinks.as_messages(inputs.gps_raw(spark, folder))
+
+
+@registered
+def sink_overwrite_idempotent(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _new_warehouse(spark, "sink_overwrite_idempotent")
+    for _ in range(2):
+        jobs.load_dimensions(
+            warehouse, inputs.orders_raw(spark, folder), inputs.inventory_raw(spark, folder)
+        )
+    return inspection.row_counts(
+        orders_dim=warehouse.table("orders_dim"), inventory_dim=warehouse.table("inventory_dim")
+    )
+
+
+@registered
+def sink_partitioned_by_date(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{new_run_folder(spark, 'sink_partitioned_by_date')}/orders_dim"
+    table_sinks.write_clustered(orders_dim(spark, folder), path, cluster_by="order_date")
+    return spark.read.parquet(path)
+
+
+@registered
+def sink_run_append(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{new_run_folder(spark, 'sink_run_append')}/orders_fact"
+    rows = orders_fact(spark, folder)
+    for run_id in ("first", "second", "second"):
+        table_sinks.append_run(rows, path, run_id)
+    return spark.read.parquet(path)
+
+
+def _loaded_warehouse(spark: SparkSession, folder: str, purpose: str) -> Warehouse:
+    warehouse = _new_warehouse(spark, purpose)
+    jobs.load_dimensions(
+        warehouse, inputs.orders_raw(spark, folder), inputs.inventory_raw(spark, folder)
+    )
+    return warehouse
+
+
+@registered
+def fact_append_twice(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _loaded_warehouse(spark, folder, "fact_append_twice")
+    for _ in range(2):
+        warehouse.append("orders_fact", warehouse.build_orders_fact())
+    fact = warehouse.table("orders_fact")
+    return kpis.fact_count(fact).join(kpis.avg_cart_value(fact))
+
+
+@registered
+def show_tables(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _loaded_warehouse(spark, folder, "show_tables")
+    warehouse.append("orders", inputs.orders_source(spark, folder))
+    jobs.load_event_dimensions(
+        warehouse, inputs.gps_raw(spark, folder), inputs.status_raw(spark, folder)
+    )
+    jobs.load_facts(warehouse)
+    return warehouse.tables()
+
+
+# Streams
+
+
+def _gps_stream(spark: SparkSession, folder: str, root: str) -> DataFrame:
+    topic_sinks.publish_to_folder(inputs.gps_raw(spark, folder), f"{root}/gps_topic")
+    messages = topics.folder_stream(spark, f"{root}/gps_topic")
+    return dims.gps_dim(topics.gps_events(messages))
+
+
+def _status_stream(spark: SparkSession, rows: DataFrame, root: str) -> DataFrame:
+    topic_sinks.publish_to_folder(rows, f"{root}/status_topic")
+    messages = topics.folder_stream(spark, f"{root}/status_topic")
+    return dims.status_dim(topics.status_events(messages))
+
+
+@registered
+def stream_gps_clean(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_folder(spark, "stream_gps_clean")
+    stream = _gps_stream(spark, folder, root)
+    sinks.load_batches(stream, f"{root}/gps_dim", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/gps_dim").drop("batch_id")
+
+
+@registered
+def stream_status_clean(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_folder(spark, "stream_status_clean")
+    stream = _status_stream(spark, inputs.status_raw(spark, folder), root)
+    sinks.append_to_folder(stream, f"{root}/status_dim", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/status_dim")
+
+
+@registered
+def stream_courier_tracking(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_folder(spark, "stream_courier_tracking")
+    tracked = events.track_couriers(
+        _gps_stream(spark, folder, root),
+        _status_stream(spark, inputs.status_raw(spark, folder), root),
+        TRACKING_SECONDS,
+        LATE_BY,
+    )
+    sinks.append_to_folder(tracked, f"{root}/tracking", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/tracking")
+
+
+@registered
+def stream_status_counts(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_folder(spark, "stream_status_counts")
+    stream = _status_stream(spark, inputs.status_raw(spark, folder), root)
+    counts = events.status_counts(stream)
+    sinks.keep_latest(counts, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/counts")
+
+
+@registered
+def stream_dedup_watermark(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_folder(spark, "stream_dedup_watermark")
+    stream = _status_stream(spark, inputs.status_redelivered(spark, folder), root)
+    once = events.without_repeats(stream, LATE_BY)
+    sinks.append_to_folder(once, f"{root}/once", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/once")
