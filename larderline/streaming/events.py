@@ -6,13 +6,18 @@ to a stream as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larderline.functions.times import timestamp_to_epoch
 from larderline.schemas import COURIER_TRACKING, STATUS_DIM
 
 
+def _event_time(moment: str) -> Column:
+    """The zone-less time as an instant, the only type a watermark takes."""
+    return F.timestamp_seconds(timestamp_to_epoch(F.col(moment)))
+
+
 def track_couriers(
     gps: DataFrame,
     status: DataFrame,
@@ -31,29 +36,32 @@ def track_couriers(
     after the join is exact, and lets Spark drop state the watermark has passed.
     """
     bound = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
-    gps_slot = F.floor(timestamp_to_epoch(F.col("gps_ts")) / within_seconds)
-    status_slot = F.floor(timestamp_to_epoch(F.col("status_ts")) / within_seconds)
+
+    def slot(time: str) -> Column:
+        return F.floor(F.unix_seconds(time) / within_seconds)
 
     positions = (
-        gps.withWatermark("gps_ts", late_by)
-        .withColumn("slot", gps_slot)
-        .withColumn("split", F.floor(F.rand(17) * splits))
+        gps.withColumn("gps_time", _event_time("gps_ts"))
+        .withWatermark("gps_time", late_by)
+        .withColumn("slot", slot("gps_time"))
+        .withColumn("split", F.floor(F.rand(17) * splits).cast("int"))
     )
     changes = (
-        status.withWatermark("status_ts", late_by)
-        .withColumn("slot", F.explode(F.sequence(status_slot - 1, status_slot + 1)))
-        .withColumn("split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
-        .withColumn("split", F.col("split").cast("bigint"))
-        .withColumnRenamed("courier_id", "status_courier_id")
-        .withColumnRenamed("slot", "status_slot")
-        .withColumnRenamed("split", "status_split")
+        status.withColumnRenamed("courier_id", "status_courier_id")
+        .withColumn("status_time", _event_time("status_ts"))
+        .withWatermark("status_time", late_by)
+        .withColumn(
+            "status_slot",
+            F.explode(F.sequence(slot("status_time") - 1, slot("status_time") + 1)),
+        )
+        .withColumn("status_split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
     )
     together = (
         (F.col("courier_id") == F.col("status_courier_id"))
         & (F.col("slot") == F.col("status_slot"))
         & (F.col("split") == F.col("status_split"))
-        & (F.col("gps_ts") >= F.col("status_ts") - bound)
-        & (F.col("gps_ts") <= F.col("status_ts") + bound)
+        & (F.col("gps_time") >= F.col("status_time") - bound)
+        & (F.col("gps_time") <= F.col("status_time") + bound)
     )
     return positions.join(changes, together).select(*COURIER_TRACKING.names)
 
@@ -74,7 +82,8 @@ def without_repeats(status: DataFrame, late_by: str, splits: int = 8) -> DataFra
     """
     identity = STATUS_DIM.names
     return (
-        status.withWatermark("status_ts", late_by)
+        status.withColumn("status_time", _event_time("status_ts"))
+        .withWatermark("status_time", late_by)
         .withColumn("split", F.floor(F.rand(19) * splits))
         .dropDuplicatesWithinWatermark([*identity, "split"])
         .dropDuplicatesWithinWatermark(identity)
