@@ -38,16 +38,16 @@ def heavy_keys(
     right_count = right.groupBy(key).agg(F.count(F.lit(1)).alias("right_rows"))
     side = math.sqrt(pairs_per_task)
     pairs = F.col("left_rows").cast("double") * F.col("right_rows")
-    return (
+    splits = (
         left_count.join(right_count, key)
         .withColumn("cells", F.ceil(pairs / pairs_per_task))
         .filter(F.col("cells") > 1)
-        .orderBy(F.desc("cells"), key)
-        .limit(HEAVY_KEYS)
         .withColumn("left_splits", F.least("cells", F.ceil(F.col("left_rows") / side)))
         .withColumn("right_splits", F.ceil(F.col("cells") / F.col("left_splits")))
         .select(key, "left_splits", "right_splits")
     )
+    most_cells = F.desc(F.col("left_splits") * F.col("right_splits"))
+    return splits.orderBy(most_cells, key).limit(HEAVY_KEYS)
 
 
 def _one_of(splits: str, seed: int) -> Column:
@@ -70,6 +70,9 @@ def many_to_many(
     pair meets in exactly one cell, so no pair is lost or doubled, and a key
     outside the list has a grid of one cell.
 
+    The join is always a shuffled one. A broadcast would leave the output, many
+    times its input, to the few tasks that happened to read the other side.
+
     The sides should be scans, stored tables, or plain projections and filters
     of those: then a repeated task picks the same cells again.
     """
@@ -87,4 +90,4 @@ def many_to_many(
         .drop("left_splits", "right_splits")
     )
     cell = ["grid_row", "grid_column"]
-    return left_cells.join(right_cells, [key, *cell]).drop(*cell)
+    return left_cells.hint("merge").join(right_cells, [key, *cell]).drop(*cell)

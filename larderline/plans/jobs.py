@@ -5,10 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from larderline.operators.inspection import require_flat
+from larderline.operators.loading import all_orders_or_fail, key_conflicts, new_rows
 from larderline.plans import dims, kpis
 from larderline.plans.warehouse import Warehouse
 
 
+def load_orders(
+    warehouse: Warehouse, text_rows: DataFrame, skip_loaded: bool = False
+) -> None:
+    """Add exported orders to the orders table.
+
+    As with a primary key, nothing is added if a row does not parse or a key is
+    taken or repeated. With ``skip_loaded`` rows of taken keys are left out
+    instead, so that a load which failed half-way can simply run again.
+    """
+    incoming = all_orders_or_fail(text_rows)
+    loaded = warehouse.table("orders")
+    if skip_loaded:
+        incoming = new_rows(incoming, loaded, "order_id")
+    refused = key_conflicts(incoming, loaded, "order_id").first()
+    if refused is not None:
+        raise ValueError(f"order {refused.order_id}: {refused.reason}; nothing was loaded")
+    warehouse.append("orders", incoming)
+
+
 def load_dimensions(
     warehouse: Warehouse, orders: DataFrame, documents: DataFrame, null_policy: str = "drop"
 ) -> None:

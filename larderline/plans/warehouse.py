@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from larderline.operators.inspection import row_counts
 from larderline.plans.facts import courier_tracking, orders_fact
 from larderline.schemas import ORDERS, WAREHOUSE_TABLES, require
-from larderline.sinks.tables import write_clustered
 
 
 def _columns(schema: T.StructType) -> str:
@@ -50,12 +49,12 @@ class Warehouse:
             )
         return self
 
-    def replace(self, table: str, rows: DataFrame, cluster_by: str | None = None) -> None:
+    def replace(self, table: str, rows: DataFrame) -> None:
         """Give the table new content. The rows go to a folder of their own and
         the table is switched to it when all are written, so a failed load
         leaves the old content and readers never see a half-written table."""
         location = _new_location(self.root, table)
-        write_clustered(require(rows, WAREHOUSE_TABLES[table]), location, cluster_by)
+        require(rows, WAREHOUSE_TABLES[table]).write.parquet(location)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(self.name(table))
 

@@ -367,9 +367,9 @@ def sink_overwrite_idempotent(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered
-def sink_partitioned_by_date(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{new_run_folder(spark, 'sink_partitioned_by_date')}/orders_dim"
-    table_sinks.write_clustered(orders_dim(spark, folder), path, cluster_by="order_date")
+def sink_partitioned_by_warehouse(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{new_run_folder(spark, 'sink_partitioned_by_warehouse')}/orders_fact"
+    table_sinks.write_clustered(orders_fact(spark, folder), path, cluster_by="warehouse")
     return spark.read.parquet(path)
 
 

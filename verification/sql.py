@@ -292,7 +292,7 @@ STATEMENTS = {
     "sink_overwrite_idempotent": """
         SELECT 'orders_dim' AS table_name, count(*) AS row_count FROM orders_dim
         UNION ALL SELECT 'inventory_dim', count(*) FROM inventory_dim""",
-    "sink_partitioned_by_date": "SELECT * FROM orders_dim",
+    "sink_partitioned_by_warehouse": "SELECT * FROM orders_fact",
     "sink_run_append": """
         SELECT *, 'first' AS run_id FROM orders_fact
         UNION ALL SELECT *, 'second' FROM orders_fact""",
