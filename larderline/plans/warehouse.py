@@ -5,8 +5,6 @@ Users of the tables query them with plain Spark SQL.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,12 +18,12 @@ def _columns(schema: T.StructType) -> str:
     return ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in schema)
 
 
-def _new_location(root: str, table: str) -> str:
-    return f"{root}/{table}/load={uuid.uuid4().hex[:12]}"
+# Each table has two folders: one that is read, one for the next load.
+FOLDERS = ("load-a", "load-b")
 
 
 class Warehouse:
-    """A schema of tables below one root folder."""
+    """A schema of tables below one root folder, written by one job at a time."""
 
     def __init__(self, spark: SparkSession, database: str, root: str):
         self.spark = spark
@@ -45,16 +43,24 @@ class Warehouse:
         for table, schema in {"orders": ORDERS, **WAREHOUSE_TABLES}.items():
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_columns(schema)}) "
-                f"USING parquet LOCATION '{_new_location(self.root, table)}'"
+                f"USING parquet LOCATION '{self.root}/{table}/{FOLDERS[0]}'"
             )
         return self
 
+    def _location(self, table: str) -> str:
+        facts = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(table)}")
+        return facts.filter(F.col("col_name") == "Location").first().data_type
+
     def replace(self, table: str, rows: DataFrame) -> None:
-        """Give the table new content. The rows go to a folder of their own and
-        the table is switched to it when all are written, so a failed load
-        leaves the old content and readers never see a half-written table."""
-        location = _new_location(self.root, table)
-        require(rows, WAREHOUSE_TABLES[table]).write.parquet(location)
+        """Give the table new content. The rows go to the folder that is not
+        read and the table is switched to it when all are written, so a failed
+        load leaves the old content and readers never see half a table. The old
+        folder stays until the next load, for queries that still read it."""
+        read_now, free = FOLDERS
+        if not self._location(table).endswith(read_now):
+            free = read_now
+        location = f"{self.root}/{table}/{free}"
+        require(rows, WAREHOUSE_TABLES[table]).write.mode("overwrite").parquet(location)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(self.name(table))
 

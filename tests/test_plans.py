@@ -205,6 +205,15 @@ def test_failed_replacement_keeps_the_old_table(spark, warehouse):
     assert warehouse.table("status_dim").count() == 1
 
 
+def test_loads_alternate_between_two_folders(spark, warehouse, tmp_path):
+    rows = spark.createDataFrame([("1", "C001", "NEW", "0")], text_only(STATUS_EVENT))
+    for number in range(1, 4):
+        numbered = dims.status_dim(rows.withColumn("order_id", rows.ts + number))
+        warehouse.replace("status_dim", numbered)
+        assert warehouse.table("status_dim").first().order_id == number
+    assert sorted(p.name for p in (tmp_path / "status_dim").iterdir()) == ["load-a", "load-b"]
+
+
 def test_describe_shows_declared_columns(warehouse):
     described = [row.col_name for row in warehouse.describe("orders").collect()]
     assert described == ORDERS.names

@@ -64,7 +64,9 @@ def test_heavy_key_is_dealt_out_over_tasks(spark, sides):
     assert largest[0] < largest[1] / 2
 
 
-def test_one_item_with_a_third_of_the_orders(spark):
+@pytest.fixture
+def item_sides(spark):
+    """One item has a third of all orders; some items have two stock rows."""
     item = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).cast("int")
     orders = spark.range(6000).select(
         F.col("id").alias("order_id"),
@@ -83,6 +85,11 @@ def test_one_item_with_a_third_of_the_orders(spark):
     inventory = inventory.unionByName(
         inventory.filter("item_id in (1, 7)").withColumn("name", F.lit("second"))
     )
+    return orders, inventory
+
+
+def test_figures_with_and_without_the_fact_agree(item_sides):
+    orders, inventory = item_sides
     fact = orders_fact(orders, inventory)
     for stored, direct in (
         (kpis.fact_count, kpis.fact_count_of),
@@ -93,3 +100,26 @@ def test_one_item_with_a_third_of_the_orders(spark):
         expected, actual = stored(fact), direct(orders, inventory)
         assert actual.columns == expected.columns
         assert sorted(map(repr, actual.collect())) == sorted(map(repr, expected.collect()))
+
+
+def test_heavy_item_is_split_at_run_time(spark, item_sides):
+    orders, inventory = item_sides
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2KB",
+    }
+    expected = tally(orders_fact(orders, inventory))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact = orders_fact(orders, inventory)
+        rows = fact.collect()
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert tally(spark.createDataFrame(rows, fact.schema)) == expected
