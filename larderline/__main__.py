@@ -3,65 +3,91 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
 
 from larderline.plans import dims, jobs
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import files, topics
-from larderline.streaming import sinks
+from larderline.streaming import events, sinks
 from larderline.workspace import build_session
 
 
-def _arguments() -> argparse.Namespace:
+def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="larderline", description=__doc__)
-    jobs_of = parser.add_subparsers(dest="job", required=True)
+    known = parser.add_subparsers(dest="job", required=True)
 
-    def job(name: str, about: str, *paths: str) -> argparse.ArgumentParser:
-        command = jobs_of.add_parser(name, help=about)
+    def table_job(name: str, about: str, *paths: str) -> argparse.ArgumentParser:
+        command = known.add_parser(name, help=about)
         command.add_argument("--database", required=True, help="schema of the tables")
         command.add_argument("--root", required=True, help="shared folder of the tables")
         for path in paths:
             command.add_argument(f"--{path}", required=True)
         return command
 
-    load = job("load-orders", "add a CSV export of orders to the orders table", "orders-csv")
+    load = table_job("load-orders", "add a CSV export to the orders table", "orders-csv")
     load.add_argument("--skip-loaded", action="store_true")
-    dimensions = job("dimensions", "replace the orders and inventory dimensions", "inventory-json")
-    dimensions.add_argument("--null-policy", choices=["drop", "fill"], default="drop")
-    dimensions.add_argument("--json-lines", action="store_true")
-    job("events", "replace the event dimensions from CSV files", "gps-csv", "status-csv")
-    job("facts", "rebuild both facts from the dimensions")
-    stream = job("stream-gps", "add the positions that are new on a topic", "servers", "target")
-    stream.add_argument("--topic", default="gps_streams")
+    replace = table_job("dimensions", "replace the orders and inventory dimensions")
+    replace.add_argument("--inventory-json", required=True)
+    replace.add_argument("--json-layout", choices=files.JSON_LAYOUTS, default="whole")
+    replace.add_argument("--null-policy", choices=["drop", "fill"], default="drop")
+    table_job("events", "replace the event dimensions", "gps-csv", "status-csv")
+    table_job("facts", "rebuild both facts from the dimensions")
+
+    stream = known.add_parser("stream", help="process what is new on the event topics")
+    stream.add_argument("feed", choices=["gps", "status", "tracking"])
+    stream.add_argument("--servers", required=True)
+    stream.add_argument("--target", required=True, help="folder of the result")
     stream.add_argument("--checkpoint", required=True)
-    return parser.parse_args()
+    stream.add_argument("--every", help="go on, looking for new events at this interval")
+    stream.add_argument("--gps-topic", default="gps_streams")
+    stream.add_argument("--status-topic", default="status_streams")
+    stream.add_argument("--within-seconds", type=int, default=3600)
+    stream.add_argument("--late-by", default="1 day")
+    return parser.parse_args(words)
+
+
+def _feed(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    def gps() -> DataFrame:
+        messages = topics.topic_stream(spark, args.servers, args.gps_topic)
+        return dims.gps_dim(topics.gps_events(messages))
 
+    def status() -> DataFrame:
+        messages = topics.topic_stream(spark, args.servers, args.status_topic)
+        return dims.status_dim(topics.status_events(messages))
 
-def main() -> None:
-    args = _arguments()
-    spark = build_session(f"larderline {args.job}")
+    if args.feed == "gps":
+        return gps()
+    if args.feed == "status":
+        return status()
+    return events.track_couriers(gps(), status(), args.within_seconds, args.late_by)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.job == "stream":
+        feed = _feed(spark, args)
+        query = sinks.append_to_folder(feed, args.target, args.checkpoint, args.every)
+        query.awaitTermination()
+        return
     warehouse = Warehouse(spark, args.database, args.root).create()
     if args.job == "load-orders":
-        jobs.load_orders(
-            warehouse, files.read_orders_csv(spark, args.orders_csv), args.skip_loaded
-        )
+        rows = files.read_orders_csv(spark, args.orders_csv)
+        jobs.load_orders(warehouse, rows, args.skip_loaded)
     elif args.job == "dimensions":
-        documents = files.read_inventory_json(spark, args.inventory_json, args.json_lines)
+        documents = files.read_inventory_json(spark, args.inventory_json, args.json_layout)
         jobs.load_dimensions(warehouse, warehouse.table("orders"), documents, args.null_policy)
         print(jobs.stock_report(warehouse).first().asDict())
     elif args.job == "events":
-        jobs.load_event_dimensions(
-            warehouse,
-            files.read_gps_csv(spark, args.gps_csv),
-            files.read_status_csv(spark, args.status_csv),
-        )
-    elif args.job == "facts":
-        jobs.load_facts(warehouse)
+        gps = files.read_gps_csv(spark, args.gps_csv)
+        status = files.read_status_csv(spark, args.status_csv)
+        jobs.load_event_dimensions(warehouse, gps, status)
     else:
-        messages = topics.topic_stream(spark, args.servers, args.topic)
-        positions = dims.gps_dim(topics.gps_events(messages))
-        sinks.load_batches(positions, args.target, args.checkpoint).awaitTermination()
-    spark.stop()
+        jobs.load_facts(warehouse)
 
 
 if __name__ == "__main__":
-    main()
+    arguments = parse()
+    session = build_session(f"larderline {arguments.job}")
+    run(session, arguments)
+    session.stop()

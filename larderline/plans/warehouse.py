@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from larderline.operators.inspection import row_counts
 from larderline.plans.facts import courier_tracking, orders_fact
 from larderline.schemas import ORDERS, WAREHOUSE_TABLES, require
+from larderline.workspace import newest_complete
 
 
 def _columns(schema: T.StructType) -> str:
@@ -36,14 +37,20 @@ class Warehouse:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def _folders(self, table: str) -> list[str]:
+        return [f"{self.root}/{table}/{folder}" for folder in FOLDERS]
+
     def create(self) -> Warehouse:
         """The schema with every declared table that is not there yet, the
-        orders landing table included."""
+        orders landing table included. A table whose files an earlier session
+        left under the root, without a catalog that remembers it, is found."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
         for table, schema in {"orders": ORDERS, **WAREHOUSE_TABLES}.items():
+            folders = self._folders(table)
+            location = newest_complete(self.spark, folders) or folders[0]
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({_columns(schema)}) "
-                f"USING parquet LOCATION '{self.root}/{table}/{FOLDERS[0]}'"
+                f"USING parquet LOCATION '{location}'"
             )
         return self
 
@@ -56,9 +63,8 @@ class Warehouse:
         read and the table is switched to it when all are written, so a failed
         load leaves the old content and readers never see half a table. The old
         folder stays until the next load, for queries that still read it."""
-        read_now, free = FOLDERS
-        if not self._location(table).endswith(read_now):
-            free = read_now
+        read_now = self._location(table).rsplit("/", 1)[-1]
+        free = FOLDERS[1] if read_now == FOLDERS[0] else FOLDERS[0]
         location = f"{self.root}/{table}/{free}"
         require(rows, WAREHOUSE_TABLES[table]).write.mode("overwrite").parquet(location)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{location}'")

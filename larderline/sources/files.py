@@ -1,15 +1,23 @@
-"""Read order, inventory and event files with declared schemas."""
+"""Read order, inventory and event files."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, STATUS_EVENT, text_only
+from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, STATUS_EVENT
+
+# How documents lie in a file: the file is one array or one object; or it has an
+# object per line; or it is an array with an object per line.
+JSON_LAYOUTS = ("whole", "lines", "array_lines")
 
 
 def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(text_only(schema)).option("header", True).csv(path)
+    """The declared columns as text, found by their names in the header. Files
+    whose headers differ from each other are refused, not misread."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return reader.csv(path).select(*schema.names)
 
 
 def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -25,13 +33,19 @@ def read_status_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, STATUS_EVENT)
 
 
-def read_inventory_json(
-    spark: SparkSession, path: str, one_document_per_line: bool = False
-) -> DataFrame:
-    """Inventory documents: an array or a single object per file, or, much
-    better for large files because Spark can split them, one per line."""
-    return (
-        spark.read.schema(INVENTORY_DOCUMENT)
-        .option("multiLine", not one_document_per_line)
-        .json(path)
-    )
+def read_inventory_json(spark: SparkSession, path: str, layout: str = "whole") -> DataFrame:
+    """Inventory documents as text columns; malformed JSON fails the job.
+
+    One task has to read a whole file of the ``whole`` layout. Name the layout
+    of large files that have an object per line, as most exports do, and Spark
+    splits them.
+    """
+    if layout not in JSON_LAYOUTS:
+        raise ValueError(f"layout must be one of {JSON_LAYOUTS}, not {layout!r}")
+    if layout != "array_lines":
+        reader = spark.read.schema(INVENTORY_DOCUMENT).option("mode", "FAILFAST")
+        return reader.option("multiLine", layout == "whole").json(path)
+    inside = F.regexp_replace(F.trim("value"), r"^[\[,\s]+|[\],\s]+$", "")
+    objects = spark.read.text(path).select(inside.alias("value")).filter("value != ''")
+    document = F.from_json("value", INVENTORY_DOCUMENT, {"mode": "FAILFAST"})
+    return objects.select(document.alias("document")).select("document.*")

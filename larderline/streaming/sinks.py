@@ -1,52 +1,52 @@
-"""Start streaming queries that process what is there and then stop.
+"""Start streaming queries.
 
-A restart with the same checkpoint goes on where the last run ended.
+Without ``every`` a query processes what is there and stops; with it, it goes on
+and looks for new events at that interval. Either way a restart with the same
+checkpoint continues where the last run ended.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 
-def append_to_folder(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def _writer(
+    stream: DataFrame, mode: str, checkpoint: str, every: str | None
+) -> DataStreamWriter:
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+    if every is None:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=every)
+
+
+def append_to_folder(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Add new rows to a Parquet folder, each exactly once."""
-    return (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
+    return _writer(stream, "append", checkpoint, every).format("parquet").start(path)
 
 
-def load_batches(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def load_batches(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Load each batch into a sub-folder named by its number. A batch that runs
     again after a failure replaces its rows."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return (
-        stream.writeStream.foreachBatch(load)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _writer(stream, "append", checkpoint, every).foreachBatch(load).start()
 
 
-def keep_latest(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def keep_latest(
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Replace the folder with the complete result after each batch; for small
     running totals."""
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(path)
 
-    return (
-        stream.writeStream.foreachBatch(replace)
-        .outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _writer(stream, "complete", checkpoint, every).foreachBatch(replace).start()

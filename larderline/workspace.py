@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +50,14 @@ def new_run_folder(spark: SparkSession, purpose: str) -> str:
     """A path under the shared folder that no other run uses."""
     application = spark.sparkContext.applicationId
     return f"{shared_folder(spark)}/larderline/{application}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def newest_complete(spark: SparkSession, folders: Sequence[str]) -> str | None:
+    """The folder whose last Spark write finished latest, if any did."""
+    finished = {}
+    for folder in folders:
+        marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+        files = marker.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(marker):
+            finished[folder] = files.getFileStatus(marker).getModificationTime()
+    return max(finished, key=finished.get, default=None)

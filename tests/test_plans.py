@@ -214,6 +214,15 @@ def test_loads_alternate_between_two_folders(spark, warehouse, tmp_path):
     assert sorted(p.name for p in (tmp_path / "status_dim").iterdir()) == ["load-a", "load-b"]
 
 
+def test_tables_are_found_without_their_catalog(spark, warehouse):
+    rows = spark.createDataFrame([("1", "C001", "NEW", "0")], text_only(STATUS_EVENT))
+    for _ in range(2):
+        warehouse.replace("status_dim", dims.status_dim(rows))
+        again = Warehouse(spark, f"test_{uuid.uuid4().hex[:8]}", warehouse.root).create()
+        assert again.table("status_dim").count() == 1
+    assert again.table("gps_dim").count() == 0
+
+
 def test_describe_shows_declared_columns(warehouse):
     described = [row.col_name for row in warehouse.describe("orders").collect()]
     assert described == ORDERS.names

@@ -39,10 +39,39 @@ def test_inventory_file_of_many_or_one(spark, tmp_path, content, rows):
 def test_documents_per_line(spark, tmp_path):
     rows = spark.createDataFrame([("7", "Ring", None, "East", "1", "x")], INVENTORY_DOCUMENT)
     file_sinks.write_documents(rows, str(tmp_path / "docs"))
-    back = files.read_inventory_json(spark, str(tmp_path / "docs"), one_document_per_line=True)
+    back = files.read_inventory_json(spark, str(tmp_path / "docs"), layout="lines")
     assert back.collect() == rows.collect()
 
 
+def test_array_with_a_document_per_line(spark, tmp_path):
+    lines = ",\n".join(json.dumps({**DOCUMENT, "name": name}) for name in ("a]", "[b,", "c"))
+    (tmp_path / "inventory.json").write_text(f"[{lines}]\n")
+    documents = files.read_inventory_json(spark, str(tmp_path), layout="array_lines")
+    whole = files.read_inventory_json(spark, str(tmp_path))
+    assert documents.collect() == whole.collect()
+    assert documents.count() == 3
+
+
+@pytest.mark.parametrize("layout", files.JSON_LAYOUTS)
+def test_malformed_documents_fail_the_job(spark, tmp_path, layout):
+    (tmp_path / "inventory.json").write_text('[{"item_id": 1},\n{"item_id": 2')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_inventory_json(spark, str(tmp_path), layout).collect()
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "gps.csv").write_text("ts,speed,lon,courier_id,lat\n7,90,2,C001,1\n")
+    rows = files.read_gps_csv(spark, str(tmp_path)).collect()
+    assert [tuple(row) for row in rows] == [("C001", "1", "2", "7")]
+
+
+def test_csv_files_with_other_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("courier_id,lat,lon,ts\nC001,1,2,7\n")
+    (tmp_path / "b.csv").write_text("ts,lat,lon,courier_id\n7,1,2,C001\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_gps_csv(spark, str(tmp_path)).collect()
+
+
 def test_csv_appends_keep_one_header_per_file(spark, tmp_path):
     events = spark.createDataFrame([("C001", "1.5", None, "0")], text_only(GPS_EVENT))
     for _ in range(2):

@@ -331,7 +331,7 @@ def orders_table_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def json_inventory_ingest(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{new_run_folder(spark, 'json_inventory_ingest')}/inventory"
     file_sinks.write_documents(inputs.inventory_raw(spark, folder), path)
-    return files.read_inventory_json(spark, path, one_document_per_line=True)
+    return files.read_inventory_json(spark, path, layout="lines")
 
 
 @registered
