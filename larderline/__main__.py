@@ -11,7 +11,7 @@ from larderline.plans import dims, jobs
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import files, topics
 from larderline.streaming import events, sinks
-from larderline.workspace import build_session
+from larderline.workspace import build_session, remembered
 
 
 def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
@@ -45,6 +45,7 @@ def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--status-topic", default="status_streams")
     stream.add_argument("--within-seconds", type=int, default=3600)
     stream.add_argument("--late-by", default="1 day")
+    stream.add_argument("--positions", help="stored positions that show who is busy")
     return parser.parse_args(words)
 
 
@@ -61,7 +62,12 @@ def _feed(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         return gps()
     if args.feed == "status":
         return status()
-    return events.track_couriers(gps(), status(), args.within_seconds, args.late_by)
+    busy = None
+    if args.positions is not None:
+        history = spark.read.parquet(args.positions)
+        list_path = f"{args.checkpoint}-busy"
+        busy = remembered(spark, list_path, lambda: events.busy_couriers(history))
+    return events.track_couriers(gps(), status(), args.within_seconds, args.late_by, busy)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -18,48 +18,73 @@ def _event_time(moment: str) -> Column:
     return F.timestamp_seconds(timestamp_to_epoch(F.col(moment)))
 
 
+def busy_couriers(positions: DataFrame, share: float = 0.01) -> DataFrame:
+    """Couriers with at least ``share`` of the positions of a stored table, and
+    the number of parts that brings each below it. There are at most
+    ``1 / share`` of them."""
+    part = max(1.0, share * positions.count())
+    counted = positions.groupBy("courier_id").agg(F.count(F.lit(1)).alias("rows"))
+    return counted.filter(F.col("rows") >= part).select(
+        "courier_id", F.ceil(F.col("rows") / part).cast("int").alias("parts")
+    )
+
+
+def _with_parts(events: DataFrame, courier: str, busy: DataFrame | None) -> DataFrame:
+    if busy is None:
+        return events.withColumn("parts", F.lit(1))
+    listed = F.broadcast(busy.withColumnRenamed("courier_id", courier))
+    return events.join(listed, courier, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+
 def track_couriers(
     gps: DataFrame,
     status: DataFrame,
     within_seconds: int,
     late_by: str,
-    splits: int = 4,
+    busy: DataFrame | None = None,
 ) -> DataFrame:
     """Positions of a courier with the status events of that courier at most
     ``within_seconds`` before or after.
 
     Without a time bound both sides would be kept for ever, so the stream has
-    one where the batch fact has none. Time is cut into slots of the bound's
-    length: a position belongs to one slot, a status event is copied to the
-    three slots its bound can touch. Slots divide the history of a busy courier,
-    and ``splits`` divides the positions of one slot further. The time test
-    after the join is exact, and lets Spark drop state the watermark has passed.
+    one where the batch fact has none. Time is cut into slots of twice the
+    bound: a position belongs to one slot, a status event to the one or two its
+    bound touches. Slots divide the history of a courier. Where one courier is
+    busy at all times, list it in ``busy`` (see ``busy_couriers``): its positions
+    are dealt out over parts and its status events copied to each part. The
+    list must stay the same for as long as a checkpoint is in use.
+
+    The time test after the join is exact, and lets Spark drop state that the
+    watermark has passed.
     """
     bound = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
 
-    def slot(time: str) -> Column:
-        return F.floor(F.unix_seconds(time) / within_seconds)
+    def slot(seconds: Column) -> Column:
+        return F.floor(seconds / (2 * within_seconds))
 
     positions = (
         gps.withColumn("gps_time", _event_time("gps_ts"))
         .withWatermark("gps_time", late_by)
-        .withColumn("slot", slot("gps_time"))
-        .withColumn("split", F.floor(F.rand(17) * splits).cast("int"))
+        .transform(_with_parts, "courier_id", busy)
+        .withColumn("slot", slot(F.unix_seconds("gps_time")))
+        .withColumn("part", F.floor(F.rand(17) * F.col("parts")).cast("int"))
+        .drop("parts")
     )
+    second = F.unix_seconds("status_time")
+    touched = F.sequence(slot(second - within_seconds), slot(second + within_seconds))
     changes = (
         status.withColumnRenamed("courier_id", "status_courier_id")
         .withColumn("status_time", _event_time("status_ts"))
         .withWatermark("status_time", late_by)
-        .withColumn(
-            "status_slot",
-            F.explode(F.sequence(slot("status_time") - 1, slot("status_time") + 1)),
-        )
-        .withColumn("status_split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+        .transform(_with_parts, "status_courier_id", busy)
+        .withColumn("status_slot", F.explode(touched))
+        .withColumn("status_part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .drop("parts")
     )
     together = (
         (F.col("courier_id") == F.col("status_courier_id"))
         & (F.col("slot") == F.col("status_slot"))
-        & (F.col("split") == F.col("status_split"))
+        & (F.col("part") == F.col("status_part"))
         & (F.col("gps_time") >= F.col("status_time") - bound)
         & (F.col("gps_time") <= F.col("status_time") + bound)
     )

@@ -5,9 +5,9 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,6 +20,7 @@ SESSION_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -61,3 +62,10 @@ def newest_complete(spark: SparkSession, folders: Sequence[str]) -> str | None:
         if files.exists(marker):
             finished[folder] = files.getFileStatus(marker).getModificationTime()
     return max(finished, key=finished.get, default=None)
+
+
+def remembered(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``, computed and written there the first time."""
+    if newest_complete(spark, [path]) is None:
+        compute().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

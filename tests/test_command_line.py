@@ -42,7 +42,8 @@ def test_a_day(spark, exports, capsys):
 
     job("load-orders", "--orders-csv", str(exports / "orders.csv"))
     job("dimensions", "--inventory-json", str(exports / "inventory.json"))
-    job("events", "--gps-csv", str(exports / "gps.csv"), "--status-csv", str(exports / "status.csv"))
+    events = ["--gps-csv", str(exports / "gps.csv"), "--status-csv", str(exports / "status.csv")]
+    job("events", *events)
     job("facts")
     assert "'low_stock': 1" in capsys.readouterr().out
 

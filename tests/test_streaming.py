@@ -7,10 +7,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from larderline.plans import dims
 from larderline.sources import topics
 from larderline.streaming import events, sinks
+from larderline.workspace import remembered
 
 START = int(dt.datetime(2025, 7, 1, tzinfo=dt.timezone.utc).timestamp())
 
@@ -90,22 +92,37 @@ def test_order_ids_sent_as_text(spark, tmp_path, status):
     assert rows[0].courier_id == "c001"
 
 
-@pytest.mark.parametrize("splits", [1, 4])
-def test_tracking_is_exact_at_the_bound(spark, tmp_path, gps, status, splits):
+@pytest.mark.parametrize("parts", [None, 5])
+def test_tracking_is_exact_at_the_bound(spark, tmp_path, gps, status, parts):
     hour = 3600
     gps.arrive(*[position("C001", s) for s in (0, hour, hour + 1, 2 * hour, 5 * hour)])
     gps.arrive(position("C002", 0))
     status.arrive(change("1", "C001", hour), change("2", "C001", 3 * hour + 1))
     out = str(tmp_path / "out")
+    busy = parts and spark.createDataFrame([("c001", parts)], "courier_id string, parts int")
     tracked = events.track_couriers(
-        gps_stream(spark, gps), status_stream(spark, status), hour, "1 day", splits
+        gps_stream(spark, gps), status_stream(spark, status), hour, "1 day", busy
     )
     sinks.append_to_folder(tracked, out, str(tmp_path / "checkpoint")).awaitTermination()
-    pairs = {
+    pairs = sorted(
         (row.order_id, int((row.gps_ts - dt.datetime(2025, 7, 1)).total_seconds()))
         for row in spark.read.parquet(out).collect()
-    }
-    assert pairs == {(1, 0), (1, hour), (1, hour + 1), (1, 2 * hour)}
+    )
+    assert pairs == [(1, 0), (1, hour), (1, hour + 1), (1, 2 * hour)]
+
+
+def test_busy_couriers_are_few(spark):
+    courier = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    positions = spark.range(3000).select(courier.alias("courier_id"))
+    busy = [tuple(row) for row in events.busy_couriers(positions, share=0.05).collect()]
+    assert busy == [("hot", 7)]
+    assert events.busy_couriers(positions.limit(0)).count() == 0
+
+
+def test_the_busy_list_is_made_once(spark, tmp_path):
+    path = str(tmp_path / "busy")
+    for rows in (3, 5):
+        assert remembered(spark, path, lambda rows=rows: spark.range(rows)).count() == 3
 
 
 def test_tracking_meets_across_restarts_and_drops_old_state(spark, tmp_path, gps, status):
@@ -134,7 +151,7 @@ def test_tracking_meets_across_restarts_and_drops_old_state(spark, tmp_path, gps
     found, now_kept = run()
     assert found == 1
     # Only the newest position and the copies of the newest status are left.
-    assert now_kept <= 1 + 12
+    assert now_kept <= 1 + 2
 
 
 def test_status_totals_go_on(spark, tmp_path, status):

@@ -17,7 +17,7 @@ from larderline.sinks import tables as table_sinks
 from larderline.sinks import topics as topic_sinks
 from larderline.sources import files, topics
 from larderline.streaming import events, sinks
-from larderline.workspace import new_run_folder
+from larderline.workspace import new_run_folder, remembered
 from verification import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -444,11 +444,15 @@ def stream_status_clean(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def stream_courier_tracking(spark: SparkSession, folder: str) -> DataFrame:
     root = new_run_folder(spark, "stream_courier_tracking")
+    busy = remembered(
+        spark, f"{root}/busy", lambda: events.busy_couriers(gps_clean(spark, folder))
+    )
     tracked = events.track_couriers(
         _gps_stream(spark, folder, root),
         _status_stream(spark, inputs.status_raw(spark, folder), root),
         TRACKING_SECONDS,
         LATE_BY,
+        busy,
     )
     sinks.append_to_folder(tracked, f"{root}/tracking", f"{root}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{root}/tracking")
