@@ -44,7 +44,9 @@ class Warehouse:
         """The schema with every declared table that is not there yet, the
         orders landing table included. A table whose files an earlier session
         left under the root, without a catalog that remembers it, is found."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
+        self.spark.sql(
+            f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}'"
+        )
         for table, schema in {"orders": ORDERS, **WAREHOUSE_TABLES}.items():
             folders = self._folders(table)
             location = newest_complete(self.spark, folders) or folders[0]

@@ -72,6 +72,13 @@ def test_incomplete_orders_go_or_are_filled(spark):
     assert filled[2].status == "unknown"
 
 
+def test_cleaning_clean_orders_only_removes_new_copies(spark, tables):
+    once = dims.orders_dim(inputs.orders_raw(spark, tables))
+    twice = dims.orders_dim(once.select(*ORDERS.names))
+    assert twice.count() == once.distinct().count() <= once.count()
+    assert twice.exceptAll(once).isEmpty()
+
+
 def test_order_columns(spark):
     row = dims.orders_dim(orders(spark, (1, 2, 3, 4, PRICE, NOON, " SHIPPING "))).first()
     assert row.asDict() == {

@@ -104,8 +104,11 @@ def test_clustered_write_leaves_few_files(spark, tmp_path, tables):
     fact = orders_fact(
         QUERIES["orders_dim"](spark, tables), QUERIES["inventory_dim"](spark, tables)
     )
-    table_sinks.write_clustered(fact, str(tmp_path / "fact"), cluster_by="warehouse")
-    for folder in (tmp_path / "fact").glob("warehouse=*"):
+    scattered = fact.repartition(16)
+    table_sinks.write_clustered(scattered, str(tmp_path / "fact"), cluster_by="warehouse")
+    folders = list((tmp_path / "fact").glob("warehouse=*"))
+    assert len(folders) > 10
+    for folder in folders:
         assert len(list(folder.glob("*.parquet"))) == 1
 
 

@@ -73,6 +73,19 @@ def test_messages_are_cleaned_and_a_restart_goes_on(spark, tmp_path, gps):
     assert run() == [("c001", 1.5), ("c003", -7.0)]
 
 
+def test_many_small_batches_give_the_same(spark, tmp_path, gps):
+    for number in range(5):
+        gps.arrive(position(f"C{number:03}", number))
+    messages = topics.folder_stream(spark, str(gps.path), files_per_batch=2)
+    out = str(tmp_path / "out")
+    stream = dims.gps_dim(topics.gps_events(messages))
+    query = sinks.load_batches(stream, out, str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    result = spark.read.parquet(out)
+    assert sorted(row.batch_id for row in result.collect()) == [0, 0, 1, 1, 2]
+    assert result.select("courier_id").distinct().count() == 5
+
+
 def test_a_repeated_batch_replaces_its_rows(spark, tmp_path, gps):
     gps.arrive(position("C001", 0), position("C002", 1))
     out = str(tmp_path / "out")

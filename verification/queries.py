@@ -395,8 +395,7 @@ def fact_append_twice(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _loaded_warehouse(spark, folder, "fact_append_twice")
     for _ in range(2):
         warehouse.append("orders_fact", warehouse.build_orders_fact())
-    fact = warehouse.table("orders_fact")
-    return kpis.fact_count(fact).join(kpis.avg_cart_value(fact))
+    return kpis.fact_summary(warehouse.table("orders_fact"))
 
 
 @registered
