@@ -1,4 +1,10 @@
-"""Joins of orders with stock and of positions with status events."""
+"""Joins of orders with stock and of positions with status events.
+
+Both may meet keys with very many rows on both sides. Such a key's output is the
+product of its two sides, which its input bytes do not show, so a split by bytes
+comes too late. The joins here deal the rows of such keys out over cells that
+each produce a bounded number of pairs, and leave all other keys alone.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +13,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Largest number of joined rows one key may send through one task.
+# Largest number of joined rows one cell of a heavy key should produce.
 PAIRS_PER_TASK = 4_000_000
-# Keys treated as heavy: the broadcast table of them never has more rows.
-HEAVY_KEYS = 1000
-
-
-def with_stock(orders: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Every order with the stock rows of its item, NULL where there is none.
-
-    There is no join hint: Spark broadcasts the inventory where its size is
-    under the broadcast threshold, and else shuffles both sides and splits a
-    heavy item's orders at run time, which a left join allows. The cost of this
-    join follows its bytes, and that is what the run-time split measures.
-    """
-    return orders.join(inventory, "item_id", "left")
+# Rows of the list of heavy keys, which is broadcast. A key that does not make
+# the list has at most this fraction of all pairs, and joins whole.
+HEAVY_KEYS = 10_000
 
 
 def heavy_keys(
@@ -50,42 +46,67 @@ def heavy_keys(
     return splits.orderBy(most_cells, key).limit(HEAVY_KEYS)
 
 
-def _one_of(splits: str, seed: int) -> Column:
-    return F.floor(F.rand(seed) * F.coalesce(splits, F.lit(1)))
+def _or_one(splits: str) -> Column:
+    return F.coalesce(splits, F.lit(1).cast("bigint"))
 
 
 def _each_of(splits: str) -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(splits, F.lit(1)) - 1))
+    return F.explode(F.sequence(F.lit(0).cast("bigint"), _or_one(splits) - 1))
+
+
+def with_stock(
+    orders: DataFrame, inventory: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
+) -> DataFrame:
+    """Every order with the stock rows of its item, NULL where there is none.
+
+    There is no join hint: Spark broadcasts the inventory where its size is
+    under the broadcast threshold, and else shuffles both sides and splits an
+    item with many orders at run time, which a left join allows. Only an item
+    with many orders and many stock rows is dealt out here: its orders over
+    cells, by a hash of the row so that a repeated task deals alike, and its
+    stock rows to every cell, so that each order still meets all of them.
+    """
+    splits = heavy_keys(orders, inventory, "item_id", pairs_per_task)
+    cells = F.col("left_splits") * F.col("right_splits")
+    heavy = F.broadcast(splits.select("item_id", cells.alias("cells")))
+    order_cell = F.pmod(F.xxhash64(*orders.columns), _or_one("cells"))
+    order_cells = orders.join(heavy, "item_id", "left").withColumn("cell", order_cell)
+    stock_cells = inventory.join(heavy, "item_id", "left").withColumn("cell", _each_of("cells"))
+    joined = order_cells.drop("cells").join(stock_cells.drop("cells"), ["item_id", "cell"], "left")
+    return joined.drop("cell")
 
 
 def many_to_many(
     left: DataFrame, right: DataFrame, key: str, pairs_per_task: int = PAIRS_PER_TASK
 ) -> DataFrame:
-    """Inner join on ``key`` where both sides may hold very many rows of a key.
+    """Inner join on ``key`` where both sides hold many rows of a key.
 
-    The output of such a key is the product of its two sides, far beyond what
-    its input bytes show, so splitting by bytes is too late. Rows of a heavy key
-    are dealt out on a grid: a left row picks one grid row and goes to each
-    column of it, a right row picks one column and goes to each row of it. Each
-    pair meets in exactly one cell, so no pair is lost or doubled, and a key
-    outside the list has a grid of one cell.
+    Rows of a heavy key are dealt out on a grid: a left row picks one grid row
+    and goes to each column of it, a right row picks one column and goes to each
+    row of it. Each pair meets in exactly one cell, so no pair is lost or
+    doubled, and a key outside the list has a grid of one cell.
 
     The join is always a shuffled one. A broadcast would leave the output, many
     times its input, to the few tasks that happened to read the other side.
 
-    The sides should be scans, stored tables, or plain projections and filters
-    of those: then a repeated task picks the same cells again.
+    Rows pick at random, because equal rows must spread as well. The sides
+    should be scans, stored tables, or plain projections and filters of those:
+    then a repeated task picks the same cells again.
     """
     heavy = F.broadcast(heavy_keys(left, right, key, pairs_per_task))
+
+    def one_of(splits: str, seed: int) -> Column:
+        return F.floor(F.rand(seed) * _or_one(splits))
+
     left_cells = (
         left.join(heavy, key, "left")
-        .withColumn("grid_row", _one_of("left_splits", seed=11))
+        .withColumn("grid_row", one_of("left_splits", seed=11))
         .withColumn("grid_column", _each_of("right_splits"))
         .drop("left_splits", "right_splits")
     )
     right_cells = (
         right.join(heavy, key, "left")
-        .withColumn("grid_column", _one_of("right_splits", seed=13))
+        .withColumn("grid_column", one_of("right_splits", seed=13))
         .withColumn("grid_row", _each_of("left_splits"))
         .drop("left_splits", "right_splits")
     )

@@ -8,12 +8,15 @@ from larderline.operators.joins import PAIRS_PER_TASK, many_to_many, with_stock
 from larderline.schemas import COURIER_TRACKING, ORDERS_FACT
 
 
-def orders_fact(orders: DataFrame, inventory: DataFrame) -> DataFrame:
+def orders_fact(
+    orders: DataFrame, inventory: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
+) -> DataFrame:
     """Each order with name, warehouse and flag of its item. An item with
     several stock rows repeats its orders; one with none gives NULLs."""
     return with_stock(
         orders.select("order_id", "item_id", "total_order_value", "order_date"),
         inventory.select("item_id", "name", "warehouse", "stock_flag"),
+        pairs_per_task,
     ).select(*ORDERS_FACT.names)
 
 

@@ -74,7 +74,7 @@ def test_latest_days_need_no_full_sort(spark):
     orders = spark.createDataFrame([], ORDERS_DIM)
     inventory = spark.createDataFrame([], INVENTORY_DIM)
     text = plan(kpis.daily_orders(orders_fact(orders, inventory)))
-    assert "TakeOrderedAndProject" in text
+    assert "TakeOrderedAndProject(limit=10, " in text
 
 
 def stored(spark, tmp_path, schema, name):
@@ -106,5 +106,5 @@ def test_large_inventory_join_moves_one_row_per_item(spark, tmp_path, no_broadca
 
 def test_heavy_list_is_bounded_before_it_is_broadcast(spark, tables):
     text = plan(QUERIES["courier_tracking"](spark, tables))
-    assert text.count("TakeOrderedAndProject(limit=1000") == 2
+    assert text.count("TakeOrderedAndProject(limit=10000,") == 2
     assert "SortMergeJoin [courier_id" in text
