@@ -18,6 +18,8 @@ PAIRS_PER_TASK = 4_000_000
 # Rows of the list of heavy keys, which is broadcast. A key that does not make
 # the list has at most this fraction of all pairs, and joins whole.
 HEAVY_KEYS = 10_000
+# Stock rows from which an item counts as wide.
+WIDE_ITEM = 1000
 
 
 def heavy_keys(
@@ -54,24 +56,48 @@ def _each_of(splits: str) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), _or_one(splits) - 1))
 
 
+def _wide_items(
+    orders: DataFrame, inventory: DataFrame, pairs_per_task: int, stock_rows: int
+) -> DataFrame:
+    """Items with many stock rows and so many orders that one task should not
+    join them, with the number of cells for them. Orders are only counted for
+    items wide enough, and not read at all where there is none."""
+    wide = (
+        inventory.groupBy("item_id")
+        .agg(F.count(F.lit(1)).alias("stock_rows"))
+        .filter(F.col("stock_rows") >= stock_rows)
+        .orderBy(F.desc("stock_rows"), "item_id")
+        .limit(HEAVY_KEYS)
+    )
+    pairs = F.count(F.lit(1)).cast("double") * F.col("stock_rows")
+    return (
+        orders.join(F.broadcast(wide), "item_id")
+        .groupBy("item_id", "stock_rows")
+        .agg(F.ceil(pairs / pairs_per_task).alias("cells"))
+        .filter(F.col("cells") > 1)
+        .select("item_id", "cells")
+    )
+
+
 def with_stock(
-    orders: DataFrame, inventory: DataFrame, pairs_per_task: int = PAIRS_PER_TASK
+    orders: DataFrame,
+    inventory: DataFrame,
+    pairs_per_task: int = PAIRS_PER_TASK,
+    wide_from: int = WIDE_ITEM,
 ) -> DataFrame:
     """Every order with the stock rows of its item, NULL where there is none.
 
     There is no join hint: Spark broadcasts the inventory where its size is
     under the broadcast threshold, and else shuffles both sides and splits an
     item with many orders at run time, which a left join allows. Only an item
-    with many orders and many stock rows is dealt out here: its orders over
-    cells, by a hash of the row so that a repeated task deals alike, and its
-    stock rows to every cell, so that each order still meets all of them.
+    that also has many stock rows is dealt out here: its orders over cells, by
+    a hash of the row so that a repeated task deals alike, and its stock rows to
+    every cell, so that each order still meets all of them.
     """
-    splits = heavy_keys(orders, inventory, "item_id", pairs_per_task)
-    cells = F.col("left_splits") * F.col("right_splits")
-    heavy = F.broadcast(splits.select("item_id", cells.alias("cells")))
+    wide = F.broadcast(_wide_items(orders, inventory, pairs_per_task, wide_from))
     order_cell = F.pmod(F.xxhash64(*orders.columns), _or_one("cells"))
-    order_cells = orders.join(heavy, "item_id", "left").withColumn("cell", order_cell)
-    stock_cells = inventory.join(heavy, "item_id", "left").withColumn("cell", _each_of("cells"))
+    order_cells = orders.join(wide, "item_id", "left").withColumn("cell", order_cell)
+    stock_cells = inventory.join(wide, "item_id", "left").withColumn("cell", _each_of("cells"))
     joined = order_cells.drop("cells").join(stock_cells.drop("cells"), ["item_id", "cell"], "left")
     return joined.drop("cell")
 

@@ -23,17 +23,20 @@ from larderline.operators.nulls import INVENTORY_DEFAULTS, ORDER_DEFAULTS, apply
 from larderline.schemas import GPS_DIM, INVENTORY_DIM, ORDERS_DIM, STATUS_DIM
 
 
-def orders_dim(orders: DataFrame, null_policy: str = "drop") -> DataFrame:
+def orders_dim(
+    orders: DataFrame, null_policy: str = "drop", has_key: bool = False
+) -> DataFrame:
     """Complete, distinct, real orders with value and date.
 
     Copies are removed before statuses are grouped into families: two rows that
-    only then become equal are two orders.
+    only then become equal are two orders. Where the source enforces a key
+    there are no copies, and ``has_key`` saves the only shuffle.
     """
+    complete = apply_null_policy(orders, null_policy, ORDER_DEFAULTS)
+    standard = complete.transform(standardize, "status")
+    distinct = standard if has_key else distinct_rows(standard)
     return (
-        apply_null_policy(orders, null_policy, ORDER_DEFAULTS)
-        .transform(standardize, "status")
-        .transform(distinct_rows)
-        .transform(drop_test_orders)
+        distinct.transform(drop_test_orders)
         .transform(snake_case_columns)
         .withColumns(
             {

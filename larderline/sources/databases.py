@@ -6,6 +6,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows a connection brings at a time; some drivers else hold a whole range.
+ROWS_PER_FETCH = 10_000
+
 
 def jdbc_options(
     url: str,
@@ -18,7 +21,13 @@ def jdbc_options(
     """Options of a table scan. With a numeric ``key`` and its bounds the scan
     runs as that many range queries instead of one. The bounds only place the
     ranges: rows outside them are read as well."""
-    options = {"url": url, "dbtable": table, "preferTimestampNTZ": "true", **properties}
+    options = {
+        "url": url,
+        "dbtable": table,
+        "preferTimestampNTZ": "true",
+        "fetchsize": str(ROWS_PER_FETCH),
+        **properties,
+    }
     if (key is None) != (bounds is None):
         raise ValueError("a partitioned scan needs both the key and its bounds")
     if key is not None and bounds is not None:

@@ -70,6 +70,10 @@ def test_test_orders_go_before_the_shuffle(stored_orders):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_orders_with_a_key_need_no_shuffle(stored_orders):
+    assert "Exchange" not in plan(dims.orders_dim(stored_orders, has_key=True))
+
+
 def test_latest_days_need_no_full_sort(spark):
     orders = spark.createDataFrame([], ORDERS_DIM)
     inventory = spark.createDataFrame([], INVENTORY_DIM)

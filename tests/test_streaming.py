@@ -9,10 +9,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from larderline.plans import dims
+from larderline.plans import dims, facts
+from larderline.sinks.topics import publish_to_folder
 from larderline.sources import topics
 from larderline.streaming import events, sinks
 from larderline.workspace import remembered
+from verification import inputs
 
 START = int(dt.datetime(2025, 7, 1, tzinfo=dt.timezone.utc).timestamp())
 
@@ -124,6 +126,23 @@ def test_tracking_is_exact_at_the_bound(spark, tmp_path, gps, status, parts):
     assert pairs == [(1, 0), (1, hour), (1, hour + 1), (1, 2 * hour)]
 
 
+def test_a_bound_beyond_the_history_gives_the_batch_fact(spark, tables, tmp_path):
+    gps, status = inputs.gps_raw(spark, tables), inputs.status_raw(spark, tables)
+    publish_to_folder(gps, str(tmp_path / "gps"))
+    publish_to_folder(status, str(tmp_path / "status"))
+    positions = topics.gps_events(topics.folder_stream(spark, str(tmp_path / "gps")))
+    changes = topics.status_events(topics.folder_stream(spark, str(tmp_path / "status")))
+    tracked = events.track_couriers(
+        dims.gps_dim(positions), dims.status_dim(changes), 1000 * 86400, "1 day"
+    )
+    out = str(tmp_path / "out")
+    sinks.append_to_folder(tracked, out, str(tmp_path / "checkpoint")).awaitTermination()
+    batch = facts.courier_tracking(dims.gps_dim(gps), dims.status_dim(status))
+    stream = spark.read.parquet(out)
+    assert stream.count() == batch.count()
+    assert stream.exceptAll(batch).isEmpty()
+
+
 def test_busy_couriers_are_few(spark):
     courier = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
     positions = spark.range(3000).select(courier.alias("courier_id"))
