@@ -32,6 +32,7 @@ def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
     replace.add_argument("--inventory-json", required=True)
     replace.add_argument("--json-layout", choices=files.JSON_LAYOUTS, default="whole")
     replace.add_argument("--null-policy", choices=["drop", "fill"], default="drop")
+    replace.add_argument("--orders-have-key", action="store_true")
     table_job("events", "replace the event dimensions", "gps-csv", "status-csv")
     table_job("facts", "rebuild both facts from the dimensions")
 
@@ -82,7 +83,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         jobs.load_orders(warehouse, rows, args.skip_loaded)
     elif args.job == "dimensions":
         documents = files.read_inventory_json(spark, args.inventory_json, args.json_layout)
-        jobs.load_dimensions(warehouse, warehouse.table("orders"), documents, args.null_policy)
+        orders = warehouse.table("orders")
+        jobs.load_dimensions(
+            warehouse, orders, documents, args.null_policy, args.orders_have_key
+        )
         print(jobs.stock_report(warehouse).first().asDict())
     elif args.job == "events":
         gps = files.read_gps_csv(spark, args.gps_csv)

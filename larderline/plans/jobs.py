@@ -30,10 +30,14 @@ def load_orders(
 
 
 def load_dimensions(
-    warehouse: Warehouse, orders: DataFrame, documents: DataFrame, null_policy: str = "drop"
+    warehouse: Warehouse,
+    orders: DataFrame,
+    documents: DataFrame,
+    null_policy: str = "drop",
+    orders_have_key: bool = False,
 ) -> None:
     """Replace the orders and inventory dimensions."""
-    orders_rows = dims.orders_dim(require_flat(orders), null_policy)
+    orders_rows = dims.orders_dim(require_flat(orders), null_policy, orders_have_key)
     stock_rows = dims.inventory_dim(require_flat(documents), null_policy)
     warehouse.replace("orders_dim", orders_rows)
     warehouse.replace("inventory_dim", stock_rows)

@@ -81,6 +81,16 @@ def test_latest_days_need_no_full_sort(spark):
     assert "TakeOrderedAndProject(limit=10, " in text
 
 
+def test_latest_days_are_found_before_copies_are_removed(spark, stored_orders):
+    inventory = spark.createDataFrame([], INVENTORY_DIM)
+    text = plan(kpis.daily_orders_of(dims.orders_dim(stored_orders), inventory))
+    lines = text.splitlines()
+    copies = [n for n, line in enumerate(lines) if "HashAggregate" in line and "user_id" in line]
+    days = next(n for n, line in enumerate(lines) if "LeftSemi" in line)
+    assert len(copies) == 2
+    assert days > max(copies)
+
+
 def stored(spark, tmp_path, schema, name):
     path = str(tmp_path / name)
     spark.createDataFrame([], schema).write.parquet(path)
