@@ -89,8 +89,9 @@ class Warehouse:
 
     def tables(self) -> DataFrame:
         """The tables of the schema with their number of rows."""
-        listed = [entry.name for entry in self.spark.catalog.listTables(self.database)]
-        return row_counts(**{table: self.table(table) for table in sorted(listed)})
+        listed = self.spark.catalog.listTables(self.database)
+        names = sorted(entry.name for entry in listed if not entry.isTemporary)
+        return row_counts(**{name: self.table(name) for name in names})
 
     def describe(self, table: str) -> DataFrame:
         return self.spark.sql(f"DESCRIBE TABLE {self.name(table)}").filter(

@@ -21,6 +21,7 @@ from larderline.schemas import (
     ORDERS_FACT,
     STATUS_DIM,
     STATUS_EVENT,
+    WAREHOUSE_TABLES,
     require,
     text_only,
 )
@@ -230,6 +231,13 @@ def test_tables_are_found_without_their_catalog(spark, warehouse):
     assert again.table("gps_dim").count() == 0
 
 
+def test_views_are_not_listed_as_tables(spark, warehouse):
+    spark.range(3).createOrReplaceTempView("some_view")
+    listed = [row.table_name for row in warehouse.tables().collect()]
+    assert listed == sorted(["orders", *WAREHOUSE_TABLES])
+    spark.catalog.dropTempView("some_view")
+
+
 def test_describe_shows_declared_columns(warehouse):
     described = [row.col_name for row in warehouse.describe("orders").collect()]
     assert described == ORDERS.names
