@@ -21,6 +21,9 @@ WRITES = {name for name in QUERIES if name.startswith(("stream_", "sink_", "csv_
     "orders_accepted",
     "orders_quarantine",
     "orders_table_roundtrip",
+    "sql_orders_fact",
+    "sql_daily_orders",
+    "stored_volume_by_warehouse_item",
 }
 
 

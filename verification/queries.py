@@ -339,14 +339,9 @@ def csv_events_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     root = new_run_folder(spark, "csv_events_roundtrip")
     file_sinks.append_csv(inputs.gps_raw(spark, folder), f"{root}/gps")
     file_sinks.append_csv(inputs.status_raw(spark, folder), f"{root}/status")
-    feeds = {
-        "gps": files.read_gps_csv(spark, f"{root}/gps"),
-        "status": files.read_status_csv(spark, f"{root}/status"),
-    }
-    gps, status = [
-        rows.select(F.lit(feed).alias("feed"), "courier_id", "ts") for feed, rows in feeds.items()
-    ]
-    return gps.unionByName(status)
+    gps = files.read_gps_csv(spark, f"{root}/gps").withColumn("feed", F.lit("gps"))
+    status = files.read_status_csv(spark, f"{root}/status").withColumn("feed", F.lit("status"))
+    return gps.unionByName(status, allowMissingColumns=True)
 
 
 @registered
@@ -398,6 +393,40 @@ def fact_append_twice(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.fact_summary(warehouse.table("orders_fact"))
 
 
+@registered
+def sql_orders_fact(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _loaded_warehouse(spark, folder, "sql_orders_fact")
+    spark.sql(
+        f"INSERT INTO {warehouse.name('orders_fact')} "
+        "SELECT o.order_id, o.item_id, i.name, i.warehouse, o.total_order_value, "
+        "o.order_date, i.stock_flag "
+        f"FROM {warehouse.name('orders_dim')} o "
+        f"LEFT JOIN {warehouse.name('inventory_dim')} i USING (item_id)"
+    )
+    return warehouse.table("orders_fact")
+
+
+def _stored_fact(spark: SparkSession, folder: str, purpose: str) -> Warehouse:
+    warehouse = _loaded_warehouse(spark, folder, purpose)
+    warehouse.replace("orders_fact", warehouse.build_orders_fact())
+    return warehouse
+
+
+@registered
+def sql_daily_orders(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _stored_fact(spark, folder, "sql_daily_orders")
+    return spark.sql(
+        f"SELECT order_date, count(*) AS order_count FROM {warehouse.name('orders_fact')} "
+        "GROUP BY order_date ORDER BY order_date DESC LIMIT 10"
+    )
+
+
+@registered
+def stored_volume_by_warehouse_item(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _stored_fact(spark, folder, "stored_volume_by_warehouse_item")
+    return kpis.volume_by_warehouse_item(warehouse.table("orders_fact"))
+
+
 @registered
 def show_tables(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _loaded_warehouse(spark, folder, "show_tables")

@@ -282,8 +282,10 @@ STATEMENTS = {
     "orders_table_roundtrip": "SELECT * FROM orders_source",
     "json_inventory_ingest": "SELECT * FROM inventory_raw",
     "csv_events_roundtrip": """
-        SELECT 'gps' AS feed, courier_id, ts FROM gps_raw
-        UNION ALL SELECT 'status', courier_id, ts FROM status_raw""",
+        SELECT 'gps' AS feed, courier_id, lat, lon, ts, NULL AS order_id, NULL AS status
+        FROM gps_raw
+        UNION ALL SELECT 'status', courier_id, NULL, NULL, ts, order_id, status
+                  FROM status_raw""",
     "events_to_json": """
         SELECT '{"courier_id":"' || courier_id || '",'
                || CASE WHEN lat IS NULL THEN '' ELSE '"lat":"' || lat || '",' END
@@ -301,6 +303,13 @@ STATEMENTS = {
                round(CAST(sum(total_order_value) AS DOUBLE) / count(total_order_value), 4)
                    AS avg_cart_value
         FROM orders_fact""",
+    "sql_orders_fact": "SELECT * FROM orders_fact",
+    "sql_daily_orders": """
+        SELECT order_date, count(*) AS order_count FROM orders_fact
+        GROUP BY order_date ORDER BY order_date DESC LIMIT 10""",
+    "stored_volume_by_warehouse_item": """
+        SELECT warehouse, name, count(*) AS volume FROM orders_fact
+        GROUP BY name, warehouse ORDER BY warehouse NULLS LAST, count(*) DESC""",
     "show_tables": """
         SELECT 'courier_tracking' AS table_name, count(*) AS row_count FROM courier_tracking
         UNION ALL SELECT 'gps_dim', count(*) FROM gps_dim
