@@ -11,7 +11,10 @@ from larderline.plans import dims, jobs
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import files, topics
 from larderline.streaming import events, sinks
-from larderline.workspace import build_session, remembered
+from larderline.workspace import build_session, fit_tasks, remembered
+
+# Arguments that name input files.
+INPUTS = ("orders_csv", "inventory_json", "gps_csv", "status_csv")
 
 
 def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
@@ -78,6 +81,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         query.awaitTermination()
         return
     warehouse = Warehouse(spark, args.database, args.root).create()
+    given = (getattr(args, name, None) for name in INPUTS)
+    fit_tasks(spark, args.root, *filter(None, given))
     if args.job == "load-orders":
         rows = files.read_orders_csv(spark, args.orders_csv)
         jobs.load_orders(warehouse, rows, args.skip_loaded)

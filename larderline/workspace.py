@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -25,6 +26,14 @@ SESSION_SETTINGS = {
 }
 
 
+# Bounds for the size and the number of tasks.
+SPLIT_BYTES = 128 * 2**20
+SHUFFLE_BYTES = 256 * 2**20
+MOST_TASKS = 100_000
+# Rows in a shuffle take about this many times their bytes in a Parquet file.
+UNPACKED = 2
+
+
 def build_session(app_name: str, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     for key, value in {**SESSION_SETTINGS, **settings}.items():
@@ -32,6 +41,35 @@ def build_session(app_name: str, **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def task_sizes(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings that fit scans and shuffles to the size of the input.
+
+    Splits and shuffle partitions keep their usual size while their number is
+    reasonable, and grow beyond that, because each shuffle keeps a block per
+    pair of tasks. Too many partitions do no harm: AQE merges small ones.
+    """
+    shuffled = math.ceil(input_bytes * UNPACKED / SHUFFLE_BYTES)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(
+            max(SPLIT_BYTES, math.ceil(input_bytes / MOST_TASKS))
+        ),
+        "spark.sql.shuffle.partitions": str(min(max(shuffled, cores), MOST_TASKS)),
+    }
+
+
+def fit_tasks(spark: SparkSession, *paths: str) -> None:
+    """Fit the session to the files below the paths."""
+    input_bytes = 0
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(folder):
+            input_bytes += files.getContentSummary(folder).getLength()
+    sizes = task_sizes(input_bytes, spark.sparkContext.defaultParallelism)
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+
+
 @functools.cache
 def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="larderline-")

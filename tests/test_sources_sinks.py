@@ -131,6 +131,27 @@ def test_run_folders_are_under_the_shared_folder(spark):
     assert first.startswith(f"{shared}/") and second.startswith(f"{shared}/")
 
 
+@pytest.mark.parametrize(
+    ("tebibytes", "split_mebibytes", "partitions"),
+    [(0, 128, 8), (1, 128, 8192), (100, 1049, 100_000)],
+)
+def test_tasks_fit_the_input(tebibytes, split_mebibytes, partitions):
+    sizes = workspace.task_sizes(tebibytes * 2**40, cores=8)
+    split = int(sizes["spark.sql.files.maxPartitionBytes"])
+    assert round(split / 2**20) == split_mebibytes
+    assert int(sizes["spark.sql.shuffle.partitions"]) == partitions
+
+
+def test_tasks_fit_files(spark, tables):
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    workspace.fit_tasks(spark, tables, "/no/such/folder")
+    after = {key: spark.conf.get(key) for key in keys}
+    for key, value in before.items():
+        spark.conf.set(key, value)
+    assert after == {keys[0]: "8", keys[1]: str(128 * 2**20)}
+
+
 def test_cluster_must_name_a_shared_folder():
     class Conf:
         def get(self, _key, default):
