@@ -48,6 +48,26 @@ def test_one_sided_keys(spark):
     assert many_to_many(left.limit(0), right, "k").count() == 0
 
 
+def test_rows_are_dealt_out_alike_each_time(spark, tmp_path, sides):
+    stored = []
+    for name, side in zip(("left", "right"), sides, strict=True):
+        numbered = side.withColumn(f"{name}_row", F.monotonically_increasing_id())
+        numbered.write.parquet(str(tmp_path / name))
+        stored.append(spark.read.parquet(str(tmp_path / name)))
+
+    def dealt():
+        pairs = many_to_many(*stored, "courier_id", pairs_per_task=5_000)
+        tasks = pairs.withColumn("task", F.spark_partition_id())
+        tasks = tasks.withColumn("placed", F.xxhash64("left_row", "right_row", "task"))
+        return tasks.agg(F.sum(F.col("placed").cast("decimal(38,0)"))).first()
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert dealt() == dealt()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
 def test_heavy_key_is_dealt_out_over_tasks(spark, sides):
     left, right = sides
     spark.conf.set("spark.sql.adaptive.enabled", "false")
