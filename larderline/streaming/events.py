@@ -32,7 +32,7 @@ def busy_couriers(positions: DataFrame, share: float = 0.01) -> DataFrame:
 def _with_parts(events: DataFrame, courier: str, busy: DataFrame | None) -> DataFrame:
     if busy is None:
         return events.withColumn("parts", F.lit(1))
-    listed = F.broadcast(busy.withColumnRenamed("courier_id", courier))
+    listed = busy.withColumnRenamed("courier_id", courier)
     return events.join(listed, courier, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
