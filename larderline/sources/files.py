@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, STATUS_EVENT
+from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, STATUS_EVENT, text_only
 
 # How documents lie in a file: the file is one array or one object; or it has an
 # object per line; or it is an array with an object per line.
@@ -33,6 +33,21 @@ def read_status_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, STATUS_EVENT)
 
 
+def _stream_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The same columns as files arrive. A stream cannot look into its files
+    first: they must have these columns in this order, and are checked for it."""
+    reader = spark.readStream.schema(text_only(schema)).option("header", True)
+    return reader.option("enforceSchema", False).csv(path)
+
+
+def stream_gps_csv(spark: SparkSession, path: str) -> DataFrame:
+    return _stream_csv(spark, path, GPS_EVENT)
+
+
+def stream_status_csv(spark: SparkSession, path: str) -> DataFrame:
+    return _stream_csv(spark, path, STATUS_EVENT)
+
+
 def read_inventory_json(spark: SparkSession, path: str, layout: str = "whole") -> DataFrame:
     """Inventory documents as text columns; malformed JSON fails the job.
 

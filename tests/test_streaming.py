@@ -7,11 +7,12 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from larderline.plans import dims, facts
 from larderline.sinks.topics import publish_to_folder
-from larderline.sources import topics
+from larderline.sources import files, topics
 from larderline.streaming import events, sinks
 from larderline.workspace import remembered
 from verification import inputs
@@ -97,6 +98,24 @@ def test_a_repeated_batch_replaces_its_rows(spark, tmp_path, gps):
     assert spark.read.parquet(out).count() == 2
 
 
+def test_csv_files_as_they_arrive(spark, tmp_path):
+    arriving, out = tmp_path / "gps", str(tmp_path / "out")
+    arriving.mkdir()
+
+    def run():
+        stream = dims.gps_dim(files.stream_gps_csv(spark, str(arriving)))
+        sinks.load_batches(stream, out, str(tmp_path / "checkpoint")).awaitTermination()
+        return spark.read.parquet(out).count()
+
+    (arriving / "1.csv").write_text("courier_id,lat,lon,ts\nC001,1,2,7\nC001,bad,2,7\n")
+    assert run() == 1
+    (arriving / "2.csv").write_text("courier_id,lat,lon,ts\nC002,1,2,8\n")
+    assert run() == 2
+    (arriving / "3.csv").write_text("ts,lat,lon,courier_id\n8,1,2,C003\n")
+    with pytest.raises(StreamingQueryException):
+        run()
+
+
 def test_order_ids_sent_as_text(spark, tmp_path, status):
     status.arrive(change("7", "C001", 0), change("x", "C001", 1))
     out = str(tmp_path / "out")

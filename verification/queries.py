@@ -469,6 +469,15 @@ def stream_status_clean(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/status_dim")
 
 
+@registered
+def stream_status_from_csv(spark: SparkSession, folder: str) -> DataFrame:
+    root = new_run_folder(spark, "stream_status_from_csv")
+    file_sinks.append_csv(inputs.status_raw(spark, folder), f"{root}/status")
+    stream = dims.status_dim(files.stream_status_csv(spark, f"{root}/status"))
+    sinks.load_batches(stream, f"{root}/status_dim", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/status_dim").drop("batch_id")
+
+
 @registered
 def stream_courier_tracking(spark: SparkSession, folder: str) -> DataFrame:
     root = new_run_folder(spark, "stream_courier_tracking")

@@ -321,6 +321,7 @@ STATEMENTS = {
     # Streams
     "stream_gps_clean": "SELECT * FROM gps_dim",
     "stream_status_clean": "SELECT * FROM status_dim",
+    "stream_status_from_csv": "SELECT * FROM status_dim",
     "stream_courier_tracking": """
         SELECT g.courier_id, s.order_id, g.lat, g.lon, g.gps_ts, s.status, s.status_ts
         FROM gps_dim g JOIN status_dim s ON g.courier_id = s.courier_id
