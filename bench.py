@@ -18,8 +18,8 @@ from pyspark.sql import SparkSession
 from larderline.plans import jobs
 from larderline.plans.warehouse import Warehouse
 from larderline.workspace import build_session, new_run_folder
-from verification import inputs
-from verification.queries import QUERIES
+from larder_checks import inputs
+from larder_checks.queries import QUERIES
 
 QUERY_NAMES = [
     "orders_null_rows",

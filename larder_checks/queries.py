@@ -18,7 +18,7 @@ from larderline.sinks import topics as topic_sinks
 from larderline.sources import files, topics
 from larderline.streaming import events, sinks
 from larderline.workspace import new_run_folder, remembered
-from verification import inputs
+from larder_checks import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 

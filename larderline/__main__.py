@@ -41,7 +41,9 @@ def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
 
     stream = known.add_parser("stream", help="process what is new on the event topics")
     stream.add_argument("feed", choices=["gps", "status", "tracking"])
-    stream.add_argument("--servers", required=True)
+    source = stream.add_mutually_exclusive_group(required=True)
+    source.add_argument("--servers", help="broker of the topics")
+    source.add_argument("--folder", help="folder with a folder of message files per topic")
     stream.add_argument("--target", required=True, help="folder of the result")
     stream.add_argument("--checkpoint", required=True)
     stream.add_argument("--every", help="go on, looking for new events at this interval")
@@ -54,13 +56,16 @@ def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
 
 
 def _feed(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    def messages(topic: str) -> DataFrame:
+        if args.servers is not None:
+            return topics.topic_stream(spark, args.servers, topic)
+        return topics.folder_stream(spark, f"{args.folder}/{topic}")
+
     def gps() -> DataFrame:
-        messages = topics.topic_stream(spark, args.servers, args.gps_topic)
-        return dims.gps_dim(topics.gps_events(messages))
+        return dims.gps_dim(topics.gps_events(messages(args.gps_topic)))
 
     def status() -> DataFrame:
-        messages = topics.topic_stream(spark, args.servers, args.status_topic)
-        return dims.status_dim(topics.status_events(messages))
+        return dims.status_dim(topics.status_events(messages(args.status_topic)))
 
     if args.feed == "gps":
         return gps()

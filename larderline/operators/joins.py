@@ -117,7 +117,8 @@ def many_to_many(
 
     Rows pick at random, because equal rows must spread as well. The sides
     should be scans, stored tables, or plain projections and filters of those:
-    then a repeated task picks the same cells again.
+    then a repeated task picks the same cells again. Stored Parquet tables are
+    best, for counting the keys then reads one column of each.
     """
     heavy = F.broadcast(heavy_keys(left, right, key, pairs_per_task))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from larderline.operators.conform import inventory_columns
 from larderline.operators.inspection import require_flat
 from larderline.operators.loading import all_orders_or_fail, key_conflicts, new_rows
 from larderline.plans import dims, kpis
@@ -38,7 +39,7 @@ def load_dimensions(
 ) -> None:
     """Replace the orders and inventory dimensions."""
     orders_rows = dims.orders_dim(require_flat(orders), null_policy, orders_have_key)
-    stock_rows = dims.inventory_dim(require_flat(documents), null_policy)
+    stock_rows = dims.inventory_dim(require_flat(inventory_columns(documents)), null_policy)
     warehouse.replace("orders_dim", orders_rows)
     warehouse.replace("inventory_dim", stock_rows)
 

@@ -10,6 +10,8 @@ import pytest
 from larderline.__main__ import parse, run
 from larderline.plans import kpis
 from larderline.plans.warehouse import Warehouse
+from larderline.schemas import GPS_EVENT, STATUS_EVENT
+from larderline.sinks.topics import publish_to_folder
 
 
 @pytest.fixture
@@ -63,3 +65,17 @@ def test_stream_arguments():
         ["stream", "tracking", "--servers", "b:9", "--target", "t", "--checkpoint", "c"]
     )
     assert (args.feed, args.gps_topic, args.every) == ("tracking", "gps_streams", None)
+
+
+def test_tracking_stream_from_folders(spark, tmp_path):
+    gps = spark.createDataFrame([("C001", 1.0, 2.0, 100), ("C001", 1.0, 2.0, 9999)], GPS_EVENT)
+    status = spark.createDataFrame([("7", "c001", "NEW", 130)], STATUS_EVENT)
+    publish_to_folder(gps, str(tmp_path / "topics/gps_streams"))
+    publish_to_folder(status, str(tmp_path / "topics/status_streams"))
+    places = ["--folder", "topics", "--target", "out", "--checkpoint", "state"]
+    places = [word if word.startswith("--") else str(tmp_path / word) for word in places]
+    words = ["stream", "tracking", *places, "--within-seconds", "60"]
+    for _ in range(2):
+        run(spark, parse(words))
+    tracked = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(row.order_id, row.status) for row in tracked] == [(7, "new")]

@@ -5,8 +5,8 @@ from __future__ import annotations
 import duckdb
 import pytest
 
-from verification.queries import QUERIES
-from verification.sql import PARTS, STATEMENTS, oracle_statements
+from larder_checks.queries import QUERIES
+from larder_checks.sql import PARTS, STATEMENTS, oracle_statements
 
 # No order is asked for, so which rows come is not determined.
 ROWS_ONLY = {"orders_sample"}

@@ -12,7 +12,7 @@ from larderline.operators import nulls
 from larderline.plans import dims, kpis
 from larderline.plans.facts import orders_fact
 from larderline.schemas import INVENTORY_DIM, ORDERS, ORDERS_DIM
-from verification.queries import QUERIES
+from larder_checks.queries import QUERIES
 
 # These write tables or start streams while they are built.
 WRITES = {name for name in QUERIES if name.startswith(("stream_", "sink_", "csv_", "json_"))} | {

@@ -25,7 +25,7 @@ from larderline.schemas import (
     require,
     text_only,
 )
-from verification import inputs
+from larder_checks import inputs
 
 NOON = dt.datetime(2025, 7, 1, 12)
 PRICE = Decimal("10.00")

@@ -13,7 +13,7 @@ from larderline.sinks import files as file_sinks
 from larderline.sinks import tables as table_sinks
 from larderline.sinks import topics as topic_sinks
 from larderline.sources import databases, files
-from verification.queries import QUERIES
+from larder_checks.queries import QUERIES
 
 DOCUMENT = {
     "_id": "65f0",

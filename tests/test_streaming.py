@@ -15,7 +15,7 @@ from larderline.sinks.topics import publish_to_folder
 from larderline.sources import files, topics
 from larderline.streaming import events, sinks
 from larderline.workspace import remembered
-from verification import inputs
+from larder_checks import inputs
 
 START = int(dt.datetime(2025, 7, 1, tzinfo=dt.timezone.utc).timestamp())
 
