@@ -12,8 +12,17 @@ from pyspark.sql import functions as F
 from larderline.functions.text import courier_id
 
 
+# The columns that are used of each test table.
+COLUMNS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
+    "events": "event_id long, user_id long, event_type string",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _every(key: str, step: int) -> Column:
@@ -25,12 +34,8 @@ def _null_every(key: str, step: int, value: Column) -> Column:
 
 
 def _order_lines(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_table(spark, folder, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice"
-    )
-    heads = read_table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"
-    )
+    lines = read_table(spark, folder, "lineitem")
+    heads = read_table(spark, folder, "orders")
     return lines.join(heads, lines.l_orderkey == heads.o_orderkey)
 
 
@@ -120,9 +125,7 @@ def orders_text_with_faults(spark: SparkSession, folder: str) -> DataFrame:
 def inventory_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Inventory documents as text, with NULLs, levels that are no number,
     negative levels, copies in other spelling, and second rows of an item."""
-    parts = read_table(spark, folder, "part").select(
-        "p_partkey", "p_name", "p_type", "p_brand", "p_size"
-    )
+    parts = read_table(spark, folder, "part")
     key = "p_partkey"
     name = F.when(_every(key, 2), F.upper("p_name")).otherwise(
         F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))

@@ -242,6 +242,13 @@ def stock_alert_counts(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.stock_alert_counts(inventory_dim(spark, folder))
 
 
+@registered
+def quality_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return kpis.quality_counts(
+        orders_dim(spark, folder), inventory_dim(spark, folder), status_clean(spark, folder)
+    )
+
+
 @registered
 def source_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return inspection.row_counts(

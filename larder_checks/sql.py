@@ -225,6 +225,14 @@ STATEMENTS = {
                count(*) FILTER (stock_flag = 'Out of stock') AS out_of_stock,
                count(*) FILTER (stock_flag = 'Low stock') AS low_stock
         FROM inventory_dim""",
+    "quality_counts": """
+        SELECT 'orders_dim' AS table_name, 'total_order_value' AS column_name,
+               count(*) AS row_count, count(*) - count(total_order_value) AS unusable_rows
+        FROM orders_dim
+        UNION ALL SELECT 'inventory_dim', 'stock_level', count(*),
+                         count(*) - count(stock_level) FROM inventory_dim
+        UNION ALL SELECT 'status_dim', 'order_id', count(*), count(*) - count(order_id)
+                  FROM status_dim""",
     "source_row_counts": """
         SELECT 'orders' AS table_name, count(*) AS row_count FROM orders_raw
         UNION ALL SELECT 'inventory', count(*) FROM inventory_raw""",

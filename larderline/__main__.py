@@ -104,6 +104,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         jobs.load_event_dimensions(warehouse, gps, status)
     else:
         jobs.load_facts(warehouse)
+        for row in jobs.quality_report(warehouse).collect():
+            print(row.asDict())
 
 
 if __name__ == "__main__":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,10 +53,7 @@ def row_counts(**tables: DataFrame) -> DataFrame:
         )
         for name, df in tables.items()
     ]
-    result = counts[0]
-    for other in counts[1:]:
-        result = result.unionByName(other)
-    return result
+    return functools.reduce(DataFrame.unionByName, counts)
 
 
 def sample(df: DataFrame, rows: int = 10) -> DataFrame:

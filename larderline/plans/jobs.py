@@ -65,3 +65,9 @@ def load_facts(warehouse: Warehouse) -> None:
 def stock_report(warehouse: Warehouse) -> DataFrame:
     """Alert counts of the stored inventory; reads one column."""
     return kpis.stock_alert_counts(warehouse.table("inventory_dim"))
+
+
+def quality_report(warehouse: Warehouse) -> DataFrame:
+    """Rows and unusable values of the stored dimensions."""
+    names = ("orders_dim", "inventory_dim", "status_dim")
+    return kpis.quality_counts(*[warehouse.table(name) for name in names])

@@ -9,6 +9,8 @@ Both give the same result.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -139,3 +141,26 @@ def stock_alert_counts(inventory: DataFrame) -> DataFrame:
         F.count_if(flag == OUT_OF_STOCK).alias("out_of_stock"),
         F.count_if(flag == LOW_STOCK).alias("low_stock"),
     )
+
+
+def quality_counts(orders: DataFrame, inventory: DataFrame, status: DataFrame) -> DataFrame:
+    """Per dimension, its rows and those with a value that could not be used:
+    order values beyond ten digits, unreadable stock levels and order ids."""
+    checked = {
+        "orders_dim": (orders, "total_order_value"),
+        "inventory_dim": (inventory, "stock_level"),
+        "status_dim": (status, "order_id"),
+    }
+    reports = [
+        table.agg(
+            _rows().alias("row_count"),
+            F.count_if(F.col(column).isNull()).alias("unusable_rows"),
+        ).select(
+            F.lit(name).alias("table_name"),
+            F.lit(column).alias("column_name"),
+            "row_count",
+            "unusable_rows",
+        )
+        for name, (table, column) in checked.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, reports)
