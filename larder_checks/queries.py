@@ -207,6 +207,13 @@ def courier_tracking(spark: SparkSession, folder: str) -> DataFrame:
     return facts.courier_tracking(gps_clean(spark, folder), status_clean(spark, folder))
 
 
+@registered
+def courier_tracking_within(spark: SparkSession, folder: str) -> DataFrame:
+    return facts.courier_tracking_within(
+        gps_clean(spark, folder), status_clean(spark, folder), TRACKING_SECONDS
+    )
+
+
 # Figures
 
 

@@ -131,6 +131,11 @@ PARTS = {
     "courier_tracking": """
         SELECT g.courier_id, s.order_id, g.lat, g.lon, g.gps_ts, s.status, s.status_ts
         FROM gps_dim g JOIN status_dim s ON g.courier_id = s.courier_id""",
+    "tracking_within": """
+        SELECT g.courier_id, s.order_id, g.lat, g.lon, g.gps_ts, s.status, s.status_ts
+        FROM gps_dim g JOIN status_dim s ON g.courier_id = s.courier_id
+         AND g.gps_ts BETWEEN s.status_ts - INTERVAL 43200 SECOND
+                          AND s.status_ts + INTERVAL 43200 SECOND""",
 }
 
 STATEMENTS = {
@@ -207,6 +212,7 @@ STATEMENTS = {
     "status_clean": "SELECT * FROM status_dim",
     "orders_fact": "SELECT * FROM orders_fact",
     "courier_tracking": "SELECT * FROM courier_tracking",
+    "courier_tracking_within": "SELECT * FROM tracking_within",
     # Figures
     "fact_count": "SELECT count(*) AS row_count FROM orders_fact",
     "daily_orders_top10": """
@@ -330,11 +336,7 @@ STATEMENTS = {
     "stream_gps_clean": "SELECT * FROM gps_dim",
     "stream_status_clean": "SELECT * FROM status_dim",
     "stream_status_from_csv": "SELECT * FROM status_dim",
-    "stream_courier_tracking": """
-        SELECT g.courier_id, s.order_id, g.lat, g.lon, g.gps_ts, s.status, s.status_ts
-        FROM gps_dim g JOIN status_dim s ON g.courier_id = s.courier_id
-         AND g.gps_ts BETWEEN s.status_ts - INTERVAL 43200 SECOND
-                          AND s.status_ts + INTERVAL 43200 SECOND""",
+    "stream_courier_tracking": "SELECT * FROM tracking_within",
     "stream_status_counts": """
         SELECT status, count(*) AS event_count FROM status_dim GROUP BY status""",
     "stream_dedup_watermark": "SELECT DISTINCT * FROM status_dim",

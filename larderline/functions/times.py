@@ -40,3 +40,14 @@ def iso_to_timestamp(text: Column) -> Column:
     dropped, not converted. NULL where the text is no timestamp."""
     plain = F.replace(F.replace(text, F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit(""))
     return plain.try_cast("timestamp_ntz")
+
+
+def slot(seconds: Column, within_seconds: int) -> Column:
+    """The slot of time, twice the bound long, that a moment falls into."""
+    return F.floor(seconds / (2 * within_seconds))
+
+
+def touched_slots(seconds: Column, within_seconds: int) -> Column:
+    """The one or two slots with moments at most the bound away."""
+    first = slot(seconds - within_seconds, within_seconds)
+    return F.sequence(first, slot(seconds + within_seconds, within_seconds))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from larderline.functions.times import slot, timestamp_to_epoch, touched_slots
 from larderline.operators.joins import PAIRS_PER_TASK, many_to_many, with_stock
 from larderline.schemas import COURIER_TRACKING, ORDERS_FACT
 
@@ -24,3 +26,33 @@ def courier_tracking(
     return many_to_many(gps, status, "courier_id", pairs_per_task).select(
         *COURIER_TRACKING.names
     )
+
+
+def courier_tracking_within(
+    gps: DataFrame,
+    status: DataFrame,
+    within_seconds: int,
+    pairs_per_task: int = PAIRS_PER_TASK,
+) -> DataFrame:
+    """The pairs of ``courier_tracking`` at most so many seconds apart.
+
+    Rows meet by courier and slot of time, so the pairs tried grow with the
+    number of events and the bound, not with the square of a courier's history.
+    """
+    gps_second = timestamp_to_epoch(F.col("gps_ts"))
+    status_second = timestamp_to_epoch(F.col("status_ts"))
+    # Equal structs may hold equal NULLs, but an unknown courier meets nobody.
+    meeting = F.struct("courier_id", "slot")
+    known = F.col("courier_id").isNotNull()
+    positions = gps.filter(known).withColumn("slot", slot(gps_second, within_seconds))
+    touched = touched_slots(status_second, within_seconds)
+    changes = status.filter(known).withColumn("slot", F.explode(touched))
+    pairs = many_to_many(
+        positions.withColumn("meeting", meeting).drop("slot"),
+        changes.withColumn("meeting", meeting).drop("slot", "courier_id"),
+        "meeting",
+        pairs_per_task,
+    )
+    bound = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
+    apart = F.col("gps_ts") - F.col("status_ts")
+    return pairs.filter(F.abs(apart) <= bound).select(*COURIER_TRACKING.names)

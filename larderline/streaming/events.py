@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderline.functions.times import timestamp_to_epoch
+from larderline.functions.times import slot, timestamp_to_epoch, touched_slots
 from larderline.schemas import COURIER_TRACKING, STATUS_DIM
 
 
@@ -59,19 +59,15 @@ def track_couriers(
     """
     bound = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
 
-    def slot(seconds: Column) -> Column:
-        return F.floor(seconds / (2 * within_seconds))
-
     positions = (
         gps.withColumn("gps_time", _event_time("gps_ts"))
         .withWatermark("gps_time", late_by)
         .transform(_with_parts, "courier_id", busy)
-        .withColumn("slot", slot(F.unix_seconds("gps_time")))
+        .withColumn("slot", slot(F.unix_seconds("gps_time"), within_seconds))
         .withColumn("part", F.floor(F.rand(17) * F.col("parts")).cast("int"))
         .drop("parts")
     )
-    second = F.unix_seconds("status_time")
-    touched = F.sequence(slot(second - within_seconds), slot(second + within_seconds))
+    touched = touched_slots(F.unix_seconds("status_time"), within_seconds)
     changes = (
         status.withColumnRenamed("courier_id", "status_courier_id")
         .withColumn("status_time", _event_time("status_ts"))

@@ -127,6 +127,26 @@ def test_every_position_meets_every_status(spark):
     assert facts.courier_tracking(gps, status).count() == 6
 
 
+@pytest.mark.parametrize("pairs_per_task", [1, 1000])
+def test_tracking_within_a_bound(spark, pairs_per_task):
+    def at(seconds):
+        return NOON + dt.timedelta(seconds=seconds)
+
+    gps = spark.createDataFrame(
+        [("c1", 1.0, 2.0, at(s)) for s in (0, 0, 59, 60, 61, 3600)]
+        + [(None, 1.0, 2.0, at(0)), ("c1", 1.0, 2.0, None)],
+        GPS_DIM,
+    )
+    status = spark.createDataFrame(
+        [(1, "c1", "new", at(0)), (2, "c1", "new", at(120)), (3, None, "new", at(0))]
+        + [(4, "c1", "new", None), (5, "c2", "new", at(0))],
+        STATUS_DIM,
+    )
+    near = facts.courier_tracking_within(gps, status, 60, pairs_per_task)
+    pairs = sorted((row.order_id, (row.gps_ts - NOON).seconds) for row in near.collect())
+    assert pairs == [(1, 0), (1, 0), (1, 59), (1, 60), (2, 60), (2, 61)]
+
+
 def test_unmatched_items_come_last(spark):
     order_rows = dims.orders_dim(
         orders(spark, *[(i, 1, i, 1, PRICE, NOON, "ok") for i in (1, 2)])
