@@ -18,6 +18,9 @@ PAIRS_PER_TASK = 4_000_000
 # Rows of the list of heavy keys, which is broadcast. A key that does not make
 # the list has at most this fraction of all pairs, and joins whole.
 HEAVY_KEYS = 10_000
+# Parts that one side of a key is split into at most. More would copy the other
+# side too often; the cells of a key beyond that are larger instead.
+MOST_SPLITS = 10_000
 # Stock rows from which an item counts as wide.
 WIDE_ITEM = 1000
 
@@ -36,12 +39,16 @@ def heavy_keys(
     right_count = right.groupBy(key).agg(F.count(F.lit(1)).alias("right_rows"))
     side = math.sqrt(pairs_per_task)
     pairs = F.col("left_rows").cast("double") * F.col("right_rows")
+    most = F.lit(MOST_SPLITS).cast("bigint")
+    left_splits = F.least("cells", F.ceil(F.col("left_rows") / side), most)
+    columns_needed = F.ceil(F.col("cells") / F.col("left_splits"))
+    right_splits = F.least(columns_needed, F.ceil(F.col("right_rows") / side), most)
     splits = (
         left_count.join(right_count, key)
         .withColumn("cells", F.ceil(pairs / pairs_per_task))
         .filter(F.col("cells") > 1)
-        .withColumn("left_splits", F.least("cells", F.ceil(F.col("left_rows") / side)))
-        .withColumn("right_splits", F.ceil(F.col("cells") / F.col("left_splits")))
+        .withColumn("left_splits", left_splits)
+        .withColumn("right_splits", right_splits)
         .select(key, "left_splits", "right_splits")
     )
     most_cells = F.desc(F.col("left_splits") * F.col("right_splits"))
@@ -70,10 +77,11 @@ def _wide_items(
         .limit(HEAVY_KEYS)
     )
     pairs = F.count(F.lit(1)).cast("double") * F.col("stock_rows")
+    most = F.lit(MOST_SPLITS).cast("bigint")
     return (
         orders.join(F.broadcast(wide), "item_id")
         .groupBy("item_id", "stock_rows")
-        .agg(F.ceil(pairs / pairs_per_task).alias("cells"))
+        .agg(F.least(F.ceil(pairs / pairs_per_task), most).alias("cells"))
         .filter(F.col("cells") > 1)
         .select("item_id", "cells")
     )

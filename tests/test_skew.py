@@ -5,7 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from larderline.operators.joins import HEAVY_KEYS, heavy_keys, many_to_many, with_stock
+from larderline.operators.joins import (
+    HEAVY_KEYS,
+    MOST_SPLITS,
+    heavy_keys,
+    many_to_many,
+    with_stock,
+)
 from larderline.plans import kpis
 from larderline.plans.facts import orders_fact
 
@@ -41,6 +47,13 @@ def test_no_pair_is_lost_or_doubled(sides, pairs_per_task):
     assert tally(spread) == tally(left.join(right, "courier_id"))
 
 
+def test_splits_are_bounded(spark):
+    left = spark.range(200_000).select(F.lit("a").alias("k"))
+    right = spark.range(100).select(F.lit("a").alias("k"))
+    grid = heavy_keys(left, right, "k", pairs_per_task=1).first()
+    assert (grid.left_splits, grid.right_splits) == (MOST_SPLITS, 100)
+
+
 def test_one_sided_keys(spark):
     left = spark.range(2000).select(F.lit("a").alias("k"), "id")
     right = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n int")
