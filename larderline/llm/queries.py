@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderline.llm import simhash
+from larderline.llm import quality, simhash, sql
 from larderline.llm.registry import QUERIES, SQL, registered, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -19,3 +19,22 @@ def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@registered
+def op7_host_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    judged = quality.judge(docs, carry=["doc_id"])
+    return judged.select(
+        "document.doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
+
+
+SQL["op7_host_quality"] = sql.HOST_QUALITY
