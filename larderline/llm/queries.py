@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderline.llm import quality, simhash, sql
+from larderline.llm import line_chunks, quality, simhash, sql
 from larderline.llm.registry import QUERIES, SQL, registered, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -38,3 +38,14 @@ def op7_host_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op7_host_quality"] = sql.HOST_QUALITY
+
+
+@registered
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return line_chunks.remove_repeats(docs).select(
+        "document.doc_id", F.col("cleaned").alias("text"), "n_chunks", "n_removed"
+    )
+
+
+SQL["op10_line_dedup"] = sql.LINE_DEDUP

@@ -85,3 +85,51 @@ WITH {_judged("documents")}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
 FROM judged
 """
+
+
+def _cleaned(documents: str) -> str:
+    """CTEs up to ``cleaned``: the documents without repeated chunks."""
+    return f"""
+line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) AS n
+  FROM {documents} WHERE text IS NOT NULL
+),
+marked AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h,
+    length(line) - length(replace(line, ' ', '')) >= 49 AS passage
+  FROM line
+),
+cuts AS (
+  SELECT *, (h + 31 * coalesce(lag(h) OVER by_n, 0)) % 4 = 0 OR passage
+    OR coalesce(lead(passage) OVER by_n, TRUE) AS is_end
+  FROM marked WINDOW by_n AS (PARTITION BY doc_id ORDER BY n)
+),
+numbered AS (
+  SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id ORDER BY n
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM cuts
+),
+chunk AS (
+  SELECT doc_id, place, string_agg(line, chr(10) ORDER BY n) AS chunk,
+    count(*) FILTER (trim(line, {BLANKS}) <> '') >= 2 OR bool_or(passage) AS removable
+  FROM numbered GROUP BY doc_id, place
+),
+ranked AS (
+  SELECT *, removable AND row_number() OVER (PARTITION BY chunk, removable
+    ORDER BY doc_id, place) > 1 AS gone
+  FROM chunk
+),
+cleaned AS (
+  SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone), '') AS cleaned
+  FROM ranked GROUP BY doc_id
+)"""
+
+
+LINE_DEDUP = f"""
+WITH {_cleaned("documents")}
+SELECT documents.doc_id, cleaned AS text, coalesce(n_chunks, 0) AS n_chunks,
+  coalesce(n_removed, 0) AS n_removed
+FROM documents LEFT JOIN cleaned USING (doc_id)
+"""
