@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderline.llm import line_chunks, quality, simhash, sql
+from larderline.llm import decontaminate, line_chunks, quality, simhash, sql
 from larderline.llm.registry import QUERIES, SQL, registered, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -49,3 +49,15 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["op10_line_dedup"] = sql.LINE_DEDUP
+
+
+@registered
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contained_items(
+        table(spark, folder, "documents").select("doc_id", "text"),
+        table(spark, folder, "benchmark").select("item_id", "text"),
+    )
+    return found.select(F.col("id").alias("doc_id"), "item_id", "n_shingles", "n_shared")
+
+
+SQL["op1_benchmark_decontamination"] = sql.DECONTAMINATION

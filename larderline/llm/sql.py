@@ -133,3 +133,38 @@ SELECT documents.doc_id, cleaned AS text, coalesce(n_chunks, 0) AS n_chunks,
   coalesce(n_removed, 0) AS n_removed
 FROM documents LEFT JOIN cleaned USING (doc_id)
 """
+
+
+def _shingles(name: str, rows: str, key: str) -> str:
+    return f"""
+{name}_tokens AS (
+  SELECT {key}, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
+  FROM (SELECT {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS ws FROM {rows})
+),
+{name} AS (
+  SELECT DISTINCT {key}, gram FROM (
+    SELECT {key}, lead(word, 4) OVER following IS NOT NULL AS whole,
+      concat_ws(' ', word, lead(word, 1) OVER following, lead(word, 2) OVER following,
+        lead(word, 3) OVER following, lead(word, 4) OVER following) AS gram
+    FROM {name}_tokens WINDOW following AS (PARTITION BY {key} ORDER BY pos)
+  ) WHERE whole
+)"""
+
+
+def _contained(documents: str) -> str:
+    """CTEs up to ``contained``: documents with the items they contain."""
+    return f"""{_shingles("item_gram", "benchmark", "item_id")},
+{_shingles("doc_gram", documents, "doc_id")},
+item_size AS (SELECT item_id, count(*) AS n_shingles FROM item_gram GROUP BY item_id),
+contained AS (
+  SELECT doc_id, item_id, any_value(n_shingles) AS n_shingles, count(*) AS n_shared
+  FROM doc_gram JOIN item_gram USING (gram) JOIN item_size USING (item_id)
+  GROUP BY doc_id, item_id
+  HAVING count(*) >= 0.8 * any_value(n_shingles)
+)"""
+
+
+DECONTAMINATION = f"""
+WITH {_contained("documents")}
+SELECT doc_id, item_id, n_shingles, n_shared FROM contained
+"""
