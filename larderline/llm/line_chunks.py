@@ -188,3 +188,22 @@ def remove_repeats(
         F.coalesce("found.n_chunks", F.lit(0).cast("long")).alias("n_chunks"),
         F.coalesce("found.n_removed", F.lit(0).cast("long")).alias("n_removed"),
     )
+
+
+def without_repeats(
+    docs: DataFrame,
+    text_column: str = "text",
+    length_column: str = "n_chars",
+    **options,
+) -> DataFrame:
+    """The documents without the chunks that repeat, in the same columns.
+
+    The column of text lengths, if there is one, follows the text. A document
+    that loses chunks and has no words left is dropped.
+    """
+    found = remove_repeats(docs, text_column=text_column, **options)
+    blank = F.btrim("cleaned", F.lit(BLANKS)) == ""
+    cleaned = {text_column: F.col("cleaned"), length_column: F.length("cleaned").cast("long")}
+    return found.filter((F.col("n_removed") == 0) | ~blank).select(
+        *[cleaned.get(name, F.col("document")[name]).alias(name) for name in docs.columns]
+    )

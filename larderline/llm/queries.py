@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderline.llm import decontaminate, line_chunks, quality, simhash, sql
+from larderline.llm import decontaminate, line_chunks, packing, quality, simhash, sql
+from larderline.llm.common import stored
 from larderline.llm.registry import QUERIES, SQL, registered, table
 
 __all__ = ["QUERIES", "SQL"]
 
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
 
 @registered
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,3 +65,12 @@ def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
 
 
 SQL["op1_benchmark_decontamination"] = sql.DECONTAMINATION
+
+
+@registered
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    pieces = packing.tokenized(docs, VOCABULARY)
+    # The ids are needed for their checksum only, so they are not stored.
+    slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.placed(stored(slim, "pieces")).withColumnRenamed("id", "doc_id")
