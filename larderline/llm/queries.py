@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderline.llm import decontaminate, line_chunks, packing, quality, simhash, sql
+from larderline.llm import decontaminate, line_chunks, packing, quality, simhash, sql, url_rules
 from larderline.llm.common import stored
 from larderline.llm.registry import QUERIES, SQL, registered, table
 
@@ -74,3 +74,10 @@ def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     # The ids are needed for their checksum only, so they are not stored.
     slim = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return packing.placed(stored(slim, "pieces")).withColumnRenamed("id", "doc_id")
+
+
+@registered
+def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    judged = url_rules.judge_urls(pages).withColumnRenamed("id", "page_id")
+    return judged.select("page_id", "host", "path", "rule", "verdict")
