@@ -6,7 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larderline.llm import decontaminate, line_chunks, packing, quality, simhash, sql, url_rules
+from larderline.llm import (
+    decontaminate,
+    licenses,
+    line_chunks,
+    packing,
+    quality,
+    simhash,
+    sql,
+    url_rules,
+)
 from larderline.llm.common import stored
 from larderline.llm.registry import QUERIES, SQL, registered, table
 
@@ -81,3 +90,18 @@ def op6_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     judged = url_rules.judge_urls(pages).withColumnRenamed("id", "page_id")
     return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+@registered
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_base",
+        "first_word",
+        "last_word",
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
