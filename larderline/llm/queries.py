@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larderline.llm import (
     decontaminate,
+    language,
     licenses,
     line_chunks,
     packing,
@@ -105,3 +106,16 @@ def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join("labels", ",").alias("labels"),
         "score",
     )
+
+
+@registered
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(language.fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    network = language.fit(docs.filter(~held_out))
+    return language.predict(docs, network).select(
+        F.col("id").alias("doc_id"),
+        F.coalesce(language.fold(F.col("id"), 4) == 2, F.lit(False)).alias("held_out"),
+        "lang_pred",
+        "score",
+    )
