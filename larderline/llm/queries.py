@@ -15,6 +15,7 @@ from larderline.llm import (
     quality,
     simhash,
     sql,
+    toxicity,
     url_rules,
 )
 from larderline.llm.common import stored
@@ -119,3 +120,17 @@ def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "lang_pred",
         "score",
     )
+
+
+@registered
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    scored = toxicity.score_documents(docs, labels, ~toxicity.held_out(F.col("doc_id")))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        toxicity.held_out(F.col("id")).alias("held_out"),
+        "score",
+        "predicted",
+        F.size("passages").cast("long").alias("n_passages"),
+    )
