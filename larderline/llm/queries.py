@@ -15,6 +15,7 @@ from larderline.llm import (
     quality,
     simhash,
     sql,
+    surrogates,
     toxicity,
     url_rules,
 )
@@ -23,6 +24,8 @@ from larderline.llm.registry import QUERIES, SQL, registered, table
 
 __all__ = ["QUERIES", "SQL"]
 
+# A key for the test tables. A real one is kept where only the job reads it.
+SURROGATE_KEY = b"key of the test tables"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -134,3 +137,13 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "predicted",
         F.size("passages").cast("long").alias("n_passages"),
     )
+
+
+@registered
+def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return surrogates.replace_entities(docs, SURROGATE_KEY).select(
+        "document.doc_id",
+        "text",
+        F.coalesce(F.size("mentions"), F.lit(0)).cast("long").alias("n_mentions"),
+    )
