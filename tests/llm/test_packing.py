@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from larderline.llm import packing
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+ODD = st.sampled_from(["<|endoftext|>", " ", "​", "\r\n\t ", "ñ", "é", "🦆", "'ll", "\x00", "١٢", "  "])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(ODD, st.text(max_size=20))).map("".join))
+def test_ids_are_those_of_the_tokenizer(text):
+    whole = packing._tokenizer(VOCABULARY)
+    assert packing._encoder(VOCABULARY)(text) == whole.encode(text, add_special_tokens=False).ids
+
+
+def test_only_the_first_piece_may_be_shorter():
+    assert packing.cut(1) == [(0, 1)]
+    assert packing.cut(1024) == [(0, 1024)]
+    assert packing.cut(1025) == [(0, 1), (1, 1024)]
+    assert packing.cut(2048) == [(0, 1024), (1024, 1024)]
+
+
+def check_plan(lengths, capacity):
+    planned = packing.plan(lengths, capacity)
+    packed = Counter()
+    for contents, count in planned:
+        assert sum(length * each for length, each in contents) <= capacity
+        for length, each in contents:
+            packed[length] += each * count
+    assert packed == Counter(lengths)
+    return sum(count for _, count in planned)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(1, 30), st.integers(1, 50), max_size=30))
+def test_a_plan_packs_each_piece_once(lengths):
+    sequences = check_plan(lengths, 30)
+    # Pieces above half the capacity need a sequence each.
+    halves = sum(n for length, n in lengths.items() if length > 15)
+    least = max(halves, math.ceil(sum(length * n for length, n in lengths.items()) / 30))
+    assert least <= sequences <= 1.5 * least + 1
+
+
+def test_large_pieces_pair_at_most_twice():
+    planned = packing.plan({600: 5, 424: 3, 400: 4, 350: 2, 342: 6, 20: 9}, 1024)
+    for contents, _ in planned:
+        assert sum(each for length, each in contents if 3 * length > 1024) <= 2
+    assert (((600, 1), (424, 1)), 3) in planned
+
+
+def test_plan_does_not_grow_with_the_number_of_pieces():
+    draw = random.Random(1)
+    lengths = {n: draw.randrange(1, 50) for n in range(1, 1025)}
+    few, many = (packing.plan({k: v * m for k, v in lengths.items()}) for m in (1, 100_000))
+    assert len(many) < 2 * len(few) + 100
+    total = sum(k * v for k, v in lengths.items())
+    assert check_plan(lengths, 1024) <= 1.04 * total / 1024 + 1
+
+
+def documents(tables_folder=None):
+    draw = random.Random(6)
+    words = [f"word{n}" for n in range(500)]
+    rows = [(1, None), (2, ""), (3, "x"), (3, "x"), (None, "no id"), (4, "with <|endoftext|> inside")]
+    rows += [(10 + n, " ".join(draw.choices(words, k=draw.choice((1, 9, 80, 300, 900))))) for n in range(120)]
+    rows += [(500 + n, "the same text again") for n in range(300)]
+    rows.append((900, "a long one " * 40_000))
+    return rows
+
+
+def test_sequences_hold_the_documents_again(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "NUMBERED_AT_ONCE", 50)
+    rows = documents()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    pieces = packing.pack(docs, VOCABULARY).collect()
+    whole = defaultdict(list)
+    for row in pieces:
+        assert len(row.ids) == 4 * row.length
+        whole[row.id].append(row)
+    for doc_id, own in whole.items():
+        texts = [t for i, t in rows if i == doc_id]
+        ids = tokenizer.encode(texts[0] or "", add_special_tokens=False).ids + [packing.SEPARATOR]
+        own = sorted(own, key=lambda r: r.piece)
+        if len(texts) == 1:
+            assert b"".join(r.ids for r in own) == np.array(ids, dtype="<u4").tobytes()
+            assert [r.start for r in own] == list(np.cumsum([0, *(r.length for r in own[:-1])]))
+    assert Counter(r.id for r in pieces if r.piece == 0) == Counter(i for i, _ in rows)
+    sequences = defaultdict(list)
+    for row in pieces:
+        sequences[row.sequence_id].append(row)
+    for own in sequences.values():
+        end = 0
+        for row in sorted(own, key=lambda r: r.offset):
+            assert row.offset == end
+            end += row.length
+        assert end <= packing.CAPACITY
+    tokens = sum(r.length for r in pieces)
+    assert len(sequences) <= 1.07 * tokens / packing.CAPACITY + 1
+
+
+def test_other_columns_do_not_clash(spark):
+    docs = spark.createDataFrame([(1, "a", 5, b"x", 7)], SCHEMA + ", piece int, ids binary, length int")
+    (row,) = packing.pack(docs, VOCABULARY).collect()
+    assert (row.id, row.piece, row.start, row.length, row.offset) == (1, 0, 0, 2, 0)
+
+
+def test_no_documents(spark):
+    packed = packing.pack(spark.createDataFrame([], SCHEMA), VOCABULARY)
+    assert packed.count() == 0
+    assert {"id", "ids", "sequence_id", "offset"} <= set(packed.columns)
