@@ -125,11 +125,12 @@ def remove_repeats(
         F.struct(*docs.columns).alias("document"),
         F.col(id_column).alias("id"),
         F.xxhash64(id_column, text_column).alias("row"),
-        F.col(text_column).alias("text"),
     )
-    chunks = chunks_of(F.col("text"), window, lines_per_chunk, passage_words)
+    # The text is carried once, within the document.
+    text = F.col("document")[text_column]
+    chunks = chunks_of(text, window, lines_per_chunk, passage_words)
     exploded = (
-        keyed.filter(F.col("text").isNotNull())
+        keyed.filter(text.isNotNull())
         .select("id", "row", F.posexplode(chunks).alias("place", "lines"))
         .filter(_removable(F.col("lines"), passage_words))
         .withColumn("chunk", _joined(F.col("lines")))
@@ -181,7 +182,7 @@ def remove_repeats(
         none = F.array().cast("array<string>")
         return let(F.array_except(all_chunks, F.coalesce("gone", none)), of)
 
-    found = F.when(F.col("text").isNotNull(), let(own, result)).alias("found")
+    found = F.when(text.isNotNull(), let(own, result)).alias("found")
     return with_gone.select("document", found).select(
         "document",
         "found.cleaned",
