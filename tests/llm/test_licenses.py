@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import random
+import re
+
+from larderline.llm import licenses
+
+SCHEMA = "doc_id long, text string"
+
+
+def plain_base(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    starts, labels = [], set()
+    for phrase, label in licenses.PHRASES.items():
+        own = phrase.split()
+        for at in range(len(words) - len(own) + 1):
+            if words[at : at + len(own)] == own:
+                starts.append(at)
+                labels.add(label)
+    return len(words), len(starts), min(starts, default=None), max(starts, default=None), sorted(labels)
+
+
+def scanned(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    return [r for r in licenses.scan_licenses(docs).orderBy("id").collect()]
+
+
+def test_phrases_are_found_at_all_places(spark):
+    draw = random.Random(9)
+    pieces = ["gnu", "General", "public", "LICENSE", "apache", "cc", "by", "MIT", "license", "x", "É", "9"]
+    marks = [" ", "-", "\n", ", ", "_", "\x7f", "\x85", "\u00a0", "{"]
+    texts = [None, "", "...", "CC-BY", "cc by cc by", "MIT\u00a0License", "apache license mit license"]
+    for _ in range(300):
+        texts.append("".join(draw.choice(pieces) + draw.choice(marks) for _ in range(40)))
+    for row, text in zip(scanned(spark, texts), texts, strict=True):
+        got = (row.n_words, row.n_base, row.first_word, row.last_word, row.base_labels)
+        assert got == plain_base(text), text
+        assert set(row.base_labels) <= set(row.labels) and 0 <= row.score <= 1
+
+
+def test_statistics_are_the_longest_known_runs():
+    draw = random.Random(2)
+    for _ in range(60):
+        sequences = [[draw.randrange(3) for _ in range(draw.randrange(1, 14))] for _ in range(4)]
+        text = [draw.randrange(4) for _ in range(40)]
+        known = {}
+        for number, sequence in enumerate(sequences):
+            for end in range(len(sequence)):
+                for start in range(end + 1):
+                    run = tuple(sequence[start : end + 1])
+                    known.setdefault(run, {}).setdefault(number, end)
+        automaton = licenses.Automaton(sequences)
+        for end, (length, state) in enumerate(automaton.statistics(text)):
+            longest = max((n for n in range(end + 2) if n == 0 or tuple(text[end + 1 - n : end + 1]) in known))
+            assert length == longest
+            if length:
+                run = tuple(text[end + 1 - length : end + 1])
+                assert automaton.places[state] == known[run]
+
+
+def test_templates_are_found_changed_and_in_long_texts(spark):
+    notice = licenses.TEMPLATES["mit"][0]
+    changed = notice.replace("obtaining", "getting").upper()
+    texts = [
+        notice,
+        f"{'the of and to ' * 30_000}\n# {changed}\n{'a copy of the software ' * 1000}",
+        " ".join(notice.split()[:12]),
+        " ".join(reversed(notice.split())),
+        "Licensed under CC BY-NC 4.0.",
+    ]
+    rows = scanned(spark, texts)
+    assert [row.labels for row in rows] == [["mit"], ["mit"], [], [], ["cc-by", "cc-by-nc-4.0"]]
+    (span,) = rows[1].spans
+    words = licenses.words_of(texts[1])
+    assert words[span.first] == b"permission" and words[span.last] == b"restriction"
+    assert 0.75 <= span.covered < 1 and rows[0].score == 1.0
+
+
+def test_repeated_rows_other_columns_and_none(spark):
+    rows = [(1, "mit license", "l", 3)] * 2 + [(None, "x", None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", labels string, spans int")
+    found = licenses.scan_licenses(docs).collect()
+    assert sorted(str(r.base_labels) for r in found) == ["['mit']", "['mit']", "[]"]
+    assert licenses.scan_licenses(spark.createDataFrame([], SCHEMA)).count() == 0
