@@ -165,8 +165,9 @@ class _Draws:
 
 
 def _shaped(text: str, draws: _Draws) -> str:
-    """Letters for letters and digits for digits; what is all hexadecimal stays so."""
-    is_hex = len(text) >= 8 and all(c in "0123456789abcdef" for c in text)
+    """Letters for letters and digits for digits; what is hexadecimal, with both
+    of them, stays so."""
+    is_hex = bool(re.fullmatch("(?=.*[0-9])(?=.*[a-f])[0-9a-f]{8,}", text))
 
     def one(c: str) -> str:
         if is_hex:
