@@ -29,8 +29,10 @@ def _line_hash(line: Column) -> Column:
 
 
 def _is_passage(line: Column, passage_words: int) -> Column:
-    spaces = F.length(line) - F.length(F.translate(line, " ", ""))
-    return spaces >= passage_words - 1
+    """Whether there are spaces enough: only then is the part before the last of
+    so many shorter than the line. It looks no further than that space."""
+    before = F.substring_index(line, " ", passage_words - 1)
+    return F.octet_length(before) < F.octet_length(line)
 
 
 def chunks_of(
