@@ -78,6 +78,8 @@ def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_partkey")
     )
     key = "l_orderkey"
+    # Values beyond ten digits.
+    price = F.when(_every(key, 113), F.lit("99999999.99")).otherwise(F.col("l_extendedprice").cast("string"))
     return (
         _order_lines(spark, folder)
         .withColumn("copy", F.explode(copies))
@@ -86,7 +88,7 @@ def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
             _null_every(key, 101, F.col("o_custkey")).alias("user_id"),
             item.cast("int").alias("item_id"),
             _null_every(key, 103, F.col("l_quantity").cast("int")).alias("quantity"),
-            _null_every(key, 109, F.col("l_extendedprice").cast("decimal(10,2)")).alias("price"),
+            _null_every(key, 109, price.cast("decimal(10,2)")).alias("price"),
             F.col("o_orderdate").alias("order_ts"),
             _messy_status().alias("status"),
         )
@@ -154,7 +156,7 @@ def inventory_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_seconds() -> Column:
-    return (F.lit(1704067200) + F.col("event_id") * 259).cast("string")
+    return F.lit(1704067200) + F.col("event_id") * 259
 
 
 def gps_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,7 +170,11 @@ def gps_raw(spark: SparkSession, folder: str) -> DataFrame:
         courier_id(F.col("user_id")).alias("courier_id"),
         latitude.alias("lat"),
         (F.col("event_id") % 360 - 180).cast("string").alias("lon"),
-        _event_seconds().alias("ts"),
+        # Milliseconds, which lie outside the calendar if read as seconds.
+        F.when(_every("event_id", 173), _event_seconds() * 1000)
+        .otherwise(_event_seconds())
+        .cast("string")
+        .alias("ts"),
     )
 
 
@@ -181,7 +187,7 @@ def status_raw(spark: SparkSession, folder: str) -> DataFrame:
         order.alias("order_id"),
         courier_id(F.col("user_id")).alias("courier_id"),
         F.upper("event_type").alias("status"),
-        _event_seconds().alias("ts"),
+        _event_seconds().cast("string").alias("ts"),
     )
 
 

@@ -252,7 +252,10 @@ def stock_alert_counts(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def quality_counts(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.quality_counts(
-        orders_dim(spark, folder), inventory_dim(spark, folder), status_clean(spark, folder)
+        orders_dim=orders_dim(spark, folder),
+        inventory_dim=inventory_dim(spark, folder),
+        gps_dim=gps_clean(spark, folder),
+        status_dim=status_clean(spark, folder),
     )
 
 

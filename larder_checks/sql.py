@@ -25,7 +25,8 @@ PARTS = {
                     AS INTEGER) AS item_id,
                CASE WHEN l_orderkey % 103 <> 0 THEN CAST(l_quantity AS INTEGER) END AS quantity,
                CASE WHEN l_orderkey % 109 <> 0
-                    THEN CAST(l_extendedprice AS DECIMAL(10,2)) END AS price,
+                    THEN CAST(CASE WHEN l_orderkey % 113 = 0 THEN 99999999.99
+                                   ELSE l_extendedprice END AS DECIMAL(10,2)) END AS price,
                o_orderdate AS order_ts,
                CASE WHEN l_orderkey % 107 = 0 THEN NULL
                     WHEN l_orderkey % 53 = 0 THEN ' Test '
@@ -53,7 +54,7 @@ PARTS = {
                     WHEN status LIKE '%pending%' THEN 'pending'
                     WHEN status LIKE '%ship%' THEN 'shipped'
                     ELSE status END AS status,
-               CAST(round(quantity * price, 2) AS DECIMAL(10,2)) AS total_order_value,
+               CAST(round(quantity * price, 2) AS DECIMAL(22,2)) AS total_order_value,
                CAST(order_ts AS DATE) AS order_date
         FROM orders_distinct WHERE status <> 'test'""",
     "inventory_named": """
@@ -106,7 +107,8 @@ PARTS = {
                     WHEN event_id % 59 = 0 THEN NULL
                     ELSE CAST(event_id % 180 - 90 AS VARCHAR) END AS lat,
                CAST(event_id % 360 - 180 AS VARCHAR) AS lon,
-               CAST(1704067200 + event_id * 259 AS VARCHAR) AS ts
+               CAST((1704067200 + event_id * 259)
+                    * CASE WHEN event_id % 173 = 0 THEN 1000 ELSE 1 END AS VARCHAR) AS ts
         FROM events""",
     "status_raw": """
         SELECT CASE WHEN event_id % 67 = 0 THEN 'x'
@@ -120,7 +122,8 @@ PARTS = {
     "gps_dim": """
         SELECT lower(courier_id) AS courier_id, TRY_CAST(lat AS DOUBLE) AS lat,
                TRY_CAST(lon AS DOUBLE) AS lon,
-               make_timestamp(CAST(ts AS BIGINT) * 1000000) AS gps_ts
+               CASE WHEN CAST(ts AS BIGINT) < 253402300800
+                    THEN make_timestamp(CAST(ts AS BIGINT) * 1000000) END AS gps_ts
         FROM gps_raw
         WHERE TRY_CAST(lat AS DOUBLE) IS NOT NULL AND TRY_CAST(lon AS DOUBLE) IS NOT NULL""",
     "status_dim": """
@@ -167,7 +170,7 @@ STATEMENTS = {
         SELECT order_id, order_ts AS orderts, status AS order_status FROM orders_raw""",
     "orders_total_value": """
         SELECT order_id, quantity, price,
-               CAST(round(quantity * price, 2) AS DECIMAL(10,2)) AS total_order_value
+               CAST(round(quantity * price, 2) AS DECIMAL(22,2)) AS total_order_value
         FROM orders_complete""",
     "orders_status_norm": """
         SELECT order_id, status AS raw_status,
@@ -200,7 +203,7 @@ STATEMENTS = {
                     WHEN status LIKE '%pending%' THEN 'pending'
                     WHEN status LIKE '%ship%' THEN 'shipped'
                     ELSE status END AS status,
-               CAST(round(quantity * price, 2) AS DECIMAL(10,2)) AS total_order_value,
+               CAST(round(quantity * price, 2) AS DECIMAL(22,2)) AS total_order_value,
                CAST(order_ts AS DATE) AS order_date
         FROM (SELECT DISTINCT order_id, user_id, item_id, coalesce(quantity, 0) AS quantity,
                      CAST(coalesce(price, 0) AS DECIMAL(10,2)) AS price, order_ts,
@@ -235,9 +238,16 @@ STATEMENTS = {
         SELECT 'orders_dim' AS table_name, 'total_order_value' AS column_name,
                count(*) AS row_count, count(*) - count(total_order_value) AS unusable_rows
         FROM orders_dim
+        UNION ALL SELECT 'inventory_dim', 'item_id', count(*), count(*) - count(item_id)
+                  FROM inventory_dim
         UNION ALL SELECT 'inventory_dim', 'stock_level', count(*),
                          count(*) - count(stock_level) FROM inventory_dim
+        UNION ALL SELECT 'inventory_dim', 'last_update', count(*),
+                         count(*) - count(last_update) FROM inventory_dim
+        UNION ALL SELECT 'gps_dim', 'gps_ts', count(*), count(*) - count(gps_ts) FROM gps_dim
         UNION ALL SELECT 'status_dim', 'order_id', count(*), count(*) - count(order_id)
+                  FROM status_dim
+        UNION ALL SELECT 'status_dim', 'status_ts', count(*), count(*) - count(status_ts)
                   FROM status_dim""",
     "source_row_counts": """
         SELECT 'orders' AS table_name, count(*) AS row_count FROM orders_raw

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from larderline.schemas import ORDER_VALUE
+
 # The first fragment found in a status decides its label.
 STATUS_BY_FRAGMENT = (
     ("deliv", "delivered"),
@@ -43,5 +45,5 @@ def needs_restock(flag: Column) -> Column:
 
 
 def order_value(quantity: Column, price: Column) -> Column:
-    """Quantity times price in cents; NULL where ten digits do not hold it."""
-    return F.round(quantity * price, 2).try_cast("decimal(10,2)")
+    """Quantity times price to the cent, in full."""
+    return F.round(quantity * price, 2).cast(ORDER_VALUE)

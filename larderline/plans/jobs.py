@@ -69,5 +69,6 @@ def stock_report(warehouse: Warehouse) -> DataFrame:
 
 def quality_report(warehouse: Warehouse) -> DataFrame:
     """Rows and unusable values of the stored dimensions."""
-    names = ("orders_dim", "inventory_dim", "status_dim")
-    return kpis.quality_counts(*[warehouse.table(name) for name in names])
+    return kpis.quality_counts(
+        **{name: warehouse.table(name) for name in kpis.CHECKED_COLUMNS}
+    )

@@ -143,24 +143,34 @@ def stock_alert_counts(inventory: DataFrame) -> DataFrame:
     )
 
 
-def quality_counts(orders: DataFrame, inventory: DataFrame, status: DataFrame) -> DataFrame:
-    """Per dimension, its rows and those with a value that could not be used:
-    order values beyond ten digits, unreadable stock levels and order ids."""
-    checked = {
-        "orders_dim": (orders, "total_order_value"),
-        "inventory_dim": (inventory, "stock_level"),
-        "status_dim": (status, "order_id"),
-    }
-    reports = [
-        table.agg(
-            _rows().alias("row_count"),
-            F.count_if(F.col(column).isNull()).alias("unusable_rows"),
-        ).select(
-            F.lit(name).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            "row_count",
-            "unusable_rows",
+# Columns that are empty where the source had something else: values that are
+# no number, ids that are none, moments outside the calendar.
+CHECKED_COLUMNS = {
+    "orders_dim": ("total_order_value",),
+    "inventory_dim": ("item_id", "stock_level", "last_update"),
+    "gps_dim": ("gps_ts",),
+    "status_dim": ("order_id", "status_ts"),
+}
+
+
+def quality_counts(**dimensions: DataFrame) -> DataFrame:
+    """Per checked column of the named dimensions, the rows and those whose value
+    could not be used. One pass over each dimension."""
+    reports = []
+    for name, table in dimensions.items():
+        columns = CHECKED_COLUMNS[name]
+        unusable = [F.count_if(F.col(column).isNull()).alias(column) for column in columns]
+        lines = F.array(
+            *[
+                F.struct(
+                    F.lit(name).alias("table_name"),
+                    F.lit(column).alias("column_name"),
+                    F.col("row_count"),
+                    F.col(column).alias("unusable_rows"),
+                )
+                for column in columns
+            ]
         )
-        for name, (table, column) in checked.items()
-    ]
+        counted = table.agg(_rows().alias("row_count"), *unusable)
+        reports.append(counted.select(F.inline(lines)))
     return functools.reduce(DataFrame.unionByName, reports)

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)
+# Quantity times price: holds any whole number times any amount of money.
+ORDER_VALUE = T.DecimalType(22, 2)
 
 
 def _table(**columns: T.DataType) -> T.StructType:
@@ -63,7 +65,7 @@ ORDERS_DIM = _table(
     price=MONEY,
     order_ts=T.TimestampNTZType(),
     status=T.StringType(),
-    total_order_value=MONEY,
+    total_order_value=ORDER_VALUE,
     order_date=T.DateType(),
 )
 
@@ -82,7 +84,7 @@ ORDERS_FACT = _table(
     item_id=T.IntegerType(),
     name=T.StringType(),
     warehouse=T.StringType(),
-    total_order_value=MONEY,
+    total_order_value=ORDER_VALUE,
     order_date=T.DateType(),
     stock_flag=T.StringType(),
 )

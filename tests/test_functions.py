@@ -59,12 +59,12 @@ def test_courier_id_is_padded_but_never_cut(spark):
     assert ids == ["C007", "C042", "C1000"]
 
 
-def test_order_value_beyond_ten_digits_is_null(spark):
+def test_order_value_is_exact_beyond_ten_digits(spark):
     df = spark.createDataFrame(
         [(3, Decimal("19.99")), (2_000_000, Decimal("99999999.99"))], "q int, p decimal(10,2)"
     )
     worth = df.select(labels.order_value(F.col("q"), F.col("p"))).collect()
-    assert [row[0] for row in worth] == [Decimal("59.97"), None]
+    assert [row[0] for row in worth] == [Decimal("59.97"), Decimal("199999999980000.00")]
 
 
 def test_epoch_is_exact_at_the_clock_change(spark, zone):

@@ -7,8 +7,9 @@ import re
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from larderline.operators import nulls
+from larderline.operators import joins, nulls
 from larderline.plans import dims, kpis
 from larderline.plans.facts import orders_fact
 from larderline.schemas import INVENTORY_DIM, ORDERS, ORDERS_DIM
@@ -121,7 +122,20 @@ def test_large_inventory_join_moves_one_row_per_item(spark, tmp_path, no_broadca
     ]
 
 
-def test_heavy_list_is_bounded_before_it_is_broadcast(spark, tables):
+def test_joins_without_heavy_keys_are_plain(spark, tables):
     text = plan(QUERIES["courier_tracking"](spark, tables))
-    assert text.count("TakeOrderedAndProject(limit=10000,") == 2
     assert "SortMergeJoin [courier_id" in text
+    assert "explode" not in text and "Broadcast" not in text
+
+
+def test_a_short_list_of_heavy_keys_is_broadcast_and_a_long_one_is_not(
+    spark, monkeypatch, no_broadcast
+):
+    left = spark.range(4000).select((F.col("id") % 20).alias("k"), "id")
+    right = spark.range(2000).select((F.col("id") % 20).alias("k"), F.col("id").alias("n"))
+    short = joins.many_to_many(left, right, "k", pairs_per_task=1000)
+    assert plan(short).count("BroadcastHashJoin") == 2
+    monkeypatch.setattr(joins, "SHORT_LIST", 5)
+    long = joins.many_to_many(left, right, "k", pairs_per_task=1000)
+    assert "BroadcastExchange" not in plan(long)
+    assert long.count() == short.count() == 20 * 200 * 100

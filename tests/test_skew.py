@@ -5,13 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from larderline.operators.joins import (
-    HEAVY_KEYS,
-    MOST_SPLITS,
-    heavy_keys,
-    many_to_many,
-    with_stock,
-)
+from larderline.operators.joins import heavy_keys, many_to_many, with_stock
 from larderline.plans import kpis
 from larderline.plans.facts import orders_fact
 
@@ -32,12 +26,11 @@ def tally(df):
     return sorted(map(repr, df.groupBy(*df.columns).count().collect()))
 
 
-def test_heavy_keys_are_few_and_fine_grained(sides):
+def test_heavy_keys_are_fine_grained(sides):
     left, right = sides
     grid = heavy_keys(left, right, "courier_id", pairs_per_task=10_000).collect()
     assert [row.courier_id for row in grid] == ["c000"]
     assert grid[0].left_splits * grid[0].right_splits >= 1000 * 500 / 10_000
-    assert HEAVY_KEYS <= 10_000
 
 
 @pytest.mark.parametrize("pairs_per_task", [100, 10_000, 4_000_000])
@@ -47,11 +40,40 @@ def test_no_pair_is_lost_or_doubled(sides, pairs_per_task):
     assert tally(spread) == tally(left.join(right, "courier_id"))
 
 
-def test_splits_are_bounded(spark):
+def test_a_key_is_split_as_far_as_it_needs(spark):
     left = spark.range(200_000).select(F.lit("a").alias("k"))
-    right = spark.range(100).select(F.lit("a").alias("k"))
+    right = spark.range(100).select(F.lit("a").alias("k"), "id")
     grid = heavy_keys(left, right, "k", pairs_per_task=1).first()
-    assert (grid.left_splits, grid.right_splits) == (MOST_SPLITS, 100)
+    assert (grid.left_splits, grid.right_splits) == (200_000, 100)
+    # 2,500 cells a row of the other side, named by several arrays.
+    few = left.limit(2500)
+    spread = many_to_many(few.withColumn("n", F.lit(1)), right.limit(2), "k", pairs_per_task=1)
+    assert spread.count() == 5000
+
+
+def test_all_heavy_keys_are_spread_however_many(spark):
+    """More than ten thousand keys, each heavy, and three far heavier than the
+    rest; none is left whole."""
+    key = (F.col("id") % 12_000).alias("k")
+    left = spark.range(48_000).select(key, "id")
+    right = spark.range(36_000).select(key, F.col("id").alias("other"))
+    hot = spark.range(3000).select((F.col("id") % 3 - 3).alias("k"), "id")
+    left, right = left.union(hot), right.union(hot)
+    grid = heavy_keys(left, right, "k", pairs_per_task=4)
+    assert grid.count() == 12_003
+    assert grid.filter("left_splits * right_splits < 3").isEmpty()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = many_to_many(left, right, "k", pairs_per_task=4)
+        placed = spread.withColumn("task", F.spark_partition_id())
+        tasks = placed.groupBy("k").agg(
+            F.count(F.lit(1)).alias("pairs"), F.countDistinct("task").alias("tasks")
+        )
+        rows = {row.k: row for row in tasks.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(row.pairs for row in rows.values()) == 12_000 * 12 + 3 * 1_000_000
+    assert all(rows[k].tasks > 1 for k in (-3, -2, -1))
 
 
 def test_one_sided_keys(spark):
