@@ -107,6 +107,20 @@ def orders_text(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def with_odd_texts(rows: DataFrame, column: str, key: str) -> DataFrame:
+    """The rows with blanks, quotes, separators, line breaks and empty texts in a
+    text column, by a whole number in another."""
+    value, number = F.col(column), F.col(key).cast("bigint")
+    odd = (
+        F.when(number % 7 == 0, F.concat(F.lit("  "), value, F.lit(" ")))
+        .when(number % 7 == 1, F.concat(F.lit('the "'), value, F.lit('" one')))
+        .when(number % 7 == 2, F.lit(""))
+        .when(number % 7 == 3, F.concat(value, F.lit(",\n"), value))
+        .otherwise(value)
+    )
+    return rows.withColumn(column, odd)
+
+
 def orders_text_with_faults(spark: SparkSession, folder: str) -> DataFrame:
     """The same export with unreadable numbers, prices and times."""
     text = orders_text(spark, folder)

@@ -16,6 +16,7 @@ from larderline.sinks import files as file_sinks
 from larderline.sinks import tables as table_sinks
 from larderline.sinks import topics as topic_sinks
 from larderline.sources import files, topics
+from larderline.schemas import INVENTORY_DOCUMENT
 from larderline.streaming import events, sinks
 from larderline.workspace import new_run_folder, remembered
 from larder_checks import inputs
@@ -285,18 +286,29 @@ def orders_sample(spark: SparkSession, folder: str) -> DataFrame:
     return inspection.sample(inputs.orders_raw(spark, folder))
 
 
+@registered
+def orders_sample_check(spark: SparkSession, folder: str) -> DataFrame:
+    """How many rows the sample has, and how many of them are no orders."""
+    orders = inputs.orders_raw(spark, folder)
+    sampled = inspection.sample(orders)
+    return inspection.row_counts(sample=sampled, no_orders=sampled.exceptAll(orders))
+
+
 # Loading and round trips
 
 
-def _orders_csv(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
+def _orders_csv(
+    spark: SparkSession, rows: DataFrame, purpose: str, line_breaks: bool = False
+) -> DataFrame:
     path = f"{new_run_folder(spark, purpose)}/orders"
     file_sinks.append_csv(rows, path)
-    return files.read_orders_csv(spark, path)
+    return files.read_orders_csv(spark, path, line_breaks)
 
 
 @registered
 def csv_orders_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    text = _orders_csv(spark, inputs.orders_text(spark, folder), "csv_orders_ingest")
+    odd = inputs.with_odd_texts(inputs.orders_text(spark, folder), "status", "order_id")
+    text = _orders_csv(spark, odd, "csv_orders_ingest", line_breaks=True)
     return loading.all_orders_or_fail(text)
 
 
@@ -351,13 +363,65 @@ def json_inventory_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_inventory_json(spark, path, layout="lines")
 
 
+@registered
+def json_inventory_whole(spark: SparkSession, folder: str) -> DataFrame:
+    """Files that are an array each."""
+    path = f"{new_run_folder(spark, 'json_inventory_whole')}/inventory"
+    arrays = (
+        inputs.inventory_raw(spark, folder)
+        .groupBy((F.col("item_id").cast("bigint") % 16).alias("file"))
+        .agg(F.to_json(F.collect_list(F.struct(*INVENTORY_DOCUMENT.names))).alias("value"))
+    )
+    arrays.write.partitionBy("file").text(path)
+    return files.read_inventory_json(spark, path, layout="whole")
+
+
+@registered
+def json_inventory_array(spark: SparkSession, folder: str) -> DataFrame:
+    """Arrays by lines, of which some hold several documents."""
+    path = f"{new_run_folder(spark, 'json_inventory_array')}/inventory"
+    document = F.to_json(F.struct(*INVENTORY_DOCUMENT.names))
+    lines = (
+        inputs.inventory_raw(spark, folder)
+        .groupBy("item_id")
+        .agg(F.array_join(F.collect_list(document), ", ").alias("documents"))
+    )
+    lines.select(F.concat("documents", F.lit(",")).alias("value")).write.text(path)
+    return files.read_inventory_json(spark, path, layout="array_lines")
+
+
+def _odd_events(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    gps = inputs.with_odd_texts(inputs.gps_raw(spark, folder), "courier_id", "ts")
+    status = inputs.with_odd_texts(inputs.status_raw(spark, folder), "status", "ts")
+    return gps, status
+
+
 @registered
 def csv_events_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     root = new_run_folder(spark, "csv_events_roundtrip")
+    gps, status = _odd_events(spark, folder)
+    file_sinks.append_csv(gps, f"{root}/gps")
+    file_sinks.append_csv(status, f"{root}/status")
+    gps = files.read_gps_csv(spark, f"{root}/gps", line_breaks=True)
+    status = files.read_status_csv(spark, f"{root}/status", line_breaks=True)
+    return gps.withColumn("feed", F.lit("gps")).unionByName(
+        status.withColumn("feed", F.lit("status")), allowMissingColumns=True
+    )
+
+
+@registered
+def csv_event_dimensions(spark: SparkSession, folder: str) -> DataFrame:
+    """The event job from CSV files to the tables it writes."""
+    warehouse = _new_warehouse(spark, "csv_event_dimensions")
+    root = new_run_folder(spark, "csv_event_dimensions")
     file_sinks.append_csv(inputs.gps_raw(spark, folder), f"{root}/gps")
     file_sinks.append_csv(inputs.status_raw(spark, folder), f"{root}/status")
-    gps = files.read_gps_csv(spark, f"{root}/gps").withColumn("feed", F.lit("gps"))
-    status = files.read_status_csv(spark, f"{root}/status").withColumn("feed", F.lit("status"))
+    jobs.load_event_dimensions(
+        warehouse,
+        files.read_gps_csv(spark, f"{root}/gps"),
+        files.read_status_csv(spark, f"{root}/status"),
+    )
+    gps, status = warehouse.table("gps_dim"), warehouse.table("status_dim")
     return gps.unionByName(status, allowMissingColumns=True)
 
 
@@ -368,14 +432,52 @@ def events_to_json(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def sink_overwrite_idempotent(spark: SparkSession, folder: str) -> DataFrame:
+    """Both dimensions after two loads, by content."""
     warehouse = _new_warehouse(spark, "sink_overwrite_idempotent")
     for _ in range(2):
         jobs.load_dimensions(
             warehouse, inputs.orders_raw(spark, folder), inputs.inventory_raw(spark, folder)
         )
-    return inspection.row_counts(
-        orders_dim=warehouse.table("orders_dim"), inventory_dim=warehouse.table("inventory_dim")
+    orders, inventory = warehouse.table("orders_dim"), warehouse.table("inventory_dim")
+    return orders.unionByName(inventory, allowMissingColumns=True)
+
+
+@registered
+def orders_load_job(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV to the orders table: a first load, one that is refused for a taken
+    key, one that is refused for a bad row, and one that skips what is loaded."""
+    warehouse = _new_warehouse(spark, "orders_load_job")
+    once = inputs.orders_text(spark, folder).dropDuplicates(["order_id"])
+    keyed = once.withColumn("status", F.lit("new")).withColumn("quantity", F.lit("1"))
+    keyed = keyed.select(
+        "order_id", "user_id", F.col("order_id").alias("item_id"), "quantity",
+        F.lit("2.50").alias("price"), "order_ts", "status",
     )
+    even = F.col("order_id").cast("bigint") % 2 == 0
+    first = _orders_csv(spark, keyed.filter(even), "orders_load_job")
+    everything = _orders_csv(spark, keyed, "orders_load_job")
+    broken = keyed.filter(~even).withColumn("price", F.lit("n/a"))
+    faulty = _orders_csv(spark, broken, "orders_load_job")
+    jobs.load_orders(warehouse, first)
+    for refused in (everything, faulty):
+        try:
+            jobs.load_orders(warehouse, refused)
+        except Exception as error:  # noqa: BLE001
+            if "nothing was loaded" not in str(error) and "bad price" not in str(error):
+                raise
+        else:
+            raise AssertionError("a load that should be refused was not")
+    jobs.load_orders(warehouse, everything, skip_loaded=True)
+    return warehouse.table("orders")
+
+
+@registered
+def describe_table(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _loaded_warehouse(spark, folder, "describe_table")
+    described = warehouse.describe("orders_dim").select("col_name", "data_type")
+    counts = inspection.describe_columns(warehouse.table("orders_dim"))
+    named = counts.select(F.col("column_name").alias("col_name"), "null_rows")
+    return described.join(named, "col_name")
 
 
 @registered

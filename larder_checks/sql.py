@@ -8,6 +8,21 @@ from __future__ import annotations
 
 import re
 
+STATUS_FAMILY = """CASE WHEN status LIKE '%deliv%' THEN 'delivered'
+                    WHEN status LIKE '%cancel%' THEN 'cancelled'
+                    WHEN status LIKE '%process%' THEN 'processing'
+                    WHEN status LIKE '%pending%' THEN 'pending'
+                    WHEN status LIKE '%ship%' THEN 'shipped'
+                    ELSE status END AS status"""
+
+DAILY_ORDERS = """
+        SELECT order_date, count(*) AS order_count FROM orders_fact
+        GROUP BY order_date ORDER BY order_date DESC LIMIT 10"""
+
+VOLUME = """
+        SELECT warehouse, name, count(*) AS volume FROM orders_fact
+        GROUP BY name, warehouse ORDER BY warehouse NULLS LAST, count(*) DESC"""
+
 PARTS = {
     "orders_source": """
         SELECT l_orderkey AS order_id, o_custkey AS user_id, CAST(l_partkey AS INTEGER) AS item_id,
@@ -46,14 +61,9 @@ PARTS = {
     "orders_standard": """
         SELECT * REPLACE (lower(trim(status)) AS status) FROM orders_complete""",
     "orders_distinct": "SELECT DISTINCT * FROM orders_standard",
-    "orders_dim": """
+    "orders_dim": f"""
         SELECT order_id, user_id, item_id, quantity, price, order_ts,
-               CASE WHEN status LIKE '%deliv%' THEN 'delivered'
-                    WHEN status LIKE '%cancel%' THEN 'cancelled'
-                    WHEN status LIKE '%process%' THEN 'processing'
-                    WHEN status LIKE '%pending%' THEN 'pending'
-                    WHEN status LIKE '%ship%' THEN 'shipped'
-                    ELSE status END AS status,
+               {STATUS_FAMILY},
                CAST(round(quantity * price, 2) AS DECIMAL(22,2)) AS total_order_value,
                CAST(order_ts AS DATE) AS order_date
         FROM orders_distinct WHERE status <> 'test'""",
@@ -141,6 +151,18 @@ PARTS = {
                           AND s.status_ts + INTERVAL 43200 SECOND""",
 }
 
+
+
+def _odd(column: str, key: str) -> str:
+    """The text with blanks, quotes, separators, line breaks, or empty."""
+    number = f"CAST({key} AS BIGINT) % 7"
+    return f"""CASE WHEN {number} = 0 THEN '  ' || {column} || ' '
+                    WHEN {number} = 1 THEN 'the "' || {column} || '" one'
+                    WHEN {number} = 2 THEN ''
+                    WHEN {number} = 3 THEN {column} || ',' || chr(10) || {column}
+                    ELSE {column} END AS {column}"""
+
+
 STATEMENTS = {
     # Missing values
     "orders_null_rows": """
@@ -172,14 +194,9 @@ STATEMENTS = {
         SELECT order_id, quantity, price,
                CAST(round(quantity * price, 2) AS DECIMAL(22,2)) AS total_order_value
         FROM orders_complete""",
-    "orders_status_norm": """
+    "orders_status_norm": f"""
         SELECT order_id, status AS raw_status,
-               CASE WHEN status LIKE '%deliv%' THEN 'delivered'
-                    WHEN status LIKE '%cancel%' THEN 'cancelled'
-                    WHEN status LIKE '%process%' THEN 'processing'
-                    WHEN status LIKE '%pending%' THEN 'pending'
-                    WHEN status LIKE '%ship%' THEN 'shipped'
-                    ELSE status END AS status
+               {STATUS_FAMILY}
         FROM orders_standard""",
     "orders_order_date": """
         SELECT order_id, order_ts, CAST(order_ts AS DATE) AS order_date FROM orders_raw""",
@@ -195,14 +212,9 @@ STATEMENTS = {
     "orders_drop_test": "SELECT * FROM orders_standard WHERE status <> 'test'",
     # Dimensions and facts
     "orders_dim": "SELECT * FROM orders_dim",
-    "orders_dim_filled": """
+    "orders_dim_filled": f"""
         SELECT order_id, user_id, item_id, quantity, price, order_ts,
-               CASE WHEN status LIKE '%deliv%' THEN 'delivered'
-                    WHEN status LIKE '%cancel%' THEN 'cancelled'
-                    WHEN status LIKE '%process%' THEN 'processing'
-                    WHEN status LIKE '%pending%' THEN 'pending'
-                    WHEN status LIKE '%ship%' THEN 'shipped'
-                    ELSE status END AS status,
+               {STATUS_FAMILY},
                CAST(round(quantity * price, 2) AS DECIMAL(22,2)) AS total_order_value,
                CAST(order_ts AS DATE) AS order_date
         FROM (SELECT DISTINCT order_id, user_id, item_id, coalesce(quantity, 0) AS quantity,
@@ -218,15 +230,11 @@ STATEMENTS = {
     "courier_tracking_within": "SELECT * FROM tracking_within",
     # Figures
     "fact_count": "SELECT count(*) AS row_count FROM orders_fact",
-    "daily_orders_top10": """
-        SELECT order_date, count(*) AS order_count FROM orders_fact
-        GROUP BY order_date ORDER BY order_date DESC LIMIT 10""",
+    "daily_orders_top10": DAILY_ORDERS,
     "avg_cart_value": """
         SELECT round(CAST(sum(total_order_value) AS DOUBLE) / count(total_order_value), 4)
                    AS avg_cart_value FROM orders_fact""",
-    "volume_by_warehouse_item": """
-        SELECT warehouse, name, count(*) AS volume FROM orders_fact
-        GROUP BY name, warehouse ORDER BY warehouse NULLS LAST, count(*) DESC""",
+    "volume_by_warehouse_item": VOLUME,
     "stock_alerts": """
         SELECT * FROM inventory_dim WHERE stock_flag IN ('Out of stock', 'Low stock')""",
     "stock_alert_counts": """
@@ -265,6 +273,21 @@ STATEMENTS = {
                   FROM orders_raw
         UNION ALL SELECT 7, 'status', 'string', false, count(*) - count(status)
                   FROM orders_raw""",
+    "orders_sample_check": """
+        SELECT 'sample' AS table_name, least(10, count(*)) AS row_count FROM orders_raw
+        UNION ALL SELECT 'no_orders', 0""",
+    "describe_table": """
+        SELECT 'order_id' AS col_name, 'bigint' AS data_type,
+               count(*) - count(order_id) AS null_rows FROM orders_dim
+        UNION ALL SELECT 'user_id', 'bigint', count(*) - count(user_id) FROM orders_dim
+        UNION ALL SELECT 'item_id', 'int', count(*) - count(item_id) FROM orders_dim
+        UNION ALL SELECT 'quantity', 'int', count(*) - count(quantity) FROM orders_dim
+        UNION ALL SELECT 'price', 'decimal(10,2)', count(*) - count(price) FROM orders_dim
+        UNION ALL SELECT 'order_ts', 'timestamp_ntz', count(*) - count(order_ts) FROM orders_dim
+        UNION ALL SELECT 'status', 'string', count(*) - count(status) FROM orders_dim
+        UNION ALL SELECT 'total_order_value', 'decimal(22,2)',
+                         count(*) - count(total_order_value) FROM orders_dim
+        UNION ALL SELECT 'order_date', 'date', count(*) - count(order_date) FROM orders_dim""",
     "schema_is_flat": """
         SELECT 'item_id' AS column_name, false AS is_nested,
                count(*) - count(item_id) AS null_rows FROM inventory_raw
@@ -275,7 +298,8 @@ STATEMENTS = {
         UNION ALL SELECT 'last_update', false, count(*) - count(last_update)
                   FROM inventory_raw""",
     # Loading and round trips
-    "csv_orders_ingest": "SELECT * FROM orders_source",
+    "csv_orders_ingest": f"""
+        SELECT * REPLACE ({_odd("status", "order_id")}) FROM orders_source""",
     "orders_accepted": """
         SELECT * FROM orders_source
         WHERE order_id % 41 <> 0 AND order_id % 43 <> 0 AND order_id % 47 <> 0""",
@@ -305,19 +329,36 @@ STATEMENTS = {
             OR order_id IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
     "orders_table_roundtrip": "SELECT * FROM orders_source",
     "json_inventory_ingest": "SELECT * FROM inventory_raw",
-    "csv_events_roundtrip": """
-        SELECT 'gps' AS feed, courier_id, lat, lon, ts, NULL AS order_id, NULL AS status
+    "json_inventory_whole": "SELECT * FROM inventory_raw",
+    "json_inventory_array": "SELECT * FROM inventory_raw",
+    "csv_events_roundtrip": f"""
+        SELECT 'gps' AS feed, {_odd("courier_id", "ts")}, lat, lon, ts, NULL AS order_id,
+               NULL AS status
         FROM gps_raw
-        UNION ALL SELECT 'status', courier_id, NULL, NULL, ts, order_id, status
+        UNION ALL SELECT 'status', courier_id, NULL, NULL, ts, order_id, {_odd("status", "ts")}
                   FROM status_raw""",
+    "csv_event_dimensions": """
+        SELECT courier_id, lat, lon, gps_ts, NULL AS order_id, NULL AS status,
+               CAST(NULL AS TIMESTAMP) AS status_ts FROM gps_dim
+        UNION ALL SELECT courier_id, NULL, NULL, NULL, order_id, status, status_ts
+                  FROM status_dim""",
+    "orders_load_job": """
+        SELECT o_orderkey AS order_id, o_custkey AS user_id,
+               CAST(o_orderkey AS INTEGER) AS item_id, 1 AS quantity,
+               CAST(2.50 AS DECIMAL(10,2)) AS price, o_orderdate AS order_ts, 'new' AS status
+        FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)""",
     "events_to_json": """
         SELECT '{"courier_id":"' || courier_id || '",'
                || CASE WHEN lat IS NULL THEN '' ELSE '"lat":"' || lat || '",' END
                || '"lon":"' || lon || '","ts":"' || ts || '"}' AS value
         FROM gps_raw""",
     "sink_overwrite_idempotent": """
-        SELECT 'orders_dim' AS table_name, count(*) AS row_count FROM orders_dim
-        UNION ALL SELECT 'inventory_dim', count(*) FROM inventory_dim""",
+        SELECT order_id, user_id, item_id, quantity, price, order_ts, status, total_order_value,
+               order_date, NULL AS name, NULL AS category, NULL AS warehouse,
+               NULL AS stock_level, CAST(NULL AS TIMESTAMP) AS last_update, NULL AS stock_flag
+        FROM orders_dim
+        UNION ALL SELECT NULL, NULL, item_id, NULL, NULL, NULL, NULL, NULL, NULL, name, category,
+                         warehouse, stock_level, last_update, stock_flag FROM inventory_dim""",
     "sink_partitioned_by_warehouse": "SELECT * FROM orders_fact",
     "sink_run_append": """
         SELECT *, 'first' AS run_id FROM orders_fact
@@ -328,12 +369,8 @@ STATEMENTS = {
                    AS avg_cart_value
         FROM orders_fact""",
     "sql_orders_fact": "SELECT * FROM orders_fact",
-    "sql_daily_orders": """
-        SELECT order_date, count(*) AS order_count FROM orders_fact
-        GROUP BY order_date ORDER BY order_date DESC LIMIT 10""",
-    "stored_volume_by_warehouse_item": """
-        SELECT warehouse, name, count(*) AS volume FROM orders_fact
-        GROUP BY name, warehouse ORDER BY warehouse NULLS LAST, count(*) DESC""",
+    "sql_daily_orders": DAILY_ORDERS,
+    "stored_volume_by_warehouse_item": VOLUME,
     "show_tables": """
         SELECT 'courier_tracking' AS table_name, count(*) AS row_count FROM courier_tracking
         UNION ALL SELECT 'gps_dim', count(*) FROM gps_dim
@@ -368,5 +405,5 @@ def oracle_statements() -> dict[str, str]:
     statements = {}
     for name, body in STATEMENTS.items():
         parts = ",\n".join(f"{part} AS ({PARTS[part]}\n)" for part in _needed(body))
-        statements[name] = f"WITH {parts}\n{body}"
+        statements[name] = f"WITH {parts}\n{body}" if parts else body
     return statements

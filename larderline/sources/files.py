@@ -13,39 +13,90 @@ from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, STATUS_EVE
 JSON_LAYOUTS = ("whole", "lines", "array_lines")
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+# Quotes within a quoted value are doubled, blanks belong to their
+# value, and an empty text is told from a missing one by its quotes. No text
+# equals the mark for missing values, so only a value that is not there is one.
+CSV_DIALECT = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\u0000",
+}
+# Holds a row that does not have the columns of its header.
+_TORN = "_row_as_it_came"
+
+
+def _declared(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns of rows that were read whole. A row torn at a line
+    break between quotes leaves a quote without its other half, and fails."""
+    quotes = F.length(_TORN) - F.length(F.replace(_TORN, F.lit('"'), F.lit("")))
+    whole = F.coalesce(quotes % 2 == 0, F.lit(True))
+    torn = F.concat(F.lit("row with a line break between quotes: "), F.col(_TORN))
+    return rows.filter(F.assert_true(whole, torn).isNull()).select(*schema.names)
+
+
+def _read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool
+) -> DataFrame:
     """The declared columns as text, found by their names in the header. Files
-    whose headers differ from each other are refused, not misread."""
-    reader = spark.read.option("header", True).option("enforceSchema", False)
-    return reader.csv(path).select(*schema.names)
+    whose headers differ from each other are refused, not misread.
+
+    A value between quotes may hold line breaks. One task has to read a whole
+    file that has such values, so they are announced by ``line_breaks``. Without
+    it files are split, and a value that holds one fails the job.
+    """
+    reader = spark.read.options(**CSV_DIALECT).option("enforceSchema", False)
+    if line_breaks:
+        return reader.option("multiLine", True).csv(path).select(*schema.names)
+    named = [T.StructField(name, T.StringType()) for name in reader.csv(path).columns]
+    marked = T.StructType([*named, T.StructField(_TORN, T.StringType())])
+    rows = reader.schema(marked).option("columnNameOfCorruptRecord", _TORN).csv(path)
+    return _declared(rows, schema)
 
 
-def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_orders_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
     """Orders as text; ``operators.loading`` types or rejects them."""
-    return _read_csv(spark, path, ORDERS)
+    return _read_csv(spark, path, ORDERS, line_breaks)
 
 
-def read_gps_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, GPS_EVENT)
+def read_gps_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    return _read_csv(spark, path, GPS_EVENT, line_breaks)
 
 
-def read_status_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, STATUS_EVENT)
+def read_status_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    return _read_csv(spark, path, STATUS_EVENT, line_breaks)
 
 
-def _stream_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _stream_csv(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None
+) -> DataFrame:
     """The same columns as files arrive. A stream cannot look into its files
     first: they must have these columns in this order, and are checked for it."""
-    reader = spark.readStream.schema(text_only(schema)).option("header", True)
-    return reader.option("enforceSchema", False).csv(path)
+    marked = T.StructType([*text_only(schema), T.StructField(_TORN, T.StringType())])
+    reader = spark.readStream.schema(marked).options(**CSV_DIALECT)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", _TORN)
+    return _declared(reader.csv(path), schema)
+
+
+def stream_gps_csv(
+    spark: SparkSession, path: str, files_per_batch: int | None = None
+) -> DataFrame:
+    return _stream_csv(spark, path, GPS_EVENT, files_per_batch)
 
 
-def stream_gps_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _stream_csv(spark, path, GPS_EVENT)
+def stream_status_csv(
+    spark: SparkSession, path: str, files_per_batch: int | None = None
+) -> DataFrame:
+    return _stream_csv(spark, path, STATUS_EVENT, files_per_batch)
 
 
-def stream_status_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _stream_csv(spark, path, STATUS_EVENT)
+def _field(document: Column, name: str) -> Column:
+    """A field by its name in any case; the first one, if several match."""
+    same = F.filter(F.map_entries(document), lambda x: F.lower(x.key) == name.lower())
+    return F.get(same, 0).value
 
 
 def read_inventory_json(spark: SparkSession, path: str, layout: str = "whole") -> DataFrame:
@@ -57,10 +108,24 @@ def read_inventory_json(spark: SparkSession, path: str, layout: str = "whole") -
     """
     if layout not in JSON_LAYOUTS:
         raise ValueError(f"layout must be one of {JSON_LAYOUTS}, not {layout!r}")
-    if layout != "array_lines":
-        reader = spark.read.schema(INVENTORY_DOCUMENT).option("mode", "FAILFAST")
-        return reader.option("multiLine", layout == "whole").json(path)
-    inside = F.regexp_replace(F.trim("value"), r"^[\[,\s]+|[\],\s]+$", "")
-    objects = spark.read.text(path).select(inside.alias("value")).filter("value != ''")
-    document = F.from_json("value", INVENTORY_DOCUMENT, {"mode": "FAILFAST"})
-    return objects.select(document.alias("document")).select("document.*")
+    if layout == "whole":
+        texts = spark.read.text(path, wholetext=True)
+        texts = texts.select(F.btrim("value", F.lit(" \t\r\n\ufeff")).alias("value"))
+    else:
+        texts = spark.read.text(path)
+        if layout == "array_lines":
+            # What a line holds, without what joins it to the lines around it.
+            inside = F.regexp_replace(F.trim("value"), r"^[\[,\s]+|[\],\s]+$", "")
+            texts = texts.select(inside.alias("value"))
+    # Read as the content of an array, a text with several documents gives all of
+    # them, and what is no document fails. All are arrays of arrays here.
+    array = F.when(F.startswith("value", F.lit("[")), F.col("value")).otherwise(
+        F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    )
+    nested = T.ArrayType(T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    content = F.concat(F.lit("["), array, F.lit("]"))
+    documents = F.flatten(F.from_json(content, nested, {"mode": "FAILFAST"}))
+    parsed = texts.filter(F.trim("value") != "").select(F.explode(documents).alias("document"))
+    return parsed.select(
+        *[_field(F.col("document"), name).alias(name) for name in INVENTORY_DOCUMENT.names]
+    )

@@ -21,6 +21,8 @@ WRITES = {name for name in QUERIES if name.startswith(("stream_", "sink_", "csv_
     "show_tables",
     "orders_accepted",
     "orders_quarantine",
+    "orders_load_job",
+    "describe_table",
     "orders_table_roundtrip",
     "sql_orders_fact",
     "sql_daily_orders",

@@ -52,6 +52,22 @@ def test_array_with_a_document_per_line(spark, tmp_path):
     assert documents.count() == 3
 
 
+@pytest.mark.parametrize("layout", ["array_lines", "whole"])
+def test_no_document_of_a_line_is_lost(spark, tmp_path, layout):
+    (tmp_path / "inventory.json").write_text(
+        '[{"item_id": 1}, {"item_id": 2},\n{"item_id": 3, "name": "a]"}\n,{"item_id": 4}]'
+    )
+    documents = files.read_inventory_json(spark, str(tmp_path), layout=layout)
+    assert [row.item_id for row in documents.collect()] == ["1", "2", "3", "4"]
+
+
+@pytest.mark.parametrize("layout", files.JSON_LAYOUTS)
+def test_fields_are_found_in_any_case(spark, tmp_path, layout):
+    (tmp_path / "inventory.json").write_text('{"Item_ID": 7, "warehouse": "East", "NAME": null}')
+    row = files.read_inventory_json(spark, str(tmp_path), layout).first()
+    assert (row.item_id, row.Warehouse, row.name) == ("7", "East", None)
+
+
 @pytest.mark.parametrize("layout", files.JSON_LAYOUTS)
 def test_malformed_documents_fail_the_job(spark, tmp_path, layout):
     (tmp_path / "inventory.json").write_text('[{"item_id": 1},\n{"item_id": 2')
@@ -79,6 +95,23 @@ def test_csv_appends_keep_one_header_per_file(spark, tmp_path):
     assert files.read_gps_csv(spark, str(tmp_path / "gps")).collect() == events.collect() * 2
 
 
+ODD_TEXTS = [" C001 ", "", None, 'said "test" ok', "back\\slash", "a,b", "\ttab", "null", "x\ny"]
+
+
+def test_csv_values_come_back_as_they_went(spark, tmp_path):
+    rows = [(text, str(n), text, "0") for n, text in enumerate(ODD_TEXTS)]
+    events = spark.createDataFrame(rows, text_only(GPS_EVENT))
+    file_sinks.append_csv(events, str(tmp_path / "gps"))
+    back = files.read_gps_csv(spark, str(tmp_path / "gps"), line_breaks=True)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == rows
+    with pytest.raises(Exception, match="line break between quotes"):
+        files.read_gps_csv(spark, str(tmp_path / "gps")).collect()
+    whole = events.filter("NOT contains(courier_id, chr(10)) OR courier_id IS NULL")
+    file_sinks.append_csv(whole, str(tmp_path / "plain"))
+    back = files.read_gps_csv(spark, str(tmp_path / "plain"))
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == rows[:-1]
+
+
 def test_orders_csv_is_text(spark, tmp_path):
     header = ",".join(ORDERS.names)
     (tmp_path / "orders.csv").write_text(f"{header}\n1,2,3,four,5.25,2025-07-01T08:00:00Z,new\n")
