@@ -483,17 +483,21 @@ def describe_table(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def sink_partitioned_by_warehouse(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{new_run_folder(spark, 'sink_partitioned_by_warehouse')}/orders_fact"
-    table_sinks.write_clustered(orders_fact(spark, folder), path, cluster_by="warehouse")
-    return spark.read.parquet(path)
+    # Names that are empty, or look like a number.
+    named = F.when(F.col("item_id") % 5 == 0, "").when(F.col("item_id") % 5 == 1, "007")
+    rows = orders_fact(spark, folder)
+    rows = rows.withColumn("warehouse", F.coalesce(named, F.col("warehouse")))
+    table_sinks.write_clustered(rows, path, cluster_by="warehouse")
+    return table_sinks.read_clustered(spark, path)
 
 
 @registered
 def sink_run_append(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{new_run_folder(spark, 'sink_run_append')}/orders_fact"
     rows = orders_fact(spark, folder)
-    for run_id in ("first", "second", "second"):
+    for run_id in ("001", "002", "002"):
         table_sinks.append_run(rows, path, run_id)
-    return spark.read.parquet(path)
+    return table_sinks.read_runs(spark, path)
 
 
 def _loaded_warehouse(spark: SparkSession, folder: str, purpose: str) -> Warehouse:
@@ -553,10 +557,20 @@ def show_tables(spark: SparkSession, folder: str) -> DataFrame:
     jobs.load_event_dimensions(
         warehouse, inputs.gps_raw(spark, folder), inputs.status_raw(spark, folder)
     )
-    jobs.load_facts(warehouse)
+    jobs.load_facts(warehouse, unbounded_tracking=True)
     return warehouse.tables()
 
 
+@registered
+def stored_tracking_within(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _loaded_warehouse(spark, folder, "stored_tracking_within")
+    jobs.load_event_dimensions(
+        warehouse, inputs.gps_raw(spark, folder), inputs.status_raw(spark, folder)
+    )
+    jobs.load_facts(warehouse, TRACKING_SECONDS)
+    return warehouse.table("courier_tracking")
+
+
 # Streams
 
 

@@ -359,10 +359,13 @@ STATEMENTS = {
         FROM orders_dim
         UNION ALL SELECT NULL, NULL, item_id, NULL, NULL, NULL, NULL, NULL, NULL, name, category,
                          warehouse, stock_level, last_update, stock_flag FROM inventory_dim""",
-    "sink_partitioned_by_warehouse": "SELECT * FROM orders_fact",
+    "sink_partitioned_by_warehouse": """
+        SELECT * REPLACE (CASE WHEN item_id % 5 = 0 THEN '' WHEN item_id % 5 = 1 THEN '007'
+                               ELSE warehouse END AS warehouse) FROM orders_fact""",
     "sink_run_append": """
-        SELECT *, 'first' AS run_id FROM orders_fact
-        UNION ALL SELECT *, 'second' FROM orders_fact""",
+        SELECT *, '001' AS run_id FROM orders_fact
+        UNION ALL SELECT *, '002' FROM orders_fact""",
+    "stored_tracking_within": "SELECT * FROM tracking_within",
     "fact_append_twice": """
         SELECT 2 * count(*) AS row_count,
                round(CAST(sum(total_order_value) AS DOUBLE) / count(total_order_value), 4)

@@ -37,7 +37,9 @@ def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
     replace.add_argument("--null-policy", choices=["drop", "fill"], default="drop")
     replace.add_argument("--orders-have-key", action="store_true")
     table_job("events", "replace the event dimensions", "gps-csv", "status-csv")
-    table_job("facts", "rebuild both facts from the dimensions")
+    rebuild = table_job("facts", "rebuild both facts from the dimensions")
+    rebuild.add_argument("--within-seconds", type=int, default=jobs.TRACKING_SECONDS)
+    rebuild.add_argument("--unbounded-tracking", action="store_true")
 
     stream = known.add_parser("stream", help="process what is new on the event topics")
     stream.add_argument("feed", choices=["gps", "status", "tracking"])
@@ -103,7 +105,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         status = files.read_status_csv(spark, args.status_csv)
         jobs.load_event_dimensions(warehouse, gps, status)
     else:
-        jobs.load_facts(warehouse)
+        jobs.load_facts(warehouse, args.within_seconds, args.unbounded_tracking)
         for row in jobs.quality_report(warehouse).collect():
             print(row.asDict())
 

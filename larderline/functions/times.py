@@ -43,8 +43,11 @@ def iso_to_timestamp(text: Column) -> Column:
 
 
 def slot(seconds: Column, within_seconds: int) -> Column:
-    """The slot of time, twice the bound long, that a moment falls into."""
-    return F.floor(seconds / (2 * within_seconds))
+    """The slot of time, twice the bound long, that a moment falls into; for a
+    bound of zero each second is one."""
+    if within_seconds < 0:
+        raise ValueError("the bound must not be negative")
+    return F.floor(seconds / max(1, 2 * within_seconds))
 
 
 def touched_slots(seconds: Column, within_seconds: int) -> Column:

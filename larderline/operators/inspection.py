@@ -23,6 +23,22 @@ def require_flat(df: DataFrame) -> DataFrame:
     return df
 
 
+def require_flat_texts(df: DataFrame) -> DataFrame:
+    """Rows of text columns; a text that is a JSON object or array, which is how
+    a nested value arrives in a text column, fails the job that reads it."""
+    nested = [
+        F.when(
+            F.json_array_length(f"`{name}`").isNotNull()
+            | F.json_object_keys(f"`{name}`").isNotNull(),
+            F.lit(name),
+        )
+        for name in df.columns
+    ]
+    names = F.concat_ws(",", *nested)
+    message = F.concat(F.lit("nested values in "), names)
+    return df.filter(F.assert_true(names == "", message).isNull())
+
+
 def describe_columns(df: DataFrame) -> DataFrame:
     """Position, name, type, nesting and number of NULLs of each column, in one
     pass over the table."""

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from larderline.operators.conform import inventory_columns
-from larderline.operators.inspection import require_flat
+from larderline.operators.inspection import require_flat, require_flat_texts
 from larderline.operators.loading import all_orders_or_fail, key_conflicts, new_rows
 from larderline.plans import dims, kpis
 from larderline.plans.warehouse import Warehouse
+from larderline.workspace import prepare, staged
+
+# Positions and status events further apart than this say nothing of each other.
+TRACKING_SECONDS = 3600
 
 
 def load_orders(
@@ -20,14 +24,16 @@ def load_orders(
     taken or repeated. With ``skip_loaded`` rows of taken keys are left out
     instead, so that a load which failed half-way can simply run again.
     """
-    incoming = all_orders_or_fail(text_rows)
     loaded = warehouse.table("orders")
-    if skip_loaded:
-        incoming = new_rows(incoming, loaded, "order_id")
-    refused = key_conflicts(incoming, loaded, "order_id").first()
-    if refused is not None:
-        raise ValueError(f"order {refused.order_id}: {refused.reason}; nothing was loaded")
-    warehouse.append("orders", incoming)
+    prepare(warehouse.spark, text_rows, loaded)
+    # Typed once; checked and added from what was staged.
+    with staged(all_orders_or_fail(text_rows), "orders") as incoming:
+        if skip_loaded:
+            incoming = new_rows(incoming, loaded, "order_id")
+        refused = key_conflicts(incoming, loaded, "order_id").first()
+        if refused is not None:
+            raise ValueError(f"order {refused.order_id}: {refused.reason}; nothing was loaded")
+        warehouse.append("orders", incoming)
 
 
 def load_dimensions(
@@ -38,8 +44,10 @@ def load_dimensions(
     orders_have_key: bool = False,
 ) -> None:
     """Replace the orders and inventory dimensions."""
+    prepare(warehouse.spark, orders, documents)
     orders_rows = dims.orders_dim(require_flat(orders), null_policy, orders_have_key)
-    stock_rows = dims.inventory_dim(require_flat(inventory_columns(documents)), null_policy)
+    stock = require_flat_texts(require_flat(inventory_columns(documents)))
+    stock_rows = dims.inventory_dim(stock, null_policy)
     warehouse.replace("orders_dim", orders_rows)
     warehouse.replace("inventory_dim", stock_rows)
 
@@ -48,18 +56,27 @@ def load_event_dimensions(
     warehouse: Warehouse, gps_events: DataFrame, status_events: DataFrame
 ) -> None:
     """Replace the position and status dimensions."""
+    prepare(warehouse.spark, gps_events, status_events)
     warehouse.replace("gps_dim", dims.gps_dim(gps_events))
     warehouse.replace("status_dim", dims.status_dim(status_events))
 
 
-def load_facts(warehouse: Warehouse) -> None:
+def load_facts(
+    warehouse: Warehouse,
+    within_seconds: int = TRACKING_SECONDS,
+    unbounded_tracking: bool = False,
+) -> None:
     """Rebuild both facts from the stored dimensions.
 
-    A run replaces the facts, so running it twice does not double them; use
-    ``Warehouse.append`` where doubling is wanted.
+    Courier tracking holds the pairs at most ``within_seconds`` apart. All pairs
+    of a courier, which grow with the square of its events, are built only if
+    asked for. A run replaces the facts, so running it twice does not double
+    them; use ``Warehouse.append`` where doubling is wanted.
     """
+    prepare(warehouse.spark, *[warehouse.table(name) for name in kpis.CHECKED_COLUMNS])
     warehouse.replace("orders_fact", warehouse.build_orders_fact())
-    warehouse.replace("courier_tracking", warehouse.build_courier_tracking())
+    bound = None if unbounded_tracking else within_seconds
+    warehouse.replace("courier_tracking", warehouse.build_courier_tracking(bound))
 
 
 def stock_report(warehouse: Warehouse) -> DataFrame:

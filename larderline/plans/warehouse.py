@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larderline.operators.inspection import row_counts
-from larderline.plans.facts import courier_tracking, orders_fact
+from larderline.plans.facts import courier_tracking, courier_tracking_within, orders_fact
 from larderline.schemas import ORDERS, WAREHOUSE_TABLES, require
-from larderline.workspace import newest_complete
+from larderline.workspace import drop_folder, newest_complete
 
 
 def _columns(schema: T.StructType) -> str:
@@ -21,6 +21,9 @@ def _columns(schema: T.StructType) -> str:
 
 # Each table has two folders: one that is read, one for the next load.
 FOLDERS = ("load-a", "load-b")
+# Columns that the rows of a file are sorted by, so that a reader of some days
+# skips the rest of it.
+SORTED_BY = {"orders_dim": "order_date", "orders_fact": "order_date"}
 
 
 class Warehouse:
@@ -68,10 +71,17 @@ class Warehouse:
         read_now = self._location(table).rsplit("/", 1)[-1]
         free = FOLDERS[1] if read_now == FOLDERS[0] else FOLDERS[0]
         location = f"{self.root}/{table}/{free}"
+        if table in SORTED_BY:
+            rows = rows.sortWithinPartitions(SORTED_BY[table])
         require(rows, WAREHOUSE_TABLES[table]).write.mode("overwrite").parquet(location)
         self.spark.sql(f"ALTER TABLE {self.name(table)} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(self.name(table))
 
+    def drop(self) -> None:
+        """Remove the schema with its tables and files."""
+        self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
+        drop_folder(self.spark, self.root)
+
     def append(self, table: str, rows: DataFrame) -> None:
         """Add rows, also if the table already has them: two loads of the same
         rows double them."""
@@ -84,8 +94,12 @@ class Warehouse:
     def build_orders_fact(self) -> DataFrame:
         return orders_fact(self.table("orders_dim"), self.table("inventory_dim"))
 
-    def build_courier_tracking(self) -> DataFrame:
-        return courier_tracking(self.table("gps_dim"), self.table("status_dim"))
+    def build_courier_tracking(self, within_seconds: int | None = None) -> DataFrame:
+        """The pairs within the bound; without one, all pairs of a courier."""
+        gps, status = self.table("gps_dim"), self.table("status_dim")
+        if within_seconds is None:
+            return courier_tracking(gps, status)
+        return courier_tracking_within(gps, status, within_seconds)
 
     def tables(self) -> DataFrame:
         """The tables of the schema with their number of rows."""

@@ -2,9 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Names the sub-folder of a value: ``v`` and the value, or ``none``. A folder
+# named by the value alone would not tell an empty text from none, nor 007 from 7.
+_FOLDER = "cluster_folder"
+_RUN = "run_id"
+
+
+def _folder_of(value: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("v"), value.cast("string")), F.lit("none"))
 
 
 def write_clustered(rows: DataFrame, path: str, cluster_by: str | None = None) -> None:
@@ -18,13 +31,42 @@ def write_clustered(rows: DataFrame, path: str, cluster_by: str | None = None) -
         rows.write.mode("overwrite").parquet(path)
     else:
         together = rows.hint("rebalance", cluster_by)
-        together.write.mode("overwrite").partitionBy(cluster_by).parquet(path)
+        named = together.withColumn(_FOLDER, _folder_of(F.col(cluster_by)))
+        named.write.mode("overwrite").partitionBy(_FOLDER).parquet(path)
+
+
+def read_clustered(
+    spark: SparkSession, path: str, only: Sequence[object] | None = None
+) -> DataFrame:
+    """What ``write_clustered`` wrote, with the values and types it had. Of some
+    values ``only``, no other sub-folder is read."""
+    rows = _with_text(spark, path, _FOLDER)
+    if only is not None:
+        rows = rows.filter(F.col(_FOLDER).isin([f"v{x}" if x is not None else "none" for x in only]))
+    return rows.drop(_FOLDER)
+
+
+def _with_text(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """The table, the named folder column read as the text it is."""
+    found = spark.read.parquet(path).schema
+    declared = [
+        T.StructField(field.name, T.StringType() if field.name == column else field.dataType)
+        for field in found
+    ]
+    return spark.read.schema(T.StructType(declared)).parquet(path)
 
 
 def append_run(rows: DataFrame, path: str, run_id: str) -> None:
     """Add the rows of one run. The run owns a sub-folder, so running it again
     replaces its rows instead of adding them twice."""
-    rows.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError(f"a run id has letters, digits and ._- only, not {run_id!r}")
+    rows.write.mode("overwrite").parquet(f"{path}/{_RUN}={run_id}")
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all runs, with the run id as it was given."""
+    return _with_text(spark, path, _RUN)
 
 
 def write_jdbc(

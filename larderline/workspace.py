@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import math
+import re
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +38,15 @@ SHUFFLE_BYTES = 256 * 2**20
 MOST_TASKS = 100_000
 # Rows in a shuffle take about this many times their bytes in a Parquet file.
 UNPACKED = 2
+# Spark's estimate for a source whose size it cannot tell.
+NO_SIZE = 2**63 - 1
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """Give a session that was built elsewhere the settings the jobs count on."""
+    for key, value in SESSION_SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
 
 
 def build_session(app_name: str, **settings: str) -> SparkSession:
@@ -61,6 +72,22 @@ def task_sizes(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+def _scanned_bytes(rows: DataFrame) -> int:
+    """What the sources of a plan hold, as Spark estimates it. Sources that give
+    no size, such as a database, count as nothing."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(n).stats().sizeInBytes()) for n in range(leaves.size())]
+    return sum(size for size in sizes if size < NO_SIZE)
+
+
+def prepare(spark: SparkSession, *inputs: DataFrame) -> None:
+    """Make a session ready for a job over the inputs: settings and task sizes."""
+    apply_settings(spark)
+    input_bytes = sum(_scanned_bytes(rows) for rows in inputs)
+    for key, value in task_sizes(input_bytes, spark.sparkContext.defaultParallelism).items():
+        spark.conf.set(key, value)
+
+
 def fit_tasks(spark: SparkSession, *paths: str) -> None:
     """Fit the session to the files below the paths."""
     input_bytes = 0
@@ -84,7 +111,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    # All tasks of this master run in this process; those of local-cluster do not.
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         return _local_folder()
     raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
@@ -95,6 +123,23 @@ def new_run_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/larderline/{application}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextlib.contextmanager
+def staged(rows: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The rows, written to the shared folder for as long as the block runs."""
+    spark = rows.sparkSession
+    path = new_run_folder(spark, purpose)
+    try:
+        rows.write.parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        drop_folder(spark, path)
+
+
 def newest_complete(spark: SparkSession, folders: Sequence[str]) -> str | None:
     """The folder whose last Spark write finished latest, if any did."""
     finished = {}

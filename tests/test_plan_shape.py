@@ -22,6 +22,7 @@ WRITES = {name for name in QUERIES if name.startswith(("stream_", "sink_", "csv_
     "orders_accepted",
     "orders_quarantine",
     "orders_load_job",
+    "stored_tracking_within",
     "describe_table",
     "orders_table_roundtrip",
     "sql_orders_fact",

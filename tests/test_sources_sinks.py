@@ -139,7 +139,7 @@ def test_clustered_write_leaves_few_files(spark, tmp_path, tables):
     )
     scattered = fact.repartition(16)
     table_sinks.write_clustered(scattered, str(tmp_path / "fact"), cluster_by="warehouse")
-    folders = list((tmp_path / "fact").glob("warehouse=*"))
+    folders = list((tmp_path / "fact").glob("cluster_folder=*"))
     assert len(folders) > 10
     for folder in folders:
         assert len(list(folder.glob("*.parquet"))) == 1
