@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from larderline.llm import decontaminate, line_chunks, packing, quality, simhash
-from larderline.llm.common import stored
+from larderline.llm.common import equip, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,17 +30,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
+    equip(spark)
     return simhash.drop_near_copies(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item go."""
+    equip(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.drop_contaminated(docs, items)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their token ids and places in sequences."""
+    equip(spark)
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return packing.pack(docs, vocabulary).withColumnRenamed("id", "doc_id")
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import io
+import pathlib
+import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import larderline
 from larderline.workspace import new_run_folder
 
 # ASCII blanks: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -17,6 +21,30 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 BROADCAST_ROWS = 200_000
 
 
+# Applications whose Python workers have been given this package.
+_EQUIPPED: set[str] = set()
+
+
+def equip(spark: SparkSession) -> None:
+    """Give this package to the application's Python workers, through the shared
+    folder, so that they need not have it installed. Done once."""
+    context = spark.sparkContext
+    if context.applicationId in _EQUIPPED:
+        return
+    content = io.BytesIO()
+    root = pathlib.Path(larderline.__file__).parent
+    with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    path = f"{new_run_folder(spark, 'package')}/larderline.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(content.getvalue()))
+    stream.close()
+    context.addPyFile(path)
+    _EQUIPPED.add(context.applicationId)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, with ``value`` worked out once however often it is used."""
     return F.transform(F.array(value), body)[0]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larderline.llm.common import equip
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -13,8 +16,13 @@ SQL: dict[str, str] = {}
 
 
 def registered(query: Query) -> Query:
-    QUERIES[query.__name__] = query
-    return query
+    @functools.wraps(query)
+    def equipped(spark: SparkSession, folder: str) -> DataFrame:
+        equip(spark)
+        return query(spark, folder)
+
+    QUERIES[query.__name__] = equipped
+    return equipped
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
