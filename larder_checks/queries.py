@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from larderline.functions.labels import order_status, order_value, stock_flag
 from larderline.operators import conform, inspection, loading, nulls
@@ -17,7 +18,7 @@ from larderline.sinks import tables as table_sinks
 from larderline.sinks import topics as topic_sinks
 from larderline.sources import files, topics
 from larderline.schemas import INVENTORY_DOCUMENT
-from larderline.streaming import events, sinks
+from larderline.streaming import events, late, sinks
 from larderline.workspace import new_run_folder, remembered
 from larder_checks import inputs
 
@@ -27,6 +28,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 # stream, where the batch fact has no bound.
 TRACKING_SECONDS = 43_200
 LATE_BY = "1 day"
+LATE_SECONDS = 86_400
+# Batches that the events of a stream with state come in.
+DELIVERIES = 3
 
 QUERIES: dict[str, Query] = {}
 
@@ -574,18 +578,54 @@ def stored_tracking_within(spark: SparkSession, folder: str) -> DataFrame:
 # Streams
 
 
-def _gps_stream(spark: SparkSession, folder: str, root: str) -> DataFrame:
-    topic_sinks.publish_to_folder(inputs.gps_raw(spark, folder), f"{root}/gps_topic")
-    messages = topics.folder_stream(spark, f"{root}/gps_topic")
+def _messages(
+    spark: SparkSession, rows: DataFrame, path: str, deliveries: int
+) -> DataFrame:
+    """The rows as messages that arrive in several deliveries, one a batch. They
+    come in order of time, but for some that come a delivery late."""
+    if deliveries == 1:
+        topic_sinks.publish_to_folder(rows, path)
+        return topics.folder_stream(spark, path)
+    second = F.col("ts").cast("bigint")
+    bounds = rows.filter(second < 4_000_000_000).agg(F.min(second), F.max(second)).first()
+    first, last = (bound or 0 for bound in bounds)
+    number = F.floor((second - first) * deliveries / (last - first + 1))
+    delivery = F.least(number + F.when(second % 50 == 0, 1).otherwise(0), F.lit(deliveries - 1))
+    numbered = rows.withColumn("delivery", delivery)
+    for at in range(deliveries):
+        arriving = numbered.filter(F.col("delivery") == at).drop("delivery")
+        topic_sinks.publish_to_folder(arriving.coalesce(1), path)
+    return topics.folder_stream(spark, path, files_per_batch=1)
+
+
+def _gps_stream(
+    spark: SparkSession, folder: str, root: str, deliveries: int = 1
+) -> DataFrame:
+    rows = inputs.gps_raw(spark, folder)
+    messages = _messages(spark, rows, f"{root}/gps_topic", deliveries)
     return dims.gps_dim(topics.gps_events(messages))
 
 
-def _status_stream(spark: SparkSession, rows: DataFrame, root: str) -> DataFrame:
-    topic_sinks.publish_to_folder(rows, f"{root}/status_topic")
-    messages = topics.folder_stream(spark, f"{root}/status_topic")
+def _status_stream(
+    spark: SparkSession, rows: DataFrame, root: str, deliveries: int = 1
+) -> DataFrame:
+    messages = _messages(spark, rows, f"{root}/status_topic", deliveries)
     return dims.status_dim(topics.status_events(messages))
 
 
+def _split(stream: DataFrame, moment: str, path: str) -> tuple[DataFrame, DataFrame]:
+    """The stream of what comes in time, and the table of what comes late."""
+    late.split_late(stream, moment, LATE_SECONDS, path, f"{path}/checkpoint").awaitTermination()
+    spark = stream.sparkSession
+    return late.on_time(spark, path, stream, files_per_batch=4), late.late_rows(spark, path, stream)
+
+
+def _nothing_dropped(query: StreamingQuery) -> None:
+    query.awaitTermination()
+    if sinks.dropped_rows(query):
+        raise AssertionError("rows that came in time were dropped")
+
+
 @registered
 def stream_gps_clean(spark: SparkSession, folder: str) -> DataFrame:
     root = new_run_folder(spark, "stream_gps_clean")
@@ -614,18 +654,22 @@ def stream_status_from_csv(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def stream_courier_tracking(spark: SparkSession, folder: str) -> DataFrame:
     root = new_run_folder(spark, "stream_courier_tracking")
-    busy = remembered(
-        spark, f"{root}/busy", lambda: events.busy_couriers(gps_clean(spark, folder))
-    )
-    tracked = events.track_couriers(
-        _gps_stream(spark, folder, root),
-        _status_stream(spark, inputs.status_raw(spark, folder), root),
+    gps, status = gps_clean(spark, folder), status_clean(spark, folder)
+    busy = remembered(spark, f"{root}/busy", lambda: events.busy_couriers(gps, status))
+    positions = _gps_stream(spark, folder, root, DELIVERIES)
+    changes = _status_stream(spark, inputs.status_raw(spark, folder), root, DELIVERIES)
+    positions, late_gps = _split(positions, "gps_ts", f"{root}/gps")
+    changes, late_status = _split(changes, "status_ts", f"{root}/status")
+    tracked = events.track_couriers(positions, changes, TRACKING_SECONDS, LATE_BY, busy)
+    _nothing_dropped(sinks.append_to_folder(tracked, f"{root}/tracking", f"{root}/checkpoint"))
+    caught_up = facts.late_tracking(
+        late.on_time_rows(spark, f"{root}/gps", late_gps),
+        late.on_time_rows(spark, f"{root}/status", late_status),
+        late_gps,
+        late_status,
         TRACKING_SECONDS,
-        LATE_BY,
-        busy,
     )
-    sinks.append_to_folder(tracked, f"{root}/tracking", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/tracking")
+    return spark.read.parquet(f"{root}/tracking").unionByName(caught_up)
 
 
 @registered
@@ -634,13 +678,17 @@ def stream_status_counts(spark: SparkSession, folder: str) -> DataFrame:
     stream = _status_stream(spark, inputs.status_raw(spark, folder), root)
     counts = events.status_counts(stream)
     sinks.keep_latest(counts, f"{root}/counts", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/counts")
+    return sinks.read_latest(spark, f"{root}/counts")
 
 
 @registered
 def stream_dedup_watermark(spark: SparkSession, folder: str) -> DataFrame:
     root = new_run_folder(spark, "stream_dedup_watermark")
-    stream = _status_stream(spark, inputs.status_redelivered(spark, folder), root)
+    rows = inputs.status_redelivered(spark, folder)
+    stream = _status_stream(spark, rows, root, DELIVERIES)
+    stream, late_status = _split(stream, "status_ts", f"{root}/status")
     once = events.without_repeats(stream, LATE_BY)
-    sinks.append_to_folder(once, f"{root}/once", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/once")
+    _nothing_dropped(sinks.append_to_folder(once, f"{root}/once", f"{root}/checkpoint"))
+    # A copy that came late may have come in time before.
+    found = spark.read.parquet(f"{root}/once")
+    return found.unionByName(late_status.distinct().exceptAll(found))

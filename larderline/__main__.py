@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from larderline.plans import dims, jobs
 from larderline.plans.warehouse import Warehouse
 from larderline.sources import files, topics
-from larderline.streaming import events, sinks
+from larderline.streaming import events, late, sinks
 from larderline.workspace import build_session, fit_tasks, remembered
 
+# State of a stream is split so unless said otherwise.
+STATE_PARTITIONS = 200
 # Arguments that name input files.
 INPUTS = ("orders_csv", "inventory_json", "gps_csv", "status_csv")
 
@@ -54,14 +56,24 @@ def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
     stream.add_argument("--within-seconds", type=int, default=3600)
     stream.add_argument("--late-by", default="1 day")
     stream.add_argument("--positions", help="stored positions that show who is busy")
+    stream.add_argument("--changes", help="stored status events that show who is busy")
+    stream.add_argument("--late", help="folder for rows behind the watermark (tracking)")
+    stream.add_argument("--rows-per-batch", type=int, help="of a broker's topic")
+    stream.add_argument("--files-per-batch", type=int, help="of a folder of messages")
+    stream.add_argument(
+        "--state-partitions",
+        type=int,
+        default=STATE_PARTITIONS,
+        help="tasks that share the state; fixed once a checkpoint is in use",
+    )
     return parser.parse_args(words)
 
 
 def _feed(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     def messages(topic: str) -> DataFrame:
         if args.servers is not None:
-            return topics.topic_stream(spark, args.servers, topic)
-        return topics.folder_stream(spark, f"{args.folder}/{topic}")
+            return topics.topic_stream(spark, args.servers, topic, args.rows_per_batch)
+        return topics.folder_stream(spark, f"{args.folder}/{topic}", args.files_per_batch)
 
     def gps() -> DataFrame:
         return dims.gps_dim(topics.gps_events(messages(args.gps_topic)))
@@ -74,15 +86,30 @@ def _feed(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.feed == "status":
         return status()
     busy = None
-    if args.positions is not None:
-        history = spark.read.parquet(args.positions)
+    if args.positions is not None and args.changes is not None:
+        stored = [spark.read.parquet(path) for path in (args.positions, args.changes)]
         list_path = f"{args.checkpoint}-busy"
-        busy = remembered(spark, list_path, lambda: events.busy_couriers(history))
-    return events.track_couriers(gps(), status(), args.within_seconds, args.late_by, busy)
+        busy = remembered(spark, list_path, lambda: events.busy_couriers(*stored))
+    feeds = {"gps_ts": gps(), "status_ts": status()}
+    if args.late is not None:
+        feeds = {moment: _in_time(feed, moment, args) for moment, feed in feeds.items()}
+    return events.track_couriers(*feeds.values(), args.within_seconds, args.late_by, busy)
+
+
+def _in_time(feed: DataFrame, moment: str, args: argparse.Namespace) -> DataFrame:
+    """The feed without its late rows, which stay in a folder of their own."""
+    spark, path = feed.sparkSession, f"{args.late}/{moment}"
+    bound = spark.sql(f"SELECT CAST(INTERVAL {args.late_by} AS INTERVAL SECOND)").first()[0]
+    seconds = int(bound.total_seconds())
+    query = late.split_late(feed, moment, seconds, path, f"{path}/checkpoint", args.every)
+    if args.every is None:
+        query.awaitTermination()
+    return late.on_time(spark, path, feed, args.files_per_batch)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "stream":
+        spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
         feed = _feed(spark, args)
         query = sinks.append_to_folder(feed, args.target, args.checkpoint, args.every)
         query.awaitTermination()

@@ -28,6 +28,21 @@ def courier_tracking(
     )
 
 
+def late_tracking(
+    gps: DataFrame,
+    status: DataFrame,
+    late_gps: DataFrame,
+    late_status: DataFrame,
+    within_seconds: int,
+) -> DataFrame:
+    """The pairs that a stream over ``gps`` and ``status`` missed, because one of
+    the two rows came late."""
+    everything = status.unionByName(late_status)
+    return courier_tracking_within(late_gps, everything, within_seconds).unionByName(
+        courier_tracking_within(gps, late_status, within_seconds)
+    )
+
+
 def courier_tracking_within(
     gps: DataFrame,
     status: DataFrame,

@@ -7,14 +7,17 @@ checkpoint continues where the last run ended.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from larderline.workspace import newest_complete
 
-def _writer(
+
+def batch_writer(
     stream: DataFrame, mode: str, checkpoint: str, every: str | None
 ) -> DataStreamWriter:
+    """Writes what is there and stops, or goes on at the interval."""
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if every is None:
         return writer.trigger(availableNow=True)
@@ -25,7 +28,7 @@ def append_to_folder(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Add new rows to a Parquet folder, each exactly once."""
-    return _writer(stream, "append", checkpoint, every).format("parquet").start(path)
+    return batch_writer(stream, "append", checkpoint, every).format("parquet").start(path)
 
 
 def load_batches(
@@ -37,16 +40,41 @@ def load_batches(
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return _writer(stream, "append", checkpoint, every).foreachBatch(load).start()
+    return batch_writer(stream, "append", checkpoint, every).foreachBatch(load).start()
 
 
 def keep_latest(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Replace the folder with the complete result after each batch; for small
-    running totals."""
+    """Write the complete result after each batch, for ``read_latest``; for small
+    running totals. Batches take turns with two folders, so the last result that
+    was written whole stays while the next one is written."""
 
     def replace(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        current = newest_complete(batch.sparkSession, _turns(path))
+        first, second = _turns(path)
+        batch.write.mode("overwrite").parquet(second if current == first else first)
+
+    return batch_writer(stream, "complete", checkpoint, every).foreachBatch(replace).start()
+
+
+def _turns(path: str) -> tuple[str, str]:
+    return f"{path}/total-a", f"{path}/total-b"
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete result that ``keep_latest`` has written."""
+    current = newest_complete(spark, _turns(path))
+    if current is None:
+        raise FileNotFoundError(f"no result yet in {path}")
+    return spark.read.parquet(current)
+
 
-    return _writer(stream, "complete", checkpoint, every).foreachBatch(replace).start()
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that the query's stateful steps dropped behind the watermark, in the
+    batches it still reports on."""
+    return sum(
+        step["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for step in progress["stateOperators"]
+    )

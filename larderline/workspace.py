@@ -28,6 +28,8 @@ SESSION_SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Both sides of a stream join in one store.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.ui.enabled": "false",
 }
 

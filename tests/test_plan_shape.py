@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from larderline.operators import joins, nulls
 from larderline.plans import dims, kpis
 from larderline.plans.facts import orders_fact
-from larderline.schemas import INVENTORY_DIM, ORDERS, ORDERS_DIM
+from larderline.plans.warehouse import Warehouse
+from larderline.schemas import INVENTORY_DIM, ORDERS, ORDERS_DIM, ORDERS_FACT
 from larder_checks.queries import QUERIES
 
 # These write tables or start streams while they are built.
@@ -142,3 +143,31 @@ def test_a_short_list_of_heavy_keys_is_broadcast_and_a_long_one_is_not(
     long = joins.many_to_many(left, right, "k", pairs_per_task=1000)
     assert "BroadcastExchange" not in plan(long)
     assert long.count() == short.count() == 20 * 200 * 100
+
+
+def test_some_days_of_a_stored_fact_are_read_without_the_rest(spark, tmp_path):
+    warehouse = Warehouse(spark, "pruned", str(tmp_path / "pruned")).create()
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 1000).cast("int"))
+    rows = spark.range(0, 400_000, numPartitions=1).select(
+        *[
+            (day if field.name == "order_date" else F.col("id")).cast(field.dataType).alias(field.name)
+            for field in ORDERS_FACT
+        ]
+    )
+    try:
+        warehouse.replace("orders_fact", rows)
+        table = warehouse.table("orders_fact")
+        latest = table.filter(F.col("order_date") >= F.lit("2022-09-17").cast("date"))
+        assert "PushedFilters: [IsNotNull(order_date), GreaterThanOrEqual(order_date" in plan(latest)
+        assert latest.count() == 10 * 400
+        assert rows_scanned(latest) < 40_000
+    finally:
+        warehouse.drop()
+
+
+def rows_scanned(df):
+    """Rows that come out of the scan, before the filter looks at them."""
+    df.collect()
+    plan_now = df._jdf.queryExecution().executedPlan()
+    leaves = plan_now.collectLeaves()
+    return leaves.apply(0).metrics().apply("numOutputRows").value()

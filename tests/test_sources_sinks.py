@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import pathlib
 
 import pytest
 
@@ -145,6 +146,27 @@ def test_clustered_write_leaves_few_files(spark, tmp_path, tables):
         assert len(list(folder.glob("*.parquet"))) == 1
 
 
+def test_clustered_values_and_run_ids_stay_as_they_are(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("", 1), ("007", 2), (None, 3), ("none", 4), ("a/b=c", 5), ("7", 6)], "w string, n int"
+    )
+    path = str(tmp_path / "clustered")
+    table_sinks.write_clustered(rows, path, cluster_by="w")
+    back = table_sinks.read_clustered(spark, path)
+    assert back.schema == rows.schema
+    assert sorted(back.collect(), key=lambda r: r.n) == rows.collect()
+    some = table_sinks.read_clustered(spark, path, only=["", None])
+    assert sorted(row.n for row in some.collect()) == [1, 3]
+    assert "PartitionFilters: [cluster_folder" in some._jdf.queryExecution().toString()
+    runs = str(tmp_path / "runs")
+    for run_id in ("007", "08"):
+        table_sinks.append_run(rows, runs, run_id)
+    found = table_sinks.read_runs(spark, runs)
+    assert {row.run_id for row in found.collect()} == {"007", "08"}
+    with pytest.raises(ValueError, match="run id"):
+        table_sinks.append_run(rows, runs, "a/b")
+
+
 def test_partitioned_table_scan_options():
     options = databases.jdbc_options(
         "jdbc:x", "orders", {"user": "u"}, key="order_id", bounds=(1, 9), connections=4
@@ -185,13 +207,47 @@ def test_tasks_fit_files(spark, tables):
     assert after == {keys[0]: "8", keys[1]: str(128 * 2**20)}
 
 
-def test_cluster_must_name_a_shared_folder():
+def test_a_job_makes_a_plain_session_ready(spark, tables):
+    """Settings that another session lacks, and partitions by the input's size."""
+    changed = {
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+        "spark.sql.shuffle.orderIndependentChecksum.enabled": "false",
+        "spark.sql.shuffle.partitions": "200",
+    }
+    before = {key: spark.conf.get(key) for key in [*changed, "spark.sql.files.maxPartitionBytes"]}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        lines = spark.read.parquet(f"{tables}/lineitem.parquet")
+        workspace.prepare(spark, lines, spark.createDataFrame([(1,)], "n int"))
+        after = [spark.conf.get(key) for key in changed]
+        size = workspace._scanned_bytes(lines)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert after == ["true", "true", "8"]
+    assert 0 < size < 10**8
+    assert workspace._scanned_bytes(spark.createDataFrame([(1,)], "n int")) < 10**6
+
+
+def test_a_staged_table_goes_after_its_use(spark):
+    with workspace.staged(spark.range(5), "staged") as rows:
+        assert rows.count() == 5
+        path = rows.inputFiles()[0].removeprefix("file:").lstrip("/")
+        assert pathlib.Path("/" + path).exists()
+    assert not pathlib.Path("/" + path).exists()
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_cluster_must_name_a_shared_folder(master):
     class Conf:
         def get(self, _key, default):
             return default
 
     class Context:
-        master = "yarn"
+        pass
+
+    Context.master = master
 
     class Session:
         conf = Conf()

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from larderline.plans import dims, facts
 from larderline.sinks.topics import publish_to_folder
 from larderline.sources import files, topics
-from larderline.streaming import events, sinks
+from larderline.streaming import events, late, sinks
 from larderline.workspace import remembered
 from larder_checks import inputs
 
@@ -31,7 +32,10 @@ class Topic:
     def arrive(self, *messages):
         self.files += 1
         lines = "\n".join(m if isinstance(m, str) else json.dumps(m) for m in messages)
-        (self.path / f"{self.files:03}.txt").write_text(lines)
+        file = self.path / f"{self.files:03}.txt"
+        file.write_text(lines)
+        # Files are read in order of their times, which may else be the same.
+        os.utime(file, (START + self.files, START + self.files))
 
 
 @pytest.fixture
@@ -126,14 +130,15 @@ def test_order_ids_sent_as_text(spark, tmp_path, status):
     assert rows[0].courier_id == "c001"
 
 
-@pytest.mark.parametrize("parts", [None, 5])
+@pytest.mark.parametrize("parts", [None, (5, 1), (1, 4), (3, 2)])
 def test_tracking_is_exact_at_the_bound(spark, tmp_path, gps, status, parts):
     hour = 3600
     gps.arrive(*[position("C001", s) for s in (0, hour, hour + 1, 2 * hour, 5 * hour)])
     gps.arrive(position("C002", 0))
     status.arrive(change("1", "C001", hour), change("2", "C001", 3 * hour + 1))
     out = str(tmp_path / "out")
-    busy = parts and spark.createDataFrame([("c001", parts)], "courier_id string, parts int")
+    schema = "courier_id string, gps_parts int, status_parts int"
+    busy = parts and spark.createDataFrame([("c001", *parts)], schema)
     tracked = events.track_couriers(
         gps_stream(spark, gps), status_stream(spark, status), hour, "1 day", busy
     )
@@ -156,7 +161,10 @@ def test_a_bound_beyond_the_history_gives_the_batch_fact(spark, tables, tmp_path
     )
     out = str(tmp_path / "out")
     sinks.append_to_folder(tracked, out, str(tmp_path / "checkpoint")).awaitTermination()
-    batch = facts.courier_tracking(dims.gps_dim(gps), dims.status_dim(status))
+    # Nothing is within a bound of an unknown time.
+    batch = facts.courier_tracking(
+        dims.gps_dim(gps).filter("gps_ts IS NOT NULL"), dims.status_dim(status)
+    )
     stream = spark.read.parquet(out)
     assert stream.count() == batch.count()
     assert stream.exceptAll(batch).isEmpty()
@@ -165,9 +173,12 @@ def test_a_bound_beyond_the_history_gives_the_batch_fact(spark, tables, tmp_path
 def test_busy_couriers_are_few(spark):
     courier = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
     positions = spark.range(3000).select(courier.alias("courier_id"))
-    busy = [tuple(row) for row in events.busy_couriers(positions, share=0.05).collect()]
-    assert busy == [("hot", 7)]
-    assert events.busy_couriers(positions.limit(0)).count() == 0
+    changes = positions.withColumn("courier_id", F.lit("c7")).limit(600).unionByName(positions)
+    busy = sorted(map(tuple, events.busy_couriers(positions, changes, share=0.05).collect()))
+    # One is busy in both feeds, the other has status events only.
+    assert busy == [("c7", 1, 4), ("hot", 7, 6)]
+    nothing = positions.limit(0)
+    assert events.busy_couriers(nothing, nothing).count() == 0
 
 
 def test_the_busy_list_is_made_once(spark, tmp_path):
@@ -211,7 +222,7 @@ def test_status_totals_go_on(spark, tmp_path, status):
     def run():
         counts = events.status_counts(status_stream(spark, status))
         sinks.keep_latest(counts, out, checkpoint).awaitTermination()
-        return {row.status: row.event_count for row in spark.read.parquet(out).collect()}
+        return {row.status: row.event_count for row in sinks.read_latest(spark, out).collect()}
 
     status.arrive(change("1", "C001", 0, "NEW"), change("1", "C001", 1, "Shipped"))
     assert run() == {"new": 1, "shipped": 1}
@@ -219,6 +230,43 @@ def test_status_totals_go_on(spark, tmp_path, status):
     assert run() == {"new": 1, "shipped": 2}
 
 
+def test_totals_stay_while_the_next_ones_are_written(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        sinks.read_latest(spark, str(tmp_path))
+    spark.range(3).write.parquet(f"{tmp_path}/total-a")
+    half = tmp_path / "total-b"
+    half.mkdir()
+    (half / "part-0.parquet").write_bytes(b"half")
+    assert sinks.read_latest(spark, str(tmp_path)).count() == 3
+
+
+def test_late_rows_are_kept_apart_and_nothing_else_is_lost(spark, tmp_path, status):
+    day = 86_400
+    status.arrive(change("1", "C001", 10 * day), change("2", "C001", 0))
+    status.arrive(change("3", "C001", 8 * day), change("4", "C001", 9 * day + 1))
+    status.arrive(change("5", "C001", 30 * day), change("6", "C001", 29 * day))
+    status.arrive(change("7", "C001", 1 * day))
+    messages = topics.folder_stream(spark, str(status.path), files_per_batch=1)
+    stream = dims.status_dim(topics.status_events(messages))
+    path = str(tmp_path / "split")
+    for _ in range(2):  # the second run finds nothing new
+        late.split_late(stream, "status_ts", day, path, f"{path}/checkpoint").awaitTermination()
+    in_time = late.on_time(spark, path, stream, files_per_batch=1)
+    once = events.without_repeats(in_time, "1 day")
+    out = str(tmp_path / "once")
+    query = sinks.append_to_folder(once, out, str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    found = sorted(row.order_id for row in spark.read.parquet(out).collect())
+    behind = sorted(row.order_id for row in late.late_rows(spark, path, stream).collect())
+    assert (found, behind) == ([1, 4, 5, 6], [2, 3, 7])
+    assert sinks.dropped_rows(query) == 0
+    # Without the split the stateful step drops them, and says how many.
+    bare = events.without_repeats(stream, "1 day")
+    query = sinks.append_to_folder(bare, str(tmp_path / "bare"), str(tmp_path / "bare-checkpoint"))
+    query.awaitTermination()
+    assert sinks.dropped_rows(query) > 0
+
+
 def test_redelivery_is_dropped_across_batches(spark, tmp_path, status):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
