@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import functools
 import math
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -105,7 +107,9 @@ def fit_tasks(spark: SparkSession, *paths: str) -> None:
 
 @functools.cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="larderline-")
+    folder = tempfile.mkdtemp(prefix="larderline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -120,9 +124,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_run_folder(spark: SparkSession, purpose: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/larderline/{application}/{purpose}-{uuid.uuid4().hex[:12]}"
+    """A path under the shared folder that no other run uses. It goes when the
+    driver ends."""
+    runs = f"{shared_folder(spark)}/larderline/{spark.sparkContext.applicationId}"
+    if runs not in _KEPT_UNTIL_EXIT:
+        _KEPT_UNTIL_EXIT.add(runs)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(runs)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        atexit.register(_drop_at_exit, files, folder)
+    return f"{runs}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+# Folders of the runs of an application, which go when its driver ends.
+_KEPT_UNTIL_EXIT: set[str] = set()
+
+
+def _drop_at_exit(files: object, folder: object) -> None:
+    # Nothing can be removed if the JVM has ended first.
+    with contextlib.suppress(Exception):
+        files.delete(folder, True)
 
 
 def drop_folder(spark: SparkSession, path: str) -> None:
