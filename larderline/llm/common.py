@@ -58,14 +58,20 @@ def words(text: Column) -> Column:
     )
 
 
-def stored(rows: DataFrame, purpose: str) -> DataFrame:
-    """The rows, written once to the shared folder and read from there.
+def store(rows: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The rows, written once to the shared folder and read from there, and the
+    path, for steps that replace the table and drop it.
 
     It cuts lineage, so a lost executor costs no more than the reader's task.
     """
     path = new_run_folder(rows.sparkSession, purpose)
     rows.write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path), path
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written once to the shared folder and read from there."""
+    return store(rows, purpose)[0]
 
 
 def broadcast_if_small(table: DataFrame, most_rows: int = BROADCAST_ROWS) -> DataFrame:

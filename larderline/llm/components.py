@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larderline.llm.common import stored
+from larderline.llm.common import store
+from larderline.workspace import drop_folder
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -39,10 +40,12 @@ def least_reachable(links: DataFrame) -> DataFrame:
     links with NULL or to itself are ignored. A step groups and joins by node.
     Minima are taken in map tasks first, and the joins are plain inner ones that
     AQE splits, so a node with very many links is no heavy group. The number of
-    rounds grows with the logarithm of the longest path; each is stored.
+    rounds grows with the logarithm of the longest path; each is stored, in
+    place of the one before.
     """
     first, second = links.columns
-    links = stored(
+    spark = links.sparkSession
+    links, path = store(
         links.select(
             F.greatest(first, second).alias("high"), F.least(first, second).alias("low")
         )
@@ -52,6 +55,7 @@ def least_reachable(links: DataFrame) -> DataFrame:
     )
     before, after = None, _state(links)
     while before != after:
-        links = stored(_small_star(_large_star(links)), "links")
-        before, after = after, _state(links)
+        links, newer = store(_small_star(_large_star(links)), "links")
+        drop_folder(spark, path)
+        path, before, after = newer, after, _state(links)
     return links.select(F.col("high").alias("node"), F.col("low").alias("least"))
