@@ -250,7 +250,9 @@ def _predict(network):
                 if labels:
                     labels.learn(set().union(*counted))
                 for counts in counted:
-                    if counts and labels:
+                    # A run may be of characters such as superscripts only.
+                    has_letter = any(c.isalpha() for word in counts for c in word)
+                    if has_letter and labels:
                         shares = labels.pooled(counts)
                         names.append(network.value.languages[int(shares.argmax())])
                         scores.append(float(shares.max()))
