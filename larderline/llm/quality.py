@@ -78,7 +78,12 @@ def repeated_window_words(word_list: Column, window: int = WINDOW) -> Column:
 
 
 def _count_of(text: Column, characters: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, characters, ""))
+    """How often the ASCII characters occur, by the bytes that go with them. A
+    text without one of them is not copied."""
+    rest = text
+    for character in characters:
+        rest = F.replace(rest, F.lit(character), F.lit(""))
+    return F.octet_length(text) - F.octet_length(rest)
 
 
 def measured(docs: DataFrame, text: Column, *carried: Column) -> DataFrame:
@@ -90,11 +95,11 @@ def measured(docs: DataFrame, text: Column, *carried: Column) -> DataFrame:
     )
     lines = F.filter(F.split("_text", "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     dup_lines = let(lines, lambda kept: F.size(kept) - F.size(F.array_distinct(kept)))
-    n_lines = F.length("_text") - F.length(F.translate("_text", "\n", "")) + 1
+    n_lines = _count_of(F.col("_text"), "\n") + 1
     return whole.select(
         *[name for name in whole.columns if not name.startswith("_")],
         F.size("_words").cast("long").alias("n_words"),
-        (F.length("_text") - _count_of(F.col("_text"), BLANKS)).cast("long").alias("word_chars"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         _count_of(F.col("_text"), SYMBOLS).cast("long").alias("n_symbols"),
         dup_lines.cast("long").alias("n_dup_lines"),
         repeated_window_words(F.col("_words")).alias("n_repeat_words"),
