@@ -49,7 +49,8 @@ def least_reachable(links: DataFrame) -> DataFrame:
         links.select(
             F.greatest(first, second).alias("high"), F.least(first, second).alias("low")
         )
-        .filter(F.col(first).isNotNull() & F.col(second).isNotNull() & (F.col("high") != F.col("low")))
+        .filter(F.col(first).isNotNull() & F.col(second).isNotNull())
+        .filter(F.col("high") != F.col("low"))
         .distinct(),
         "links",
     )

@@ -206,7 +206,9 @@ def contained_items(
     nowhere. Repeated documents and items give repeated rows; NULL ids stay NULL.
     """
     # Equal rows of items would give equal blocks, so the text is cut by hash.
-    texts = items.select(F.col(item_id_column).alias("item_id"), F.col(item_text_column).alias("text"))
+    texts = items.select(
+        F.col(item_id_column).alias("item_id"), F.col(item_text_column).alias("text")
+    )
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + int(chars) // block_chars
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))

@@ -87,7 +87,10 @@ class Network:
         def drawn(*shape: int) -> np.ndarray:
             return draw.normal(0, scale, shape).astype(np.float32)
 
-        self.weights = {"out": drawn(2 * hidden, len(languages)), "bias": np.zeros(len(languages), np.float32)}
+        self.weights = {
+            "out": drawn(2 * hidden, len(languages)),
+            "bias": np.zeros(len(languages), np.float32),
+        }
         for side in ("ahead", "back"):
             # What each byte value adds to the gates and the candidate, and how
             # the state feeds them.
@@ -277,7 +280,8 @@ def _some_words():
         for batch in batches:
             words = [of(text.as_py()) for text in batch.column("text")]
             yield pa.record_batch(
-                [batch.column("lang"), pa.array(words, pa.list_(pa.string()))], names=["lang", "words"]
+                [batch.column("lang"), pa.array(words, pa.list_(pa.string()))],
+                names=["lang", "words"],
             )
 
     return run
@@ -293,11 +297,12 @@ def fit(
     """Train on about ``sample_docs`` documents of each language, chosen by a
     hash of their text, and at most SAMPLE_WORDS words of each. Rows without
     language or letters teach nothing; without any, no language is known."""
-    rows = docs.select(F.col(language_column).alias("lang"), F.col(text_column).alias("text")).filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()
-    )
+    rows = docs.select(
+        F.col(language_column).alias("lang"), F.col(text_column).alias("text")
+    ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     # One row for each language.
-    counts = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = {row["lang"]: row["n"] for row in counted.collect()}
     if not counts:
         return Network([])
     every = F.create_map(
@@ -306,10 +311,11 @@ def fit(
     chosen = rows.filter(F.pmod(F.xxhash64("text"), every[F.col("lang")]) == 0)
     # Equal texts are chosen together; a language takes no more than twice its share.
     limit = 2 * sample_docs * len(counts)
-    samples = defaultdict(list)
-    for row in chosen.dropDuplicates(["lang", "text"]).mapInArrow(
+    sampled = chosen.dropDuplicates(["lang", "text"]).mapInArrow(
         _some_words(), "lang string, words array<string>"
-    ).limit(limit).toArrow().to_pylist():
+    )
+    samples = defaultdict(list)
+    for row in sampled.limit(limit).toArrow().to_pylist():
         samples[row["lang"]].extend(row["words"])
     # Sorted, so that training does not depend on the order rows come in.
     samples = {lang: sorted(words) for lang, words in samples.items() if words}

@@ -73,14 +73,16 @@ def signatures(fingerprints: DataFrame) -> DataFrame:
     """Each distinct ``fingerprint`` with its 64 signatures: the number of the
     bit that is blotted out, in front of the rest of that bit's segment."""
     bit = F.col("bit")
-    segment = F.shiftright("fingerprint", 32).bitwiseAND(F.lit(0xFFFFFFFF))
-    segment = F.when(bit < SEGMENT_BITS, F.col("fingerprint").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(segment)
+    half = F.lit(2**SEGMENT_BITS - 1)
+    upper = F.shiftright("fingerprint", SEGMENT_BITS).bitwiseAND(half)
+    lower = F.col("fingerprint").bitwiseAND(half)
+    segment = F.when(bit < SEGMENT_BITS, lower).otherwise(upper)
     blot = F.expr(f"shiftleft(1L, bit % {SEGMENT_BITS})")
     rest = segment.bitwiseAND(F.bitwise_not(blot))
     bits = F.sequence(F.lit(0), F.lit(2 * SEGMENT_BITS - 1))
+    number = F.expr(f"shiftleft(CAST(bit AS BIGINT), {SEGMENT_BITS})")
     return fingerprints.withColumn("bit", F.explode(bits)).select(
-        F.expr(f"shiftleft(CAST(bit AS BIGINT), {SEGMENT_BITS})").bitwiseOR(rest).alias("signature"),
-        "fingerprint",
+        number.bitwiseOR(rest).alias("signature"), "fingerprint"
     )
 
 
@@ -157,7 +159,9 @@ def _finished_cells(rows: np.ndarray, most_bits: int, last: bool):
     return rows[bounds[-1] :], links
 
 
-def near_links(fingerprints: DataFrame, most_bits: int = MOST_BITS, block: int = BLOCK) -> DataFrame:
+def near_links(
+    fingerprints: DataFrame, most_bits: int = MOST_BITS, block: int = BLOCK
+) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints, enough of them that any
     two at most ``most_bits`` bits apart are connected."""
     if not 0 <= most_bits <= 3:

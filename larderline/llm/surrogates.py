@@ -44,8 +44,14 @@ GIVEN_NAMES = {
 }
 # Syllables that family names are made of, by script.
 SYLLABLES = {
-    "latin": "ba be bo da de do fa fe fi ga ha ka ko la le li lo ma me mi mo na ne ni no ra re ri ro sa se so ta te to va ve vo",
-    "cyrillic": "ба ва га да за ка ла ма на па ра са та бе ве де ле ме не ре се те бо во го до ко ло мо но",
+    "latin": (
+        "ba be bo da de do fa fe fi ga ha ka ko la le li lo ma me mi mo na ne ni no"
+        " ra re ri ro sa se so ta te to va ve vo"
+    ),
+    "cyrillic": (
+        "ба ва га да за ка ла ма на па ра са та бе ве де ле ме не ре се те бо во го до ко ло"
+        " мо но"
+    ),
     "greek": "βα γα δα κα λα μα να πα ρα σα τα βε δε κε λε με νε ρε σε τε βο δο κο λο μο νο",
 }
 
@@ -65,14 +71,21 @@ PATTERNS = {
         r"|(?i:(?<![a-z])(?:password|passwd|secret|token|api_?key)\s*[=:]\s*[\"']?)"
         r"(?P<value>[A-Za-z0-9+/_.-]*[A-Za-z0-9+/_-])"
     ),
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": (
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?"
+        r"(?![A-Za-z0-9])"
+    ),
     "card": r"(?<![0-9.-])(?:[0-9]{4}[ -]){3}[0-9]{4}(?![0-9])|(?<![0-9.])[0-9]{13,19}(?![0-9])",
     "phone": (
-        r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+        r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])"
+        r"[0-9]{3}[ .-][0-9]{4}(?![0-9])"
         r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])"
     ),
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9]|\.[0-9])",
+    "ip": (
+        r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}"
+        r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9]|\.[0-9])"
+    ),
 }
 _COMPILED = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 _SECRET_SIGNS = ("akia", "gh", "passw", "secret", "token", "api")
@@ -235,7 +248,8 @@ def surrogate_of(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
     if kind in _DIGIT_KINDS:
         return _digits(kind, entity, draws)
     if kind == "ip":
-        return ".".join(str(n) for n in (1 + draws.below(223), *(draws.below(256) for _ in range(3))))
+        parts = [1 + draws.below(223), *(draws.below(256) for _ in range(3))]
+        return ".".join(map(str, parts))
     if kind == "email":
         local, _, domain = entity.partition("@")
         host, dot, top = domain.rpartition(".")
@@ -254,7 +268,8 @@ def written_like(kind: str, mention: str, surrogate: str) -> str:
         rest = iter(surrogate)
         return "".join(next(rest, c) if c.isalnum() else c for c in mention)
     if kind == "email" and len(mention) == len(surrogate):
-        return "".join(s.upper() if m.isupper() else s for m, s in zip(mention, surrogate, strict=True))
+        pairs = zip(mention, surrogate, strict=True)
+        return "".join(new.upper() if old.isupper() else new for old, new in pairs)
     if kind == "family" and mention.isupper() and len(mention) > 1:
         return surrogate.upper()
     return surrogate
@@ -303,7 +318,9 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         .withColumn("surrogate", drawn),
         "surrogates",
     )
-    originals = state.select("kind", F.col("entity").alias("surrogate"), F.lit(True).alias("occurs"))
+    originals = state.select(
+        "kind", F.col("entity").alias("surrogate"), F.lit(True).alias("occurs")
+    )
     while True:
         # Few surrogates are equal, so a group is a handful of rows.
         alike = Window.partitionBy("kind", "surrogate").orderBy("entity")
@@ -325,7 +342,8 @@ def _rewritten(text: str | None, mentions) -> str | None:
     parts, done = [], 0
     for mention in sorted(mentions, key=lambda m: m["first"]):
         first, last = mention["first"], mention["last"]
-        parts += [text[done:first], written_like(mention["kind"], text[first:last], mention["surrogate"])]
+        written = written_like(mention["kind"], text[first:last], mention["surrogate"])
+        parts += [text[done:first], written]
         done = last
     return "".join([*parts, text[done:]])
 

@@ -142,11 +142,16 @@ def training_rows(
         F.col(id_column).alias("id"), F.col(label_column).cast("int").alias("toxic")
     ).filter(F.col("toxic").isin(0, 1) & F.col("id").isNotNull())
     known = broadcast_if_small(stored(known.distinct(), "labels"))
-    chosen = (
-        rows.select("id", "hash").join(known, "id").groupBy("hash", "toxic").agg(F.min("id").alias("id"))
-    )
-    chosen = broadcast_if_small(stored(chosen, "training"))
-    return rows.filter(F.col("text").isNotNull()).join(chosen, ["id", "hash"]).select("id", "text", "toxic")
+    labelled = rows.select("id", "hash").join(known, "id")
+    first = labelled.groupBy("hash", "toxic").agg(F.min("id").alias("id"))
+    chosen = broadcast_if_small(stored(first, "training"))
+    taught = rows.filter(F.col("text").isNotNull()).join(chosen, ["id", "hash"])
+    return taught.select("id", "text", "toxic")
+
+
+def _log_odds(count: str, n: int, prior: Column, weight: float) -> Column:
+    having = F.col(count) + prior
+    return F.log(having / (n + weight - having))
 
 
 def fit_scores(training: DataFrame, tokens: int = MODEL_TOKENS) -> Model:
@@ -174,10 +179,9 @@ def fit_scores(training: DataFrame, tokens: int = MODEL_TOKENS) -> Model:
         prior = F.lit(PRIOR_SHARE) * (F.col("x") + F.col("y"))
         weight = PRIOR_SHARE * (total.toxic + total.clean)
 
-        def log_odds(count: Column, n: int, prior: Column = prior, weight: float = weight) -> Column:
-            return F.log((count + prior) / (n + weight - count - prior))
-
-        delta = log_odds(F.col("x"), total.toxic) - log_odds(F.col("y"), total.clean)
+        delta = _log_odds("x", total.toxic, prior, weight) - _log_odds(
+            "y", total.clean, prior, weight
+        )
         spread = F.sqrt(1 / (F.col("x") + prior) + 1 / (F.col("y") + prior))
         best = (
             counts.filter(F.col("stem") == total.stem)
@@ -245,7 +249,8 @@ def _best(segments: str = "segments") -> Column:
 
 def _surplus(score: Column, model: Model) -> Column:
     """A segment's score in units of the distribution, above what chance gives."""
-    return F.lit(model.scale) * score - F.lit(model.log_size) - F.log(F.greatest("n_words", F.lit(1)))
+    length = F.log(F.greatest("n_words", F.lit(1)))
+    return F.lit(model.scale) * score - F.lit(model.log_size) - length
 
 
 def with_evidence(found: DataFrame, model: Model) -> DataFrame:
@@ -266,7 +271,11 @@ def fit_extremes(clean: DataFrame, model: Model) -> Model:
     best = _best()
     row = (
         clean.filter(F.col("n_words") > 0)
-        .agg(F.avg(best).alias("mean"), F.stddev_pop(best).alias("spread"), F.avg(F.log("n_words")).alias("n"))
+        .agg(
+            F.avg(best).alias("mean"),
+            F.stddev_pop(best).alias("spread"),
+            F.avg(F.log("n_words")).alias("n"),
+        )
         .first()
     )
     if row["mean"] is None:

@@ -135,7 +135,8 @@ def mined_rules(
         F.col("tokens").alias("subset"), "verdict", F.col("confidence").alias("simple")
     )
     implied = fewer.join(simpler, ["subset", "verdict"]).filter(F.col("simple") >= F.col("own"))
-    return rules.join(implied.select("tokens", "verdict").distinct(), ["tokens", "verdict"], "left_anti")
+    needless = implied.select("tokens", "verdict").distinct()
+    return rules.join(needless, ["tokens", "verdict"], "left_anti")
 
 
 def _mined_verdicts(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
@@ -157,7 +158,11 @@ def _mined_verdicts(token_sets: DataFrame, rules: DataFrame) -> DataFrame:
         .filter(F.size(F.array_except("rule_tokens", "tokens")) == 0)
         .groupBy("tokens")
         .agg(F.max(sure).alias("best"))
-        .select("tokens", F.col("best.verdict").alias("mined"), F.col("best.rule_tokens").alias("because"))
+        .select(
+            "tokens",
+            F.col("best.verdict").alias("mined"),
+            F.col("best.rule_tokens").alias("because"),
+        )
     )
 
 
@@ -187,10 +192,8 @@ def judge_urls(
         host_of(F.col(url_column)).alias("host"),
         path_of(F.col(url_column)).alias("path"),
     )
-    rows = stored(
-        parsed.withColumn("tokens", tokens_of(F.col("url"), F.col("host"), F.col("path"))).drop("url"),
-        "urls",
-    )
+    tokens = tokens_of(F.col("url"), F.col("host"), F.col("path"))
+    rows = stored(parsed.withColumn("tokens", tokens).drop("url"), "urls")
     table = spark.createDataFrame(
         list(rules), "rule_verdict string, rule_host string, rule_path string"
     )
@@ -198,7 +201,8 @@ def judge_urls(
         stored(_stated_by_host(rows.select("host").distinct(), table), "stated")
     )
     fitting = F.filter("stated", lambda rule: F.startswith(F.col("path"), rule.path))
-    stated = rows.join(by_host, "host", "left").withColumn("fits", F.array_max(fitting)).drop("stated")
+    met = rows.join(by_host, "host", "left")
+    stated = met.withColumn("fits", F.array_max(fitting)).drop("stated")
     labelled = stated.filter(F.col("fits").isNotNull()).select(
         "tokens", F.col("fits.verdict").alias("verdict")
     )
