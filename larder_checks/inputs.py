@@ -79,7 +79,8 @@ def orders_raw(spark: SparkSession, folder: str) -> DataFrame:
     )
     key = "l_orderkey"
     # Values beyond ten digits.
-    price = F.when(_every(key, 113), F.lit("99999999.99")).otherwise(F.col("l_extendedprice").cast("string"))
+    own_price = F.col("l_extendedprice").cast("string")
+    price = F.when(_every(key, 113), F.lit("99999999.99")).otherwise(own_price)
     return (
         _order_lines(spark, folder)
         .withColumn("copy", F.explode(copies))

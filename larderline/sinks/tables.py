@@ -42,7 +42,8 @@ def read_clustered(
     values ``only``, no other sub-folder is read."""
     rows = _with_text(spark, path, _FOLDER)
     if only is not None:
-        rows = rows.filter(F.col(_FOLDER).isin([f"v{x}" if x is not None else "none" for x in only]))
+        folders = ["none" if value is None else f"v{value}" for value in only]
+        rows = rows.filter(F.col(_FOLDER).isin(folders))
     return rows.drop(_FOLDER)
 
 

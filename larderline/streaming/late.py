@@ -51,7 +51,8 @@ def split_late(
             newest = max((s for s in seen if s is not None), default=None)
             limit = F.lit(newest).cast("long") - late_by_seconds
             is_late = F.coalesce(second < limit, F.lit(False))
-            for part, rows in (("late", batch.filter(is_late)), ("on_time", batch.filter(~is_late))):
+            parts = {"late": batch.filter(is_late), "on_time": batch.filter(~is_late)}
+            for part, rows in parts.items():
                 rows.write.mode("overwrite").parquet(_folder(path, part, batch_id))
             state = spark.range(1).select(F.lit(newest).cast("long").alias("second"))
             # Written last: it says that the batch is whole.
