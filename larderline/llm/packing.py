@@ -28,8 +28,8 @@ from larderline.llm.common import stored
 
 CAPACITY = 1024
 SEPARATOR = 2
-# Pieces that one task numbers, for each length.
-NUMBERED_AT_ONCE = 100_000
+# Pieces of a length that are numbered together, about.
+NUMBERED_AT_ONCE = 5_000
 
 # Fixed value: how byte-level vocabularies of this kind split a text first.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -213,17 +213,19 @@ def slots(planned: list[tuple[tuple, int]]) -> list[tuple]:
 def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Stored pieces with ``sequence_id`` and the ``offset`` in the sequence.
 
-    The histogram of lengths has ``capacity`` rows at most, and so few rows has
-    the table of places that is broadcast: each length meets each kind of
-    contents once. A length that a third of all pieces have is numbered in
-    shares by a hash of the piece, whose number grows with the pieces.
+    The histogram of lengths has ``capacity`` rows at most, and so few rows have
+    the tables that are broadcast: each length meets each kind of contents once.
+    A length that a third of all pieces have is numbered in shares by a hash of
+    the piece; there are as many shares as keep one small.
     """
     spark = pieces.sparkSession
-    share = F.pmod(F.xxhash64("id", "piece"), F.lit(1 + pieces.count() // NUMBERED_AT_ONCE))
-    shared = pieces.withColumn("share", share)
-    counts = stored(shared.groupBy("length", "share").agg(F.count(F.lit(1)).alias("n")), "lengths")
-    by_length = counts.groupBy("length").agg(F.sum("n").alias("n")).toArrow().to_pylist()
+    by_length = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pylist()
     lengths = {row["length"]: row["n"] for row in by_length}
+    split = [(length, 1 + n // NUMBERED_AT_ONCE) for length, n in lengths.items()]
+    shares = F.broadcast(spark.createDataFrame(split, "length long, shares long"))
+    share = F.pmod(F.xxhash64("id", "piece"), F.col("shares")).alias("share")
+    shared = pieces.join(shares, "length").select(*pieces.columns, share)
+    counts = stored(shared.groupBy("length", "share").agg(F.count(F.lit(1)).alias("n")), "lengths")
     rows = slots(plan(lengths, capacity))
     names = ("length", "first_rank", "last_rank", "first_sequence", "at", "each")
     schema = ", ".join(f"{name} long" for name in names)
