@@ -6,6 +6,10 @@ hash of it: the same wherever it is mentioned, and not to be undone without the
 key. Surrogates that meet another one, or an entity that occurs, are drawn again
 until none do; so different entities stay different. A mention takes over the
 surrogate in its own format: separators, capitals, length, check digit.
+
+A person name is found by a built-in given name, or by what announces a name: a
+title, a label, a phrase. Its parts are then replaced wherever they stand in the
+text, in any case, so that a lone mention does not tell the name.
 """
 
 from __future__ import annotations
@@ -13,7 +17,8 @@ from __future__ import annotations
 import bisect
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+import unicodedata
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import pandas as pd
@@ -55,12 +60,98 @@ SYLLABLES = {
     "greek": "βα γα δα κα λα μα να πα ρα σα τα βε δε κε λε με νε ρε σε τε βο δο κο λο μο νο",
 }
 
-# Two words with capitals, the second looked at only.
+# What stands between given and family name, what announces a name,
+# and words that are none though a capital may begin them.
+PARTICLES = (
+    "af al av bin da das de del della den der des di do dos du el ibn la las los ten ter van"
+    " vom von zu zur"
+)
+TITLES = (
+    "Mr Mrs Ms Miss Mister Dr Doctor Prof Professor Sir Madam Herr Frau Herrn Monsieur Madame"
+    " Mme Mlle Señor Señora Señorita Sr Sra Srta Doña Signor Signora Dear Cher Chère Querido"
+    " Querida Estimado Estimada господин госпожа Κύριος Κυρία Κύριε"
+)
+NAME_LABELS = (
+    "name vorname nachname familienname nom prénom nombre apellido apellidos имя фамилия όνομα"
+    " επώνυμο author signed contact attn"
+)
+LABEL_PREFIXES = (
+    "full first last middle given family maiden sur customer patient employee contact client"
+    " member holder"
+)
+PHRASES = (
+    "my name is|her name is|his name is|mein Name ist|ich heiße|je m'appelle|me llamo"
+    "|mi nombre es|меня зовут|με λένε"
+)
+NO_NAMES = (
+    "a an and are as at but by did do for from had has have he her his i in is it its may not"
+    " of on or our said she so that the their then there they this to was we were who will with"
+    " you your all colleague colleagues customer friend friends sir madam team"
+    " auch auf aus bei das dass dem den der die ein eine er es für hat ich im ist mit nicht sie"
+    " und von war wir zu"
+    " au aux avec ce dans de des elle en est et il ils la le les mais nous ont ou par pas pour"
+    " que qui sur un une"
+    " con del el ella ellos es fue ha las lo los no para pero por se su una y"
+    " и в не на он она с что это а но"
+    " και ο η το οι τα του της δεν είναι με να που στο στη"
+)
+
 _UPPER = "A-ZÀ-ÖØ-ÞЀ-ЯΆ-Ϋ"
-_NAME_PAIR = re.compile(rf"(?<!\w)([{_UPPER}]\w+)(?= ([{_UPPER}]\w+))")
+_BLANK = r"[ \t\xa0]{1,3}"
+# A word with a capital that a further part of a name may follow.
+_NAME_START = re.compile(
+    rf"(?<!\w)[{_UPPER}]\w+(?=(?:{_BLANK}|-)(?:[{_UPPER}]|(?:{PARTICLES.replace(' ', '|')})\b))"
+)
+_NAME_PART = re.compile(
+    rf"(?:(?P<initial>[{_UPPER}])(?:\.|(?!['’\w]))"
+    rf"|(?P<particle>(?:{PARTICLES.replace(' ', '|')})\b)"
+    rf"|(?:[DdOL]['’])?(?P<name>[{_UPPER}]\w+))"
+)
+_NAME_GAP = re.compile(rf"{_BLANK}|-|(?<=\.)(?=[{_UPPER}])")
+_TITLES = f"{TITLES} {TITLES.upper()}".split()
+# Cues with signs that are found faster: a text without any has no such cue.
+_CUES = [
+    (
+        _TITLES,
+        re.compile(rf"(?<!\w)(?:{'|'.join(_TITLES)})(?:\.?{_BLANK}|\.)(?=[{_UPPER}])"),
+    ),
+    (PHRASES.lower().split("|"), re.compile(rf"(?<!\w)(?i:{PHRASES}){_BLANK}(?=[{_UPPER}])")),
+    (
+        NAME_LABELS.split(),
+        re.compile(
+            rf"(?<!\w)(?:(?i:(?:{LABEL_PREFIXES.replace(' ', '|')})[ _-]?name)"
+            rf"|(?<!\w[ -])(?i:{NAME_LABELS.replace(' ', '|')}))"
+            rf"[\"']?[ \t]*[:=][ \t]*[\"']?(?=[{_UPPER}])"
+        ),
+    ),
+]
+_INITIALS = re.compile(rf"(?:(?<!\w)[{_UPPER}]\.[ \xa0]?){{1,3}}\Z")
+_WORD = re.compile(r"[^\W_]+")
+# Parts of a name that are looked at.
+NAME_PARTS = 8
 
 _NAMES = {group: tuple(names.split()) for group, names in GIVEN_NAMES.items()}
 _GROUP = {name: group for group, names in _NAMES.items() for name in names}
+_INITIALS_OF = {
+    "latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ",
+    "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+}
+
+
+def _folded(word: str) -> str:
+    """A word without case and accents."""
+    if word.isascii():
+        return word.lower()
+    parts = unicodedata.normalize("NFKD", word.casefold())
+    return "".join(c for c in parts if not unicodedata.combining(c))
+
+
+_GIVEN_OF = {_folded(name): name for name in _GROUP}
+_PARTICLES = set(PARTICLES.split())
+_NO_NAMES = {_folded(word) for word in f"{NO_NAMES} {TITLES}".split()} - _PARTICLES
+# Endings of names after the father.
+_PATRONYMIC = ("ович", "евич", "ьич", "овна", "евна", "ична")
 
 # Kinds in order: where mentions overlap, the earlier kind and then the earlier
 # place has it.
@@ -91,6 +182,7 @@ _COMPILED = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 _SECRET_SIGNS = ("akia", "gh", "passw", "secret", "token", "api")
 _DIGIT = re.compile("[0-9]")
 _DIGIT_KINDS = {"card", "phone", "national_id"}
+_NAME_KINDS = {"given", "family", "initial"}
 # Draws of a surrogate before it may grow longer.
 SAME_LENGTH_DRAWS = 20
 
@@ -118,6 +210,10 @@ def entity_of(kind: str, text: str) -> str:
         return text.replace(" ", "")
     if kind == "ip":
         return ".".join(str(int(part)) for part in text.split("."))
+    if kind == "given":
+        return _GIVEN_OF[_folded(text)]
+    if kind == "family":
+        return text[:1].upper() + text[1:].lower()
     return text
 
 
@@ -134,26 +230,98 @@ def _kinds_worth_a_look(text: str) -> list[str]:
     return kinds
 
 
-def _matches(text: str) -> Iterator[tuple[int, int, str]]:
+def _name_at(text: str, at: int, announced: bool) -> list[tuple[int, int, str]]:
+    """The parts of the person name that begins there, as places and kinds.
+
+    It ends with the first name that is no built-in given name, or the second if
+    it is announced, and with what a hyphen adds to that. Without a cue it needs
+    a given name and another one.
+    """
+    parts: list[tuple[int, int, str]] = []
+    unknown, most = 0, 2 if announced else 1
+    for _ in range(NAME_PARTS):
+        match = _NAME_PART.match(text, at)
+        if not match or (match["name"] and _folded(match["name"]) in _NO_NAMES):
+            break
+        if match["initial"]:
+            parts.append((*match.span("initial"), "initial"))
+        elif match["name"] and _folded(match["name"]) not in _PARTICLES:
+            known = _folded(match["name"]) in _GIVEN_OF
+            unknown += not (known or match["name"].lower().endswith(_PATRONYMIC))
+            parts.append((*match.span("name"), "given" if known else "family"))
+        gap = _NAME_GAP.match(text, match.end())
+        if not gap or (unknown >= most and gap[0] != "-"):
+            break
+        at = gap.end()
+    while parts and parts[-1][2] == "initial":
+        parts.pop()
+    names = [part for part in parts if part[2] != "initial"]
+    if len(names) > 1 and parts[-1][2] == "given":
+        parts[-1] = (*parts[-1][:2], "family")
+    return parts if len(names) > (not announced) else []
+
+
+def _cues(text: str) -> Iterator[re.Match]:
+    lowered = text.lower()
+    for signs, pattern in _CUES:
+        if any(sign in (text if signs is _TITLES else lowered) for sign in signs):
+            yield from pattern.finditer(text)
+
+
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """The person names of a text, and wherever one of their parts stands alone."""
+    starts = [(match.end(), True) for match in _cues(text)]
+    for match in _NAME_START.finditer(text):
+        if _folded(match[0]) in _GIVEN_OF:
+            starts.append((match.start(), False))
+    found, done = [], 0
+    for at, announced in sorted(starts):
+        if at >= done and (parts := _name_at(text, at, announced)):
+            found += parts
+            done = parts[-1][1]
+    if not found:
+        return []
+    mentions = [(*part, entity_of(part[2], text[part[0] : part[1]])) for part in found]
+    # The first reading of a word holds for the places where it stands alone.
+    known = {}
+    for first, last, kind, entity in mentions:
+        if kind != "initial":
+            known.setdefault(_folded(text[first:last]), (kind, entity))
+    by_initial = {}
+    for word, (_, entity) in known.items():
+        by_initial.setdefault(word[0], ("given" if entity in _GROUP else "family", entity))
+    taken = {mention[0] for mention in mentions}
+    for match in _WORD.finditer(text):
+        reading = known.get(_folded(match[0]))
+        if reading and match.start() not in taken:
+            mentions.append((*match.span(), *reading))
+            before = _INITIALS.search(text, max(0, match.start() - 10), match.start())
+            for letter in _WORD.finditer(before[0]) if before else ():
+                first = before.start() + letter.start()
+                if first not in taken:
+                    own = by_initial.get(_folded(letter[0]), ("initial", letter[0]))
+                    own = ("initial", letter[0]) if own[1] == reading[1] else own
+                    mentions.append((first, first + 1, *own))
+    return mentions
+
+
+def _matches(text: str) -> Iterator[tuple[int, int, str, str]]:
     for kind in _kinds_worth_a_look(text):
         for match in _COMPILED[kind].finditer(text):
             group = "value" if match.groupdict().get("value") is not None else 0
-            yield (*match.span(group), kind)
-    for match in _NAME_PAIR.finditer(text):
-        if match[1] in _GROUP:
-            yield (*match.span(1), "given")
-            yield (*match.span(2), "family")
+            yield (*match.span(group), kind, entity_of(kind, match[group]))
+    yield from _names(text)
 
 
 def mentions_of(text: str | None) -> list[Mention]:
     """The mentions of a text in order, none overlapping another."""
     text = text or ""
     taken: list[Mention] = []
-    for first, last, kind in _matches(text):
+    for first, last, kind, entity in _matches(text):
         at = bisect.bisect_left(taken, (first,))
         free = at == 0 or taken[at - 1].last <= first
         if free and (at == len(taken) or last <= taken[at].first):
-            taken.insert(at, Mention(first, last, kind, entity_of(kind, text[first:last])))
+            taken.insert(at, Mention(first, last, kind, entity))
     return taken
 
 
@@ -217,18 +385,32 @@ def _script(text: str) -> str:
     return "greek" if "Ͱ" <= text[:1] <= "Ͽ" else "latin"
 
 
-def _given(entity: str, key: bytes, attempt: int) -> str:
-    """Another name of the same gender and script: the names, shuffled by key,
-    form a ring, and each is replaced by the one after it."""
-    group = _GROUP[entity]
+def _next_in_ring(names: Sequence[str], group: object, entity: str, key: bytes) -> str:
+    """Another one of the names: shuffled by key, they form a ring, and each is
+    replaced by the one after it."""
 
     def place(name: str) -> bytes:
         return hashlib.blake2b(repr((group, name)).encode(), key=key).digest()
 
-    ring = sorted(_NAMES[group], key=place)
+    ring = sorted(names, key=place)
     return ring[(ring.index(entity) + 1) % len(ring)]
 
 
+def _given(entity: str, key: bytes, attempt: int) -> str:
+    """Another name of the same gender and script."""
+    group = _GROUP[entity]
+    return _next_in_ring(_NAMES[group], group, entity, key)
+
+
+def _initial(entity: str, key: bytes, attempt: int) -> str:
+    script = _script(entity)
+    letter = _folded(entity)[:1].upper()
+    letters = _INITIALS_OF[script]
+    if letter not in letters:
+        return letters[_Draws(key, "initial", entity).below(len(letters))]
+    return _next_in_ring(letters, ("initial", script), letter, key)
+
+
 def _family(entity: str, key: bytes, attempt: int) -> str:
     draws = _Draws(key, "family", entity, attempt)
     syllables = SYLLABLES[_script(entity)].split()
@@ -242,6 +424,8 @@ def surrogate_of(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         return _given(entity, key, attempt)
     if kind == "family":
         return _family(entity, key, attempt)
+    if kind == "initial":
+        return _initial(entity, key, attempt)
     draws = _Draws(key, kind, entity, attempt)
     # Where all of a length are taken, more draws reach further.
     longer = attempt // SAME_LENGTH_DRAWS
@@ -270,8 +454,11 @@ def written_like(kind: str, mention: str, surrogate: str) -> str:
     if kind == "email" and len(mention) == len(surrogate):
         pairs = zip(mention, surrogate, strict=True)
         return "".join(new.upper() if old.isupper() else new for old, new in pairs)
-    if kind == "family" and mention.isupper() and len(mention) > 1:
-        return surrogate.upper()
+    if kind in _NAME_KINDS:
+        shown = surrogate[:1] if len(mention) == 1 else surrogate
+        if mention.islower():
+            return shown.lower()
+        return shown.upper() if mention.isupper() else shown
     return surrogate
 
 
@@ -303,8 +490,8 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     has, and that is no entity of it either.
 
     Each round draws again for those that collide, all but the first of equal
-    surrogates, and stores the rest. Given names are shuffled among themselves,
-    so they cannot collide and may be one another's.
+    surrogates, and stores the rest. Given names and initials are shuffled among
+    themselves, so they do not collide and may be one another's.
     """
     drawn = _mapped(
         lambda kind, entity, attempt: surrogate_of(kind, entity, key, int(attempt)),
@@ -326,7 +513,7 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         alike = Window.partitionBy("kind", "surrogate").orderBy("entity")
         collides = (F.row_number().over(alike) > 1) | F.col("occurs").isNotNull()
         checked = state.join(originals, ["kind", "surrogate"], "left").withColumn(
-            "again", (F.col("kind") != "given") & collides
+            "again", ~F.col("kind").isin("given", "initial") & collides
         )
         again = stored(checked.filter("again").select("kind", "entity", "attempt"), "again")
         if again.isEmpty():

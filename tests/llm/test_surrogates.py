@@ -114,3 +114,53 @@ def test_other_columns_and_no_documents(spark):
     (row,) = surrogates.replace_entities(docs, KEY).collect()
     assert row.document.kind == "k" and row.document.row == 5 and row.text != "1.2.3.4"
     assert surrogates.replace_entities(docs.limit(0), KEY).count() == 0
+
+
+def rewritten(text, key=KEY):
+    """By the functions that the tasks call, without drawing again."""
+    parts, done = [], 0
+    for mention in surrogates.mentions_of(text):
+        drawn = surrogates.surrogate_of(mention.kind, mention.entity, key)
+        parts += [text[done : mention.first], surrogates.written_like(mention.kind, text[mention.first : mention.last], drawn)]
+        done = mention.last
+    return "".join([*parts, text[done:]])
+
+
+NAMES = [
+    ("MARIA LOPEZ signed", "MARIA LOPEZ"),
+    ("Maria J. Lopez and M. J. Lopez", "Maria J. Lopez M. J."),
+    ("Maria de Souza, then SOUZA", "Maria Souza SOUZA"),
+    ("Maria  Lopez came. Lopez left; maria stayed with López", "Maria Lopez maria López"),
+    ("Lopez's house was sold by Maria Garcia-Lopez", "Lopez Maria Garcia"),
+    ("Dr. Priya Raman came; RAMAN left, priya stayed", "Priya Raman RAMAN priya"),
+    ("Name: Priya Raman\nRaman, Priya", "Priya Raman"),
+    ('{"first_name": "Priya", "last_name": "Raman"}', "Priya Raman"),
+    ("Hello, my name is Priya Raman.", "Priya Raman"),
+    ("Ελένη Παππά και ΠΑΠΠΑ", "Ελένη Παππά ΠΑΠΠΑ"),
+    ("Иван Иванович Петров. Петров ушёл", "Иван Иванович Петров"),
+]
+
+
+@pytest.mark.parametrize("text, names", NAMES)
+def test_no_part_of_a_found_name_stays(text, names):
+    left = set(re.findall(r"\w+", rewritten(text)))
+    assert not left & set(re.findall(r"\w+", names))
+
+
+def test_a_lone_part_has_the_surrogate_of_the_full_name(spark):
+    rows = [(1, "Maria Lopez; Lopez, MARIA, M. Lopez"), (2, "Dr. Priya Raman; raman")]
+    found = replaced(spark, rows)
+    given, family = re.match(r"(\w+) (\w+);", found[1].text).groups()
+    assert found[1].text == f"{given} {family}; {family}, {given.upper()}, {given[0]}. {family}"
+    given, family = re.match(r"Dr\. (\w+) (\w+);", found[2].text).groups()
+    assert found[2].text == f"Dr. {given} {family}; {family.lower()}"
+
+
+def test_words_that_are_no_names_stay():
+    for text in ("Maria is here", "Maria The best", "Dear Sir or Madam", "file name: README", "Dear Team", "Priya Raman left", "J. Smith"):
+        assert rewritten(text) == text
+
+
+def test_cues_take_linear_time_on_runs():
+    for text in ("Mr. ", "Name: ", "A. ", "Maria A. ", "Maria de ", "Maria-", "full "):
+        surrogates.mentions_of(text * 10**5)
