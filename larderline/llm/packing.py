@@ -114,7 +114,8 @@ def tokenized(
     separator: int = SEPARATOR,
 ) -> DataFrame:
     """The pieces of each document: ``id``, ``piece`` from 0, ``start`` and
-    ``length`` in tokens, and ``ids``, little-endian unsigned 32-bit numbers.
+    ``length`` in tokens, ``ids``, little-endian unsigned 32-bit numbers, and
+    ``row``, a number that no other piece has. It holds for the stored pieces only.
 
     NULL and empty texts are one piece, the separator. The file has to be where
     each executor finds it.
@@ -122,7 +123,8 @@ def tokenized(
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     added = [T.StructField(name, T.LongType()) for name in ("piece", "start", "length")]
     schema = T.StructType([texts.schema["id"], *added, T.StructField("ids", T.BinaryType())])
-    return texts.mapInArrow(_pieces(vocabulary, capacity, separator, ["id"]), schema)
+    pieces = texts.mapInArrow(_pieces(vocabulary, capacity, separator, ["id"]), schema)
+    return pieces.withColumn("row", F.monotonically_increasing_id())
 
 
 class _Bins:
@@ -210,21 +212,31 @@ def slots(planned: list[tuple[tuple, int]]) -> list[tuple]:
     return rows
 
 
+def in_shares(pieces: DataFrame, lengths: dict[int, int]) -> DataFrame:
+    """Stored pieces with the ``share`` of their length that they are numbered in.
+
+    Shares are dealt by the number of the piece, so pieces equal in all else, or
+    without id, spread as well.
+    """
+    split = [(length, 1 + n // NUMBERED_AT_ONCE) for length, n in lengths.items()]
+    shares = F.broadcast(pieces.sparkSession.createDataFrame(split, "length long, shares long"))
+    share = F.pmod(F.xxhash64("row"), F.col("shares")).alias("share")
+    return pieces.join(shares, "length").select(*pieces.columns, share)
+
+
 def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Stored pieces with ``sequence_id`` and the ``offset`` in the sequence.
 
     The histogram of lengths has ``capacity`` rows at most, and so few rows have
     the tables that are broadcast: each length meets each kind of contents once.
-    A length that a third of all pieces have is numbered in shares by a hash of
-    the piece; there are as many shares as keep one small.
+    A length that a third of all pieces have is numbered ``in_shares``; there are
+    as many as keep one small. Which of the pieces of a length goes where depends
+    on how they are stored.
     """
     spark = pieces.sparkSession
     by_length = pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).toArrow().to_pylist()
     lengths = {row["length"]: row["n"] for row in by_length}
-    split = [(length, 1 + n // NUMBERED_AT_ONCE) for length, n in lengths.items()]
-    shares = F.broadcast(spark.createDataFrame(split, "length long, shares long"))
-    share = F.pmod(F.xxhash64("id", "piece"), F.col("shares")).alias("share")
-    shared = pieces.join(shares, "length").select(*pieces.columns, share)
+    shared = in_shares(pieces, lengths)
     counts = stored(shared.groupBy("length", "share").agg(F.count(F.lit(1)).alias("n")), "lengths")
     rows = slots(plan(lengths, capacity))
     names = ("length", "first_rank", "last_rank", "first_sequence", "at", "each")
@@ -246,6 +258,7 @@ def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .withColumn("sequence_id", F.col("first_sequence") + F.floor(past / F.col("each")))
         .withColumn("offset", F.col("at") + F.col("length") * (past % F.col("each")))
         .select(*pieces.columns, "sequence_id", "offset")
+        .drop("row")
     )
 
 

@@ -126,3 +126,15 @@ def test_no_documents(spark):
     packed = packing.pack(spark.createDataFrame([], SCHEMA), VOCABULARY)
     assert packed.count() == 0
     assert {"id", "ids", "sequence_id", "offset"} <= set(packed.columns)
+
+
+def test_rows_with_one_id_or_none_spread_over_shares(spark, monkeypatch):
+    monkeypatch.setattr(packing, "NUMBERED_AT_ONCE", 100)
+    rows = [(7, "the same text")] * 2000 + [(None, f"{n % 10} a b c") for n in range(2000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    pieces = packing.stored(packing.tokenized(docs, VOCABULARY), "pieces")
+    lengths = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
+    shares = packing.in_shares(pieces, lengths).groupBy("length", "share").count().collect()
+    assert sum(r["count"] for r in shares) == len(rows)
+    assert max(r["count"] for r in shares) < 200
+    assert packing.placed(pieces).count() == len(rows) and "row" not in packing.placed(pieces).columns
