@@ -38,6 +38,13 @@ MISS = 1e-9
 BLOCK_CHARS = 16_000_000
 
 _WORD = re.compile(r"\w+")
+# Scripts that leave no blanks between words: Thai, Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = (
+    "\u0e01-\u0e4e\u0e81-\u0ece\u1000-\u109f\u1780-\u17d3\u3005\u3007\u3041-\u3096\u30a1-\u30fa"
+    "\u30fc\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+_HAS_UNSPACED = re.compile(f"[{_UNSPACED}]")
+_WORD_OR_CHARACTER = re.compile(rf"[{_UNSPACED}]|[^\W{_UNSPACED}]+")
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _CACHED_WORDS = 1 << 20
 
@@ -53,8 +60,12 @@ class _WordHashes(dict):
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, digits and underscores, lower-cased."""
-    return _WORD.findall((text or "").lower())
+    """Runs of letters, digits and underscores, lower-cased. A character of a
+    script without blanks is a word of its own."""
+    lowered = (text or "").lower()
+    if lowered.isascii() or not _HAS_UNSPACED.search(lowered):
+        return _WORD.findall(lowered)
+    return _WORD_OR_CHARACTER.findall(lowered)
 
 
 def shingle_hashes(words: list[str], known: dict[str, int]) -> np.ndarray:
@@ -179,6 +190,19 @@ def _search(index, item_ids):
     return run
 
 
+def not_searched(items: DataFrame, text_column: str = "text") -> DataFrame:
+    """The items that ``contained_items`` does not search for: those of fewer
+    words than a shingle has."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text_column).to_pylist()
+            few = [len(words_of(text)) < SHINGLE_WORDS for text in texts]
+            yield batch.filter(pa.array(few, pa.bool_()))
+
+    return items.mapInArrow(of, items.schema)
+
+
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return docs.select(
         F.col(id_column).alias("id"),
@@ -201,9 +225,10 @@ def contained_items(
     of id and text, ``item_id``, ``n_shingles`` of the item, ``n_shared`` of them.
 
     Shingles are distinct runs of five words, compared without case and
-    punctuation. Items of fewer words are not searched for: they stand in clean
-    documents by chance. NULL and empty texts contain nothing and are contained
-    nowhere. Repeated documents and items give repeated rows; NULL ids stay NULL.
+    punctuation; in scripts without blanks they are runs of five characters. Items
+    of fewer words are ``not_searched``: they stand in clean documents by chance.
+    NULL and empty texts contain nothing and are contained nowhere. Repeated
+    documents and items give repeated rows; NULL ids stay NULL.
     """
     # Equal rows of items would give equal blocks, so the text is cut by hash.
     texts = items.select(

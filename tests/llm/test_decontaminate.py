@@ -104,3 +104,18 @@ def test_bins_keep_the_chance_of_a_miss_small():
     hashes = np.unique(draw.integers(0, 2**64, 1000, dtype=np.uint64))
     index = decontaminate.ItemIndex(["one two three four five"], 0.8)
     assert len(index.candidates(hashes)) == 0
+
+
+def test_items_in_scripts_without_blanks_are_found(spark):
+    items = [(1, "中国的首都是哪个城市？"), (2, "日本で一番高い山はなんですか"), (3, "ประเทศไทยมีกี่จังหวัด"), (4, "the capital of 中国的首都 is")]
+    docs = [(n, f"Question {n}：{text} and an answer") for n, text in items]
+    docs += [(9, "中国的城市很多，日本的山也很高"), (10, "中国 的 首都 x 是哪个"), (11, None)]
+    found = search(spark, docs, items)
+    assert sorted((doc_id, item_id) for doc_id, item_id, *_ in found) == [(n, n) for n, _ in items]
+    assert decontaminate.words_of("Ab_1 中国x") == ["ab_1", "中", "国", "x"]
+
+
+def test_items_that_are_not_searched_for_are_told(spark):
+    items = [(1, "中国的首都是哪个城市？"), (2, "four words are few"), (3, None), (4, "five words are not few"), (5, "中国")]
+    rows = decontaminate.not_searched(spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted(r.item_id for r in rows) == [2, 3, 5]
