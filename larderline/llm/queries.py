@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from larderline.llm import (
     decontaminate,
+    dialogue_repair,
     language,
     licenses,
     line_chunks,
@@ -147,3 +148,9 @@ def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
         "text",
         F.coalesce(F.size("mentions"), F.lit(0)).cast("long").alias("n_mentions"),
     )
+
+
+@registered
+def op11_dialogue_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns, copies = dialogue_repair.damaged(table(spark, folder, "conversations"))
+    return dialogue_repair.plan_repairs(turns, copies)

@@ -1,0 +1,183 @@
+"""Dialogue repair against all edits of small conversations, tried one by one."""
+
+from __future__ import annotations
+
+import hashlib
+import itertools
+import random
+import re
+import zlib
+
+from pyspark.sql import functions as F
+
+from larderline.llm import dialogue_repair
+from larderline.llm.queries import QUERIES
+
+BLANK = " \t\n\x0b\x0c\r"
+COLUMNS = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def in_turn(row):
+    turn, role, text = row
+    return (turn is not None, turn or 0, role, text)
+
+
+def plain(rows):
+    """All that is asked of one conversation, by trying every edit."""
+    rows = sorted(((n, " " if r is None else r, " " if t is None else t) for n, r, t in rows), key=in_turn)
+    faults, seen = [], set()
+    for _, role, text in rows:
+        bare = text.strip(BLANK)
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else None
+        faults.append(fault or ("" if bare[-1] in ".!?" else "truncated"))
+        seen.add((role, text))
+    turns = [n for n, _, _ in rows if n is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in itertools.pairwise(rows))
+    choices = [
+        [("D", 3, None)]
+        if fault in ("blank", "duplicate")
+        else [("D", 3, None)]
+        + [
+            (edit, price + (fault == "truncated"), line)
+            for edit, price, line in (
+                ("K", 0, (role, text)),
+                ("R", 2, ("user", text)),
+                ("R", 2, ("assistant", text)),
+            )
+        ]
+        for (_, role, text), fault in zip(rows, faults, strict=True)
+    ]
+    inserts = [
+        [("I", 2, (role, "")) for role in roles]
+        for n in range(3)
+        for roles in itertools.product(("user", "assistant"), repeat=n)
+    ]
+    best = None
+    for edits in itertools.product(*choices):
+        for put in itertools.product(inserts, repeat=len(rows) + 1):
+            if sum(map(len, put)) > 3:
+                continue
+            script = list(put[0])
+            for edit, more in zip(edits, put[1:], strict=True):
+                script += [edit, *more]
+            lines = [line for _, _, line in script if line]
+            # A role that begins with no letter of the grammar can not stay.
+            if re.fullmatch("(s?(ua)+)?", "".join(r[:1] or "-" for r, _ in lines)):
+                key = (sum(price for _, price, _ in script), "".join(e for e, _, _ in script))
+                if best is None or key < best[0]:
+                    best = (key, lines)
+    (cost, audit), lines = best
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in lines).encode()).hexdigest()
+    counts = [faults.count(fault) for fault in ("blank", "duplicate", "truncated")]
+    return (gaps, *counts, illegal, cost, audit, digest), lines
+
+
+def plans_of(spark, rows, columns=SCHEMA):
+    plans = dialogue_repair.plan_repairs(spark.createDataFrame(rows, columns))
+    return {r.conv_id: tuple(r[c] for c in COLUMNS) for r in plans.collect()}
+
+
+TEXTS = ["Yes.", "No", "Why?", " \t", "", "a.\n", None]
+ROLES = ["user", "assistant", "system", "tool", "", None, "useful"]
+
+
+def conversations(n, length, seed):
+    draw = random.Random(seed)
+    return [
+        (conv, draw.choice([None, 0, 1, 2, 3, 9]), draw.choices(ROLES, [5, 5, 3, 1, 1, 1, 1])[0], draw.choice(TEXTS))
+        for conv in range(n)
+        for _ in range(draw.randint(1, length))
+    ]
+
+
+def test_finds_the_cheapest_of_all_edits(spark):
+    rows = conversations(150, 4, 1)
+    found = plans_of(spark, rows)
+    for conv in {r[0] for r in rows}:
+        assert found[conv] == plain([r[1:] for r in rows if r[0] == conv])[0], conv
+
+
+def test_the_repaired_turns_are_what_was_hashed(spark):
+    rows = conversations(60, 12, 2)
+    turns = spark.createDataFrame(rows, SCHEMA)
+    plans = dialogue_repair.plan_repairs(turns)
+    repaired = dialogue_repair.repaired_turns(turns, plans).collect()
+    for conv, plan in {r.conv_id: r for r in plans.collect()}.items():
+        own = sorted((r.turn, r.role, r.text) for r in repaired if r.conv_id == conv)
+        assert [n for n, _, _ in own] == list(range(len(own)))
+        digest = hashlib.sha256("\n".join(f"{r}:{t}" for _, r, t in own).encode()).hexdigest()
+        assert digest == plan.repaired_sha256
+        assert re.fullmatch("(s?(ua)+)?", "".join(r[:1] for _, r, _ in own))
+
+
+def test_nulls_ties_copies_and_other_columns(spark):
+    rows = [
+        (None, None, None, None, "x"),
+        (1, 5, "user", "Hi.", "x"),
+        (1, 5, "user", "Hi.", "y"),
+        (1, 5, "user", "Hi.", "z"),
+        (1, 9, "assistant", "So.", "x"),
+        (1, 9, "assistant", "Na.", "x"),
+    ]
+    found = plans_of(spark, rows, f"{SCHEMA}, copies string")
+    empty = hashlib.sha256(b"").hexdigest()
+    assert found[None] == (0, 1, 0, 0, 0, 3, "D", empty)
+    own = [(5, "user", "Hi.")] * 3 + [(9, "assistant", "Na."), (9, "assistant", "So.")]
+    assert found[1] == plain(own)[0]
+    assert found[1][:4] == (3, 0, 2, 0)
+
+
+def test_a_long_conversation_of_copies_and_long_texts(spark):
+    rows = [(7, 0, "system", "Rules.")] + [(7, 1, "user", "Again.")] * 5000
+    rows += [(7, 2, "assistant", "word " * 200_000 + ".")] + [(7, n, "user", f"{n}?") for n in range(3, 700)]
+    (found,) = plans_of(spark, rows).values()
+    assert found[2] == 4999 and found[6].startswith("KK" + "D" * 4999 + "K")
+    assert len(found[6].replace("I", "")) == len(rows)
+
+
+def test_empty_table(spark):
+    assert plans_of(spark, []) == {}
+
+
+def test_damage_is_planted_by_checksum(spark):
+    rows = [(c, t, "assistant", "One. Two!") for c in range(40) for t in (*range(4), None)]
+    turns, copies = dialogue_repair.damaged(spark.createDataFrame(rows, SCHEMA))
+    found = turns.select("conv_id", "turn", "role", "text", copies.alias("n")).collect()
+    for row in found:
+        shown = " " if row.turn is None else row.turn
+        fault = zlib.crc32(f"{row.conv_id}:{shown}".encode()) % 20
+        assert row.n == {0: 0, 3: 2}.get(fault, 1)
+        assert row.text == {1: "", 2: "One Two"}.get(fault, "One. Two!")
+        assert row.role == ("user" if fault == 4 else "assistant")
+
+
+def test_query_on_the_test_table(spark, tables):
+    path = f"{tables}/conversations.parquet"
+    found = {r.conv_id: tuple(r[c] for c in COLUMNS) for r in QUERIES["op11_dialogue_repair"](spark, tables).collect()}
+    by_conv = {}
+    for row in spark.read.parquet(path).collect():
+        fault = zlib.crc32(f"{row.conv_id}:{row.turn}".encode()) % 20
+        text = {1: "", 2: re.sub("[.!?]", "", row.text)}.get(fault, row.text)
+        turn = (row.turn, "user" if fault == 4 else row.role, text)
+        by_conv.setdefault(row.conv_id, []).extend([turn] * {0: 0, 3: 2}.get(fault, 1))
+    assert set(found) == set(by_conv)
+    checked = 0
+    for conv, rows in by_conv.items():
+        if len(rows) <= 3:
+            checked += 1
+            assert found[conv] == plain(rows)[0]
+    assert checked > 5
+
+
+def test_gaps_of_far_turns(spark):
+    rows = [(1, -(2**63), "user", "a."), (1, 2**63 - 1, "assistant", "b.")]
+    assert plans_of(spark, rows)[1][0] == 2**63 - 1
+
+
+def test_turns_that_count_no_times(spark):
+    turns = spark.createDataFrame([(4, 1, "user", "Hi.")], SCHEMA)
+    (row,) = dialogue_repair.plan_repairs(turns, F.lit(0)).collect()
+    assert (row.gaps, row.cost, row.audit) == (0, 0, "")
+    assert row.repaired_sha256 == hashlib.sha256(b"").hexdigest()
