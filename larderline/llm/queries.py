@@ -13,6 +13,7 @@ from larderline.llm import (
     licenses,
     line_chunks,
     packing,
+    periodic_runs,
     quality,
     simhash,
     sql,
@@ -154,3 +155,10 @@ def op4_surrogates(spark: SparkSession, folder: str) -> DataFrame:
 def op11_dialogue_repair(spark: SparkSession, folder: str) -> DataFrame:
     turns, copies = dialogue_repair.damaged(table(spark, folder, "conversations"))
     return dialogue_repair.plan_repairs(turns, copies)
+
+
+@registered
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, folder, "documents").select("doc_id", "text"))
+    found = periodic_runs.find_runs(docs, with_text=False)
+    return periodic_runs.summary(found).withColumnRenamed("id", "doc_id")
