@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from larderline.llm import (
     decontaminate,
     dialogue_repair,
+    interval_dedup,
     language,
     licenses,
     line_chunks,
@@ -162,3 +163,15 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = periodic_runs.planted(table(spark, folder, "documents").select("doc_id", "text"))
     found = periodic_runs.find_runs(docs, with_text=False)
     return periodic_runs.summary(found).withColumnRenamed("id", "doc_id")
+
+
+@registered
+def op13_interval_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return interval_dedup.remove_repeated_bytes(docs).select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from larderline.llm.queries import QUERIES, SQL
 
-NAMES = [f"op{n}_" for n in range(1, 11)]
+NAMES = [f"op{n}_" for n in range(1, 14)]
 
 
 def expected(tables, name):
@@ -29,7 +29,7 @@ def expected(tables, name):
 
 
 def test_there_is_a_query_for_each_operator():
-    assert [sum(name.startswith(own) for name in QUERIES) for own in NAMES] == [1] * 10
+    assert [sum(name.startswith(own) for name in QUERIES) for own in NAMES] == [1] * 13
     assert set(SQL) <= set(QUERIES)
 
 
