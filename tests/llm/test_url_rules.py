@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import math
 import random
-from itertools import combinations
+import time
+from collections import Counter
+from itertools import combinations, product
 
 import pytest
 
@@ -68,16 +71,25 @@ def test_stated_rules(spark):
     assert found[0].verdict == url_rules.DEFAULT_VERDICT
 
 
-def plain_rules(labelled, needed):
+def wilson(right, n):
+    share, spread = right / n, url_rules.Z**2 / n
+    wide = url_rules.Z * math.sqrt((share * (1 - share) + spread / 4) / n)
+    return (share + spread / 2 - wide) / (1 + spread)
+
+
+def plain_rules(labelled, support=url_rules.SUPPORT):
     """All rules of up to three tokens, by counting every combination."""
     rules = {}
     for size in (1, 2, 3):
-        for tokens in {c for tokens, _ in labelled for c in combinations(tokens, size)}:
-            having = [verdict for own, verdict in labelled if set(tokens) <= set(own)]
-            for verdict in set(having):
-                n = having.count(verdict)
-                if n >= needed and n >= url_rules.CONFIDENCE * len(having):
-                    rules[tokens, verdict] = n / len(having)
+        counts = Counter()
+        for tokens, verdict in labelled:
+            for own in combinations(tokens, size):
+                counts[own, verdict] += 1
+                counts[own] += 1
+        for (tokens, verdict), right in [item for item in counts.items() if isinstance(item[0][0], tuple)]:
+            n = counts[tokens]
+            if right >= support * len(labelled) and wilson(right, n) >= url_rules.CONFIDENCE:
+                rules[tokens, verdict] = right / n
     return {
         (tokens, verdict): sure
         for (tokens, verdict), sure in rules.items()
@@ -85,17 +97,66 @@ def plain_rules(labelled, needed):
     }
 
 
-def test_mined_rules_are_those_of_counting_all_combinations(spark):
-    draw = random.Random(3)
-    labelled = []
+def mined(spark, labelled, **options):
+    """Rules by token: each of a group stands for all of it."""
+    rows = spark.createDataFrame(labelled, "tokens array<string>, verdict string")
+    found = url_rules.mined_rules(rows, **options)
+    of_group = {}
+    for row in found.members.collect():
+        of_group.setdefault(row.group, []).append(row.token)
+    return {
+        (tuple(sorted(tokens)), r.verdict): r.confidence
+        for r in found.rules.collect()
+        for tokens in product(*[of_group[group] for group in r.groups])
+    }
+
+
+def some_labelled(seed, letters, most):
+    draw = random.Random(seed)
     for _ in range(800):
-        tokens = sorted(draw.sample(["a", "b", "c", "d", "e", "f"], draw.randrange(1, 5)))
+        tokens = sorted(draw.sample(letters, draw.randrange(1, most)))
         block = "a" in tokens and ("b" in tokens or draw.random() < 0.7)
-        labelled.append((tokens, "block" if block else "allow"))
-    rows = spark.createDataFrame(labelled, "tokens array<string>, verdict string")
-    found = {(tuple(r.tokens), r.verdict): r.confidence for r in url_rules.mined_rules(rows).collect()}
-    assert found == pytest.approx(plain_rules(labelled, url_rules.LEAST_URLS))
-    assert (("a", "b"), "block") in found
+        yield tokens, "block" if block else "allow"
+
+
+@pytest.mark.parametrize("most_groups", [url_rules.MOST_GROUPS, 2])
+def test_mined_rules_are_those_of_counting_all_combinations(spark, most_groups):
+    labelled = list(some_labelled(3, "abcdef", 5))
+    # Tokens that only occur together, with and without exceptions.
+    labelled += [(["c", "x1", "x2", "x3"], "block" if n % 40 else "allow") for n in range(120)]
+    labelled += [(["y1", "y2"], "block")] * 25 + [(["z"], "block")] * 24
+    found = mined(spark, labelled, most_groups=most_groups)
+    assert found == pytest.approx(plain_rules(labelled))
+    assert (("a", "b"), "block") in found and (("y1",), "block") in found
+    assert not any("z" in tokens for tokens, _ in found)
+
+
+def test_large_baskets_are_counted_by_length(spark):
+    letters = [chr(97 + n) for n in range(20)]
+    labelled = list(some_labelled(5, letters, 18))
+    assert mined(spark, labelled) == pytest.approx(plain_rules(labelled))
+
+
+def test_long_urls_that_repeat_end_soon(spark):
+    """Copies of a long URL, and long URLs that share most of their parts."""
+    copies = "http://a.example.com/de/" + "/".join(f"p{n}" for n in range(300))
+    urls = [copies] * 25
+    shared = "/".join(f"s{n}" for n in range(30))
+    urls += [f"http://h{n}.example.org/fr/{shared}/{n % 7}x" for n in range(1000)]
+    urls += [f"http://h{n}.example.com/de/{shared}/{n % 7}x" for n in range(500)]
+    urls += ["http://x.info/p7/p9", "http://x.info/s3", "http://com.info/de/s3"]
+    began = time.monotonic()
+    found = judged(spark, urls)
+    assert time.monotonic() - began < 60
+    last = [found[len(urls) - n] for n in (3, 2, 1)]
+    assert [r.verdict for r in last] == ["block", "allow", "block"]
+    assert last[1].because is None and last[0].because == ["path:p7"]
+    assert last[2].because == ["host:com"]
+
+
+def test_support_does_not_hang_on_copies_of_the_table(spark):
+    labelled = list(some_labelled(3, "abcdef", 5))
+    assert set(mined(spark, labelled)) <= set(mined(spark, labelled * 4))
 
 
 def test_other_urls_follow_what_is_mined(spark):
