@@ -18,13 +18,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larderline.llm.common import stored
+
 UNKNOWN = "und"
 
-# The training sample: about so many documents of a language, and at most so
+# The training sample: at most so many documents of a language, and at most so
 # many words of each, spread evenly over the text.
 SAMPLE_DOCS = 600
 SAMPLE_WORDS = 120
@@ -294,28 +296,32 @@ def fit(
     sample_docs: int = SAMPLE_DOCS,
     steps: int = STEPS,
 ) -> Network:
-    """Train on about ``sample_docs`` documents of each language, chosen by a
-    hash of their text, and at most SAMPLE_WORDS words of each. Rows without
-    language or letters teach nothing; without any, no language is known."""
+    """Train on ``sample_docs`` different texts of each language, or all if there
+    are fewer, chosen by a hash of the text, and at most SAMPLE_WORDS words of
+    each. Copies count once, so none of them crowd out others, and each language
+    has its own share. Rows without language or letters teach nothing; without
+    any, no language is known.
+
+    What comes to the driver is bounded by these two numbers for each language.
+    """
     rows = docs.select(
         F.col(language_column).alias("lang"), F.col(text_column).alias("text")
     ).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # One row for each language.
-    counted = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    counts = {row["lang"]: row["n"] for row in counted.collect()}
-    if not counts:
-        return Network([])
-    every = F.create_map(
-        *[F.lit(x) for lang, n in counts.items() for x in (lang, max(1, n // sample_docs))]
-    )
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), every[F.col("lang")]) == 0)
-    # Equal texts are chosen together; a language takes no more than twice its share.
-    limit = 2 * sample_docs * len(counts)
-    sampled = chosen.dropDuplicates(["lang", "text"]).mapInArrow(
-        _some_words(), "lang string, words array<string>"
-    )
+    hashed = rows.withColumn("hash", F.xxhash64("text"))
+    different = stored(hashed.select("lang", "hash").distinct(), "texts")
+    # A first cut leaves about twice the wanted number, so that what is ranked
+    # below is small however many texts a language has.
+    counts = different.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    every = F.greatest(F.lit(1), F.floor(F.col("n") / (2 * sample_docs)))
+    some = different.join(counts, "lang").filter(F.pmod(F.xxhash64("hash"), every) == 0)
+    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("hash"), "hash")
+    ranked = some.withColumn("rank", F.row_number().over(by_hash))
+    chosen = ranked.filter(F.col("rank") <= sample_docs).select("lang", "hash")
+    picked = hashed.join(F.broadcast(stored(chosen, "chosen")), ["lang", "hash"])
+    once = picked.groupBy("lang", "hash").agg(F.first("text").alias("text"))
+    sampled = once.mapInArrow(_some_words(), "lang string, words array<string>")
     samples = defaultdict(list)
-    for row in sampled.limit(limit).toArrow().to_pylist():
+    for row in sampled.toArrow().to_pylist():
         samples[row["lang"]].extend(row["words"])
     # Sorted, so that training does not depend on the order rows come in.
     samples = {lang: sorted(words) for lang, words in samples.items() if words}

@@ -88,6 +88,33 @@ def test_repeated_rows_and_other_columns(spark, network):
     assert sorted(found, key=str) == [(1, "aa"), (1, "aa"), (None, "ee")]
 
 
+GERMAN = "der die und schlecht zwerg stern gerste berg wald nicht ein haus strasse".split()
+ENGLISH = "the and of thing with river house stone water light there which about".split()
+
+
+def test_many_copies_take_no_language_away(spark):
+    """Copies of one German text are a hundred times all the rest."""
+    rows = [(n, " ".join(GERMAN[n % 7 : n % 7 + 5]) + f" wald{n}", "de") for n in range(40)]
+    rows += [(n, " ".join(ENGLISH[n % 7 : n % 7 + 5]) + f" x{n}", "en") for n in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA + ", lang string")
+    copies = spark.range(60_000).selectExpr("id AS doc_id", "'der eine satz' AS text", "'de' AS lang")
+    network = language.fit(docs.union(copies), steps=200)
+    assert network.languages == ["de", "en"]
+    found = language.predict(docs, network).collect()
+    wanted = {r[1]: r[2] for r in rows}
+    right = [r.lang_pred == wanted[row[1]] for r, row in zip(found, docs.collect(), strict=True)]
+    assert np.mean(right) > 0.97
+
+
+def test_the_sample_is_bounded_and_holds_each_language(spark, monkeypatch):
+    taken = {}
+    monkeypatch.setattr(language, "trained", lambda samples, steps: taken.update(samples))
+    rows = [(n, f"{lang}{n % 500}", lang) for lang in ("aa", "bb") for n in range(1000)]
+    rows += [(1, "cc", "cc"), (2, None, "dd"), (3, "1 2", "ee")]
+    language.fit(spark.createDataFrame(rows, SCHEMA + ", lang string"), sample_docs=50)
+    assert {lang: len(words) for lang, words in taken.items()} == {"aa": 50, "bb": 50, "cc": 1}
+
+
 def test_fold_is_the_checksum_of_the_id(spark):
     rows = spark.createDataFrame([(n,) for n in (0, 7, 12345, None)], "id long")
     found = [r[0] for r in rows.select(language.fold(F.col("id"), 4)).collect()]
