@@ -2,9 +2,10 @@
 
 The templates' tokens make up one generalised suffix automaton. A document is
 streamed through it, which gives for each token the longest run of tokens ending
-there that stands in some template. Long runs are chained, per template, where
-they follow each other in the document and in the template; a template of which
-a chain covers enough is a licence found.
+there that stands in some template, and along the suffix links the longest run of
+each place of each template. Runs that go on neither way are chained, per template,
+where they follow each other in the document and in the template, by dynamic
+programming; a template of which a chain covers enough is a licence found.
 """
 
 from __future__ import annotations
@@ -27,8 +28,18 @@ PHRASES = {
     "mit license": "mit",
 }
 
-# The notices that licences ask for, and usual short statements.
-TEMPLATES = {
+def _gnu(name: str, work: str, version: str, comma: str = ",") -> str:
+    return (
+        f"This {work} is free software: you can redistribute it and/or modify it under the terms"
+        f" of the GNU {name} as published by the Free Software Foundation{comma} either"
+        f" version {version} of the License, or (at your option) any later version."
+    )
+
+
+# The notices that licences ask for, their shorter texts, and usual
+# short statements.
+_NOTICES = {
+    "agpl-3.0": (_gnu("Affero General Public License", "program", "3"),),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file"
@@ -40,20 +51,54 @@ TEMPLATES = {
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are"
         " permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of"
+        " conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of"
+        " conditions and the following disclaimer in the documentation and/or other materials"
+        " provided with the distribution.",
+    ),
+    "bsd-3-clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used"
+        " to endorse or promote products derived from this software without specific prior"
+        " written permission.",
+    ),
+    "bsl-1.0": (
+        "Distributed under the Boost Software License, Version 1.0",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a"
+        " copy of the software and accompanying documentation covered by this license",
     ),
     "cc-by-4.0": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License",
+        "Creative Commons Attribution 4.0 International",
         "Licensed under CC BY 4.0",
     ),
     "cc-by-nc-4.0": (
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0"
         " International License",
+        "Creative Commons Attribution-NonCommercial 4.0 International",
         "Licensed under CC BY-NC 4.0",
     ),
+    "cc-by-sa-4.0": (
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0"
+        " International License",
+        "Creative Commons Attribution-ShareAlike 4.0 International",
+        "Licensed under CC BY-SA 4.0",
+    ),
+    "cc0-1.0": (
+        "To the extent possible under law, the author has waived all copyright and related or"
+        " neighboring rights to this work",
+        "CC0 1.0 Universal",
+    ),
+    "epl-2.0": (
+        "This program and the accompanying materials are made available under the terms of the"
+        " Eclipse Public License 2.0",
+    ),
+    "gpl-2.0": (
+        _gnu("General Public License", "program", "2"),
+        "This work is licensed under the GNU General Public License, version 2",
+    ),
     "gpl-3.0": (
-        "This program is free software: you can redistribute it and/or modify it under the terms"
-        " of the GNU General Public License as published by the Free Software Foundation, either"
-        " version 3 of the License, or (at your option) any later version.",
+        _gnu("General Public License", "program", "3"),
         "This work is licensed under the GNU General Public License, version 3",
     ),
     "isc": (
@@ -61,11 +106,18 @@ TEMPLATES = {
         " without fee is hereby granted, provided that the above copyright notice and this"
         " permission notice appear in all copies.",
     ),
+    "lgpl-2.1": (_gnu("Lesser General Public License", "library", "2.1"),),
+    "lgpl-3.0": (_gnu("Lesser General Public License", "library", "3"),),
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this"
         " software and associated documentation files (the Software), to deal in the Software"
         " without restriction",
         "Released under the MIT License",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute,"
+        " sublicense, and/or sell copies of the Software, and to permit persons to whom the"
+        " Software is furnished to do so, subject to the following conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or"
+        " substantial portions of the Software.",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -73,12 +125,50 @@ TEMPLATES = {
     "unlicense": (
         "This is free and unencumbered software released into the public domain.",
     ),
+    "zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event"
+        " will the authors be held liable for any damages arising from the use of this software.",
+        "Permission is granted to anyone to use this software for any purpose, including"
+        " commercial applications, and to alter it and redistribute it freely",
+    ),
+}
+
+# What stands behind "SPDX-License-Identifier:", by label.
+_IDENTIFIERS = {
+    "agpl-3.0": ("AGPL-3.0-only", "AGPL-3.0-or-later"),
+    "apache-2.0": ("Apache-2.0",),
+    "bsd": ("BSD-2-Clause",),
+    "bsd-3-clause": ("BSD-3-Clause",),
+    "bsl-1.0": ("BSL-1.0",),
+    "cc-by-4.0": ("CC-BY-4.0",),
+    "cc-by-sa-4.0": ("CC-BY-SA-4.0",),
+    "cc0-1.0": ("CC0-1.0",),
+    "epl-2.0": ("EPL-2.0",),
+    "gpl-2.0": ("GPL-2.0-only", "GPL-2.0-or-later", "GPL-2.0"),
+    "gpl-3.0": ("GPL-3.0-only", "GPL-3.0-or-later", "GPL-3.0"),
+    "isc": ("ISC",),
+    "lgpl-2.1": ("LGPL-2.1-only", "LGPL-2.1-or-later"),
+    "lgpl-3.0": ("LGPL-3.0-only", "LGPL-3.0-or-later"),
+    "mit": ("MIT",),
+    "mpl-2.0": ("MPL-2.0",),
+    "unlicense": ("Unlicense",),
+    "zlib": ("Zlib",),
+}
+
+TEMPLATES = {
+    label: (
+        *notices,
+        *[f"SPDX-License-Identifier: {name}" for name in _IDENTIFIERS.get(label, ())],
+    )
+    for label, notices in _NOTICES.items()
 }
 
-# Tokens of a run that counts, tokens that may lie between runs of a chain, and
-# the share of a template that has to be covered.
+# Tokens of a run that counts, if the template is not shorter; tokens that may lie
+# between runs of a chain, or this part of the template if that is more; and the
+# share of a template that has to be covered.
 LEAST_RUN = 4
 MOST_GAP = 8
+GAP_SHARE = 0.25
 LEAST_COVERED = 0.75
 # What a phrase alone is worth as a score.
 PHRASE_SCORE = 0.5
@@ -102,30 +192,39 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """The generalised suffix automaton of token sequences.
 
-    ``places`` of a state are ends of its runs: sequence to first end.
+    ``ends`` of a state are all places where its runs end: sequence and token.
     """
 
     def __init__(self, sequences: list[list[int]]):
         self.length, self.link = [0], [-1]
         self.after: list[dict[int, int]] = [{}]
-        self.places: list[dict[int, int]] = [{}]
+        self.ends: list[set[tuple[int, int]]] = [set()]
         for number, sequence in enumerate(sequences):
             state = 0
             for end, token in enumerate(sequence):
                 state = self._extend(state, token)
-                self._note(state, number, end)
-
-    def _note(self, state: int, number: int, end: int) -> None:
-        """All suffixes of the run end there too."""
-        while state > 0 and number not in self.places[state]:
-            self.places[state][number] = end
-            state = self.link[state]
+                self.ends[state].add((number, end))
+        # Where a run ends, all its suffixes do.
+        for state in sorted(range(1, len(self.link)), key=self.length.__getitem__, reverse=True):
+            self.ends[self.link[state]] |= self.ends[state]
+        self._reached: dict[int, list[tuple[int, int, int]]] = {}
+
+    def reached(self, state: int) -> list[tuple[int, int, int]]:
+        """All places where some suffix of the state's runs ends, by sequence and
+        token, with the length of the longest one."""
+        if state not in self._reached:
+            places, below, at = [], set(), state
+            while at > 0:
+                places += [(n, end, self.length[at]) for n, end in self.ends[at] - below]
+                below, at = self.ends[at], self.link[at]
+            self._reached[state] = places
+        return self._reached[state]
 
     def _new(self, length: int, link: int, like: int | None = None) -> int:
         self.length.append(length)
         self.link.append(link)
         self.after.append({} if like is None else dict(self.after[like]))
-        self.places.append({} if like is None else dict(self.places[like]))
+        self.ends.append(set())
         return len(self.length) - 1
 
     def _split(self, state: int, token: int, target: int) -> int:
@@ -165,6 +264,56 @@ class Automaton:
             yield length, state
 
 
+class Run(NamedTuple):
+    """Tokens of a document that stand in a template: where they begin in each."""
+
+    first: int
+    begin: int
+    length: int
+
+    @property
+    def last(self) -> int:
+        return self.first + self.length - 1
+
+    @property
+    def end(self) -> int:
+        return self.begin + self.length - 1
+
+
+def chained(runs: list[Run], most_gap: int) -> list[tuple[int, int, int]]:
+    """Chains of runs as first and last token and tokens covered, the best first;
+    they do not overlap.
+
+    In a chain both ends of a run lie behind those of the one before, in document
+    and template, with at most ``most_gap`` tokens of the document between; what
+    two runs share counts once. Each run is put behind the chain that makes the
+    most of it.
+    """
+    runs = sorted(runs, key=lambda run: (run.last, run.end, run.first))
+    best: list[tuple[int, int]] = []
+    for number, run in enumerate(runs):
+        covered, first = run.length, run.first
+        for earlier in range(number - 1, -1, -1):
+            other = runs[earlier]
+            if run.first - other.last - 1 > most_gap:
+                break
+            shared = max(0, other.last + 1 - run.first, other.end + 1 - run.begin)
+            behind = other.first < run.first and other.begin < run.begin and other.last < run.last
+            gap = run.first + shared - other.last - 1
+            if behind and shared < run.length and gap <= most_gap:
+                so_far, start = best[earlier]
+                if so_far + run.length - shared > covered:
+                    covered, first = so_far + run.length - shared, start
+        best.append((covered, first))
+    found: list[tuple[int, int, int]] = []
+    for number in sorted(range(len(runs)), key=lambda n: (-best[n][0], runs[n].last)):
+        covered, first = best[number]
+        last = runs[number].last
+        if all(last < other or first > end for other, end, _ in found):
+            found.append((first, last, covered))
+    return found
+
+
 class Span(NamedTuple):
     """A chain of runs: words of the document, and the share covered."""
 
@@ -186,7 +335,11 @@ class Scanner:
         self.ids = {word: number for number, word in enumerate(every)}
         self.phrases = [([self.ids[w] for w in words], label) for words, label in stated.items()]
         self.lengths = [len(words) for words in sequences]
-        self.automaton = Automaton([[self.ids[w] for w in words] for words in sequences])
+        self.sequences = [[self.ids[w] for w in words] for words in sequences]
+        # A template shorter than a run that counts has to be there in full.
+        self.least = [min(LEAST_RUN, length) for length in self.lengths]
+        self.shortest = min(self.least, default=LEAST_RUN)
+        self.automaton = Automaton(self.sequences)
 
     def base(self, tokens: np.ndarray) -> tuple[list[int], set[str]]:
         """Where phrases start, one for each place and phrase, and their labels."""
@@ -201,40 +354,55 @@ class Scanner:
                 labels.add(label)
         return starts, labels
 
-    def spans(self, tokens: np.ndarray) -> list[Span]:
-        """The template passages, by place; only stretches of known words that
-        are long enough are streamed."""
+    def runs(self, tokens: np.ndarray) -> dict[int, list[Run]]:
+        """The runs that go on neither way, by template. Only stretches of known
+        words that are long enough are streamed."""
         known = np.concatenate([[0], (tokens >= 0).astype(np.int8), [0]])
         edges = np.diff(known)
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        chains: dict[int, list] = {}
-        for start, end in zip(starts, ends, strict=True):
-            if end - start >= LEAST_RUN:
-                self._chain(int(start), tokens[start:end].tolist(), chains)
-        found = [
-            Span(self.labels[number], first, last, covered / self.lengths[number])
-            for number, own in chains.items()
-            for first, last, _, covered in own
-            if covered >= LEAST_COVERED * self.lengths[number]
-        ]
-        return sorted(found, key=lambda span: (span.first, span.label, span.last))
-
-    def _chain(self, start: int, tokens: list[int], chains: dict[int, list]) -> None:
-        """Add the runs of a stretch: a run that follows the last one of a
-        template, here and there, continues its chain; else it begins one."""
-        runs = list(self.automaton.statistics(tokens))
-        for at, (length, state) in enumerate(runs):
-            goes_on = at + 1 < len(runs) and runs[at + 1][0] == length + 1
-            if length < LEAST_RUN or goes_on:
+        found: dict[int, list[Run]] = {}
+        for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
+            if end - start >= self.shortest:
+                self._runs_of(start, tokens[start:end].tolist(), found)
+        return found
+
+    def _runs_of(self, start: int, tokens: list[int], found: dict[int, list[Run]]) -> None:
+        for at, (longest, state) in enumerate(self.automaton.statistics(tokens)):
+            if longest < self.shortest:
+                continue
+            following = tokens[at + 1] if at + 1 < len(tokens) else None
+            for number, end, size in self.automaton.reached(state):
+                length = min(size, longest)
+                goes_on = self.sequences[number][end + 1 : end + 2] == [following]
+                if length >= self.least[number] and not goes_on:
+                    run = Run(start + at - length + 1, end - length + 1, length)
+                    found.setdefault(number, []).append(run)
+
+    def spans(self, tokens: np.ndarray) -> list[Span]:
+        """The template passages, by place. Of versions of a licence that differ in
+        a few words, the one goes that covers less of the same place and is not
+        there in full."""
+        found = []
+        for number, runs in self.runs(tokens).items():
+            size = self.lengths[number]
+            if sum(run.length for run in runs) < LEAST_COVERED * size:
                 continue
-            first, last = start + at - length + 1, start + at
-            for number, end in self.automaton.places[state].items():
-                own = chains.setdefault(number, [])
-                begin = end - length + 1
-                if own and begin > own[-1][2] and 0 <= first - own[-1][1] - 1 <= MOST_GAP:
-                    own[-1] = (own[-1][0], last, end, own[-1][3] + length)
-                else:
-                    own.append((first, last, end, length))
+            for first, last, covered in chained(runs, max(MOST_GAP, int(GAP_SHARE * size))):
+                if covered >= LEAST_COVERED * size:
+                    found.append((covered, Span(self.labels[number], first, last, covered / size)))
+        kept = {
+            span
+            for covered, span in found
+            if span.covered == 1
+            or not any(
+                more > covered
+                and other.label != span.label
+                and other.first <= span.first
+                and span.last <= other.last
+                for more, other in found
+            )
+        }
+        return sorted(kept, key=lambda span: (span.first, span.label, span.last))
 
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)

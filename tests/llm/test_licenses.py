@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+
 from larderline.llm import licenses
 
 SCHEMA = "doc_id long, text string"
@@ -49,14 +51,91 @@ def test_statistics_are_the_longest_known_runs():
             for end in range(len(sequence)):
                 for start in range(end + 1):
                     run = tuple(sequence[start : end + 1])
-                    known.setdefault(run, {}).setdefault(number, end)
+                    known.setdefault(run, set()).add((number, end))
         automaton = licenses.Automaton(sequences)
         for end, (length, state) in enumerate(automaton.statistics(text)):
             longest = max((n for n in range(end + 2) if n == 0 or tuple(text[end + 1 - n : end + 1]) in known))
             assert length == longest
             if length:
                 run = tuple(text[end + 1 - length : end + 1])
-                assert automaton.places[state] == known[run]
+                assert automaton.ends[state] == known[run]
+
+
+def plain_runs(text, template, least):
+    """Runs of a text in a template that go on neither way, one by one."""
+    runs = set()
+    for first in range(len(text)):
+        for begin in range(len(template)):
+            before = first and begin and text[first - 1] == template[begin - 1]
+            length = 0
+            while text[first + length : first + length + 1] == template[begin + length : begin + length + 1] != []:
+                length += 1
+            if length >= least and not before:
+                runs.add((first, begin, length))
+    return runs
+
+
+def plain_chains(runs, gap, covered=0, last=None):
+    """The most that a chain can cover, by trying all."""
+    best = covered
+    for run in runs:
+        shared = 0
+        if last is not None:
+            if not (last.first < run.first and last.begin < run.begin and last.last < run.last):
+                continue
+            shared = max(0, last.last + 1 - run.first, last.end + 1 - run.begin)
+            if shared >= run.length or run.first + shared - last.last - 1 > gap:
+                continue
+        best = max(best, plain_chains(runs, gap, covered + run.length - shared, run))
+    return best
+
+
+def test_runs_and_chains_are_those_of_trying_all(monkeypatch):
+    monkeypatch.setattr(licenses, "LEAST_RUN", 2)
+    draw = random.Random(6)
+    for _ in range(300):
+        letters = "abcde"[: draw.randint(2, 5)]
+        templates = {f"t{n}": (" ".join(draw.choices(letters, k=draw.randint(1, 9))),) for n in range(3)}
+        text = draw.choices(letters + "x", k=draw.randint(0, 14))
+        scanner = licenses.Scanner({}, templates)
+        tokens = np.array([scanner.ids.get(word.encode(), -1) for word in text], dtype=np.int32)
+        found = scanner.runs(tokens)
+        for number, (template,) in enumerate(templates.values()):
+            own = template.split()
+            runs = found.get(number, [])
+            assert {tuple(run) for run in runs} == plain_runs(text, own, min(2, len(own)))
+            assert len(set(runs)) == len(runs)
+            if runs and len(runs) < 8:
+                assert licenses.chained(runs, 2)[0][2] == plain_chains(runs, 2)
+
+
+def test_templates_within_others_and_with_repeats():
+    templates = {"inner": ("c d e f",), "outer": ("p q c d e f r s",), "twice": ("a b c d x y z w a b c d",)}
+    scanner = licenses.Scanner({}, templates)
+
+    def labels(text):
+        return {span.label: (span.first, span.last, span.covered) for span in scanner.scan(text)[3]}
+
+    assert labels("x p q c d e f r s -") == {"inner": (3, 6, 1.0), "outer": (1, 8, 1.0)}
+    assert labels("q c d e f r") == {"inner": (1, 4, 1.0), "outer": (0, 5, 0.75)}
+    assert labels("a b c d x y z w a b c d") == {"twice": (0, 11, 1.0)}
+
+
+def test_usual_notices_and_versions(spark):
+    texts = {
+        "gpl-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of"
+        " the GNU General Public License as published by the Free Software Foundation; either version 2 of"
+        " the License, or (at your option) any later version.",
+        "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of"
+        " the GNU Lesser General Public License as published by the Free Software Foundation; either"
+        " version 2.1 of the License, or (at your option) any later version.",
+        "cc-by-4.0": "licensed under Creative Commons Attribution 4.0 International License",
+        "mit": "// SPDX-License-Identifier: MIT",
+        "gpl-3.0": "# SPDX-License-Identifier: GPL-3.0-or-later",
+        "bsd-3-clause": "SPDX-License-Identifier: BSD-3-Clause",
+    }
+    for row, label in zip(scanned(spark, list(texts.values())), texts, strict=True):
+        assert set(row.labels) - {"gpl"} == {label}, label
 
 
 def test_templates_are_found_changed_and_in_long_texts(spark):
