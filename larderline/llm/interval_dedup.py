@@ -18,6 +18,7 @@ finer ones, whose common part is longer, down to single windows.
 from __future__ import annotations
 
 import functools
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +42,9 @@ WINDOWS_AT_ONCE = 1 << 18
 # and bytes from which on a transform takes no further anchors in.
 PIECES_TOGETHER = 1000
 BYTES_TOGETHER = 1 << 20
+# Windows in the parts of pieces that are compared; parts whose windows share
+# nothing with those of another piece are left out.
+COMPARED_WINDOWS = 64
 # Windows in the finer pieces of a crowded anchor, then in those of a crowded
 # finer piece. Pieces of one window differ or are equal.
 FINER = (16, 1)
@@ -257,33 +261,77 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return merged
 
 
+def _alike_parts(group: list[tuple], least: int) -> Iterator[dict[bytes, list]]:
+    """Parts of pieces of one anchor that may share a string: content, and the
+    pieces and places that have it. The others share none with another piece."""
+    step = min(COMPARED_WINDOWS, least // 2)
+    alike: dict[int, dict[bytes, list]] = defaultdict(dict)
+    for number, (_, _, _, _, anchor, content) in enumerate(group):
+        for first, windows, _, core in _finer(content, anchor, least, step):
+            part = content[first : first + windows + least - 1]
+            alike[core].setdefault(part, []).append((number, first))
+    for parts in alike.values():
+        if len(parts) > 1 or any(len(places) > 1 for places in parts.values()):
+            yield parts
+
+
+def _spans_of(groups: list[list[tuple]], least: int) -> Iterator[tuple]:
+    """Repeated spans of pieces, which are grouped by anchor."""
+
+    def at(place: tuple, start: int, end: int) -> tuple:
+        group, (number, first) = place
+        _, own_id, own_row, begin, _, _ = group[number]
+        return own_id, own_row, begin + first + start, begin + first + end
+
+    texts: list[bytes] = []
+    owners: list[tuple] = []
+    size = 0
+
+    def compared() -> Iterator[tuple]:
+        for place, starts in zip(owners, repeated_starts(texts, least), strict=True):
+            if place is not None:
+                for start, end in _merged([(s, s + least) for s in starts.tolist()]):
+                    yield at(place, start, end)
+
+    for group in groups:
+        for parts in _alike_parts(group, least):
+            for part, places in parts.items():
+                if len(places) > 1:
+                    yield from (at((group, place), 0, len(part)) for place in places)
+                if len(parts) > 1:
+                    texts.append(part)
+                    owners.append((group, places[0]) if len(places) == 1 else None)
+                    size += len(part) + 1
+            if size >= BYTES_TOGETHER:
+                yield from compared()
+                texts, owners, size = [], [], 0
+    if texts:
+        yield from compared()
+
+
 def _compared(least: int, schema: pa.Schema):
     """Reads pieces sorted by ``core``; the pieces of one may span batches."""
 
-    def spans_of(group: list[tuple]) -> Iterator[tuple]:
-        texts = [row[-1] for row in group]
-        for row, starts in zip(group, repeated_starts(texts, least), strict=True):
-            _, own_id, own_row, first, _ = row
-            for start, end in _merged([(s, s + least) for s in starts.tolist()]):
-                yield own_id, own_row, first + start, first + end
-
-    def emit(group: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*spans_of(group), strict=True)) or [()] * len(schema)
+    def emit(groups: list[list[tuple]]) -> pa.RecordBatch:
+        columns = list(zip(*_spans_of(groups, least), strict=True)) or [()] * len(schema)
         arrays = [pa.array(values, kind.type) for values, kind in zip(columns, schema, strict=True)]
         return pa.record_batch(arrays, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, size = [], 0
+        groups, size, core = [], 0, None
         for batch in batches:
-            names = ("core", "id", "row", "start", "content")
+            names = ("core", "id", "row", "start", "anchor", "content")
             for row in zip(*[batch.column(n).to_pylist() for n in names], strict=True):
-                if size >= BYTES_TOGETHER and row[0] != group[-1][0]:
-                    yield emit(group)
-                    group, size = [], 0
-                group.append(row)
-                size += len(row[-1]) + 1
-        if group:
-            yield emit(group)
+                if not groups or row[0] != core:
+                    if size >= 4 * BYTES_TOGETHER:
+                        yield emit(groups)
+                        groups, size = [], 0
+                    groups.append([])
+                    core = row[0]
+                groups[-1].append(row)
+                size += len(row[-1])
+        if groups:
+            yield emit(groups)
 
     return run
 
@@ -370,7 +418,7 @@ def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame
         found.append(marked.filter("n > 1").select("id", "row", "start", end.alias("end")))
         together = _contents(docs, marked.filter("compared AND NOT crowded"), least_bytes)
         found.append(
-            together.select("core", "id", "row", "start", "content")
+            together.select("core", "id", "row", "start", "anchor", "content")
             .repartition("core")
             .sortWithinPartitions("core")
             .mapInArrow(_compared(least_bytes, to_arrow_schema(spans)), spans)
