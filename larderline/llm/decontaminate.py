@@ -68,14 +68,16 @@ def words_of(text: str | None) -> list[str]:
     return _WORD_OR_CHARACTER.findall(lowered)
 
 
-def shingle_hashes(words: list[str], known: dict[str, int]) -> np.ndarray:
+def shingle_hashes(
+    words: list[str], known: dict[str, int], size: int = SHINGLE_WORDS
+) -> np.ndarray:
     """A hash for each place where a shingle starts."""
     of_words = np.fromiter((known[word] for word in words), dtype=np.uint64, count=len(words))
-    places = len(words) - SHINGLE_WORDS + 1
+    places = len(words) - size + 1
     if places < 1:
         return of_words[:0]
     mixed = np.zeros(places, dtype=np.uint64)
-    for offset in range(SHINGLE_WORDS):
+    for offset in range(size):
         mixed = mixed * _FACTOR + of_words[offset : offset + places]
         mixed ^= mixed >> np.uint64(29)
     mixed *= _FACTOR
@@ -105,15 +107,24 @@ def bins_per_shingle(least_shared: int) -> int:
 
 
 class ItemIndex:
-    """A block of items, by size class: sorted shingle hashes and who has them."""
+    """A block of items, by size class: sorted shingle hashes and who has them.
+
+    An item of fewer words than a shingle is one shingle of all its words. They
+    are kept by their number of words; there is nothing to sketch.
+    """
 
     def __init__(self, texts: list[str | None], containment: float):
         self.words = [words_of(text) for text in texts]
         self.containment = containment
         known = _WordHashes()
         self.hashes = [np.unique(shingle_hashes(words, known)) for words in self.words]
+        self.short: dict[int, dict[int, list[int]]] = {}
         members = defaultdict(list)
         for number, hashes in enumerate(self.hashes):
+            size = len(self.words[number])
+            if 0 < size < SHINGLE_WORDS:
+                (only,) = shingle_hashes(self.words[number], known, size).tolist()
+                self.short.setdefault(size, {}).setdefault(only, []).append(number)
             if len(hashes):
                 members[size_class(len(hashes))].append(number)
         self.classes = []
@@ -140,14 +151,26 @@ class ItemIndex:
                 found.append(owners[first[at] : last[at]])
         return np.unique(np.concatenate(found)) if found else np.empty(0, dtype=np.int64)
 
+    def short_ones(self, words: list[str], known: dict[str, int]) -> list[int]:
+        """The items of few words that stand in a text of these words."""
+        found = []
+        for size, owners in self.short.items():
+            places = shingle_hashes(words, known, size)
+            keys = np.fromiter(owners, dtype=np.uint64, count=len(owners))
+            starts = np.flatnonzero(np.isin(places, keys))
+            here = {tuple(words[at : at + size]) for at in starts.tolist()}
+            hit = {number for key in places[starts].tolist() for number in owners[key]}
+            found += [number for number in hit if tuple(self.words[number]) in here]
+        return sorted(found)
+
     def contained(self, text: str | None, known: dict[str, int]) -> list[tuple[int, int, int]]:
         """Number, shingles and shared shingles of each contained item."""
         words = words_of(text)
+        found = [(number, 1, 1) for number in self.short_ones(words, known)]
         places = shingle_hashes(words, known)
         if not len(places):
-            return []
+            return found
         hashes = np.unique(places)
-        found = []
         for number in self.candidates(hashes):
             own = self.hashes[number]
             if np.isin(own, hashes).sum() < self.containment * len(own):
@@ -191,14 +214,14 @@ def _search(index, item_ids):
 
 
 def not_searched(items: DataFrame, text_column: str = "text") -> DataFrame:
-    """The items that ``contained_items`` does not search for: those of fewer
-    words than a shingle has."""
+    """The items that ``contained_items`` does not search for: those without a
+    word."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(text_column).to_pylist()
-            few = [len(words_of(text)) < SHINGLE_WORDS for text in texts]
-            yield batch.filter(pa.array(few, pa.bool_()))
+            none = [not words_of(text) for text in texts]
+            yield batch.filter(pa.array(none, pa.bool_()))
 
     return items.mapInArrow(of, items.schema)
 
@@ -225,15 +248,17 @@ def contained_items(
     of id and text, ``item_id``, ``n_shingles`` of the item, ``n_shared`` of them.
 
     Shingles are distinct runs of five words, compared without case and
-    punctuation; in scripts without blanks they are runs of five characters. Items
-    of fewer words are ``not_searched``: they stand in clean documents by chance.
+    punctuation; in scripts without blanks they are runs of five characters. An
+    item of fewer words is contained where all of them stand in a row, which a
+    clean text may have by chance: leave such items out if that is not wanted.
     NULL and empty texts contain nothing and are contained nowhere. Repeated
-    documents and items give repeated rows; NULL ids stay NULL.
+    documents give repeated rows, equal rows of items count once; NULL ids stay
+    NULL.
     """
-    # Equal rows of items would give equal blocks, so the text is cut by hash.
+    # What is left is different, so blocks cut by a hash of it are alike in size.
     texts = items.select(
         F.col(item_id_column).alias("item_id"), F.col(item_text_column).alias("text")
-    )
+    ).distinct()
     chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = 1 + int(chars) // block_chars
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))

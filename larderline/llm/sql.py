@@ -88,42 +88,45 @@ FROM judged
 
 
 def _cleaned(documents: str) -> str:
-    """CTEs up to ``cleaned``: the documents without repeated chunks."""
+    """CTEs up to ``cleaned``: the documents without repeated lines."""
     return f"""
 line AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
     generate_subscripts(string_split(text, chr(10)), 1) AS n
   FROM {documents} WHERE text IS NOT NULL
 ),
-marked AS (
-  SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h,
-    length(line) - length(replace(line, ' ', '')) >= 49 AS passage
-  FROM line
-),
-cuts AS (
-  SELECT *, (h + 31 * coalesce(lag(h) OVER by_n, 0)) % 4 = 0 OR passage
-    OR coalesce(lead(passage) OVER by_n, TRUE) AS is_end
-  FROM marked WINDOW by_n AS (PARTITION BY doc_id ORDER BY n)
-),
 numbered AS (
-  SELECT *, coalesce(sum(is_end::INT) OVER (PARTITION BY doc_id ORDER BY n
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
-  FROM cuts
+  SELECT *, trim(line, {BLANKS}) <> '' AS filled,
+    CAST(sum((trim(line, {BLANKS}) <> '')::INT) OVER (PARTITION BY doc_id ORDER BY n) AS BIGINT)
+      AS place
+  FROM line
 ),
-chunk AS (
-  SELECT doc_id, place, string_agg(line, chr(10) ORDER BY n) AS chunk,
-    count(*) FILTER (trim(line, {BLANKS}) <> '') >= 2 OR bool_or(passage) AS removable
+own AS (
+  SELECT doc_id, place, string_agg(line, chr(10) ORDER BY n) AS whole,
+    arg_min(line, n) AS bare, bool_or(filled) AS filled
   FROM numbered GROUP BY doc_id, place
 ),
+windows AS (
+  SELECT doc_id, place, 2 AS span, whole || chr(10) || lead(bare) OVER (PARTITION BY doc_id
+    ORDER BY place) AS content, filled
+  FROM own
+  UNION ALL
+  SELECT doc_id, place, 1, bare, length(bare) - length(replace(bare, ' ', '')) >= 49 FROM own
+),
 ranked AS (
-  SELECT *, removable AND row_number() OVER (PARTITION BY chunk, removable
+  SELECT doc_id, place, span, row_number() OVER (PARTITION BY span, content
     ORDER BY doc_id, place) > 1 AS gone
-  FROM chunk
+  FROM windows WHERE content IS NOT NULL AND filled
+),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + span)) AS place FROM ranked WHERE gone
 ),
 cleaned AS (
-  SELECT doc_id, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed,
-    coalesce(string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone), '') AS cleaned
-  FROM ranked GROUP BY doc_id
+  SELECT own.doc_id, count(*) AS n_chunks, count(covered.place) AS n_removed,
+    coalesce(string_agg(whole, chr(10) ORDER BY own.place) FILTER (covered.place IS NULL), '')
+      AS cleaned
+  FROM own LEFT JOIN covered ON own.doc_id = covered.doc_id AND own.place = covered.place
+  GROUP BY own.doc_id
 )"""
 
 
@@ -135,11 +138,32 @@ FROM documents LEFT JOIN cleaned USING (doc_id)
 """
 
 
+# Thai, Lao, Myanmar, Khmer, kana, Han: scripts where a character is a word.
+UNSPACED = "".join(
+    f"\\x{{{first}}}-\\x{{{last}}}"
+    for first, last in (
+        ("0e01", "0e4e"), ("0e81", "0ece"), ("1000", "109f"), ("1780", "17d3"),
+        ("3005", "3005"), ("3007", "3007"), ("3041", "3096"), ("30a1", "30fa"),
+        ("30fc", "30fc"), ("3400", "4dbf"), ("4e00", "9fff"), ("f900", "faff"),
+        ("ff66", "ff9f"), ("20000", "2fa1f"), ("30000", "3ffff"),
+    )
+)
+
+
+def _words(rows: str, key: str) -> str:
+    """The words of each row, in order, as a list."""
+    apart = f"regexp_replace(lower(text), '([{UNSPACED}])', ' \\1 ', 'g')"
+    return f"""SELECT {key}, regexp_extract_all({apart}, '[{UNSPACED}]|[\\p{{L}}\\p{{N}}_]+') AS ws
+  FROM {rows}"""
+
+
 def _shingles(name: str, rows: str, key: str) -> str:
     return f"""
+{name}_words AS (
+  {_words(rows, key)}
+),
 {name}_tokens AS (
-  SELECT {key}, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos
-  FROM (SELECT {key}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS ws FROM {rows})
+  SELECT {key}, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM {name}_words
 ),
 {name} AS (
   SELECT DISTINCT {key}, gram FROM (
@@ -153,14 +177,27 @@ def _shingles(name: str, rows: str, key: str) -> str:
 
 def _contained(documents: str) -> str:
     """CTEs up to ``contained``: documents with the items they contain."""
-    return f"""{_shingles("item_gram", "benchmark", "item_id")},
+    return f"""{_shingles("item_gram", "(SELECT DISTINCT item_id, text FROM benchmark)", "item_id")},
 {_shingles("doc_gram", documents, "doc_id")},
 item_size AS (SELECT item_id, count(*) AS n_shingles FROM item_gram GROUP BY item_id),
+short AS (
+  SELECT item_id, len(ws) AS n, array_to_string(ws, ' ') AS gram
+  FROM item_gram_words WHERE len(ws) BETWEEN 1 AND 4
+),
+doc_short AS (
+  SELECT DISTINCT doc_id, n, array_to_string(ws[pos : pos + n - 1], ' ') AS gram
+  FROM (
+    SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS pos
+    FROM doc_gram_words CROSS JOIN (SELECT DISTINCT n FROM short)
+  )
+),
 contained AS (
   SELECT doc_id, item_id, any_value(n_shingles) AS n_shingles, count(*) AS n_shared
   FROM doc_gram JOIN item_gram USING (gram) JOIN item_size USING (item_id)
   GROUP BY doc_id, item_id
   HAVING count(*) >= 0.8 * any_value(n_shingles)
+  UNION ALL
+  SELECT doc_id, item_id, 1, 1 FROM doc_short JOIN short USING (n, gram)
 )"""
 
 

@@ -3,26 +3,32 @@ from __future__ import annotations
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
-from larderline.llm import decontaminate
+from larderline.llm import decontaminate, sql
 
 DOCS = "doc_id long, text string"
 ITEMS = "item_id long, text string"
 
 
-def shingles(text):
-    words = re.findall(r"\w+", (text or "").lower())
-    return {tuple(words[at : at + 5]) for at in range(len(words) - 4)}
+def words_in(text):
+    return re.findall(r"\w+", (text or "").lower())
+
+
+def shingles(text, size=5):
+    words = words_in(text)
+    return {tuple(words[at : at + size]) for at in range(len(words) - size + 1)}
 
 
 def plain(docs, items):
     found = []
     for doc_id, text in docs:
-        have = shingles(text)
-        for item_id, wanted in ((i, shingles(t)) for i, t in items):
-            shared = len(have & wanted)
+        for item_id, item in dict.fromkeys(items):
+            size = min(5, len(words_in(item)))
+            wanted = shingles(item, size) if size else set()
+            shared = len(shingles(text, size) & wanted)
             if wanted and shared >= 0.8 * len(wanted):
                 found.append((doc_id, item_id, len(wanted), shared))
     return found
@@ -51,6 +57,8 @@ def tables():
             kept[draw.randrange(len(kept))] = "changed"
         at = draw.randrange(len(words))
         docs.append((100 + n, " ".join([*words[:at], *kept, *words[at:]])))
+    docs += [(800 + n, f"x {text} y") for n, text in enumerate(["Only four, words here", "only four words", "w7"])]
+    items += [(94, "W7"), (95, "w1 w2"), (95, "w1 w2")]
     docs += [(100, docs[5][1]), (900, " ".join(draw.choices(pool, k=60_000) + items[7][1].upper().split()))]
     return docs, items
 
@@ -115,7 +123,28 @@ def test_items_in_scripts_without_blanks_are_found(spark):
     assert decontaminate.words_of("Ab_1 中国x") == ["ab_1", "中", "国", "x"]
 
 
+def test_items_of_few_words_are_found_in_a_row(spark):
+    items = [(1, "alpha beta gamma delta"), (2, "中国"), (3, "delta"), (4, "gamma alpha")]
+    docs = [(1, "x Alpha, beta gamma-delta y"), (2, "alpha beta gamma x delta"), (3, "中 国"), (4, "在中国。")]
+    found = search(spark, docs, items)
+    assert sorted(found) == [(1, 1, 1, 1), (1, 3, 1, 1), (2, 3, 1, 1), (3, 2, 1, 1), (4, 2, 1, 1)]
+
+
+def test_sql_knows_short_items_and_scripts_without_blanks(spark):
+    items = [(1, "中国的首都是哪个城市？"), (2, "日本で一番高い山"), (3, "ประเทศไทยมีกี่จังหวัด"), (4, "the capital of 中国的首都 is")]
+    items += [(5, "alpha beta"), (6, "中国"), (7, None), (8, ""), (8, ""), (9, "Ab_1 中国x")]
+    docs = [(n, f"Question {n}：{text} and an answer") for n, text in items]
+    docs += [(30, "alpha 中国 beta"), (31, "ALPHA beta"), (32, None)]
+    connection = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        connection.execute(f"CREATE TABLE {name} ({key} BIGINT, text VARCHAR)")
+        connection.executemany(f"INSERT INTO {name} VALUES (?, ?)", rows)
+    wanted = connection.execute(sql.DECONTAMINATION).fetchall()
+    assert sorted(search(spark, docs, items)) == sorted(wanted)
+    assert {(n, n) for n in (1, 2, 3, 4, 5, 6, 9)} <= {row[:2] for row in wanted}
+
+
 def test_items_that_are_not_searched_for_are_told(spark):
-    items = [(1, "中国的首都是哪个城市？"), (2, "four words are few"), (3, None), (4, "five words are not few"), (5, "中国")]
+    items = [(1, "中国的首都是哪个城市？"), (2, "four words are few"), (3, None), (4, "...")]
     rows = decontaminate.not_searched(spark.createDataFrame(items, ITEMS)).collect()
-    assert sorted(r.item_id for r in rows) == [2, 3, 5]
+    assert sorted(r.item_id for r in rows) == [3, 4]

@@ -1,38 +1,43 @@
 from __future__ import annotations
 
-import hashlib
 import random
 
 from larderline.llm import line_chunks
 
 SCHEMA = "doc_id long, text string"
+BLANKS = " \t\n\x0b\x0c\r"
 
 
-def plain_chunks(text):
-    lines = text.split("\n")
-    hashes = [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in lines]
-    passage = [line.count(" ") >= 49 for line in lines]
-    chunks, now = [], []
-    for at, line in enumerate(lines):
-        now.append(line)
-        rolling = hashes[at] + 31 * (hashes[at - 1] if at else 0)
-        last = at == len(lines) - 1
-        if last or rolling % 4 == 0 or passage[at] or passage[at + 1]:
-            full = sum(1 for x in now if x.strip(" \t\n\x0b\x0c\r"))
-            chunks.append(("\n".join(now), full >= 2 or passage[at]))
-            now = []
-    return chunks
+def plain_lines(text):
+    """Lines that are not blank, each with the blank ones after it."""
+    lines = []
+    for line in text.split("\n"):
+        if lines and not line.strip(BLANKS):
+            lines[-1] += "\n" + line
+        else:
+            lines.append(line)
+    return lines
+
+
+def plain_windows(lines):
+    bare = [line.split("\n")[0] for line in lines]
+    for place, line in enumerate(lines):
+        if bare[place].strip(BLANKS) and place + 1 < len(lines):
+            yield place, 2, f"{line}\n{bare[place + 1]}"
+        if bare[place].count(" ") >= 49:
+            yield place, 1, bare[place]
 
 
 def plain_cleaned(rows):
-    """By reading documents in order of id and keeping each chunk once."""
+    """By reading documents in order of id and keeping what stands first."""
     seen, cleaned = {}, {}
     for doc_id, text in sorted({row for row in rows if row[1] is not None}, key=lambda r: (r[0] is not None, r)):
-        kept = []
-        for place, (chunk, counts) in enumerate(plain_chunks(text)):
-            if not counts or seen.setdefault(chunk, (doc_id, place)) == (doc_id, place):
-                kept.append(chunk)
-        cleaned[doc_id, text] = "\n".join(kept)
+        lines, gone = plain_lines(text), set()
+        for place, span, content in plain_windows(lines):
+            here = (doc_id, text, place)
+            if seen.setdefault((span, content), here) != here:
+                gone |= set(range(place, place + span))
+        cleaned[doc_id, text] = "\n".join(line for place, line in enumerate(lines) if place not in gone)
     return cleaned
 
 
@@ -60,17 +65,39 @@ def test_same_as_reading_one_by_one(spark):
         key = (row.document.doc_id, row.document.text)
         assert row.cleaned == wanted.get(key)
         if row.cleaned is not None:
-            assert row.n_chunks == len(plain_chunks(row.document.text))
+            assert row.n_chunks == len(plain_lines(row.document.text))
     by_id = {row.document.doc_id: row for row in found}
-    # Chunks of one short line stay, a quarter of the chunks but of few lines.
-    for doc_id in (2001, 2002):
-        assert len(by_id[doc_id].cleaned) < len(by_id[doc_id].document.text) / 8
+    assert (by_id[2001].cleaned, by_id[2002].cleaned) == ("end of it", "start of it")
+
+
+def test_planted_passages_of_few_lines_go_whole(spark):
+    """Passages of two to six lines, of 50 words and more, between other lines."""
+    draw = random.Random(8)
+
+    def line(words):
+        return " ".join(f"w{draw.randrange(10**6)}" for _ in range(words))
+
+    passages = [[line(60 // n) for _ in range(n)] for n in (2, 3, 4, 5, 6) for _ in range(10)]
+    rows = []
+    for number, passage in enumerate(passages):
+        for copy in range(4):
+            around = [line(draw.randrange(1, 20)) for _ in range(2)]
+            gaps = [own + draw.choice(["", "\n", "\n \n"]) * (copy == 3) for own in passage]
+            rows.append((10 * number + copy, "\n".join([around[0], *gaps, around[1]])))
+    found = line_chunks.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.document.doc_id: r.cleaned for r in found} == {i: plain_cleaned(rows)[i, t] for i, t in rows}
+    for row in found:
+        number, copy = divmod(row.document.doc_id, 10)
+        left = sum(own in row.cleaned for own in passages[number])
+        assert copy == 3 or left == (0 if copy else len(passages[number]))
+    clean = [(n, "\n".join(line(12) for _ in range(8))) for n in range(50)]
+    assert all(r.n_removed == 0 for r in line_chunks.remove_repeats(spark.createDataFrame(clean, SCHEMA)).collect())
 
 
 def test_a_passage_line_is_found_wherever_it_stands(spark):
     passage = " ".join(f"p{n}" for n in range(50))
     short = " ".join(f"p{n}" for n in range(49))
-    rows = [(n, f"own {n}\n{passage}\n{short}\nend {n}") for n in range(8)]
+    rows = [(n, f"own {n}\n{passage}\nmiddle {n}\n{short}\nend {n}") for n in range(8)]
     cleaned = line_chunks.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()
     texts = {row.document.doc_id: row.cleaned for row in cleaned}
     assert [passage in texts[n] for n in range(8)] == [True] + [False] * 7
@@ -82,6 +109,9 @@ def test_within_a_document_and_unknown_ids(spark):
     rows = [(None, f"{passage}\na"), (7, f"b\n{passage}\nc\n{passage}"), (8, "d")]
     cleaned = {r.document.doc_id: r.cleaned for r in line_chunks.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert cleaned == {None: f"{passage}\na", 7: "b\nc", 8: "d"}
+    rows = [(1, "\n \na\nb\n\nc\n"), (2, "a\nb\n\nc\nd\n\n"), (3, "a\nb\nc"), (4, "}\n}\n}")]
+    cleaned = {r.document.doc_id: r.cleaned for r in line_chunks.remove_repeats(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert cleaned == {1: rows[0][1], 2: "d\n\n", 3: "c", 4: "}"}
 
 
 def test_equal_rows_are_one_document(spark):
