@@ -15,6 +15,7 @@ text, in any case, so that a lone mention does not tell the name.
 from __future__ import annotations
 
 import bisect
+import functools
 import hashlib
 import re
 import unicodedata
@@ -27,7 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import broadcast_if_small, stored
+from larderline.llm.common import broadcast_if_small, store, stored
+from larderline.workspace import drop_folder
 
 # Given names by gender and script.
 GIVEN_NAMES = {
@@ -173,6 +175,15 @@ PATTERNS = {
         r"|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){3,4}(?![0-9])"
     ),
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "birth_date": (
+        r"(?i:(?<![a-z])(?:born(?: on)?|birth ?da(?:y|te)|date of birth|dob|geboren(?: am)?"
+        r"|geburtsdatum|née? le|nacid[oa] el|fecha de nacimiento|date de naissance)\s{0,3}[:=]?\s{0,3})"
+        r"(?P<value>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{2}(?:[0-9]{2})?)(?![0-9])"
+    ),
+    "ip6": (
+        r"(?<![0-9A-Za-z:.])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])"
+        r"|(?<![0-9A-Za-z:.])(?:[0-9a-fA-F]{1,4}:){1,6}:(?:[0-9a-fA-F]{1,4}:){0,5}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])"
+    ),
     "ip": (
         r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})\.){3}"
         r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]{1,2})(?![0-9]|\.[0-9])"
@@ -180,7 +191,9 @@ PATTERNS = {
 }
 _COMPILED = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
 _SECRET_SIGNS = ("akia", "gh", "passw", "secret", "token", "api")
+_BIRTH_SIGNS = ("born", "birth", "dob", "gebor", "geburt", "né", "nacid", "nacim", "naiss")
 _DIGIT = re.compile("[0-9]")
+_NUMBER = re.compile("[0-9]+")
 _DIGIT_KINDS = {"card", "phone", "national_id"}
 _NAME_KINDS = {"given", "family", "initial"}
 # Draws of a surrogate before it may grow longer.
@@ -210,6 +223,10 @@ def entity_of(kind: str, text: str) -> str:
         return text.replace(" ", "")
     if kind == "ip":
         return ".".join(str(int(part)) for part in text.split("."))
+    if kind == "ip6":
+        return text.lower()
+    if kind == "birth_date":
+        return _date_of(text)
     if kind == "given":
         return _GIVEN_OF[_folded(text)]
     if kind == "family":
@@ -226,7 +243,12 @@ def _kinds_worth_a_look(text: str) -> list[str]:
     if any(sign in lowered for sign in _SECRET_SIGNS):
         kinds.append("secret")
     if _DIGIT.search(text):
-        kinds += [kind for kind in PATTERNS if kind not in ("email", "secret")]
+        kinds += ["iban", "card", "phone", "national_id"]
+        if any(sign in lowered for sign in _BIRTH_SIGNS):
+            kinds.append("birth_date")
+        if "::" in text or text.count(":") >= 7:
+            kinds.append("ip6")
+        kinds.append("ip")
     return kinds
 
 
@@ -379,6 +401,44 @@ def _digits(kind: str, entity: str, draws: _Draws) -> str:
     return "".join(drawn)
 
 
+def _shaped_hex(part: str, draws: _Draws) -> str:
+    """A group of an address: as many digits, and none where none were."""
+    if not part:
+        return part
+    first = "123456789abcdef"[draws.below(15)]
+    return first + "".join("0123456789abcdef"[draws.below(16)] for _ in part[1:])
+
+
+def _date(draws: _Draws) -> str:
+    """A day of this or the last century, as year, month and day."""
+    year, month, day = 1930 + draws.below(80), 1 + draws.below(12), 1 + draws.below(28)
+    return f"{year}-{month:02}-{day:02}"
+
+
+def _date_of(text: str) -> str:
+    """Year, month and day of a written date; of two numbers in front the first is
+    the day unless it can be none."""
+    first, second, third = (int(part) for part in _NUMBER.findall(text))
+    if first > 99:
+        year, month, day = first, second, third
+    else:
+        day, month, year = (first, second, third) if second <= 12 else (second, first, third)
+        year += 1900 if year < 100 else 0
+    return f"{year:04}-{month:02}-{day:02}"
+
+
+def _written_date(mention: str, date: str) -> str:
+    """A date in the order, with the signs and the lengths of the mention."""
+    year, month, day = date.split("-")
+    numbers = _NUMBER.findall(mention)
+    if len(numbers[0]) > 2:
+        new = [year, month, day]
+    else:
+        new = [day, month, year] if int(numbers[1]) <= 12 else [month, day, year]
+    fitted = iter(n[-len(old) :] if len(old) > 1 else n.lstrip("0") for n, old in zip(new, numbers, strict=True))
+    return _NUMBER.sub(lambda match: next(fitted), mention)
+
+
 def _script(text: str) -> str:
     if "Ѐ" <= text[:1] <= "ӿ":
         return "cyrillic"
@@ -442,8 +502,16 @@ def surrogate_of(kind: str, entity: str, key: bytes, attempt: int = 0) -> str:
         return _shaped(local + "x" * longer, draws) + "@" + moved + dot + top
     if kind == "iban":
         return entity[:2] + _shaped(entity[2:], draws)
+    if kind == "ip6":
+        return ":".join(_shaped_hex(part, draws) for part in entity.split(":"))
+    if kind == "birth_date":
+        return _date(draws)
     prefix = re.match("AKIA|gh[pousr]_|", entity)[0]
-    return prefix + _shaped(entity[len(prefix) :] + "x" * longer, draws)
+    shape = entity[len(prefix) :]
+    if not any(c.isalnum() for c in shape):
+        # Signs alone would stay as they are.
+        shape = "x" * max(len(shape), 8)
+    return prefix + _shaped(shape + "x" * longer, draws)
 
 
 def written_like(kind: str, mention: str, surrogate: str) -> str:
@@ -454,6 +522,10 @@ def written_like(kind: str, mention: str, surrogate: str) -> str:
     if kind == "email" and len(mention) == len(surrogate):
         pairs = zip(mention, surrogate, strict=True)
         return "".join(new.upper() if old.isupper() else new for old, new in pairs)
+    if kind == "ip6":
+        return surrogate.upper() if mention.isupper() else surrogate
+    if kind == "birth_date":
+        return _written_date(mention, surrogate)
     if kind in _NAME_KINDS:
         shown = surrogate[:1] if len(mention) == 1 else surrogate
         if mention.islower():
@@ -489,9 +561,11 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     """``kind``, ``entity`` and a ``surrogate`` that no other entity of the kind
     has, and that is no entity of it either.
 
-    Each round draws again for those that collide, all but the first of equal
-    surrogates, and stores the rest. Given names and initials are shuffled among
-    themselves, so they do not collide and may be one another's.
+    A round draws for the entities that are still open. Those settle whose draw
+    is no entity, no settled surrogate, and of equal draws that of the first
+    entity; the others go on. Only what is open is written again, so all rounds
+    together cost little more than the first. Given names and initials are
+    shuffled among themselves, so they do not collide and may be one another's.
     """
     drawn = _mapped(
         lambda kind, entity, attempt: surrogate_of(kind, entity, key, int(attempt)),
@@ -499,28 +573,31 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         "entity",
         "attempt",
     )
-    state = stored(
-        entities.select("kind", "entity").distinct()
-        .withColumn("attempt", F.lit(0))
-        .withColumn("surrogate", drawn),
-        "surrogates",
-    )
-    originals = state.select(
-        "kind", F.col("entity").alias("surrogate"), F.lit(True).alias("occurs")
-    )
+    everything = stored(entities.select("kind", "entity").distinct(), "entities")
+    shuffled = F.col("kind").isin("given", "initial")
+    taken = everything.select("kind", F.col("entity").alias("surrogate")).filter(~shuffled)
+    still_open, settled, attempt = everything, [], 0
     while True:
         # Few surrogates are equal, so a group is a handful of rows.
         alike = Window.partitionBy("kind", "surrogate").orderBy("entity")
-        collides = (F.row_number().over(alike) > 1) | F.col("occurs").isNotNull()
-        checked = state.join(originals, ["kind", "surrogate"], "left").withColumn(
-            "again", ~F.col("kind").isin("given", "initial") & collides
-        )
-        again = stored(checked.filter("again").select("kind", "entity", "attempt"), "again")
-        if again.isEmpty():
-            return state.select("kind", "entity", "surrogate")
-        redrawn = again.withColumn("attempt", F.col("attempt") + 1).withColumn("surrogate", drawn)
-        kept = state.join(again.select("kind", "entity"), ["kind", "entity"], "left_anti")
-        state = stored(kept.unionByName(redrawn), "surrogates")
+        numbered = still_open.withColumn("attempt", F.lit(attempt))
+        state, path = store(numbered.withColumn("surrogate", drawn).drop("attempt"), "drawn")
+        first = state.withColumn("later", (F.row_number().over(alike) > 1) & ~shuffled)
+        open_now = broadcast_if_small(state.select("kind", "surrogate"))
+        met = [
+            other.join(open_now, ["kind", "surrogate"], "left_semi")
+            for other in (taken, *[part.select("kind", "surrogate") for part in settled])
+        ]
+        known = functools.reduce(DataFrame.union, met).distinct().withColumn("known", F.lit(True))
+        judged = first.join(known, ["kind", "surrogate"], "left")
+        again = (F.col("later") | F.col("known").isNotNull()) & ~shuffled
+        marked = stored(judged.select("kind", "entity", "surrogate", again.alias("again")), "judged")
+        drop_folder(entities.sparkSession, path)
+        settled.append(marked.filter("NOT again").drop("again"))
+        still_open = marked.filter("again").select("kind", "entity")
+        if still_open.isEmpty():
+            return functools.reduce(DataFrame.union, settled)
+        attempt += 1
 
 
 def _rewritten(text: str | None, mentions) -> str | None:
