@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import stored
+from larderline.llm.common import broadcast_if_small, stored
 
 UNKNOWN = "und"
 
@@ -312,6 +312,7 @@ def fit(
     # A first cut leaves about twice the wanted number, so that what is ranked
     # below is small however many texts a language has.
     counts = different.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = broadcast_if_small(stored(counts, "languages"))
     every = F.greatest(F.lit(1), F.floor(F.col("n") / (2 * sample_docs)))
     some = different.join(counts, "lang").filter(F.pmod(F.xxhash64("hash"), every) == 0)
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("hash"), "hash")
