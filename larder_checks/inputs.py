@@ -117,6 +117,8 @@ def with_odd_texts(rows: DataFrame, column: str, key: str) -> DataFrame:
         .when(number % 7 == 1, F.concat(F.lit('the "'), value, F.lit('" one')))
         .when(number % 7 == 2, F.lit(""))
         .when(number % 7 == 3, F.concat(value, F.lit(",\n"), value))
+        # Behind the line break stands what looks like an order.
+        .when(number % 7 == 4, F.concat(value, F.lit("\n9,9,9,9,9.00,2025-01-01T00:00:00Z,x")))
         .otherwise(value)
     )
     return rows.withColumn(column, odd)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Collection, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -19,7 +21,7 @@ from larderline.sinks import topics as topic_sinks
 from larderline.sources import files, topics
 from larderline.schemas import INVENTORY_DOCUMENT
 from larderline.streaming import events, late, sinks
-from larderline.workspace import new_run_folder, remembered
+from larderline.workspace import SPLIT_BYTES, new_run_folder, remembered, stored_bytes
 from larder_checks import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,11 @@ LATE_BY = "1 day"
 LATE_SECONDS = 86_400
 # Batches that the events of a stream with state come in.
 DELIVERIES = 3
+# Splits that small files are cut into, and documents in a file that is an array.
+SPLITS = 8
+DOCUMENTS_IN_ARRAY = 5_000
+# Messages in a file of a delivery.
+ROWS_IN_FILE = 200_000
 
 QUERIES: dict[str, Query] = {}
 
@@ -301,19 +308,32 @@ def orders_sample_check(spark: SparkSession, folder: str) -> DataFrame:
 # Loading and round trips
 
 
-def _orders_csv(
-    spark: SparkSession, rows: DataFrame, purpose: str, line_breaks: bool = False
-) -> DataFrame:
+@contextlib.contextmanager
+def _cut_files(spark: SparkSession, path: str) -> Iterator[None]:
+    """Splits as small as it takes to cut a folder of small files into several."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    small = max(stored_bytes(spark, path) // SPLITS, 1)
+    if small < SPLIT_BYTES:
+        spark.conf.set(setting, str(small))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _orders_csv(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
     path = f"{new_run_folder(spark, purpose)}/orders"
     file_sinks.append_csv(rows, path)
-    return files.read_orders_csv(spark, path, line_breaks)
+    with _cut_files(spark, path):
+        return files.read_orders_csv(spark, path)
 
 
 @registered
 def csv_orders_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks, in files that are cut anywhere."""
     odd = inputs.with_odd_texts(inputs.orders_text(spark, folder), "status", "order_id")
-    text = _orders_csv(spark, odd, "csv_orders_ingest", line_breaks=True)
-    return loading.all_orders_or_fail(text)
+    return loading.all_orders_or_fail(_orders_csv(spark, odd, "csv_orders_ingest"))
 
 
 @registered
@@ -348,9 +368,11 @@ def orders_load_conflicts(spark: SparkSession, folder: str) -> DataFrame:
     return loading.key_conflicts(incoming, _loaded_orders(spark, folder), "order_id")
 
 
-def _new_warehouse(spark: SparkSession, purpose: str) -> Warehouse:
+def _new_warehouse(
+    spark: SparkSession, purpose: str, by_day: Collection[str] = ()
+) -> Warehouse:
     root = new_run_folder(spark, purpose)
-    return Warehouse(spark, f"larder_{uuid.uuid4().hex[:12]}", root).create()
+    return Warehouse(spark, f"larder_{uuid.uuid4().hex[:12]}", root, by_day).create()
 
 
 @registered
@@ -369,15 +391,23 @@ def json_inventory_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def json_inventory_whole(spark: SparkSession, folder: str) -> DataFrame:
-    """Files that are an array each."""
+    """Files that are an array each, without line breaks, and are cut anywhere."""
     path = f"{new_run_folder(spark, 'json_inventory_whole')}/inventory"
-    arrays = (
-        inputs.inventory_raw(spark, folder)
-        .groupBy((F.col("item_id").cast("bigint") % 16).alias("file"))
-        .agg(F.to_json(F.collect_list(F.struct(*INVENTORY_DOCUMENT.names))).alias("value"))
+    rows = inputs.inventory_raw(spark, folder)
+    arrays = max(rows.count() // DOCUMENTS_IN_ARRAY, 1)
+    dealt = rows.withColumn("file", F.pmod(F.xxhash64(*rows.columns), F.lit(arrays)))
+    in_file = Window.partitionBy("file").orderBy(*rows.columns)
+    first = F.row_number().over(in_file) == 1
+    last = F.lead(F.lit(1)).over(in_file).isNull()
+    document = F.to_json(F.struct(*INVENTORY_DOCUMENT.names))
+    value = F.concat(
+        F.when(first, "[").otherwise(""), document, F.when(last, "]").otherwise(",")
     )
-    arrays.write.partitionBy("file").text(path)
-    return files.read_inventory_json(spark, path, layout="whole")
+    # One blank follows each document, and no line ends.
+    content = dealt.select("file", value.alias("value"))
+    content.write.partitionBy("file").option("lineSep", " ").text(path)
+    with _cut_files(spark, path):
+        return files.read_inventory_json(spark, path, layout="whole")
 
 
 @registered
@@ -406,8 +436,10 @@ def csv_events_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     gps, status = _odd_events(spark, folder)
     file_sinks.append_csv(gps, f"{root}/gps")
     file_sinks.append_csv(status, f"{root}/status")
-    gps = files.read_gps_csv(spark, f"{root}/gps", line_breaks=True)
-    status = files.read_status_csv(spark, f"{root}/status", line_breaks=True)
+    with _cut_files(spark, f"{root}/gps"):
+        gps = files.read_gps_csv(spark, f"{root}/gps")
+    with _cut_files(spark, f"{root}/status"):
+        status = files.read_status_csv(spark, f"{root}/status")
     return gps.withColumn("feed", F.lit("gps")).unionByName(
         status.withColumn("feed", F.lit("status")), allowMissingColumns=True
     )
@@ -475,6 +507,18 @@ def orders_load_job(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.table("orders")
 
 
+@registered
+def load_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load of the dimensions says it has read and written."""
+    counts = jobs.load_dimensions(
+        _new_warehouse(spark, "load_counts"),
+        inputs.orders_raw(spark, folder),
+        inputs.inventory_raw(spark, folder),
+    )
+    rows = [(table, name, n) for table, found in counts.items() for name, n in found.items()]
+    return spark.createDataFrame(rows, "table_name string, counted string, n long")
+
+
 @registered
 def describe_table(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _loaded_warehouse(spark, folder, "describe_table")
@@ -504,8 +548,10 @@ def sink_run_append(spark: SparkSession, folder: str) -> DataFrame:
     return table_sinks.read_runs(spark, path)
 
 
-def _loaded_warehouse(spark: SparkSession, folder: str, purpose: str) -> Warehouse:
-    warehouse = _new_warehouse(spark, purpose)
+def _loaded_warehouse(
+    spark: SparkSession, folder: str, purpose: str, by_day: Collection[str] = ()
+) -> Warehouse:
+    warehouse = _new_warehouse(spark, purpose, by_day)
     jobs.load_dimensions(
         warehouse, inputs.orders_raw(spark, folder), inputs.inventory_raw(spark, folder)
     )
@@ -520,6 +566,33 @@ def fact_append_twice(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.fact_summary(warehouse.table("orders_fact"))
 
 
+@registered
+def fact_replace_days(spark: SparkSession, folder: str) -> DataFrame:
+    """A fact kept by day, of which some days are loaded twice over, some are
+    missing, and one should not be there. Those days are replaced, twice."""
+    warehouse = _loaded_warehouse(spark, folder, "fact_replace_days", by_day=["orders_fact"])
+    fact = warehouse.build_orders_fact()
+    day = F.col("order_date")
+    number = F.date_diff(day, F.lit("1970-01-01")) % 97
+    copies = F.when(number == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    doubled = fact.filter(F.coalesce(number != 2, F.lit(True))).withColumn("copy", F.explode(copies))
+    stray = fact.limit(1).withColumn("order_date", F.lit("1900-01-01").cast("date"))
+    warehouse.replace("orders_fact", doubled.drop("copy").unionByName(stray))
+    orders = warehouse.table("orders_dim")
+    wrong = orders.filter(number.isin(1, 2)).select(day).distinct().collect()
+    days = [row.order_date for row in wrong] + [dt.date(1900, 1, 1)]
+    for _ in range(2):
+        jobs.load_fact_days(warehouse, days)
+    return warehouse.table("orders_fact")
+
+
+@registered
+def daily_orders_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    warehouse = _loaded_warehouse(spark, folder, "daily_orders_by_day", by_day=["orders_fact"])
+    warehouse.replace("orders_fact", warehouse.build_orders_fact())
+    return kpis.daily_orders_by_day(warehouse)
+
+
 @registered
 def sql_orders_fact(spark: SparkSession, folder: str) -> DataFrame:
     warehouse = _loaded_warehouse(spark, folder, "sql_orders_fact")
@@ -592,10 +665,12 @@ def _messages(
     number = F.floor((second - first) * deliveries / (last - first + 1))
     delivery = F.least(number + F.when(second % 50 == 0, 1).otherwise(0), F.lit(deliveries - 1))
     numbered = rows.withColumn("delivery", delivery)
+    # As many files for each delivery, so that a batch is one.
+    files_each = 1 + rows.count() // (deliveries * ROWS_IN_FILE)
     for at in range(deliveries):
         arriving = numbered.filter(F.col("delivery") == at).drop("delivery")
-        topic_sinks.publish_to_folder(arriving.coalesce(1), path)
-    return topics.folder_stream(spark, path, files_per_batch=1)
+        topic_sinks.publish_to_folder(arriving.repartition(files_each), path)
+    return topics.folder_stream(spark, path, files_per_batch=files_each)
 
 
 def _gps_stream(

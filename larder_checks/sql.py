@@ -160,6 +160,8 @@ def _odd(column: str, key: str) -> str:
                     WHEN {number} = 1 THEN 'the "' || {column} || '" one'
                     WHEN {number} = 2 THEN ''
                     WHEN {number} = 3 THEN {column} || ',' || chr(10) || {column}
+                    WHEN {number} = 4
+                    THEN {column} || chr(10) || '9,9,9,9,9.00,2025-01-01T00:00:00Z,x'
                     ELSE {column} END AS {column}"""
 
 
@@ -371,6 +373,26 @@ STATEMENTS = {
                round(CAST(sum(total_order_value) AS DOUBLE) / count(total_order_value), 4)
                    AS avg_cart_value
         FROM orders_fact""",
+    "fact_replace_days": "SELECT * FROM orders_fact",
+    "load_counts": """
+        SELECT 'orders_dim' AS table_name, unnest(['rows_read', 'incomplete_read', 'rows_written',
+                 'no_value_written']) AS counted,
+               unnest([(SELECT count(*) FROM orders_raw),
+                       (SELECT count(*) FROM orders_raw) - (SELECT count(*) FROM orders_complete),
+                       (SELECT count(*) FROM orders_dim),
+                       (SELECT count(*) FROM orders_dim WHERE total_order_value IS NULL)]) AS n
+        UNION ALL
+        SELECT 'inventory_dim', unnest(['rows_read', 'incomplete_read', 'rows_written',
+                 'alerts_written', 'out_of_stock_written', 'low_stock_written']),
+               unnest([(SELECT count(*) FROM inventory_raw),
+                       (SELECT count(*) FROM inventory_raw)
+                         - (SELECT count(*) FROM inventory_complete),
+                       (SELECT count(*) FROM inventory_dim),
+                       (SELECT count(*) FROM inventory_dim
+                        WHERE stock_flag IN ('Out of stock', 'Low stock')),
+                       (SELECT count(*) FROM inventory_dim WHERE stock_flag = 'Out of stock'),
+                       (SELECT count(*) FROM inventory_dim WHERE stock_flag = 'Low stock')])""",
+    "daily_orders_by_day": DAILY_ORDERS,
     "sql_orders_fact": "SELECT * FROM orders_fact",
     "sql_daily_orders": DAILY_ORDERS,
     "stored_volume_by_warehouse_item": VOLUME,

@@ -52,6 +52,24 @@ def all_orders_or_fail(text_rows: DataFrame) -> DataFrame:
     return text_rows.filter(checked.isNull()).select(*_as_order())
 
 
+# Keys that a filter lists one by one; of more, the range they lie in is used.
+LISTED_KEYS = 10_000
+
+
+def near_keys(loaded: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """Loaded rows that may have an incoming key: in the range of these, and if
+    they are few, with one of them. Parquet skips row groups by the range, and by
+    their Bloom filters where keys are listed; none of the keys is lost."""
+    bounds = incoming.agg(
+        F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")
+    ).first()
+    if bounds.low is None:
+        return loaded.filter(F.lit(False))
+    if bounds.n <= LISTED_KEYS:
+        return loaded.filter(F.col(key).isin([row[0] for row in incoming.select(key).collect()]))
+    return loaded.filter(F.col(key).between(bounds.low, bounds.high))
+
+
 def new_rows(incoming: DataFrame, loaded: DataFrame, key: str) -> DataFrame:
     """Incoming rows whose key is not loaded yet. Running a load again after a
     failure thus adds only what is missing."""

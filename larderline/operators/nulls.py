@@ -23,10 +23,15 @@ def _is_present(name: str, kind: str) -> Column:
     return value.isNotNull()
 
 
+def has_null(df: DataFrame) -> Column:
+    """Whether any column of a row is NULL."""
+    missing = [F.col(f"`{name}`").isNull() for name in df.columns]
+    return functools.reduce(operator.or_, missing)
+
+
 def null_rows(df: DataFrame) -> DataFrame:
     """Rows with a NULL in any column."""
-    missing = [F.col(f"`{name}`").isNull() for name in df.columns]
-    return df.filter(functools.reduce(operator.or_, missing))
+    return df.filter(has_null(df))
 
 
 def drop_null_rows(df: DataFrame) -> DataFrame:

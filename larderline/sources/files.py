@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, STATUS_EVENT, text_only
+from larderline.sources import records
 
 # How documents lie in a file: the file is one array or one object; or it has an
 # object per line; or it is an array with an object per line.
@@ -27,58 +28,123 @@ CSV_DIALECT = {
 _TORN = "_row_as_it_came"
 
 
+def _count(text: Column, sign: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(sign), F.lit("")))
+
+
+def _line_breaks(text: Column) -> Column:
+    return F.length(text) - F.length(F.translate(text, "\r\n", ""))
+
+
+def _require(rows: DataFrame, holds: Column, message: str, record: Column) -> DataFrame:
+    """The rows; the job fails on the first that the condition does not hold for."""
+    text = F.concat(F.lit(f"{message}: "), F.coalesce(record, F.lit("")))
+    return rows.filter(F.assert_true(holds, text).isNull())
+
+
 def _declared(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns of rows that were read whole. A row torn at a line
-    break between quotes leaves a quote without its other half, and fails."""
-    quotes = F.length(_TORN) - F.length(F.replace(_TORN, F.lit('"'), F.lit("")))
-    whole = F.coalesce(quotes % 2 == 0, F.lit(True))
-    torn = F.concat(F.lit("row with a line break between quotes: "), F.col(_TORN))
-    return rows.filter(F.assert_true(whole, torn).isNull()).select(*schema.names)
+    """The declared columns. A row that is not as its header says must be whole:
+    without a line break, and with both halves of each pair of quotes."""
+    torn = (_count(F.col(_TORN), '"') % 2 == 1) | (_line_breaks(F.col(_TORN)) > 0)
+    whole = F.coalesce(~torn, F.lit(True))
+    return _require(rows, whole, "torn row", F.col(_TORN)).select(*schema.names)
+
 
+def _files_with_open_lines(spark: SparkSession, path: str) -> list[str]:
+    """The files in which a quote is still open where a line ends. There are no
+    more than Spark lists to read them."""
+    lines = records.pieces(spark, path)
+    is_open = _count(F.col("piece"), '"') % 2 == 1
+    return [row.file for row in lines.filter(is_open).select("file").distinct().collect()]
 
-def _read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool
+
+def _joined_csv(
+    spark: SparkSession, path: str, names: list[str], with_breaks: list[str]
 ) -> DataFrame:
+    """The rows of files whose values hold line breaks, as the header names them."""
+    lines = records.pieces(spark, path, "\n").filter(F.col("file").isin(with_breaks))
+    nothing = F.lit(0)
+    shape = records.Shape(_count(F.col("piece"), '"'), nothing, nothing, 0)
+    found = records.joined(lines, shape, "\n")
+    record = F.when(F.endswith("record", F.lit("\r")), F.expr("left(record, length(record) - 1)"))
+    found = found.withColumn("record", record.otherwise(F.col("record")))
+    title = F.lower(F.replace("record", F.lit('"'), F.lit("")))
+    titled = ~F.col("first") | (title == ",".join(names).lower())
+    rows = _require(found, titled, f"header is not that of other files, {names}", F.col("record"))
+    # Names may be any text, so columns are numbered while they are parsed.
+    numbered = [f"c{at}" for at in range(len(names))]
+    kinds = ", ".join(f"{name} string" for name in [*numbered, _TORN])
+    options = {**CSV_DIALECT, "columnNameOfCorruptRecord": _TORN}
+    parsed = rows.filter(~F.col("first") & (F.btrim("record") != "")).select(
+        "record", F.from_csv("record", kinds, options).alias("row")
+    )
+    # Each line break has to turn up in a value, or the record is more than one.
+    values = [F.coalesce(_line_breaks(F.col(f"row.{name}")), F.lit(0)) for name in numbered]
+    all_there = sum(values[1:], values[0]) == _line_breaks(F.col("record"))
+    as_titled = F.col(f"row.{_TORN}").isNull() | (_line_breaks(F.col("record")) == 0)
+    whole = _require(parsed, all_there & as_titled, "torn row", F.col("record"))
+    return whole.select(
+        *[F.col(f"row.{at}").alias(name) for at, name in zip(numbered, names, strict=True)]
+    )
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The declared columns as text, found by their names in the header. Files
     whose headers differ from each other are refused, not misread.
 
-    A value between quotes may hold line breaks. One task has to read a whole
-    file that has such values, so they are announced by ``line_breaks``. Without
-    it files are split, and a value that holds one fails the job.
+    A value between quotes may hold line breaks. The quotes of every line are
+    counted first. Files in which all are closed at line ends are read as they
+    are; the records of the others are put together from the lines of their
+    splits. A file with a quote that is never closed is refused.
     """
     reader = spark.read.options(**CSV_DIALECT).option("enforceSchema", False)
-    if line_breaks:
-        return reader.option("multiLine", True).csv(path).select(*schema.names)
-    named = [T.StructField(name, T.StringType()) for name in reader.csv(path).columns]
+    names = reader.csv(path).columns
+    with_breaks = _files_with_open_lines(spark, path)
+    named = [T.StructField(name, T.StringType()) for name in names]
     marked = T.StructType([*named, T.StructField(_TORN, T.StringType())])
     rows = reader.schema(marked).option("columnNameOfCorruptRecord", _TORN).csv(path)
-    return _declared(rows, schema)
+    if not with_breaks:
+        return _declared(rows, schema)
+    others = rows.filter(~F.col("_metadata.file_path").isin(with_breaks))
+    joined = _joined_csv(spark, path, names, with_breaks)
+    return _declared(others, schema).union(joined.select(*schema.names))
 
 
-def read_orders_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+def read_orders_csv(spark: SparkSession, path: str) -> DataFrame:
     """Orders as text; ``operators.loading`` types or rejects them."""
-    return _read_csv(spark, path, ORDERS, line_breaks)
+    return _read_csv(spark, path, ORDERS)
 
 
-def read_gps_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
-    return _read_csv(spark, path, GPS_EVENT, line_breaks)
+def read_gps_csv(spark: SparkSession, path: str) -> DataFrame:
+    return _read_csv(spark, path, GPS_EVENT)
 
 
-def read_status_csv(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
-    return _read_csv(spark, path, STATUS_EVENT, line_breaks)
+def read_status_csv(spark: SparkSession, path: str) -> DataFrame:
+    return _read_csv(spark, path, STATUS_EVENT)
 
 
 def _stream_csv(
     spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None
 ) -> DataFrame:
     """The same columns as files arrive. A stream cannot look into its files
-    first: they must have these columns in this order, and are checked for it."""
+    first: they must have these columns in this order, and are checked for it.
+    One task reads a whole file, record by record, as values may hold line breaks.
+    What looks like a value whose quote is never closed stops the stream: one over
+    lines that begins with a quote without its other half, or that ends with a
+    line break and holds as many separators as a row."""
     marked = T.StructType([*text_only(schema), T.StructField(_TORN, T.StringType())])
-    reader = spark.readStream.schema(marked).options(**CSV_DIALECT)
+    reader = spark.readStream.schema(marked).options(**CSV_DIALECT).option("multiLine", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     reader = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", _TORN)
-    return _declared(reader.csv(path), schema)
+    rows = _declared(reader.csv(path), schema)
+    for name in schema.names:
+        value = F.col(name)
+        halved = value.startswith('"') & (_count(value, '"') % 2 == 1)
+        swallowed = F.rlike(value, F.lit(r"[\r\n]\z")) & (_count(value, ",") >= len(schema) - 1)
+        is_open = (_line_breaks(value) > 0) & (halved | swallowed)
+        rows = _require(rows, ~F.coalesce(is_open, F.lit(False)), "torn row", value)
+    return rows
 
 
 def stream_gps_csv(
@@ -99,18 +165,50 @@ def _field(document: Column, name: str) -> Column:
     return F.get(same, 0).value
 
 
+def _joined_json(spark: SparkSession, path: str) -> DataFrame:
+    """The documents of files that hold them in any shape, a text each. Files are
+    read in splits and cut at each brace that opens; a document begins where one
+    does outside of all others."""
+    pieces = records.pieces(spark, path, "{")
+    bare = F.regexp_replace("piece", r"\\[\s\S]", "")
+    quoted = r'"[^"]*("|$)'
+    outside = F.regexp_replace(bare, quoted, "")
+    inside = F.regexp_replace(F.regexp_replace(bare, r'^[^"]*("|$)', ""), quoted, "")
+    shape = records.Shape(_count(bare, '"'), -_count(outside, "}"), -_count(inside, "}"), 1)
+    found = records.joined(pieces, shape, "{")
+    # What stands around documents: brackets, commas and blanks.
+    opening, closing = r"^[\s\ufeff\[]+", r"[\s,\]]+$"
+    first = F.col("first")
+    _require_closed_arrays(found, closing)
+    document = F.when(first, F.regexp_replace("record", opening, "")).otherwise(
+        F.concat(F.lit("{"), "record")
+    )
+    return found.select(F.regexp_replace(document, closing, "").alias("value"))
+
+
+def _require_closed_arrays(found: DataFrame, closing: str) -> None:
+    end = F.regexp_extract("record", f"({closing})", 1)
+    opened = F.when(F.col("first"), _count(F.col("record"), "[")).otherwise(0)
+    arrays = found.groupBy("file").agg(
+        F.sum(opened).alias("opened"), F.sum(_count(end, "]")).alias("closed")
+    )
+    torn = arrays.filter("opened != closed").first()
+    if torn is not None:
+        raise ValueError(f"malformed JSON: {torn.opened} arrays, {torn.closed} ends in {torn.file}")
+
+
 def read_inventory_json(spark: SparkSession, path: str, layout: str = "whole") -> DataFrame:
     """Inventory documents as text columns; malformed JSON fails the job.
 
-    One task has to read a whole file of the ``whole`` layout. Name the layout
-    of large files that have an object per line, as most exports do, and Spark
-    splits them.
+    Files of the ``whole`` layout, arrays or objects of any shape, are split as
+    well, but their content is shuffled and written once to find the documents.
+    Name the layout of files that have an object per line, as most exports do,
+    and nothing has to be moved.
     """
     if layout not in JSON_LAYOUTS:
         raise ValueError(f"layout must be one of {JSON_LAYOUTS}, not {layout!r}")
     if layout == "whole":
-        texts = spark.read.text(path, wholetext=True)
-        texts = texts.select(F.btrim("value", F.lit(" \t\r\n\ufeff")).alias("value"))
+        texts = _joined_json(spark, path)
     else:
         texts = spark.read.text(path)
         if layout == "array_lines":

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,12 +34,31 @@ def folder_stream(
     return reader.load(path)
 
 
+# Holds a message that is no JSON object.
+_UNPARSED = "_message_as_it_came"
+
+
+def _events(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    marked = T.StructType([*text_only(schema), T.StructField(_UNPARSED, T.StringType())])
+    options = {"columnNameOfCorruptRecord": _UNPARSED}
+    return messages.select("value", F.from_json("value", marked, options).alias("event"))
+
+
+def _is_parsed() -> Column:
+    return F.col("event").isNotNull() & F.col(f"event.{_UNPARSED}").isNull()
+
+
 def _parsed(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """The fields as text, just as CSV files deliver them: an id sent as a
-    string and a coordinate sent as a number both come through."""
-    return messages.select(
-        F.from_json("value", text_only(schema)).alias("event")
-    ).select("event.*")
+    string and a coordinate sent as a number both come through. Messages that
+    are no JSON object are left out; ``unparsed`` has them."""
+    events = _events(messages, schema).filter(_is_parsed())
+    return events.select(*[f"event.{name}" for name in schema.names])
+
+
+def unparsed(messages: DataFrame) -> DataFrame:
+    """The messages that are no JSON object, as they came in ``value``."""
+    return _events(messages, GPS_EVENT).filter(~_is_parsed()).select("value")
 
 
 def gps_events(messages: DataFrame) -> DataFrame:

@@ -92,14 +92,16 @@ def prepare(spark: SparkSession, *inputs: DataFrame) -> None:
         spark.conf.set(key, value)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """What the files below the path hold; nothing if there are none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength() if files.exists(folder) else 0
+
+
 def fit_tasks(spark: SparkSession, *paths: str) -> None:
     """Fit the session to the files below the paths."""
-    input_bytes = 0
-    for path in paths:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.exists(folder):
-            input_bytes += files.getContentSummary(folder).getLength()
+    input_bytes = sum(stored_bytes(spark, path) for path in paths)
     sizes = task_sizes(input_bytes, spark.sparkContext.defaultParallelism)
     for key, value in sizes.items():
         spark.conf.set(key, value)
@@ -145,6 +147,15 @@ def _drop_at_exit(files: object, folder: object) -> None:
         files.delete(folder, True)
 
 
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(folder)]
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,0 +1,106 @@
+"""Tables kept in a folder per day."""
+
+from __future__ import annotations
+
+import datetime as dt
+import pathlib
+import uuid
+from decimal import Decimal
+
+import pytest
+
+from larderline.plans import jobs, kpis
+from larderline.plans.warehouse import Warehouse
+from larderline.schemas import INVENTORY_DIM, ORDERS_DIM, ORDERS_FACT
+
+FIRST, SECOND, THIRD = (dt.date(2025, 7, day) for day in (1, 2, 3))
+
+
+def an_order(number, day):
+    moment = None if day is None else dt.datetime.combine(day, dt.time(8))
+    return (number, 1, 7, 1, Decimal("2.00"), moment, "new", Decimal("2.00"), day)
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    name = f"days_{uuid.uuid4().hex[:8]}"
+    made = Warehouse(spark, name, str(tmp_path / "root"), by_day=["orders_dim", "orders_fact"]).create()
+    orders = [an_order(n, day) for n, day in enumerate([FIRST, FIRST, SECOND, THIRD, None])]
+    made.replace("orders_dim", spark.createDataFrame(orders, ORDERS_DIM))
+    stock = [(7, "Ring", "tools", "East", 3, None, "In stock")]
+    made.replace("inventory_dim", spark.createDataFrame(stock, INVENTORY_DIM))
+    made.replace("orders_fact", made.build_orders_fact())
+    yield made
+    made.drop()
+
+
+def by_day(warehouse):
+    rows = warehouse.table("orders_fact").groupBy("order_date").count().collect()
+    return {row.order_date: row["count"] for row in rows}
+
+
+def files_of(warehouse):
+    location = pathlib.Path(warehouse._location("orders_fact").removeprefix("file:"))
+    return {path.parent.name: (path.name, path.stat().st_mtime_ns) for path in location.glob("*/*.parquet")}
+
+
+def test_tables_keep_their_columns_and_days(warehouse):
+    assert warehouse.table("orders_fact").schema.names == ORDERS_FACT.names
+    assert warehouse.table("orders_dim").schema == ORDERS_DIM
+    assert by_day(warehouse) == {FIRST: 2, SECOND: 1, THIRD: 1, None: 1}
+    assert warehouse.days("orders_fact") == [THIRD, SECOND, FIRST, None]
+
+
+def test_a_day_is_replaced_and_the_files_of_others_stay(spark, warehouse):
+    before = files_of(warehouse)
+    orders = [an_order(n, FIRST) for n in range(5)] + [an_order(9, None), an_order(8, None)]
+    orders = spark.createDataFrame(orders, ORDERS_DIM)
+    warehouse.replace_days("orders_dim", orders, [FIRST, THIRD, None])
+    for _ in range(2):
+        jobs.load_fact_days(warehouse, [FIRST, THIRD, None])
+    assert by_day(warehouse) == {FIRST: 5, SECOND: 1, None: 2}
+    after = files_of(warehouse)
+    name = f"order_date={SECOND}"
+    assert after[name] == before[name]
+    assert after[f"order_date={FIRST}"] != before[f"order_date={FIRST}"]
+    assert f"order_date={THIRD}" not in after
+
+
+def test_rows_of_other_days_are_refused(warehouse):
+    before = files_of(warehouse)
+    with pytest.raises(Exception, match="a row of another order_date"):
+        warehouse.replace_days("orders_fact", warehouse.table("orders_fact"), [FIRST])
+    with pytest.raises(Exception, match="a row of another order_date"):
+        warehouse.replace_days("orders_fact", warehouse.build_orders_fact([None]), [FIRST])
+    assert files_of(warehouse) == before
+
+
+def test_other_days_are_not_read(spark, warehouse):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    latest = kpis.daily_orders_by_day(warehouse, days=2)
+    assert [(row.order_date, row.order_count) for row in latest.collect()] == [(THIRD, 1), (SECOND, 1)]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [" in plan and "order_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    days = warehouse.rows_of_days("orders_fact", [SECOND])
+    assert len(days.inputFiles()) == 4
+    assert days._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_a_replaced_table_is_switched_whole(spark, warehouse):
+    warehouse.replace("orders_dim", spark.createDataFrame([an_order(1, SECOND)], ORDERS_DIM))
+    assert warehouse.days("orders_dim") == [SECOND]
+    assert [row.order_id for row in warehouse.table("orders_dim").collect()] == [1]
+    again = Warehouse(spark, f"again_{uuid.uuid4().hex[:8]}", warehouse.root, by_day=["orders_dim"])
+    assert again.create().table("orders_dim").count() == 1
+
+
+def test_only_tables_with_days_are_kept_by_day(spark, tmp_path, warehouse):
+    with pytest.raises(ValueError, match="have days"):
+        Warehouse(spark, "x", str(tmp_path), by_day=["gps_dim"])
+    plain = Warehouse(spark, f"plain_{uuid.uuid4().hex[:8]}", str(tmp_path / "plain")).create()
+    with pytest.raises(ValueError, match="not kept by day"):
+        plain.replace_days("orders_fact", plain.table("orders_fact"), [FIRST])
+    with pytest.raises(ValueError, match="not kept by day"):
+        plain.days("orders_fact")
+    plain.drop()

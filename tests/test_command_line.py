@@ -47,7 +47,7 @@ def test_a_day(spark, exports, capsys):
     events = ["--gps-csv", str(exports / "gps.csv"), "--status-csv", str(exports / "status.csv")]
     job("events", *events)
     job("facts")
-    assert "'low_stock': 1" in capsys.readouterr().out
+    assert "'low_stock_written': 1" in capsys.readouterr().out
 
     warehouse = Warehouse(spark, tables[1], tables[3])
     fact = warehouse.table("orders_fact")
@@ -79,3 +79,34 @@ def test_tracking_stream_from_folders(spark, tmp_path):
         run(spark, parse(words))
     tracked = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(row.order_id, row.status) for row in tracked] == [(7, "new")]
+    assert (tmp_path / "out-late" / "gps_ts").is_dir()
+
+
+def test_messages_that_are_no_json_are_kept(spark, tmp_path):
+    topic = tmp_path / "topics" / "status_streams"
+    topic.mkdir(parents=True)
+    (topic / "1.txt").write_text('{"order_id": "7", "ts": 5}\nno json\n[1]\n{"order_id": 8\n')
+    places = ["--folder", "topics", "--target", "out", "--checkpoint", "state"]
+    places = [word if word.startswith("--") else str(tmp_path / word) for word in places]
+    for _ in range(2):
+        run(spark, parse(["stream", "status", *places]))
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [row.order_id for row in rows] == [7]
+    kept = spark.read.parquet(str(tmp_path / "out-unparsed" / "status_streams")).collect()
+    assert sorted(row.value for row in kept) == ["[1]", "no json", '{"order_id": 8']
+
+
+def test_fact_days(spark, exports, tmp_path):
+    tables = ["--database", f"day_{uuid.uuid4().hex[:8]}", "--root", str(tmp_path / "tables")]
+    tables += ["--by-day", "orders_dim", "orders_fact"]
+
+    def job(name, *words):
+        run(spark, parse([name, *tables, *words]))
+
+    job("load-orders", "--orders-csv", str(exports / "orders.csv"))
+    job("dimensions", "--inventory-json", str(exports / "inventory.json"))
+    job("fact-days", "--days", "2025-07-02")
+    warehouse = Warehouse(spark, tables[1], tables[3], tables[5:])
+    assert [row.order_id for row in warehouse.table("orders_fact").collect()] == [3]
+    job("fact-days", "--days", "2025-07-01", "2025-07-02")
+    assert sorted(row.order_id for row in warehouse.table("orders_fact").collect()) == [1, 3]

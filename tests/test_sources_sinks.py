@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import pathlib
+import random
 
 import pytest
 
@@ -13,7 +16,7 @@ from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, text_only
 from larderline.sinks import files as file_sinks
 from larderline.sinks import tables as table_sinks
 from larderline.sinks import topics as topic_sinks
-from larderline.sources import databases, files
+from larderline.sources import databases, files, records
 from larder_checks.queries import QUERIES
 
 DOCUMENT = {
@@ -103,14 +106,112 @@ def test_csv_values_come_back_as_they_went(spark, tmp_path):
     rows = [(text, str(n), text, "0") for n, text in enumerate(ODD_TEXTS)]
     events = spark.createDataFrame(rows, text_only(GPS_EVENT))
     file_sinks.append_csv(events, str(tmp_path / "gps"))
-    back = files.read_gps_csv(spark, str(tmp_path / "gps"), line_breaks=True)
+    back = files.read_gps_csv(spark, str(tmp_path / "gps"))
     assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == rows
-    with pytest.raises(Exception, match="line break between quotes"):
-        files.read_gps_csv(spark, str(tmp_path / "gps")).collect()
-    whole = events.filter("NOT contains(courier_id, chr(10)) OR courier_id IS NULL")
-    file_sinks.append_csv(whole, str(tmp_path / "plain"))
-    back = files.read_gps_csv(spark, str(tmp_path / "plain"))
-    assert sorted(map(tuple, back.collect()), key=lambda r: r[1]) == rows[:-1]
+
+
+@pytest.fixture
+def small_splits(spark):
+    """Files are cut every few bytes."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "61")
+    yield
+    spark.conf.set(setting, before)
+
+
+STATUS_HEADER = "order_id,courier_id,status,ts"
+PLACED = "9,9,9,9,9.00,2025-01-01T00:00:00Z,x"
+
+
+def some_csv(seed):
+    """Rows of texts with all that a quoted value may hold, as a file's text."""
+    draw = random.Random(seed)
+    parts = ["a", "b,", '"', '""', "\n", "\r\n", " ", "é", PLACED, "\n" + PLACED]
+    rows = [
+        [str(n), "".join(draw.choices(parts, k=draw.randint(0, 5))), draw.choice(["x", "y z"]), "0"]
+        for n in range(draw.randint(0, 60))
+    ]
+    text = io.StringIO()
+    writer = csv.writer(text, quoting=csv.QUOTE_ALL, lineterminator=draw.choice(["\n", "\r\n"]))
+    writer.writerows([STATUS_HEADER.split(","), *rows])
+    return rows, text.getvalue()
+
+
+def test_records_are_put_together_over_splits(spark, tmp_path, small_splits):
+    wanted = []
+    for seed in range(12):
+        rows, text = some_csv(seed)
+        wanted += rows
+        (tmp_path / f"{seed}.csv").write_bytes(text.encode())
+    found = files.read_status_csv(spark, str(tmp_path))
+    assert records.pieces(spark, str(tmp_path), "\n").rdd.getNumPartitions() > 12
+    assert sorted(map(list, found.collect())) == sorted(wanted)
+
+
+def test_a_status_that_looks_like_an_order_is_one_order(spark, tmp_path):
+    header = ",".join(ORDERS.names)
+    line = f'1,2,3,4,5.00,2025-07-01T08:00:00Z,"said\n{PLACED}"\n'
+    (tmp_path / "a.csv").write_text(f"{header}\n{line}")
+    (tmp_path / "b.csv").write_text(f"{header}\n{line.splitlines()[0]}\n" + f"7{line[1:]}")
+    with pytest.raises(records.OpenQuoteError, match="b.csv"):
+        files.read_orders_csv(spark, str(tmp_path))
+    (order,) = files.read_orders_csv(spark, str(tmp_path / "a.csv")).collect()
+    assert order.status == f"said\n{PLACED}"
+
+
+@pytest.mark.parametrize(
+    "lines",
+    [
+        # Quotes within values that are not quoted, over two lines.
+        'C1,1,2" x,7\nC2,1,2" y,7',
+        # A record with too few values, and one with too many.
+        '"C1\n",1,7',
+        '"C1\n",1,2,7,9',
+    ],
+)
+def test_torn_rows_fail_whatever_their_columns(spark, tmp_path, lines):
+    (tmp_path / "gps.csv").write_text(f"courier_id,lat,lon,ts\n{lines}\n")
+    with pytest.raises(Exception, match="torn row"):
+        files.read_gps_csv(spark, str(tmp_path)).collect()
+
+
+def test_files_with_and_without_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("lat,courier_id,lon,ts\n1,C001,2,7\n\n")
+    (tmp_path / "b.csv").write_text('"lat","courier_id","LON",ts\r\n1,"C\n2",2,7\r\n\r\n')
+    (tmp_path / "c.csv").write_text("")
+    rows = files.read_gps_csv(spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, rows)) == [("C\n2", "1", "2", "7"), ("C001", "1", "2", "7")]
+    (tmp_path / "d.csv").write_text('courier_id,lat,lon,ts\n"C\n3",1,2,7\n')
+    with pytest.raises(Exception, match="header"):
+        files.read_gps_csv(spark, str(tmp_path)).collect()
+
+
+def test_json_documents_are_put_together_over_splits(spark, tmp_path, small_splits):
+    draw = random.Random(4)
+    parts = ["a", "{", "}", '"', "\\", "[", "]", ",", "\n", "é", "\\\"", "\t"]
+    names = []
+    for number in range(12):
+        some = ["".join(draw.choices(parts, k=draw.randint(0, 9))) for _ in range(draw.randint(0, 30))]
+        documents = [{"name": name, "category": {"of": ["}", {"x": name}]}, "item_id": 1} for name in some]
+        indent = draw.choice([None, None, 1])
+        content = json.dumps(documents, indent=indent, ensure_ascii=draw.random() < 0.5)
+        (tmp_path / f"{number}.json").write_text(draw.choice(["", "\ufeff", " \n"]) + content)
+        names += some
+    (tmp_path / "one.json").write_text('{"name": "{one}"}')
+    found = files.read_inventory_json(spark, str(tmp_path))
+    assert records.pieces(spark, str(tmp_path), "{").rdd.getNumPartitions() > 13
+    assert sorted(row.name for row in found.collect()) == sorted([*names, "{one}"])
+
+
+@pytest.mark.parametrize(
+    "content",
+    ['[{"item_id": 1},', '[{"item_id": 1}', '{"item_id": 1', '{"item_id": 1}}', '[{"item_id": 1} x]', "[1]", '{"a": "x'],
+)
+def test_torn_json_fails(spark, tmp_path, content):
+    (tmp_path / "a.json").write_text(content)
+    with pytest.raises(Exception, match="(?i)malformed|never closed"):
+        files.read_inventory_json(spark, str(tmp_path)).collect()
 
 
 def test_orders_csv_is_text(spark, tmp_path):

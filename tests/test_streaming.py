@@ -113,13 +113,21 @@ def test_csv_files_as_they_arrive(spark, tmp_path):
 
     (arriving / "1.csv").write_text("courier_id,lat,lon,ts\nC001,1,2,7\nC001,bad,2,7\n")
     assert run() == 1
-    (arriving / "2.csv").write_text("courier_id,lat,lon,ts\nC002,1,2,8\n")
+    (arriving / "2.csv").write_text('courier_id,lat,lon,ts\n"C\n002,1,2,8",1,2,8\n')
     assert run() == 2
     (arriving / "3.csv").write_text("ts,lat,lon,courier_id\n8,1,2,C003\n")
     with pytest.raises(StreamingQueryException):
         run()
 
 
+def test_a_torn_csv_row_stops_the_stream(spark, tmp_path):
+    (tmp_path / "gps").mkdir()
+    (tmp_path / "gps" / "1.csv").write_text('courier_id,lat,lon,ts\nC001,1,2,"7\nC002,1,2,8\n')
+    stream = dims.gps_dim(files.stream_gps_csv(spark, str(tmp_path / "gps")))
+    with pytest.raises(StreamingQueryException, match="torn row"):
+        sinks.load_batches(stream, str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+
+
 def test_order_ids_sent_as_text(spark, tmp_path, status):
     status.arrive(change("7", "C001", 0), change("x", "C001", 1))
     out = str(tmp_path / "out")
