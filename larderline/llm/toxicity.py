@@ -10,6 +10,7 @@ an extreme-value distribution, fitted to the best segments of clean texts.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import broadcast_if_small, stored
+from larderline.llm.common import broadcast_if_small, equip, stored
 from larderline.llm.language import fold
 
 # Letters that stand for a token which has no evidence of its own.
@@ -30,9 +31,9 @@ STEM = 4
 # Weight of the prior, as a share of all counts, and the z-score from which a
 # token's log-odds count.
 PRIOR_SHARE = 0.1
-LEAST_Z = 3.5
-# Tokens of a model, the most significant ones.
-MODEL_TOKENS = 100_000
+LEAST_Z = 2.5
+# Tokens of a model that tasks hold. More stay a table, and each text gets its own.
+MODEL_TOKENS = 200_000
 
 # Chance finds in a text, below which a segment is significant.
 MOST_CHANCE_FINDS = 0.05
@@ -56,10 +57,10 @@ def stem_of(word: str) -> str:
 
 
 class Model(NamedTuple):
-    """Log-odds by token, and of any other token; how chance scores are spread;
-    and the calibration of the evidence."""
+    """Log-odds by token (None: they are a table), and of any other token; how
+    chance scores are spread; and the calibration of the evidence."""
 
-    scores: dict[str, float]
+    scores: dict[str, float] | None
     other: float
     scale: float = 1.0
     log_size: float = 0.0
@@ -101,10 +102,11 @@ def maximal_segments(scores: np.ndarray) -> list[Segment]:
     return [Segment(first, last, high - low) for first, last, low, high, _ in found]
 
 
-def segments_of(text: str | None, model: Model) -> tuple[int, list[Segment]]:
+def segments_of(
+    text: str | None, known: dict[str, float], other: float
+) -> tuple[int, list[Segment]]:
     """How many words the text has, and its maximal segments."""
     words = words_of(text)
-    known, other = model.scores, model.other
 
     def score(word: str) -> float:
         own = known.get(word)
@@ -154,12 +156,15 @@ def _log_odds(count: str, n: int, prior: Column, weight: float) -> Column:
     return F.log(having / (n + weight - having))
 
 
-def fit_scores(training: DataFrame, tokens: int = MODEL_TOKENS) -> Model:
-    """Token log-odds from all rows of ``text`` and ``toxic``.
+def fit_scores(training: DataFrame, held_tokens: int = MODEL_TOKENS) -> tuple[Model, DataFrame]:
+    """Token log-odds from all rows of ``text`` and ``toxic``: the model, and the
+    table of all significant tokens, ``token`` and ``delta``, for either label.
 
     Counts are of documents that have a token. Words and their first letters are
-    two vocabularies, each with its own totals.
+    two vocabularies, each with its own totals. A model of more than ``held_tokens``
+    tokens has no scores of its own, but those of the table.
     """
+    equip(training.sparkSession)
     counts = training.select("text", "toxic").mapInArrow(
         _token_counts, "token string, x long, y long"
     )
@@ -171,36 +176,35 @@ def fit_scores(training: DataFrame, tokens: int = MODEL_TOKENS) -> Model:
     )
     # Two rows at most.
     totals = counts.groupBy("stem").agg(F.sum("x").alias("toxic"), F.sum("y").alias("clean"))
-    scores: dict[str, float] = {}
-    shares = {}
+    parts = [training.sparkSession.createDataFrame([], "token string, delta double")]
+    other = -1.0
     for total in totals.collect():
         if not total.toxic or not total.clean:
             continue
         prior = F.lit(PRIOR_SHARE) * (F.col("x") + F.col("y"))
         weight = PRIOR_SHARE * (total.toxic + total.clean)
-
         delta = _log_odds("x", total.toxic, prior, weight) - _log_odds(
             "y", total.clean, prior, weight
         )
         spread = F.sqrt(1 / (F.col("x") + prior) + 1 / (F.col("y") + prior))
-        best = (
+        significant = (
             counts.filter(F.col("stem") == total.stem)
             .withColumn("delta", delta)
-            .withColumn("z", F.col("delta") / spread)
-            .filter(F.col("z") >= LEAST_Z)
-            .orderBy(F.desc("z"), "token")
-            .limit(tokens)
-            .collect()
-        )
-        scores.update((row.token, row.delta) for row in best)
-        shares[total.stem] = (
-            sum(row.x for row in best) / total.toxic,
-            sum(row.y for row in best) / total.clean,
+            .filter(F.abs(F.col("delta") / spread) >= LEAST_Z)
         )
-    toxic_share, clean_share = shares.get(False, (0.0, 0.0))
-    other = math.log((1 - toxic_share) / (1 - clean_share)) if toxic_share < 1 else -1.0
+        parts.append(significant.select("token", "delta"))
+        if not total.stem:
+            held = significant.agg(F.sum("x").alias("x"), F.sum("y").alias("y")).first()
+            toxic_left = 1 - (held.x or 0) / total.toxic
+            clean_left = 1 - (held.y or 0) / total.clean
+            if toxic_left > 0 and clean_left > 0:
+                other = math.log(toxic_left / clean_left)
+    known = stored(functools.reduce(DataFrame.union, parts), "scores")
+    scores = None
+    if known.limit(held_tokens + 1).count() <= held_tokens:
+        scores = {row.token: row.delta for row in known.collect()}
     # Without drift downwards a segment would never end.
-    return Model(scores, min(other, -1e-3))
+    return Model(scores, min(other, -1e-3)), known
 
 
 _SEGMENT = T.StructType(
@@ -214,33 +218,89 @@ _ARROW_SEGMENT = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score
 
 
 def _find(model):
+    """Reads ``id``, ``hash`` and ``text``, and ``known`` tokens of a text if the model has
+    none of its own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores, other = model.value.scores, model.value.other
         for batch in batches:
-            found = [segments_of(text.as_py(), model.value) for text in batch.column("text")]
+            texts = batch.column("text").to_pylist()
+            if scores is None:
+                known = [dict(own or ()) for own in batch.column("known").to_pylist()]
+            else:
+                known = [scores] * len(texts)
+            found = [segments_of(t, own, other) for t, own in zip(texts, known, strict=True)]
             lists = [[segment._asdict() for segment in segments] for _, segments in found]
             yield pa.record_batch(
                 [
-                    batch.column("id"),
+                    *batch.select(["id", "hash"]).columns,
                     pa.array([n for n, _ in found], pa.int64()),
                     pa.array(lists, pa.list_(_ARROW_SEGMENT)),
                 ],
-                names=["id", "n_words", "segments"],
+                names=["id", "hash", "n_words", "segments"],
             )
 
     return run
 
 
+def _tokens_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tokens that each text may take a score from, once each."""
+    for batch in batches:
+        rows, tokens = [], []
+        for row, text in enumerate(batch.column("text").to_pylist()):
+            words = set(words_of(text))
+            own = words | {stem_of(word) for word in words}
+            rows += [row] * len(own)
+            tokens += own
+        taken = batch.select(["id", "row"]).take(pa.array(rows, pa.int64()))
+        yield pa.record_batch(
+            [*taken.columns, pa.array(tokens, pa.string())], names=["id", "row", "token"]
+        )
+
+
+def _with_known(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows with the scores of their own tokens, by joins: no task holds more
+    than those of its texts."""
+    keyed = rows.withColumn("row", F.xxhash64("id", "text"))
+    added = [T.StructField("row", T.LongType()), T.StructField("token", T.StringType())]
+    schema = T.StructType([rows.schema["id"], *added])
+    tokens = keyed.select("id", "row", "text").mapInArrow(_tokens_of_texts, schema)
+    by_row = (
+        tokens.join(known, "token")
+        .groupBy(F.col("id").alias("own_id"), F.col("row").alias("own_row"))
+        .agg(F.map_from_entries(F.collect_set(F.struct("token", "delta"))).alias("known"))
+    )
+    same = (F.col("row") == F.col("own_row")) & F.col("id").eqNullSafe(F.col("own_id"))
+    return keyed.join(by_row, same, "left").select("id", "hash", "text", "known")
+
+
 def find_segments(
-    docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    model: Model,
+    known: DataFrame | None = None,
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
-    """``id``, ``n_words`` and all maximal ``segments`` of each row, whole texts."""
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    """``id``, a ``hash`` of the text, ``n_words`` and all maximal ``segments`` of
+    each row, whole texts.
+
+    ``known`` are the scores of a model that has none of its own."""
+    equip(docs.sparkSession)
+    rows = docs.select(
+        F.col(id_column).alias("id"),
+        F.xxhash64(text_column).alias("hash"),
+        F.col(text_column).alias("text"),
+    )
+    if model.scores is None:
+        rows = _with_known(rows, known)
     added = [
+        T.StructField("hash", T.LongType()),
         T.StructField("n_words", T.LongType()),
         T.StructField("segments", T.ArrayType(_SEGMENT)),
     ]
     broadcast = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_find(broadcast), T.StructType([rows.schema["id"], *added]))
+    schema = T.StructType([docs.select(F.col(id_column).alias("id")).schema["id"], *added])
+    return rows.mapInArrow(_find(broadcast), schema)
 
 
 def _best(segments: str = "segments") -> Column:
@@ -317,6 +377,7 @@ def score_documents(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
+    held_tokens: int = MODEL_TOKENS,
 ) -> DataFrame:
     """``id``, ``n_words``, significant ``passages``, ``evidence``, ``score`` (the
     calibrated probability) and ``predicted`` of each row.
@@ -324,22 +385,26 @@ def score_documents(
     The model is learned from the labelled documents for which ``learn_from``, a
     condition on the id column, holds. NULL and empty texts have no words and the
     score of no evidence. Repeated rows are scored alike and learned from once.
-    Without labels of both kinds no token counts, and all scores are low.
+    Without labels of both kinds no token counts, and all scores are low. Tasks
+    hold the scores of up to ``held_tokens`` tokens; of more, those of their texts,
+    which come by a join, and the result is the same.
     """
     learned = docs.filter(learn_from)
     training = training_rows(
         learned, labels.filter(learn_from), id_column, text_column, label_column
     )
-    model = fit_scores(training)
-    found = stored(find_segments(docs, model, id_column, text_column), "segments")
-    taught = stored(training.select("id", "toxic"), "taught")
-    sample = stored(found.join(broadcast_if_small(taught), "id"), "calibration")
+    model, known = fit_scores(training, held_tokens)
+    found = stored(find_segments(docs, model, known, id_column, text_column), "segments")
+    # Another text under the same id has no label.
+    told = training.select("id", F.xxhash64("text").alias("hash"), "toxic")
+    taught = broadcast_if_small(stored(told, "taught"))
+    sample = stored(found.join(taught, ["id", "hash"]), "calibration")
     model = fit_extremes(sample.filter("toxic = 0"), model)
     model = fit_calibration(with_evidence(sample, model), model)
     raw = F.lit(model.slope) * F.col("evidence") + F.lit(model.offset)
     return (
         with_evidence(found, model)
-        .drop("segments")
+        .drop("segments", "hash")
         .withColumn("score", 1 / (1 + F.exp(-raw)))
         .withColumn("predicted", (F.col("score") >= PREDICTED_FROM).cast("int"))
     )

@@ -92,6 +92,29 @@ def test_held_out_documents_are_told_apart(spark):
     assert all(0 < r.score < 1 or r.score == 1.0 for r in found)
 
 
+def test_scores_of_many_tokens_come_by_a_join(spark):
+    rows, labels, _ = tables(spark)
+    docs, known = spark.createDataFrame(rows + rows[:3], DOCS), spark.createDataFrame(labels, LABELS)
+    learn_from = ~toxicity.held_out(F.col("doc_id"))
+    found = [
+        toxicity.score_documents(docs, known, learn_from, held_tokens=n).collect()
+        for n in (toxicity.MODEL_TOKENS, 0)
+    ]
+    # Sums over documents are added up in another order.
+    shown = [
+        sorted((str(r.id), r.n_words, r.predicted, round(r.score, 6), str(r.passages)) for r in rows)
+        for rows in found
+    ]
+    assert shown[0] == shown[1]
+
+
+def test_tokens_of_either_label_have_scores(spark):
+    rows = [(f"bad{n % 3} both", 1) for n in range(60)] + [(f"good{n % 3} both", 0) for n in range(60)]
+    model, known = toxicity.fit_scores(spark.createDataFrame(rows, "text string, toxic int"))
+    assert model.scores["bad"] > 0 > model.scores["good"] and "both" not in model.scores
+    assert {r.token: r.delta for r in known.collect()} == model.scores
+
+
 def test_copies_are_learned_from_once(spark):
     docs = spark.createDataFrame([(n, "same text") for n in range(50)] + [(99, "other")], DOCS)
     labels = spark.createDataFrame([(n, 0) for n in range(50)] + [(0, 0), (99, 1)], LABELS)
