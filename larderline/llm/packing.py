@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from larderline.llm.common import stored
+from larderline.llm.common import equip, stored
 
 CAPACITY = 1024
 SEPARATOR = 2
@@ -49,16 +49,40 @@ def _tokenizer(vocabulary: str) -> Tokenizer:
     return Tokenizer.from_file(vocabulary)
 
 
+def _is_of_this_kind(content: dict) -> bool:
+    """Whether a file's tokens are merged bytes, in the order of their ids, of texts
+    split as above."""
+    split, model = content["pre_tokenizer"] or {}, content["model"]
+    plain = (
+        content["normalizer"] is None
+        and split.get("type") == "ByteLevel"
+        and split.get("use_regex", True)
+        and not split.get("add_prefix_space")
+        and model.get("type") == "BPE"
+        and not any(model.get(name) for name in ("dropout", "ignore_merges", "byte_fallback"))
+        and not model.get("continuing_subword_prefix")
+        and not model.get("end_of_word_suffix")
+    )
+    if not plain:
+        return False
+    pairs = (pair.split(" ") if isinstance(pair, str) else pair for pair in model["merges"])
+    ids = [model["vocab"]["".join(pair)] for pair in pairs]
+    return ids == sorted(ids)
+
+
 @functools.cache
 def _encoder(vocabulary: str):
     """Text to token ids by a byte-level vocabulary file of `tokenizers`.
 
     The ids are those that `tokenizers` gives. They are worked out by `tiktoken`
     from the ids in the same file, which is several times as fast; a text that
-    holds a special token's string goes through `tokenizers` itself.
+    holds a special token's string goes through `tokenizers` itself, and so do all
+    texts if the file is of another kind.
     """
     with open(vocabulary, encoding="utf-8") as file:
         content = json.load(file)
+    if not _is_of_this_kind(content):
+        return lambda text: _tokenizer(vocabulary).encode(text, add_special_tokens=False).ids
     byte_of = _byte_of_character()
     special = [token["content"] for token in content["added_tokens"]]
     ranks = {
@@ -120,6 +144,7 @@ def tokenized(
     NULL and empty texts are one piece, the separator. The file has to be where
     each executor finds it.
     """
+    equip(docs.sparkSession)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     added = [T.StructField(name, T.LongType()) for name in ("piece", "start", "length")]
     schema = T.StructType([texts.schema["id"], *added, T.StructField("ids", T.BinaryType())])
@@ -245,7 +270,7 @@ def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
     before = Window.partitionBy("length").orderBy("share")
     earlier = counts.withColumn("earlier", F.sum("n").over(before) - F.col("n")).drop("n")
-    among = Window.partitionBy("length", "share").orderBy(*pieces.columns)
+    among = Window.partitionBy("length", "share").orderBy("row")
     ranked = (
         shared.withColumn("own", F.row_number().over(among) - 1)
         .join(earlier, ["length", "share"])

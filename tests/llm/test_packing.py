@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import json
 import math
+import pathlib
 import random
 from collections import Counter, defaultdict
 
@@ -32,6 +34,18 @@ def test_ids_are_those_of_the_tokenizer(text):
     assert packing._encoder(VOCABULARY)(text) == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_files_of_another_kind_go_through_the_tokenizer(tmp_path):
+    """The same vocabulary with a prefix blank, and one of another family."""
+    content = json.loads(pathlib.Path(VOCABULARY).read_text())
+    assert packing._is_of_this_kind(content)
+    content["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "other.json").write_text(json.dumps(content))
+    for path in (str(tmp_path / "other.json"), public_tokenizers.path("word_bpe_49k.json")):
+        whole = Tokenizer.from_file(path)
+        for text in ("", "two words", " Ünï  codé\n x"):
+            assert packing._encoder(path)(text) == whole.encode(text, add_special_tokens=False).ids
+
+
 def test_only_the_first_piece_may_be_shorter():
     assert packing.cut(1) == [(0, 1)]
     assert packing.cut(1024) == [(0, 1024)]
