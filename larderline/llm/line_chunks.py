@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larderline.llm.common import BLANKS, broadcast_if_small, let, stored
+from larderline.llm.common import BLANKS, broadcast_if_small, let, store, stored
+from larderline.workspace import drop_folder
 
 # Words, by the spaces between them, that make a line a passage of its own.
 PASSAGE_WORDS = 50
@@ -143,13 +144,13 @@ def remove_repeats(
     text = F.col("document")[text_column]
     lines = lines_of(text)
     found = let(lines, lambda own: _windows(own, passage_words))
-    occurrences = stored(
+    occurrences, occurrences_path = store(
         keyed.filter(text.isNotNull()).select("id", "row", F.inline(found)), "windows"
     )
     # Hashes of places, as sums of numbers are cheap; a window repeats if it has
     # two places.
     place_hash = F.xxhash64("id", "row", "place")
-    repeated = stored(
+    repeated, repeated_path = store(
         occurrences.groupBy("hash")
         .agg(F.min(place_hash).alias("one"), F.max(place_hash).alias("other"))
         .filter("one != other")
@@ -159,6 +160,8 @@ def remove_repeats(
     candidates = stored(
         occurrences.join(broadcast_if_small(repeated), "hash").distinct(), "candidates"
     )
+    for path in (occurrences_path, repeated_path):
+        drop_folder(docs.sparkSession, path)
     at = F.struct("id", "row", "place")
     firsts = candidates.groupBy("hash", "span").agg(F.min(at).alias("first"))
     wanted = (
