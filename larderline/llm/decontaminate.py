@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import broadcast_if_small, stored
+from larderline.llm.common import broadcast_if_small, equip, stored
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -223,6 +223,7 @@ def not_searched(items: DataFrame, text_column: str = "text") -> DataFrame:
             none = [not words_of(text) for text in texts]
             yield batch.filter(pa.array(none, pa.bool_()))
 
+    equip(items.sparkSession)
     return items.mapInArrow(of, items.schema)
 
 
@@ -267,6 +268,7 @@ def contained_items(
         [keyed.schema["id"], keyed.schema["row"], texts.schema["item_id"]]
         + [T.StructField(name, T.LongType()) for name in ("n_shingles", "n_shared")]
     )
+    equip(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     found = []
     for number in range(blocks):

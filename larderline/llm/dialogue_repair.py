@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from larderline.llm.common import BLANKS, stored
+from larderline.llm.common import BLANKS, equip, stored
 
 # The sequences of role initials that are in order: s?(ua)+ or nothing.
 START = "dialogue"
@@ -336,6 +336,7 @@ def plan_repairs(turns: DataFrame, copies: Column | None = None) -> DataFrame:
     reads it, as a stream: in memory are a batch and, for each of the four tops,
     a digest and its edits.
     """
+    equip(turns.sparkSession)
     kind = turns.schema["conv_id"].dataType
     fields = [T.StructField("conv_id", kind)]
     fields += [T.StructField(name, T.LongType()) for name in _COUNTS]
@@ -395,6 +396,7 @@ def repaired_turns(
     ``plans`` are those of the same turns. Inserted turns have an empty text. A
     conversation that loses all its turns has no rows.
     """
+    equip(turns.sparkSession)
     kind = turns.schema["conv_id"].dataType
     schema = T.StructType(
         [

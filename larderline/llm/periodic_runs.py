@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from larderline.llm.common import let, words
+from larderline.llm.common import equip, let, words
 
 LEAST_WORDS = 12
 
@@ -229,6 +229,7 @@ def find_runs(
     and NULL ids need no care; nothing is shuffled, and a task holds one batch.
     Time grows as n log n with the words of a text, whatever it repeats.
     """
+    equip(docs.sparkSession)
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     schema = T.StructType(
         [

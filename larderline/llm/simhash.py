@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import stored
+from larderline.llm.common import equip, stored
 from larderline.llm.components import least_reachable
 
 SHINGLE_WORDS = 3
@@ -166,6 +166,7 @@ def near_links(
     two at most ``most_bits`` bits apart are connected."""
     if not 0 <= most_bits <= 3:
         raise ValueError("two segments find up to 3 differing bits")
+    equip(fingerprints.sparkSession)
     cells = _in_cells(signatures(fingerprints), block)
     dealt = cells.repartition("signature", "cell").sortWithinPartitions("signature", "cell")
     return dealt.mapInArrow(_links_of_cells(most_bits), "a long, b long").distinct()
@@ -191,6 +192,7 @@ def near_copies(
     Repeated rows, also with equal ids, are members of one group, of which one
     row stays. A NULL id counts as largest. An empty table gives no rows.
     """
+    equip(docs.sparkSession)
     document = [F.struct(*docs.columns).alias("document")] if carry else []
     printed = stored(
         docs.select(

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larderline.llm.common import broadcast_if_small, store, stored
+from larderline.llm.common import broadcast_if_small, equip, store, stored
 from larderline.workspace import drop_folder
 
 # Given names by gender and script.
@@ -573,6 +573,7 @@ def distinct_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
         "entity",
         "attempt",
     )
+    equip(entities.sparkSession)
     everything = stored(entities.select("kind", "entity").distinct(), "entities")
     shuffled = F.col("kind").isin("given", "initial")
     taken = everything.select("kind", F.col("entity").alias("surrogate")).filter(~shuffled)
@@ -625,6 +626,7 @@ def replace_entities(
     surrogates allow it, and whose heavy keys AQE splits if not. A text's mentions
     are then brought to it by a hash of id and text.
     """
+    equip(docs.sparkSession)
     keyed = docs.select(
         F.struct(*docs.columns).alias("document"),
         F.col(id_column).alias("id"),
