@@ -374,6 +374,28 @@ STATEMENTS = {
                    AS avg_cart_value
         FROM orders_fact""",
     "fact_replace_days": "SELECT * FROM orders_fact",
+    "table_statistics": """
+        SELECT 'orders_dim' AS table_name, 'item_id' AS column_name,
+               CAST(min(item_id) AS VARCHAR) AS least, CAST(max(item_id) AS VARCHAR) AS greatest,
+               count(*) - count(item_id) AS null_rows
+        FROM orders_dim
+        UNION ALL
+        SELECT 'orders_dim', 'order_date', CAST(min(order_date) AS VARCHAR),
+               CAST(max(order_date) AS VARCHAR), count(*) - count(order_date)
+        FROM orders_dim
+        UNION ALL
+        SELECT 'inventory_dim', 'item_id', CAST(min(item_id) AS VARCHAR),
+               CAST(max(item_id) AS VARCHAR), count(*) - count(item_id)
+        FROM inventory_dim
+        UNION ALL
+        SELECT 'inventory_dim', 'warehouse', NULL, NULL, count(*) - count(warehouse)
+        FROM inventory_dim""",
+    "totals_summary": """
+        SELECT count(*) AS row_count,
+               round(CAST(sum(total_order_value) AS DOUBLE) / count(total_order_value), 4)
+                   AS avg_cart_value
+        FROM orders_fact""",
+    "totals_daily_orders": DAILY_ORDERS,
     "load_counts": """
         SELECT 'orders_dim' AS table_name, unnest(['rows_read', 'incomplete_read', 'rows_written',
                  'no_value_written']) AS counted,
@@ -400,6 +422,8 @@ STATEMENTS = {
         SELECT 'courier_tracking' AS table_name, count(*) AS row_count FROM courier_tracking
         UNION ALL SELECT 'gps_dim', count(*) FROM gps_dim
         UNION ALL SELECT 'inventory_dim', count(*) FROM inventory_dim
+        UNION ALL SELECT 'order_totals', count(*)
+        FROM (SELECT order_date FROM orders_fact GROUP BY order_date)
         UNION ALL SELECT 'orders', count(*) FROM orders_source
         UNION ALL SELECT 'orders_dim', count(*) FROM orders_dim
         UNION ALL SELECT 'orders_fact', count(*) FROM orders_fact

@@ -42,6 +42,7 @@ def parse(words: Sequence[str] | None = None) -> argparse.Namespace:
     replace.add_argument("--json-layout", choices=files.JSON_LAYOUTS, default="whole")
     replace.add_argument("--null-policy", choices=["drop", "fill"], default="drop")
     replace.add_argument("--orders-have-key", action="store_true")
+    replace.add_argument("--analyze", action="store_true", help="gather statistics for plans")
     table_job("events", "replace the event dimensions", "gps-csv", "status-csv")
     rebuild = table_job("facts", "rebuild both facts from the dimensions")
     rebuild.add_argument("--within-seconds", type=int, default=jobs.TRACKING_SECONDS)
@@ -144,7 +145,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         documents = files.read_inventory_json(spark, args.inventory_json, args.json_layout)
         orders = warehouse.table("orders")
         counts = jobs.load_dimensions(
-            warehouse, orders, documents, args.null_policy, args.orders_have_key
+            warehouse, orders, documents, args.null_policy, args.orders_have_key, args.analyze
         )
         print(counts)
     elif args.job == "events":

@@ -15,11 +15,16 @@ from larderline.operators.inspection import require_flat, require_flat_texts
 from larderline.operators.loading import all_orders_or_fail, key_conflicts, near_keys, new_rows
 from larderline.operators.nulls import has_null
 from larderline.plans import dims, kpis
-from larderline.plans.warehouse import Warehouse
+from larderline.plans.warehouse import Warehouse, on_days
 from larderline.workspace import prepare, staged
 
 # Positions and status events further apart than this say nothing of each other.
 TRACKING_SECONDS = 3600
+# Columns by which dimensions are joined and filtered.
+JOINED_COLUMNS = {
+    "orders_dim": ("item_id", "order_date"),
+    "inventory_dim": ("item_id", "warehouse"),
+}
 
 
 def load_orders(
@@ -80,8 +85,10 @@ def load_dimensions(
     documents: DataFrame,
     null_policy: str = "drop",
     orders_have_key: bool = False,
+    analyze: bool = False,
 ) -> dict[str, Counts]:
-    """Replace the orders and inventory dimensions.
+    """Replace the orders and inventory dimensions, and if asked have the catalog
+    know the columns that joins and figures use (``JOINED_COLUMNS``).
 
     Returns what was read and written, by table, counted as it went by, so that
     each source is read once: ``rows``, ``incomplete`` rows of the source, order
@@ -104,6 +111,9 @@ def load_dimensions(
         low_stock=flag == LOW_STOCK,
     )
     warehouse.replace("inventory_dim", rows)
+    if analyze:
+        for table, columns in JOINED_COLUMNS.items():
+            warehouse.analyze(table, columns)
     lacking, alerts = ["incomplete"], ["alerts", "out_of_stock", "low_stock"]
     return {
         "orders_dim": _found(orders_read, orders_written, lacking, ["no_value"]),
@@ -134,6 +144,7 @@ def load_facts(
     """
     prepare(warehouse.spark, *[warehouse.table(name) for name in kpis.CHECKED_COLUMNS])
     warehouse.replace("orders_fact", warehouse.build_orders_fact())
+    warehouse.replace("order_totals", kpis.totals_of(warehouse.table("orders_fact")))
     bound = None if unbounded_tracking else within_seconds
     warehouse.replace("courier_tracking", warehouse.build_courier_tracking(bound))
 
@@ -142,9 +153,23 @@ def load_fact_days(
     warehouse: Warehouse, days: Collection[dt.date | None]
 ) -> None:
     """Rebuild some days of the orders fact, which is kept by day, from the stored
-    dimensions. Running it again changes nothing."""
+    dimensions, and the totals of these days. Running it again changes nothing."""
     prepare(warehouse.spark, warehouse.rows_of_days("orders_dim", days))
     warehouse.replace_days("orders_fact", warehouse.build_orders_fact(days), days)
+    others = warehouse.table("order_totals").filter(~on_days("order_date", days))
+    these = kpis.totals_of(warehouse.rows_of_days("orders_fact", days))
+    warehouse.replace("order_totals", others.unionByName(these))
+
+
+def append_facts(warehouse: Warehouse, rows: DataFrame) -> None:
+    """Add rows to the orders fact, and what they add to the totals: the figures
+    are kept without reading the fact again. As any append, running it twice
+    counts the rows twice; ``load_facts`` rebuilds both."""
+    prepare(warehouse.spark, rows)
+    with staged(rows, "facts") as added:
+        totals = kpis.added_totals(warehouse.table("order_totals"), kpis.totals_of(added))
+        warehouse.append("orders_fact", added)
+        warehouse.replace("order_totals", totals)
 
 
 def stock_report(warehouse: Warehouse) -> DataFrame:

@@ -73,6 +73,43 @@ def volume_by_warehouse_item(fact: DataFrame) -> DataFrame:
     return _by_warehouse(volumes)
 
 
+# The same figures from totals per day, which are kept as the fact grows.
+
+
+def totals_of(fact: DataFrame) -> DataFrame:
+    """What the figures add up from: a row per day."""
+    value = F.col("total_order_value")
+    return fact.groupBy("order_date").agg(
+        _rows().alias("order_rows"),
+        F.count(value).alias("value_rows"),
+        F.coalesce(F.sum(value), F.lit(0)).cast("decimal(38,2)").alias("value_sum"),
+    )
+
+
+def added_totals(before: DataFrame, more: DataFrame) -> DataFrame:
+    """Totals of two parts of a fact, put together."""
+    sums = [
+        F.sum(name).cast(kind).alias(name)
+        for name, kind in before.dtypes
+        if name != "order_date"
+    ]
+    return before.unionByName(more).groupBy("order_date").agg(*sums)
+
+
+def summary_of_totals(totals: DataFrame) -> DataFrame:
+    """Row count and average cart value."""
+    average = _average(F.sum("value_sum"), F.sum("value_rows"))
+    return totals.agg(
+        F.coalesce(F.sum("order_rows"), F.lit(0)).alias("row_count"),
+        average.alias("avg_cart_value"),
+    )
+
+
+def daily_orders_of_totals(totals: DataFrame, days: int = LATEST_DAYS) -> DataFrame:
+    per_day = totals.select("order_date", F.col("order_rows").alias("order_count"))
+    return per_day.orderBy(F.desc("order_date")).limit(days)
+
+
 # The same figures straight from the dimensions.
 
 

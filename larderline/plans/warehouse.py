@@ -8,7 +8,7 @@ from __future__ import annotations
 import contextlib
 import datetime as dt
 import uuid
-from collections.abc import Collection, Iterator
+from collections.abc import Collection, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,6 +230,27 @@ class Warehouse:
             rows=rows,
         )
 
+    def analyze(self, table: str, columns: Sequence[str]) -> None:
+        """Have the catalog know the rows of a table, and of some columns the
+        range, the NULLs, the distinct values and a histogram. One pass over
+        them; Catalyst then tells from it which side of a join is small. Loads
+        that come later do not change it, so it is done after each."""
+        setting = "spark.sql.statistics.histogram.enabled"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "true")
+        try:
+            names = ", ".join(f"`{name}`" for name in columns)
+            self.spark.sql(
+                f"ANALYZE TABLE {self.name(table)} COMPUTE STATISTICS FOR COLUMNS {names}"
+            )
+        finally:
+            self.spark.conf.set(setting, before)
+
+    def statistics(self, table: str, column: str) -> dict[str, str | None]:
+        """What the catalog knows of a column, by the names Spark gives it."""
+        rows = self.spark.sql(f"DESCRIBE EXTENDED {self.name(table)} `{column}`").collect()
+        return {row.info_name: None if row.info_value == "NULL" else row.info_value for row in rows}
+
     def build_orders_fact(self, days: Collection[dt.date | None] | None = None) -> DataFrame:
         """The fact, or some days of it, from the stored dimensions."""
         orders = self.table("orders_dim") if days is None else self.rows_of_days("orders_dim", days)

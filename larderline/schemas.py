@@ -89,6 +89,14 @@ ORDERS_FACT = _table(
     stock_flag=T.StringType(),
 )
 
+# What the figures of the orders fact add up from, for each day.
+ORDER_TOTALS = _table(
+    order_date=T.DateType(),
+    order_rows=T.LongType(),
+    value_rows=T.LongType(),
+    value_sum=T.DecimalType(38, 2),
+)
+
 GPS_DIM = _table(
     courier_id=T.StringType(),
     lat=T.DoubleType(),
@@ -117,6 +125,7 @@ WAREHOUSE_TABLES = {
     "orders_dim": ORDERS_DIM,
     "inventory_dim": INVENTORY_DIM,
     "orders_fact": ORDERS_FACT,
+    "order_totals": ORDER_TOTALS,
     "gps_dim": GPS_DIM,
     "status_dim": STATUS_DIM,
     "courier_tracking": COURIER_TRACKING,

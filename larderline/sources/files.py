@@ -63,9 +63,7 @@ def _joined_csv(
 ) -> DataFrame:
     """The rows of files whose values hold line breaks, as the header names them."""
     lines = records.pieces(spark, path, "\n").filter(F.col("file").isin(with_breaks))
-    nothing = F.lit(0)
-    shape = records.Shape(_count(F.col("piece"), '"'), nothing, nothing, 0)
-    found = records.joined(lines, shape, "\n")
+    found = records.joined(lines, records.Shape(_count(F.col("piece"), '"')), "\n")
     record = F.when(F.endswith("record", F.lit("\r")), F.expr("left(record, length(record) - 1)"))
     found = found.withColumn("record", record.otherwise(F.col("record")))
     title = F.lower(F.replace("record", F.lit('"'), F.lit("")))

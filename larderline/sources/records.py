@@ -28,12 +28,16 @@ class Shape(NamedTuple):
     """What a ``piece`` does to the state: how many quotes it has that open or
     close a value, by how much it deepens the nesting if it begins outside of a
     value, and if it begins within one, and by how much the separator before it
-    does, outside of a value."""
+    does, outside of a value. Lines, which are not nested, have quotes only."""
 
     quotes: Column
-    outside: Column
-    inside: Column
-    separator: int
+    outside: Column | None = None
+    inside: Column | None = None
+    separator: int = 0
+
+    @property
+    def is_flat(self) -> bool:
+        return self.outside is None
 
 
 class OpenQuoteError(ValueError):
@@ -84,8 +88,8 @@ def _shaped(rows: DataFrame, shape: Shape, *carried: str) -> DataFrame:
         "line",
         *carried,
         shape.quotes.cast("long").alias("quotes"),
-        shape.outside.cast("long").alias("outside"),
-        shape.inside.cast("long").alias("inside"),
+        (F.lit(0) if shape.is_flat else shape.outside).cast("long").alias("outside"),
+        (F.lit(0) if shape.is_flat else shape.inside).cast("long").alias("inside"),
     )
     head = (F.col("split") == 0) & (F.row_number().over(_by_line()) == 1)
     placed = counted.withColumns(
@@ -103,11 +107,17 @@ def _shaped(rows: DataFrame, shape: Shape, *carried: str) -> DataFrame:
 
 def _splits(rows: DataFrame, shape: Shape) -> DataFrame:
     """Each split with the quotes and the depth it begins with, written."""
-    sums = (
-        _shaped(rows, shape)
-        .groupBy(*_SPLIT)
-        .agg(*[F.sum(name).alias(name) for name in ("quotes", "if_outside", "if_inside")])
-    )
+    if shape.is_flat:
+        # Nothing hangs on the order of the pieces, so the sums are made in map tasks.
+        quotes = F.sum(shape.quotes).alias("quotes")
+        none = [F.lit(0).alias(name) for name in ("if_outside", "if_inside")]
+        sums = rows.groupBy(*_SPLIT).agg(quotes).select("*", *none)
+    else:
+        sums = (
+            _shaped(rows, shape)
+            .groupBy(*_SPLIT)
+            .agg(*[F.sum(name).alias(name) for name in ("quotes", "if_outside", "if_inside")])
+        )
     of_file = Window.partitionBy("file").orderBy("split")
     begun = sums.withColumn("quotes_then", _sum_before(F.col("quotes"), of_file))
     deeper = F.when(_is_inside(F.col("quotes_then")), F.col("if_inside")).otherwise(

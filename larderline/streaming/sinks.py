@@ -8,6 +8,7 @@ checkpoint continues where the last run ended.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
@@ -78,3 +79,21 @@ def dropped_rows(query: StreamingQuery) -> int:
         for progress in query.recentProgress
         for step in progress["stateOperators"]
     )
+
+
+def stored_state(
+    spark: SparkSession, checkpoint: str, step: int = 0, side: str | None = None
+) -> DataFrame:
+    """What a query's stateful step keeps, as its checkpoint has it: ``key``,
+    ``value`` and ``partition_id``. A join has two sides, ``left`` and ``right``."""
+    reader = spark.read.format("statestore").option("operatorId", step)
+    if side is not None:
+        reader = reader.option("joinSide", side)
+    return reader.load(checkpoint)
+
+
+def state_sizes(stored: DataFrame) -> DataFrame:
+    """Rows and different keys of a state by partition, to see whether one is hot."""
+    return stored.groupBy("partition_id").agg(
+        F.count(F.lit(1)).alias("state_rows"), F.count_distinct("key").alias("state_keys")
+    )

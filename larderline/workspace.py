@@ -25,6 +25,8 @@ SESSION_SETTINGS = {
     # that read it again as well.
     "spark.sql.shuffle.orderIndependentChecksum.enabled": "true",
     "spark.sql.shuffle.orderIndependentChecksum.enableFullRetryOnMismatch": "true",
+    # Use what the catalog knows of analyzed tables.
+    "spark.sql.cbo.enabled": "true",
     # Keep stream state on disk; it outgrows the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -8,6 +8,7 @@ import uuid
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from larderline.plans import jobs, kpis
 from larderline.plans.warehouse import Warehouse
@@ -66,6 +67,40 @@ def test_a_day_is_replaced_and_the_files_of_others_stay(spark, warehouse):
     assert f"order_date={THIRD}" not in after
 
 
+def totals(warehouse):
+    rows = warehouse.table("order_totals").collect()
+    return {row.order_date: (row.order_rows, row.value_rows, row.value_sum) for row in rows}
+
+
+def test_totals_follow_the_days_that_are_replaced(spark, warehouse):
+    jobs.load_facts(warehouse)
+    assert totals(warehouse)[FIRST] == (2, 2, Decimal("4.00"))
+    orders = [an_order(n, FIRST) for n in range(5)]
+    warehouse.replace_days("orders_dim", spark.createDataFrame(orders, ORDERS_DIM), [FIRST, THIRD])
+    for _ in range(2):
+        jobs.load_fact_days(warehouse, [FIRST, THIRD])
+    assert set(totals(warehouse)) == {FIRST, SECOND, None}
+    assert totals(warehouse)[FIRST] == (5, 5, Decimal("10.00"))
+    fact, kept = warehouse.table("orders_fact"), warehouse.table("order_totals")
+    assert kpis.summary_of_totals(kept).collect() == kpis.fact_summary(fact).collect()
+    assert kpis.daily_orders_of_totals(kept, 2).collect() == kpis.daily_orders(fact, 2).collect()
+
+
+def test_totals_of_loads_add_up(spark, warehouse):
+    plain = Warehouse(spark, f"plain_{uuid.uuid4().hex[:8]}", f"{warehouse.root}-plain").create()
+    assert kpis.summary_of_totals(plain.table("order_totals")).first()[0] == 0
+    fact = warehouse.table("orders_fact")
+    nothing = F.lit(None).cast("decimal(22,2)")
+    unknown = fact.filter(F.col("order_date") == FIRST).withColumn("total_order_value", nothing)
+    for rows in (fact, fact.limit(0), fact, unknown):
+        jobs.append_facts(plain, rows)
+    both = plain.table("orders_fact")
+    assert totals(plain)[None] == (2, 2, Decimal("4.00"))
+    kept = kpis.summary_of_totals(plain.table("order_totals"))
+    assert kept.collect() == kpis.fact_summary(both).collect()
+    plain.drop()
+
+
 def test_rows_of_other_days_are_refused(warehouse):
     before = files_of(warehouse)
     with pytest.raises(Exception, match="a row of another order_date"):

@@ -21,6 +21,9 @@ WRITES = {name for name in QUERIES if name.startswith(("stream_", "sink_", "csv_
     "fact_append_twice",
     "fact_replace_days",
     "load_counts",
+    "totals_summary",
+    "table_statistics",
+    "totals_daily_orders",
     "daily_orders_by_day",
     "show_tables",
     "orders_accepted",
@@ -168,6 +171,35 @@ def test_some_days_of_a_stored_fact_are_read_without_the_rest(spark, tmp_path):
         warehouse.drop()
 
 
+def test_the_small_side_of_a_join_is_known_from_statistics(spark, tmp_path):
+    """Few stock rows of one warehouse: their bytes do not show it, counts do."""
+    warehouse = Warehouse(spark, "known", str(tmp_path / "known")).create()
+    names = {"warehouse": F.concat(F.lit("w"), F.col("id") % 500), "item_id": F.col("id")}
+    stock = spark.range(20_000).select(
+        *[names.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in INVENTORY_DIM]
+    )
+    dates = {"item_id": F.col("id") % 20_000}
+    orders = spark.range(50_000).select(
+        *[dates.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in ORDERS_DIM]
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "5000")
+    try:
+        warehouse.replace("inventory_dim", stock)
+        warehouse.replace("orders_dim", orders)
+
+        def joined():
+            some = warehouse.table("inventory_dim").filter("warehouse = 'w7'")
+            return plan(warehouse.table("orders_dim").join(some.select("item_id"), "item_id"))
+
+        assert "SortMergeJoin" in joined()
+        warehouse.analyze("inventory_dim", ["item_id", "warehouse"])
+        assert warehouse.statistics("inventory_dim", "item_id")["max"] == "19999"
+        assert "BroadcastHashJoin" in joined()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        warehouse.drop()
+
+
 def rows_scanned(df):
     """Rows that come out of the scan, before the filter looks at them."""
     df.collect()

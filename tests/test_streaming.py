@@ -224,6 +224,36 @@ def test_tracking_meets_across_restarts_and_drops_old_state(spark, tmp_path, gps
     assert now_kept <= 1 + 2
 
 
+def test_state_is_bounded_by_the_watermark(spark, tmp_path, gps, status):
+    """Five deliveries a day apart: what is kept is that of the last ones."""
+    checkpoint, day = str(tmp_path / "checkpoint"), 86_400
+    for number in range(5):
+        gps.arrive(*[position(f"C{n:03}", number * day + n) for n in range(40)])
+        status.arrive(*[change(str(n), f"C{n + 50:03}", number * day + n) for n in range(40)])
+        tracked = events.track_couriers(
+            gps_stream(spark, gps), status_stream(spark, status), 3600, "1 hour"
+        )
+        sinks.append_to_folder(tracked, str(tmp_path / "out"), checkpoint).awaitTermination()
+        positions = sinks.stored_state(spark, checkpoint, side="left")
+        changes = sinks.stored_state(spark, checkpoint, side="right")
+        # A status event may stand in two slots of time.
+        assert 0 < positions.count() <= 2 * 40 and 0 < changes.count() <= 2 * 2 * 40
+    sizes = sinks.state_sizes(positions).collect()
+    assert sum(row.state_rows for row in sizes) == positions.count()
+    assert len(sizes) > 1 and max(row.state_keys for row in sizes) < 40
+
+
+def test_state_of_redelivery_is_bounded_by_the_watermark(spark, tmp_path, status):
+    checkpoint, day = str(tmp_path / "checkpoint"), 86_400
+    for number in range(4):
+        status.arrive(*[change(str(n), "C001", number * 3 * day + n) for n in range(30)] * 2)
+        once = events.without_repeats(status_stream(spark, status), "1 day")
+        sinks.append_to_folder(once, str(tmp_path / "out"), checkpoint).awaitTermination()
+        for step in (0, 1):
+            kept = sinks.state_sizes(sinks.stored_state(spark, checkpoint, step))
+            assert 0 < sum(row.state_keys for row in kept.collect()) <= 2 * 2 * 30
+
+
 def test_status_totals_go_on(spark, tmp_path, status):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
 
