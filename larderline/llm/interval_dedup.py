@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from larderline.llm.common import broadcast_if_small, stored
+from larderline.llm.common import broadcast_if_small, equip, store, stored
+from larderline.workspace import drop_folder
 
 LEAST_BYTES = 400
 # An anchor is this part of the window, so a text has an anchor about every
@@ -40,7 +41,7 @@ ANCHORS_IN_WINDOW = 4
 WINDOWS_AT_ONCE = 1 << 18
 # Different pieces that are compared in one transform if they share an anchor,
 # and bytes from which on a transform takes no further anchors in.
-PIECES_TOGETHER = 1000
+PIECES_TOGETHER = 250
 BYTES_TOGETHER = 1 << 20
 # Windows in the parts of pieces that are compared; parts whose windows share
 # nothing with those of another piece are left out.
@@ -193,7 +194,8 @@ def _sorted_rotations(text: np.ndarray, depth: int) -> np.ndarray:
     keys = np.zeros(len(text), dtype=np.uint64)
     length = 7
     for step in range(length):
-        keys = (keys << np.uint64(9)) | np.roll(text, -step).astype(np.uint64)
+        keys <<= np.uint64(9)
+        keys |= np.roll(text, -step)
     while True:
         order = np.argsort(keys)
         ordered = keys[order]
@@ -215,22 +217,22 @@ def repeated_starts(texts: list[bytes], least: int) -> list[np.ndarray]:
     size = len(text)
     suffixes = _sorted_rotations(text, least)
     transform = text[suffixes - 1]
-    by_symbol = np.argsort(transform, kind="stable")
-    extended = np.empty(size, dtype=np.int64)
-    extended[by_symbol] = np.arange(size)
+    by_symbol = np.argsort(transform, kind="stable").astype(np.int32)
+    extended = np.empty(size, dtype=np.int32)
+    extended[by_symbol] = np.arange(size, dtype=np.int32)
     # The neighbouring places of the same symbol in the transform.
     alike = transform[by_symbol[1:]] == transform[by_symbol[:-1]]
-    before, after = np.full(size, -1), np.full(size, size)
+    before, after = np.full(size, -1, np.int32), np.full(size, size, np.int32)
     after[by_symbol[:-1][alike]] = by_symbol[1:][alike]
     before[by_symbol[1:][alike]] = by_symbol[:-1][alike]
 
     common = np.full(size + 1, -1, dtype=np.int32)
     common[[0, size]] = 0
-    lows, highs = np.array([0]), np.array([size])
+    lows, highs = np.array([0], np.int32), np.array([size], np.int32)
     for length in range(least):
         sizes = highs - lows
-        offsets = np.cumsum(sizes) - sizes
-        places = np.arange(sizes.sum()) + np.repeat(lows - offsets, sizes)
+        offsets = np.cumsum(sizes, dtype=np.int32) - sizes
+        places = np.arange(sizes.sum(), dtype=np.int32) + np.repeat(lows - offsets, sizes)
         firsts = places[before[places] < np.repeat(lows, sizes)]
         lasts = places[after[places] >= np.repeat(highs, sizes)]
         # The extended intervals are disjoint, so sorted ends belong together.
@@ -339,20 +341,17 @@ def _compared(least: int, schema: pa.Schema):
 def _marked(pieces: DataFrame) -> DataFrame:
     """The pieces that share their core with others: how often each occurs (``n``),
     whether it is to be compared, and whether its anchor is crowded, stored."""
-    groups = pieces.groupBy(*_HASHES).agg(
+    common = pieces.groupBy("core").agg(F.count(F.lit(1)).alias("total")).filter("total > 1")
+    # No list of cores is broadcast, so what is shuffled grows with the input alone.
+    alive, alive_path = store(pieces.join(common.select("core"), "core", "left_semi"), "alive")
+    groups = alive.groupBy(*_HASHES).agg(
         F.count(F.lit(1)).alias("n"), F.min("piece").alias("first")
     )
-    cores = (
-        groups.groupBy("core")
-        .agg(
-            F.count(F.lit(1)).alias("kinds"),
-            F.sum("n").alias("total"),
-            F.min("n").alias("least"),
-        )
-        .filter("total > 1")
+    cores = groups.groupBy("core").agg(
+        F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")
     )
     # Pieces that all occur twice have nothing left to find.
-    shared = stored(
+    shared, shared_path = store(
         groups.join(cores, "core").select(
             *_HASHES,
             "n",
@@ -362,14 +361,17 @@ def _marked(pieces: DataFrame) -> DataFrame:
         ),
         "shared",
     )
-    met = pieces.join(broadcast_if_small(shared), list(_HASHES))
+    met = alive.join(shared, list(_HASHES))
     compared = F.col("open") & (F.col("piece") == F.col("first"))
-    return stored(
+    marked = stored(
         met.select(*_PLACE, "core", "n", compared.alias("compared"), "crowded").filter(
             (F.col("n") > 1) | F.col("compared")
         ),
         "marked",
     )
+    for path in (alive_path, shared_path):
+        drop_folder(pieces.sparkSession, path)
+    return marked
 
 
 def _same_row(docs: DataFrame, others: DataFrame) -> Column:
@@ -406,14 +408,18 @@ def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame
     ``docs`` has ``id``, ``row`` and ``text``; ``id`` and ``row`` together are the
     same for rows of the same text only.
     """
+    equip(docs.sparkSession)
     schema = _piece_schema(docs)
     arrow = to_arrow_schema(schema)
     spans = T.StructType([schema["id"], *[T.StructField(n, T.LongType()) for n in ("row", "start", "end")]])
     found = []
     pieces = docs.select("id", "row", "text").mapInArrow(_pieces(least_bytes, arrow), schema)
     for step in (*FINER, None):
-        numbered = stored(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+        numbered, path = store(
+            pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces"
+        )
         marked = _marked(numbered)
+        drop_folder(docs.sparkSession, path)
         end = F.col("start") + F.col("windows") + (least_bytes - 1)
         found.append(marked.filter("n > 1").select("id", "row", "start", end.alias("end")))
         together = _contents(docs, marked.filter("compared AND NOT crowded"), least_bytes)
