@@ -37,12 +37,14 @@ LEAST_BYTES = 400
 # 3 / 8 of a window.
 ANCHORS_IN_WINDOW = 4
 
-# Windows whose anchors are looked for at a time.
+# Texts of a batch that are worked on at a time, and windows of a text whose
+# anchors are looked for at a time.
+TEXTS_AT_ONCE = 1000
 WINDOWS_AT_ONCE = 1 << 18
 # Different pieces that are compared in one transform if they share an anchor,
 # and bytes from which on a transform takes no further anchors in.
 PIECES_TOGETHER = 250
-BYTES_TOGETHER = 1 << 20
+BYTES_TOGETHER = 1 << 19
 # Windows in the parts of pieces that are compared; parts whose windows share
 # nothing with those of another piece are left out.
 COMPARED_WINDOWS = 64
@@ -147,11 +149,17 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
 
 
+def _in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, len(batch), TEXTS_AT_ONCE):
+            yield batch.slice(first, TEXTS_AT_ONCE)
+
+
 def _pieces(least: int, schema: pa.Schema):
     """Reads ``id``, ``row`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_parts(batches):
             rows, found, digests = [], [], []
             for row, text in enumerate(batch.column("text").cast(pa.binary())):
                 content = text.as_py() or b""
@@ -438,14 +446,26 @@ def repeated_spans(docs: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame
     return functools.reduce(DataFrame.union, found)
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The spans of each row as spans that do not touch."""
+    for batch in batches:
+        merged = [
+            [{"start": a, "end": b} for a, b in _merged([(s["start"], s["end"]) for s in spans])]
+            for spans in batch.column("spans").to_pylist()
+        ]
+        spans = pa.array(merged, batch.schema.field("spans").type)
+        columns = [batch.column("own_id"), batch.column("own_row"), spans]
+        yield pa.record_batch(columns, schema=batch.schema)
+
+
 def _cut(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _in_parts(batches):
             rows = []
             columns = (batch.column("text").cast(pa.binary()), batch.column("spans"))
             for text, spans in zip(*columns, strict=True):
                 content = text.as_py() or b""
-                merged = _merged([(s["start"], s["end"]) for s in spans.as_py() or ()])
+                merged = [(s["start"], s["end"]) for s in spans.as_py() or ()]
                 edges = [0, *[edge for span in merged for edge in span], len(content)]
                 kept = [content[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
                 shown = [{"start": a, "end": b} for a, b in merged]
@@ -494,7 +514,8 @@ def remove_repeated_bytes(
         .groupBy(F.col("id").alias("own_id"), F.col("row").alias("own_row"))
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     )
-    lists = broadcast_if_small(stored(spans, "spans"))
+    merged = spans.mapInArrow(_merge, spans.schema)
+    lists = broadcast_if_small(stored(merged, "spans"))
     schema = T.StructType(
         [
             keyed.schema["id"],
