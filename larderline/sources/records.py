@@ -7,15 +7,19 @@ how deep brackets are nested. Both are sums. So each split is summed up on its
 own, the sums of the splits before it tell how a split begins, and from there
 each piece is known to begin a record or to go on with one.
 
-Sums are narrow and shuffled by split; then the pieces themselves are, once. No
-more than a split's pieces come together in a task, however large the file is,
-and of a record that spans splits the parts only.
+Sums are narrow and shuffled by split. Lines are then read again and joined as
+they come, a batch at a time and without a shuffle; pieces of nested documents are
+shuffled by split, once. No more than a split's pieces come together in a task,
+however large the file is, and of a record that spans splits the parts only.
 """
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,19 +138,131 @@ def _require_closed(splits: DataFrame) -> None:
         raise OpenQuoteError(f"a quote is never closed in {broken.file}")
 
 
-def joined(rows: DataFrame, shape: Shape, separator: str) -> DataFrame:
-    """The records that the ``pieces`` make up: ``file``, ``record``, and whether
-    it is the ``first`` of its file. Their parts are written to the shared folder.
-
-    A file that ends within a quoted value is refused.
-    """
-    splits = _splits(rows, shape)
-    _require_closed(splits)
-    met = _shaped(rows, shape, "piece").join(splits.drop("quotes"), list(_SPLIT), "left")
+@contextlib.contextmanager
+def _same_splits(spark: SparkSession) -> Iterator[None]:
+    """Files are cut alike all through the block, also if executors come or go, by
+    whose number Spark cuts them otherwise."""
+    setting = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(setting, None)
+    if before is None:
+        cores = spark.sparkContext.defaultParallelism
+        now = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or str(cores)
+        spark.conf.set(setting, now)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+
+
+def _with_begin(pieces_seen: DataFrame, splits: DataFrame) -> DataFrame:
+    """The pieces with the quotes and the depth that their split begins with."""
+    met = pieces_seen.join(splits.drop("quotes"), list(_SPLIT), "left")
     # The files have to be cut as they were when splits were summed up.
     known = F.assert_true(
         F.col("quotes_then").isNotNull(), F.lit("files changed while they were read")
     )
+    return met.filter(known.isNull())
+
+
+_PARTS = "file string, split long, own long, text string, first boolean, edge boolean"
+
+
+def _joiner(separator: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Joins the lines of splits, which come one after the other and in order.
+
+    It is nested so that executors get it without this package.
+    """
+
+    def join_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        names = ["file", "split", "own", "text", "first", "edge"]
+        # The split that is read, the record of it that goes on, counted from 0 and
+        # None before the first, its lines so far, and whether a quote is open.
+        at, own, held, inside = None, None, [], False
+
+        def batch(texts: pa.Array, start: int | None, edge: bool) -> pa.RecordBatch:
+            n, (file, split) = len(texts), at
+            owns = pa.nulls(n, pa.int64()) if start is None else pa.array(range(start, start + n))
+            first = np.zeros(n, dtype=bool)
+            first[:1] = split == 0 and start == 0
+            values = [
+                pa.repeat(file, n),
+                pa.repeat(pa.scalar(split, pa.int64()), n),
+                owns.cast(pa.int64()),
+                texts.cast(pa.string()),
+                pa.array(first),
+                pa.repeat(edge, n),
+            ]
+            return pa.RecordBatch.from_arrays(values, names=names)
+
+        def held_record(edge: bool) -> Iterator[pa.RecordBatch]:
+            if held:
+                yield batch(pa.array([separator.join(held)], pa.string()), own, edge)
+
+        def add(lines: pa.Array, odd: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal own, held, inside
+            after = (np.cumsum(odd) + inside) % 2 == 1
+            begins = np.flatnonzero(~np.concatenate([[inside], after[:-1]]))
+            inside = bool(after[-1])
+            if len(begins) == 0:
+                held += lines.to_pylist()
+                return
+            held += lines[: begins[0]].to_pylist()
+            # What a split begins with may go on from the one before it.
+            yield from held_record(edge=own is None)
+            own = 0 if own is None else own + 1
+            whole = lines[begins[0] : begins[-1]]
+            if len(whole):
+                offsets = pa.array((begins - begins[0]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, whole)
+                yield batch(pc.binary_join(lists, separator), own, edge=False)
+                own += len(lists)
+            held = lines[begins[-1] :].to_pylist()
+
+        for some in batches:
+            files = some.column("file").dictionary_encode()
+            codes = files.indices.to_numpy(zero_copy_only=False)
+            splits = some.column("split").to_numpy(zero_copy_only=False)
+            odd = some.column("odd").to_numpy(zero_copy_only=False)
+            turns = (np.diff(codes) != 0) | (np.diff(splits) != 0)
+            cuts = [0, *(np.flatnonzero(turns) + 1).tolist(), len(splits)]
+            for low, high in zip(cuts, cuts[1:]):
+                if low == high:
+                    continue
+                here = (files.dictionary[int(codes[low])].as_py(), int(splits[low]))
+                if here != at:
+                    yield from held_record(edge=True)
+                    at, own, held = here, None, []
+                    inside = some.column("inside")[low].as_py()
+                yield from add(some.column("piece").slice(low, high - low), odd[low:high])
+        yield from held_record(edge=True)
+
+    return join_lines
+
+
+def _parts_of_lines(
+    rows: DataFrame, shape: Shape, splits: DataFrame, separator: str
+) -> DataFrame:
+    """The records of each split, and the parts at its edges. The table of splits
+    has a row for a split, so it is broadcast and lines stay where they are read."""
+    # A task reads its splits one by one, each from front to back.
+    seen = rows.select(*_SPLIT, "piece", _is_inside(shape.quotes).alias("odd"))
+    begun = _with_begin(seen, F.broadcast(splits))
+    inside = _is_inside(F.col("quotes_then")).alias("inside")
+    return begun.select("file", "split", inside, "odd", "piece").mapInArrow(
+        _joiner(separator), _PARTS
+    )
+
+
+def _parts_of_documents(
+    rows: DataFrame, shape: Shape, splits: DataFrame, separator: str
+) -> DataFrame:
+    """The same where pieces are nested: they are shuffled by split."""
+    met = _with_begin(_shaped(rows, shape, "piece"), splits)
     deeper = F.when(_is_inside(F.col("quotes_then")), F.col("if_inside")).otherwise(
         F.col("if_outside")
     )
@@ -155,27 +271,35 @@ def joined(rows: DataFrame, shape: Shape, separator: str) -> DataFrame:
     begins = ~_is_inside(quotes) & (depth == 0)
     so_far = _by_line().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # Windows and groups are by split alike, so the pieces move once.
-    placed = (
-        met.filter(known.isNull())
-        .withColumn("start", F.when(begins, F.col("line")))
-        .withColumn("own", F.max("start").over(so_far))
+    placed = met.withColumn("start", F.when(begins, F.col("line"))).withColumn(
+        "own", F.max("start").over(so_far)
     )
     in_order = F.sort_array(F.collect_list(F.struct("line", "piece")))
     parts = placed.groupBy(*_SPLIT, "own").agg(
         in_order.alias("lines"), F.max("first").alias("first")
     )
     last = F.max("own").over(Window.partitionBy(*_SPLIT))
-    stored = _written(
-        parts.select(
-            "file",
-            "split",
-            "own",
-            F.array_join(F.col("lines.piece"), separator).alias("text"),
-            "first",
-            (F.col("own").isNull() | (F.col("own") == last)).alias("edge"),
-        ),
-        "records",
+    return parts.select(
+        "file",
+        "split",
+        "own",
+        F.array_join(F.col("lines.piece"), separator).alias("text"),
+        "first",
+        (F.col("own").isNull() | (F.col("own") == last)).alias("edge"),
     )
+
+
+def joined(rows: DataFrame, shape: Shape, separator: str) -> DataFrame:
+    """The records that the ``pieces`` make up: ``file``, ``record``, and whether
+    it is the ``first`` of its file. Their parts are written to the shared folder.
+
+    A file that ends within a quoted value is refused.
+    """
+    parts_of = _parts_of_lines if shape.is_flat else _parts_of_documents
+    with _same_splits(rows.sparkSession):
+        splits = _splits(rows, shape)
+        _require_closed(splits)
+        stored = _written(parts_of(rows, shape, splits, separator), "records")
     # What a split begins with goes on from the last record of one before it.
     in_file = Window.partitionBy("file").orderBy("split", F.col("own").asc_nulls_first())
     number = F.count("own").over(in_file.rowsBetween(Window.unboundedPreceding, 0))

@@ -149,6 +149,32 @@ def test_records_are_put_together_over_splits(spark, tmp_path, small_splits):
     assert sorted(map(list, found.collect())) == sorted(wanted)
 
 
+def test_files_are_cut_alike_when_executors_come_or_go(spark, tmp_path, monkeypatch):
+    """The first scan of the records meets two cores, the second one many."""
+    rows = [f'{n},"C\n{n}",x,{n}' for n in range(400)]
+    (tmp_path / "a.csv").write_text("\n".join([STATUS_HEADER, *rows, ""]))
+    settings = ["spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"]
+    before = spark.conf.get(settings[1])
+    written = records._written
+
+    def with_other_cores(found, purpose):
+        stored = written(found, purpose)
+        spark.conf.set(settings[0], "7")
+        return stored
+
+    monkeypatch.setattr(records, "_written", with_other_cores)
+    spark.conf.set(settings[0], "2")
+    spark.conf.set(settings[1], "1")
+    try:
+        found = files.read_status_csv(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset(settings[0])
+        spark.conf.set(settings[1], before)
+    assert sorted(int(row.ts) for row in found) == list(range(400))
+    assert all(row.courier_id == f"C\n{row.ts}" for row in found)
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
 def test_a_status_that_looks_like_an_order_is_one_order(spark, tmp_path):
     header = ",".join(ORDERS.names)
     line = f'1,2,3,4,5.00,2025-07-01T08:00:00Z,"said\n{PLACED}"\n'
