@@ -73,16 +73,18 @@ def _joined_csv(
     numbered = [f"c{at}" for at in range(len(names))]
     kinds = ", ".join(f"{name} string" for name in [*numbered, _TORN])
     options = {**CSV_DIALECT, "columnNameOfCorruptRecord": _TORN}
+    # Inlined, a record is parsed once; a struct would be parsed anew wherever one
+    # of its fields is used.
     parsed = rows.filter(~F.col("first") & (F.btrim("record") != "")).select(
-        "record", F.from_csv("record", kinds, options).alias("row")
+        "record", F.inline(F.array(F.from_csv("record", kinds, options)))
     )
     # Each line break has to turn up in a value, or the record is more than one.
-    values = [F.coalesce(_line_breaks(F.col(f"row.{name}")), F.lit(0)) for name in numbered]
+    values = [F.coalesce(_line_breaks(F.col(name)), F.lit(0)) for name in numbered]
     all_there = sum(values[1:], values[0]) == _line_breaks(F.col("record"))
-    as_titled = F.col(f"row.{_TORN}").isNull() | (_line_breaks(F.col("record")) == 0)
+    as_titled = F.col(_TORN).isNull() | (_line_breaks(F.col("record")) == 0)
     whole = _require(parsed, all_there & as_titled, "torn row", F.col("record"))
     return whole.select(
-        *[F.col(f"row.{at}").alias(name) for at, name in zip(numbered, names, strict=True)]
+        *[F.col(at).alias(name) for at, name in zip(numbered, names, strict=True)]
     )
 
 

@@ -9,8 +9,10 @@ import pathlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from larderline import workspace
+from larderline.operators import loading
 from larderline.plans.facts import orders_fact
 from larderline.schemas import GPS_EVENT, INVENTORY_DOCUMENT, ORDERS, text_only
 from larderline.sinks import files as file_sinks
@@ -175,6 +177,22 @@ def test_files_are_cut_alike_when_executors_come_or_go(spark, tmp_path, monkeypa
     assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
 
 
+def test_a_record_is_parsed_once(spark, tmp_path):
+    """However many columns are checked and typed; lines are not shuffled."""
+    header = ",".join(ORDERS.names)
+    line = f'1,2,3,4,5.00,2025-07-01T08:00:00Z,"said\n{PLACED}"\n'
+    (tmp_path / "a.csv").write_text(f"{header}\n{line}")
+    typed = loading.all_orders_or_fail(files.read_orders_csv(spark, str(tmp_path / "a.csv")))
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_csv") == 1
+    lines = records.pieces(spark, str(tmp_path), "\n")
+    columns = "file string, split long, size long, quotes_then long, quotes long"
+    none_open = spark.createDataFrame([], columns)
+    parts = records._parts_of_lines(lines, records.Shape(F.lit(0)), none_open, "\n")
+    physical = parts._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in physical and "Sort" not in physical
+
+
 def test_a_status_that_looks_like_an_order_is_one_order(spark, tmp_path):
     header = ",".join(ORDERS.names)
     line = f'1,2,3,4,5.00,2025-07-01T08:00:00Z,"said\n{PLACED}"\n'
