@@ -342,6 +342,20 @@ def test_tasks_fit_the_input(tebibytes, split_mebibytes, partitions):
     assert int(sizes["spark.sql.shuffle.partitions"]) == partitions
 
 
+def test_tasks_of_jobs_hold_little(spark, tables):
+    """As much at 1 GB as at 50; never more than the usual sizes."""
+    for gibibytes in (0, 1, 6, 50, 1024):
+        sizes = {k: int(v) for k, v in workspace.job_sizes(gibibytes * 2**30, cores=12).items()}
+        usual = workspace.task_sizes(gibibytes * 2**30, cores=12)
+        assert all(sizes[key] >= 2**23 for key in sizes if "Bytes" in key)
+        split, partitions = "spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions"
+        assert sizes[split] <= int(usual[split])
+        assert sizes[partitions] >= int(usual[partitions])
+        if gibibytes <= 50:
+            assert gibibytes * 2**30 / sizes[partitions] <= 2**23
+            assert sizes["spark.sql.adaptive.advisoryPartitionSizeInBytes"] <= 2**23
+
+
 def test_tasks_fit_files(spark, tables):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     before = {key: spark.conf.get(key) for key in keys}
