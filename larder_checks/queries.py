@@ -21,7 +21,7 @@ from larderline.sinks import topics as topic_sinks
 from larderline.sources import files, topics
 from larderline.schemas import INVENTORY_DOCUMENT
 from larderline.streaming import events, late, sinks
-from larderline.workspace import SPLIT_BYTES, new_run_folder, remembered, stored_bytes
+from larderline.workspace import SPLIT_BYTES, new_run_folder, prepare, remembered, stored_bytes
 from larder_checks import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +47,15 @@ def registered(query: Query) -> Query:
     return query
 
 
+def _orders_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders; the session is made ready for them, as the jobs do it."""
+    orders = inputs.orders_raw(spark, folder)
+    prepare(spark, orders)
+    return orders
+
+
 def _orders_complete(spark: SparkSession, folder: str) -> DataFrame:
-    return nulls.drop_null_rows(inputs.orders_raw(spark, folder))
+    return nulls.drop_null_rows(_orders_raw(spark, folder))
 
 
 def _orders_standard(spark: SparkSession, folder: str) -> DataFrame:
@@ -186,12 +193,12 @@ def orders_drop_test(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def orders_dim(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.orders_dim(inputs.orders_raw(spark, folder))
+    return dims.orders_dim(_orders_raw(spark, folder))
 
 
 @registered
 def orders_dim_filled(spark: SparkSession, folder: str) -> DataFrame:
-    return dims.orders_dim(inputs.orders_raw(spark, folder), null_policy="fill")
+    return dims.orders_dim(_orders_raw(spark, folder), null_policy="fill")
 
 
 @registered

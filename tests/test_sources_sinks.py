@@ -356,6 +356,15 @@ def test_tasks_of_jobs_hold_little(spark, tables):
             assert sizes["spark.sql.adaptive.advisoryPartitionSizeInBytes"] <= 2**23
 
 
+@pytest.mark.parametrize("query", ["orders_dedup", "orders_dim", "orders_dim_filled"])
+def test_queries_fit_their_tasks(spark, tables, query):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.unset(key)
+    QUERIES[query](spark, tables)
+    assert spark.conf.get(key) == str(workspace.HELD_BYTES)
+    spark.conf.unset(key)
+
+
 def test_tasks_fit_files(spark, tables):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     before = {key: spark.conf.get(key) for key in keys}
