@@ -365,6 +365,60 @@ def test_queries_fit_their_tasks(spark, tables, query):
     spark.conf.unset(key)
 
 
+@pytest.fixture(scope="module")
+def few_rows(spark, tmp_path_factory):
+    """A folder with a few rows of each table that the loads read."""
+    folder = str(tmp_path_factory.mktemp("few"))
+    columns = {
+        "lineitem": (
+            "id + 1 AS l_orderkey", "id % 40 + 1 AS l_partkey", "double(id % 7 + 1) AS l_quantity",
+            "double(id) + 0.5 AS l_extendedprice",
+        ),
+        "orders": (
+            "id + 1 AS o_orderkey", "id % 9 AS o_custkey",
+            "substr('FOP', int(id % 3) + 1, 1) AS o_orderstatus",
+            "CAST(date_add(DATE'2024-01-01', int(id % 30)) AS timestamp_ntz) AS o_orderdate",
+        ),
+        "part": (
+            "id + 1 AS p_partkey", "concat('item ', id) AS p_name",
+            "concat('Brand#', id % 5) AS p_brand", "'STEEL' AS p_type", "int(id % 50) AS p_size",
+        ),
+        "events": ("id AS event_id", "id % 20 AS user_id", "'view' AS event_type"),
+    }
+    for name, named in columns.items():
+        spark.range(40 if name == "part" else 300).selectExpr(*named).write.parquet(
+            f"{folder}/{name}.parquet"
+        )
+    return folder
+
+
+# Queries that load dimensions, or write what they read of the orders.
+LOADING = [
+    "describe_table",
+]
+
+
+@pytest.mark.parametrize("query", LOADING)
+def test_partitions_of_loads_follow_the_input(spark, few_rows, query, monkeypatch):
+    """However many bytes come, a task gets no more than it may hold of them."""
+    monkeypatch.setattr(workspace, "HELD_BYTES", 512)
+    merged, partitions = (
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions",
+    )
+    keys = (partitions, "spark.sql.files.maxPartitionBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    spark.conf.unset(merged)
+    try:
+        QUERIES[query](spark, few_rows)
+        after = int(spark.conf.get(partitions)), spark.conf.get(merged)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        spark.conf.unset(merged)
+    assert after[0] > spark.sparkContext.defaultParallelism
+    assert after[1] == "512"
+
+
 def test_tasks_fit_files(spark, tables):
     keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
     before = {key: spark.conf.get(key) for key in keys}
