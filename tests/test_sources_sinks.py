@@ -397,6 +397,7 @@ LOADING = [
     "describe_table",
     "fact_append_twice",
     "fact_replace_days",
+    "load_counts",
 ]
 
 
