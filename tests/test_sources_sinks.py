@@ -398,6 +398,7 @@ LOADING = [
     "fact_append_twice",
     "fact_replace_days",
     "load_counts",
+    "show_tables",
 ]
 
 
