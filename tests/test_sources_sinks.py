@@ -399,6 +399,7 @@ LOADING = [
     "fact_replace_days",
     "load_counts",
     "show_tables",
+    "sink_overwrite_idempotent",
 ]
 
 
