@@ -400,6 +400,7 @@ LOADING = [
     "load_counts",
     "show_tables",
     "sink_overwrite_idempotent",
+    "sql_daily_orders",
 ]
 
 
