@@ -401,6 +401,7 @@ LOADING = [
     "show_tables",
     "sink_overwrite_idempotent",
     "sql_daily_orders",
+    "sql_orders_fact",
 ]
 
 
