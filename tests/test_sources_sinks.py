@@ -403,6 +403,7 @@ LOADING = [
     "sql_daily_orders",
     "sql_orders_fact",
     "stored_volume_by_warehouse_item",
+    "table_statistics",
 ]
 
 
