@@ -405,6 +405,7 @@ LOADING = [
     "stored_volume_by_warehouse_item",
     "table_statistics",
     "totals_daily_orders",
+    "totals_summary",
 ]
 
 
