@@ -406,6 +406,7 @@ LOADING = [
     "table_statistics",
     "totals_daily_orders",
     "totals_summary",
+    "sink_partitioned_by_warehouse",
 ]
 
 
