@@ -407,6 +407,7 @@ LOADING = [
     "totals_daily_orders",
     "totals_summary",
     "sink_partitioned_by_warehouse",
+    "sink_run_append",
 ]
 
 
