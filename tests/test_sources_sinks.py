@@ -408,6 +408,7 @@ LOADING = [
     "totals_summary",
     "sink_partitioned_by_warehouse",
     "sink_run_append",
+    "orders_dedup",
 ]
 
 
