@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from larderline.llm import interval_dedup
 from larderline.llm.queries import QUERIES
@@ -132,6 +135,78 @@ def test_short_strings_are_refused(spark):
         interval_dedup.remove_repeated_bytes(spark.createDataFrame([], SCHEMA), least_bytes=20)
 
 
+def test_spans_are_merged_in_little_memory():
+    # As plain Python values they take some 250 bytes each.
+    rows, spans = 2_000, 100
+    starts = np.tile(np.arange(spans) * 10, rows)
+    places = pa.StructArray.from_arrays(
+        [pa.array(starts), pa.array(starts + np.where(starts % 30 == 0, 15, 5))], ["start", "end"]
+    )
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * spans, pa.int32()), places)
+    ids = pa.array(np.arange(rows))
+    batch = pa.record_batch([ids, ids, lists], names=["own_id", "own_row", "spans"])
+    wanted = interval_dedup._merged([(s["start"], s["end"]) for s in lists[0].as_py()])
+    assert 1 < len(wanted) < spans
+    tracemalloc.start()
+    (merged,) = interval_dedup._merge([batch])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100 * rows * spans
+    assert merged.schema == batch.schema
+    for row in merged.column("spans").to_pylist():
+        assert [(s["start"], s["end"]) for s in row] == wanted
+
+
+def test_rows_are_handed_over_in_small_batches(spark):
+    interval_dedup.remove_repeated_bytes(spark.createDataFrame([], SCHEMA))
+    texts = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("text "), 20_000).alias("text"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes])], names=["size"])
+
+    found = [r["size"] for r in texts.mapInArrow(sizes, "size long").collect()]
+    assert sum(found) >= 400 * 100_000
+    assert max(found) < 2 * interval_dedup.BATCH_BYTES
+
+
+def test_many_pieces_of_one_anchor_are_shared_out(spark, monkeypatch):
+    tables, store = {}, interval_dedup.store
+
+    def kept(rows, purpose):
+        tables[purpose], path = store(rows, purpose)
+        return tables[purpose], path
+
+    monkeypatch.setattr(interval_dedup, "store", kept)
+    monkeypatch.setattr(interval_dedup, "drop_folder", lambda *_: None)
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {key: spark.conf.get(key) for key in small}
+    number = F.col("id")
+    heavy = number % 2 == 0
+    pieces = spark.range(0, 40_000, 1, 16).select(
+        number,
+        *[number.alias(name) for name in ("row", "start", "windows", "anchor", "high", "low", "piece")],
+        F.when(heavy, F.lit(-1)).otherwise(number % 5_000).cast("long").alias("core"),
+    )
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        assert interval_dedup._marked(pieces).count() == 40_000
+        alive = tables["alive"].filter("core = -1").groupBy(F.input_file_name()).count()
+        most = alive.agg(F.max("count")).first()[0]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert most < 20_000 / 2
+
+
 def test_query_on_the_test_table(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text").collect()
     wanted = plain([r.text for r in docs], 400)
